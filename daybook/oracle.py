@@ -271,8 +271,8 @@ SELECT id, a1c_target_id,
   completed_count AS programs_completed
 FROM (SELECT o_custkey AS id,
         CAST(arg_max(o_orderkey % 3 + 1, (o_orderdate, o_orderkey)) AS INTEGER) AS a1c_target_id,
-        count(*) FILTER (WHERE o_orderstatus = 'O') AS active_journey_count,
-        count(*) FILTER (WHERE o_orderstatus = 'F') AS completed_journey_count,
+        count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderstatus = 'O') AS active_journey_count,
+        count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderstatus = 'F') AS completed_journey_count,
         count(*) AS order_count,
         count(*) FILTER (WHERE o_orderstatus = 'F') AS completed_count,
         max(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS has_active_program
@@ -475,3 +475,261 @@ SELECT id, day, sleep_count, sleep_rating, sleep_hours FROM agg WHERE sleep_coun
 register("capped_adherence", "SELECT * FROM med_daily", ["med_daily"], ["adherence_pct", "adherence_7d_avg"])
 
 register("class_star_semi", "SELECT * FROM med_state", ["med_state"])
+
+
+# ---------------------------------------------------------------------------
+# assembly and rule inputs
+# ---------------------------------------------------------------------------
+def _bool(c):
+    return f"COALESCE(CAST({c} AS BOOLEAN), FALSE)"
+
+
+cte("wide0", """
+SELECT f.*, fo.focus_list, fo.user_focus,
+  od.a1c_target_id, od.a1c_group, od.active_journey_count, od.completed_journey_count, od.has_active_journey,
+  od.has_completed_journey, od.journey_task_completed, od.video_ever_completed, od.video_total,
+  od.has_exercise_video_activity, od.has_active_exercise_program, od.programs_completed,
+  g.goal_type_id, g.target_weight, g.protein_goal, g.carb_goal, g.fat_goal, g.calories_goal, g.weight_goal_type,
+  g.has_weight_goal, g.has_nutrient_goals,
+  ms.active_prescription_count, ms.expected_daily_doses, ms.med_reminders_enabled, ms.takes_glycemic_lowering_med,
+  md.adherence_pct, md.took_all_meds, md.adherence_7d_avg
+FROM feat f LEFT JOIN focus fo ON f.id = fo.id LEFT JOIN odims od ON f.id = od.id
+LEFT JOIN goals g ON f.id = g.id LEFT JOIN med_state ms ON f.id = ms.id
+LEFT JOIN med_daily md ON f.id = md.id AND f.day = md.day""",
+    ["feat", "focus", "odims", "goals", "med_state", "med_daily"])
+
+cte("wide1", f"""
+SELECT *,
+  greatest({", ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)}) AS any_nutrient_met,
+  {" + ".join(f"(CASE WHEN {g} IS NOT NULL THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
+  {" + ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)} AS n_90_110,
+  {" + ".join(f"(CASE WHEN {n}_pct >= 60 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_60_plus,
+  {" + ".join(f"(CASE WHEN {n}_pct >= 30 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_30_plus,
+  COALESCE({", ".join(f"CASE WHEN {n}_in_band = 1 THEN '{n}' END" for n, _ in _NUTS)}) AS nutrient_name_met
+FROM (SELECT *, {", ".join(f"CASE WHEN {n}_pct BETWEEN 90 AND 110 THEN 1 ELSE 0 END AS {n}_in_band" for n, _ in _NUTS)}
+      FROM (SELECT *, {", ".join(f"CASE WHEN {g} > 0 THEN {n} / {g} * 100.0 END AS {n}_pct" for n, g in _NUTS)}
+            FROM wide0))""", ["wide0"])
+
+_THR_ROWS = [(g, *v) for g, v in K.GLUCOSE_THRESHOLDS.items()] + [("dm_target_6", *K.GLUCOSE_THRESHOLDS[K.DEFAULT_A1C_GROUP])]
+_THR = _values(_THR_ROWS, ["grp", "tir_positive", "tir_opportunity", "high_max", "low_max", "range_low", "range_high"])
+_TOL = K.WEIGHT_MAINTENANCE_TOLERANCE_PCT / 100.0
+cte("thr", _THR)
+cte("wide", f"""
+SELECT w.*, t.tir_positive, t.tir_opportunity, t.high_max, t.low_max, t.range_low, t.range_high,
+  COALESCE(w.weight BETWEEN w.target_weight * {1 - _TOL!r} AND w.target_weight * {1 + _TOL!r}, FALSE) AS within_maintenance
+FROM wide1 w LEFT JOIN thr t ON COALESCE(w.a1c_group, '{K.DEFAULT_A1C_GROUP}') = t.grp""", ["wide1", "thr"])
+
+cte("ctx", f"""
+SELECT id, day,
+  {_bool('has_cgm')} AS has_cgm, {_bool('has_step_tracker')} AS has_step_tracker,
+  COALESCE(active_prescription_count > 0, FALSE) AS has_medications,
+  {_bool('has_weight_goal')} AS has_weight_goal, weight_goal_type,
+  {_bool('has_active_journey')} AS has_active_journey,
+  {_bool('journey_task_completed')} AS journey_task_completed,
+  {_bool('has_active_exercise_program')} AS has_exercise_program,
+  {_bool('has_nutrient_goals')} AS has_nutrient_goals,
+  COALESCE(focus_list, CAST([] AS VARCHAR[])) AS focus_list,
+  COALESCE(len(focus_list) > 0, FALSE) AS has_focus,
+  COALESCE(a1c_group, '{K.DEFAULT_A1C_GROUP}') AS a1c_group,
+  tir_positive, tir_opportunity, high_max, low_max,
+  tir_pct, tir_prev_logged AS tir_prev, high_pct, low_pct,
+  steps, steps_prev_logged AS steps_prev, steps_avg_7d,
+  active_minutes, active_minutes_prev_logged AS active_prev, weekly_active_minutes, video_completion_pct,
+  sleep_hours, sleep_prev_logged AS sleep_prev, sleep_rating, sleep_avg_7d, sleep_rating_avg_7d,
+  {_bool('took_all_meds')} AS took_all_meds, adherence_7d_avg AS med_adherence_7d_avg,
+  {_bool('med_reminders_enabled')} AS med_reminders_enabled,
+  {_bool('takes_glycemic_lowering_med')} AS takes_glycemic_lowering_med,
+  {_bool('takes_glycemic_lowering_med')} AND COALESCE(adherence_7d_avg >= 80, FALSE) AS glycemic_med_adherent,
+  meals, days_with_meals_7d,
+  {_bool('any_nutrient_met')} AS any_nutrient_met, nutrient_name_met, last_meal_type,
+  n_90_110, n_60_plus, n_30_plus, total_nutrient_targets,
+  {_bool('weight_logged_today')} AS weight_logged_today,
+  weight_pct_change, weight_change_lbs_14d, weight_change_pct_14d,
+  weight_logged_7d, weight_logged_14d, weight_logged_30d, days_since_last_weight, within_maintenance,
+  {_bool('meditation_7d')} AS meditation_7d, {_bool('meditation_30d')} AS meditation_30d,
+  {_bool('journal_7d')} AS journal_7d, {_bool('journal_30d')} AS journal_30d,
+  {_bool('plan_active')} AS plan_active, {_bool('plan_progress_30d')} AS plan_progress_30d,
+  {_bool('program_started_today')} AS program_started_today, {_bool('grocery_today')} AS grocery_today,
+  {_bool('video_completed_today')} AS video_completed_today
+FROM wide""", ["wide"])
+
+register("daily_wide", """
+SELECT id, day, has_cgm, has_step_tracker, has_medications, has_weight_goal, weight_goal_type,
+  has_active_journey, has_exercise_program, array_to_string(focus_list, ',') AS focus, a1c_group, tir_positive,
+  meals, any_nutrient_met, nutrient_name_met, n_90_110, total_nutrient_targets, within_maintenance,
+  takes_glycemic_lowering_med, med_reminders_enabled
+FROM ctx""", ["ctx"])
+
+register("threshold_lookup", """
+SELECT o.id, COALESCE(o.a1c_group, 'dm_target_7') AS a1c_group, t.tir_positive, t.tir_opportunity, t.high_max,
+  t.low_max, t.range_low, t.range_high
+FROM odims o LEFT JOIN thr t ON COALESCE(o.a1c_group, 'dm_target_7') = t.grp""", ["odims", "thr"])
+
+_NP_COLS = ["tir_pct", "active_minutes", "steps", "weight", "sleep_hours", "sleep_rating", "last_meal_type",
+            "weekly_active_minutes", "days_since_last_weight", "weight_14d_ago"]
+register("null_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM feat "
+    f"HAVING count(*) FILTER (WHERE {c} IS NULL) > 0" for c in _NP_COLS), ["feat"])
+
+# ---------------------------------------------------------------------------
+# H1 / H2 eligibility codes
+# ---------------------------------------------------------------------------
+_POS_CODES = [
+    ("GLUCOSE_TIR_MET", "tir_pct >= 70"), ("GLUCOSE_TIR_IMPROVED", "tir_delta_1d > 0"),
+    ("ACTIVITY_LOGGED", "active_minutes > 0"), ("ACTIVITY_MAINTAINED_OR_IMPROVED", "activity_same_or_more = 1"),
+    ("STEPS_TARGET_MET", "steps_target_met = 1"), ("STEPS_IMPROVED", "steps_improved = 1"),
+    ("MEAL_LOGGED", "meal_logged_today = 1"), ("NUTRIENT_TARGET_MET", "any_nutrient_met = 1"),
+    ("SLEEP_HOURS_MET", "sleep_hours_met = 1"), ("SLEEP_RATING_MET", "sleep_rating_met = 1"),
+    ("SLEEP_IMPROVED", "sleep_improved = 1"), ("MEDS_ALL_TAKEN", "took_all_meds = 1"),
+    ("WEIGHT_LOGGED", "weight_logged_today = 1"), ("WEIGHT_DECREASED", "weight_pct_change < 0"),
+    ("MEDITATION_OPENED", "meditation_today = 1"), ("JOURNAL_ENTRY", "journal_today = 1"),
+    ("ACTION_PLAN_ACTIVE", "plan_active = 1"), ("ACTION_PLAN_COMPLETED", "plan_completed = 1"),
+    ("GROCERY_SHOPPED", "grocery_today = 1"), ("JOURNEY_ACTIVE", "has_active_journey = 1"),
+    ("JOURNEY_TASK_COMPLETED", "journey_task_completed = 1"),
+    ("EXERCISE_VIDEO_COMPLETED", "video_completed_today = 1"),
+    ("EXERCISE_PROGRAM_STARTED", "program_started_today = 1"),
+    ("EXERCISE_PROGRAM_COMPLETED", "programs_completed > 0"), ("EXERCISE_PROGRAM_PROGRESS", "program_7d = 1"),
+]
+_OPP_CODES = [
+    ("GLUCOSE_IMPROVE_TIR", "tir_pct < 70"), ("GLUCOSE_REDUCE_HIGH", "high_pct > 25"),
+    ("GLUCOSE_PREVENT_LOW", "low_pct > 4"), ("ACTIVITY_INCREASE_WEEKLY", "weekly_active_minutes < 150"),
+    ("STEPS_INCREASE_DAILY", "steps_avg_7d < 6000"), ("FOOD_LOG_MEAL", "NOT COALESCE(meal_logged_today = 1, FALSE)"),
+    ("FOOD_LOG_MORE_FREQUENTLY", "days_with_meals_7d < 1"), ("SLEEP_INCREASE_DURATION", "sleep_avg_7d < 7"),
+    ("SLEEP_IMPROVE_QUALITY", "sleep_avg_7d >= 7 AND sleep_rating_avg_7d < 7"),
+    ("MEDS_IMPROVE_ADHERENCE", "adherence_7d_avg < 50"), ("WEIGHT_LOG_ENTRY", "days_since_last_weight > 6"),
+    ("MENTAL_TRY_MEDITATION", "NOT COALESCE(meditation_30d = 1, FALSE)"),
+    ("MENTAL_TRY_JOURNALING", "NOT COALESCE(journal_30d = 1, FALSE)"),
+    ("MENTAL_WORK_ON_ACTION_PLAN", "NOT COALESCE(plan_progress_30d = 1, FALSE)"),
+    ("EXERCISE_CONTINUE_PROGRAM", "COALESCE(has_active_exercise_program = 1, FALSE) AND NOT COALESCE(program_7d = 1, FALSE)"),
+    ("EXERCISE_START_PROGRAM", "NOT COALESCE(has_active_exercise_program = 1, FALSE)"),
+    ("EXERCISE_COMPLETE_VIDEO", "COALESCE(has_exercise_video_activity = 1, FALSE) AND NOT COALESCE(video_completed_7d = 1, FALSE)"),
+]
+
+
+def _codes(rules):
+    parts = ", ".join(f"CASE WHEN COALESCE({cond}, FALSE) THEN '{code}' END" for code, cond in rules)
+    return f"list_filter([{parts}], lambda x: x IS NOT NULL)"
+
+
+register("eligibility_positive", f"""
+SELECT id, day, array_to_string(codes, ',') AS codes, CAST(len(codes) AS INTEGER) AS n_codes
+FROM (SELECT id, day, {_codes(_POS_CODES)} AS codes FROM wide)""", ["wide"])
+register("eligibility_opportunity", f"""
+SELECT id, day, array_to_string(codes, ',') AS codes, CAST(len(codes) AS INTEGER) AS n_codes
+FROM (SELECT id, day, {_codes(_OPP_CODES)} AS codes FROM wide)""", ["wide"])
+
+# ---------------------------------------------------------------------------
+# G: scoring
+# ---------------------------------------------------------------------------
+_CATS = ["weight", "glucose", "activity", "steps", "food_logging", "nutrient_targets", "sleep_duration",
+         "sleep_rating", "medications", "mental_wellbeing"]
+
+
+def _focus_allows(cat, fmap):
+    names = [f for f, cats in fmap.items() if cat in cats]
+    if not names:
+        return "(NOT has_focus)"
+    lst = ", ".join(f"'{n}'" for n in names)
+    return f"(NOT has_focus OR COALESCE(list_has_any(focus_list, [{lst}]), FALSE))"
+
+
+def _ladder(col, steps):
+    return "CASE " + " ".join(f"WHEN {col} >= {b} THEN {p}" for b, p in steps) + " ELSE 0 END"
+
+
+_a7, _b7, _c7 = K.GLUCOSE_POINTS["a1c_target_7"]
+_a8, _b8, _c8 = K.GLUCOSE_POINTS["a1c_target_8"]
+_PTS = {
+    "weight": """CASE WHEN has_weight_goal AND weight_goal_type = 'lose' THEN
+        (CASE WHEN weight_change_lbs_14d <= -1.0 THEN 5 WHEN weight_change_lbs_14d BETWEEN -1.0 AND 1.0 THEN 3 ELSE 0 END)
+      WHEN has_weight_goal AND weight_goal_type = 'maintain' THEN
+        (CASE WHEN abs(weight_change_pct_14d) <= 3.0 THEN 5 ELSE 0 END)
+      ELSE (CASE WHEN weight_logged_7d THEN 5 WHEN weight_logged_14d THEN 3 WHEN weight_logged_30d THEN 1 ELSE 0 END) END""",
+    "glucose": f"""CASE WHEN a1c_group IN ('dm_target_8', 'a1c_target_8') THEN
+        (CASE WHEN tir_pct >= {_a8} THEN 5 WHEN tir_pct >= {_b8} THEN 3 WHEN tir_pct <= {_c8} THEN 1 ELSE 0 END)
+      ELSE (CASE WHEN tir_pct >= {_a7} THEN 5 WHEN tir_pct >= {_b7} THEN 3 WHEN tir_pct <= {_c7} THEN 1 ELSE 0 END) END""",
+    "activity": _ladder("weekly_active_minutes", K.ACTIVITY_POINTS),
+    "steps": _ladder("steps", K.STEPS_POINTS),
+    "food_logging": _ladder("meals", K.MEALS_POINTS),
+    "nutrient_targets": """CASE WHEN NOT COALESCE(total_nutrient_targets > 0, FALSE) THEN 0
+      WHEN n_90_110 = total_nutrient_targets THEN 5 WHEN n_60_plus = total_nutrient_targets THEN 3
+      WHEN n_30_plus = total_nutrient_targets THEN 1 ELSE 0 END""",
+    "sleep_duration": _ladder("sleep_hours", K.SLEEP_HOURS_POINTS),
+    "sleep_rating": _ladder("sleep_rating", K.SLEEP_RATING_POINTS),
+    "medications": _ladder("med_adherence_7d_avg", K.MED_ADHERENCE_POINTS),
+    "mental_wellbeing": """least((CASE WHEN plan_active THEN 3 ELSE 0 END) + (CASE WHEN journal_7d THEN 1 ELSE 0 END)
+      + (CASE WHEN meditation_7d THEN 1 ELSE 0 END), 5)""",
+}
+_DEV = {"glucose": "has_cgm", "steps": "has_step_tracker", "medications": "has_medications",
+        "nutrient_targets": "has_nutrient_goals"}
+cte("cpts", "SELECT id, day,\n" + ",\n".join(
+    f"  CASE WHEN {_focus_allows(cat, K.SCORING_FOCUS_MAP)} AND {_DEV.get(cat, 'TRUE')} THEN {_PTS[cat]} END AS {cat}_pts"
+    for cat in _CATS) + """,
+  (CASE WHEN video_completed_today THEN 3 ELSE 0 END) + (CASE WHEN program_started_today THEN 1 ELSE 0 END)
+    + (CASE WHEN grocery_today THEN 1 ELSE 0 END) AS bonus_pts
+FROM ctx""", ["ctx"])
+
+
+def _tier_sql(col, idx):
+    return "CASE " + " ".join(f"WHEN {col} >= {t[2]} THEN '{t[idx]}'" for t in K.TIERS) + f" ELSE '{K.TIERS[-1][idx]}' END"
+
+
+cte("rating", f"""
+SELECT id, day, score, max_score, bonus_pts, percentage,
+  {_tier_sql('percentage', 0)} AS rating, {_tier_sql('percentage', 1).replace("'You", "'You")} AS rating_description
+FROM (SELECT *, CASE WHEN max_score > 0 THEN CAST(score AS DOUBLE) * 100.0 / max_score ELSE 0.0 END AS percentage
+      FROM (SELECT id, day, bonus_pts,
+              {" + ".join(f"COALESCE({c}_pts, 0)" for c in _CATS)} + bonus_pts AS score,
+              {" + ".join(f"(CASE WHEN {c}_pts IS NOT NULL THEN 5 ELSE 0 END)" for c in _CATS)} AS max_score
+            FROM cpts))""", ["cpts"])
+
+register("category_points", "SELECT * FROM cpts", ["cpts"])
+register("daily_rating", "SELECT * FROM rating", ["rating"], ["percentage"])
+register("tier_distribution", "SELECT day, count(*) AS n_rows, count(DISTINCT id) AS n_ids, " + ", ".join(
+    f"count(*) FILTER (WHERE rating = '{t[0]}') AS n_{t[0].lower()}" for t in K.TIERS) + " FROM rating GROUP BY day",
+    ["rating"])
+
+# ---------------------------------------------------------------------------
+# History state
+# ---------------------------------------------------------------------------
+_FT = "[" + ", ".join(f"'{k}'" for k, _ in K.FOOD_TIPS) + "]"
+_ST = "[" + ", ".join(f"'{k}'" for k, _ in K.SLEEP_TIPS) + "]"
+cte("hist", f"""
+SELECT id, category, message_date, list_sort(list(DISTINCT key)) AS positive_actions_used, max(opp) AS opportunity_used
+FROM (SELECT id,
+        CASE event_type WHEN 'view' THEN 'glucose' WHEN 'click' THEN 'activity' WHEN 'purchase' THEN 'steps'
+                        WHEN 'signup' THEN 'weight' WHEN 'error' THEN 'sleep' END AS category,
+        day + 1 AS message_date,
+        CASE WHEN event_type = 'signup' THEN (CASE WHEN k % 2 = 0 THEN 'weight_decreased' ELSE 'weight_logged' END)
+             ELSE (CASE event_type WHEN 'view' THEN 'glucose_tir_met' WHEN 'click' THEN 'activity_logged'
+                   WHEN 'purchase' THEN 'steps_target_met' WHEN 'error' THEN 'sleep_hours_met' END) END AS key,
+        CASE WHEN event_type = 'error' THEN {_ST}[k % {len(K.SLEEP_TIPS)} + 1]
+             WHEN event_type = 'purchase' THEN {_FT}[k % {len(K.FOOD_TIPS)} + 1] END AS opp
+      FROM evd)
+GROUP BY id, category, message_date""", ["evd"])
+
+cte("hdays", """
+SELECT DISTINCT id, message_date + CAST(o AS INTEGER) AS day FROM hist, range(1, 8) r(o)""", ["hist"])
+
+cte("hstate", """
+SELECT d.id, d.day,
+  COALESCE(list_sort(list(DISTINCT h.category) FILTER (WHERE h.message_date >= d.day - 6)), CAST([] AS VARCHAR[])) AS categories_6d,
+  COALESCE(list_sort(list(DISTINCT h.opportunity_used) FILTER (WHERE h.message_date >= d.day - 6
+                                                              AND h.opportunity_used IS NOT NULL)), CAST([] AS VARCHAR[])) AS keys_6d,
+  count(*) FILTER (WHERE h.category = 'weight'
+                   AND list_has_any(h.positive_actions_used, ['weight_decreased', 'weight_maintained'])) AS weight_msgs_7d,
+  bool_or(h.message_date = d.day - 1 AND h.category = 'weight'
+          AND list_has_any(h.positive_actions_used, ['weight_decreased', 'weight_maintained'])) AS weight_shown_yesterday
+FROM hdays d JOIN hist h ON h.id = d.id AND h.message_date BETWEEN d.day - 7 AND d.day - 1
+GROUP BY d.id, d.day""", ["hdays", "hist"])
+
+cte("hstreak", """
+SELECT id, day, category, CAST(list_min(list_filter(range(1, 9), lambda o: NOT list_contains(offs, o))) - 1 AS INTEGER) AS streak
+FROM (SELECT d.id, d.day, h.category, list(DISTINCT CAST(d.day - h.message_date AS BIGINT)) AS offs
+      FROM hdays d JOIN hist h ON h.id = d.id AND h.message_date BETWEEN d.day - 7 AND d.day - 1
+      GROUP BY d.id, d.day, h.category)""", ["hdays", "hist"])
+
+register("history_state", """
+SELECT id, day, array_to_string(categories_6d, ',') AS categories_6d, array_to_string(keys_6d, ',') AS keys_6d,
+  weight_msgs_7d, weight_shown_yesterday FROM hstate""", ["hstate"])
+register("streaks", "SELECT * FROM hstreak WHERE streak > 0", ["hstreak"])

@@ -191,7 +191,9 @@ def orders_dims(spark: SparkSession, base: str) -> DataFrame:
     video lifetime summary (AG9), program summary (AG10)."""
     o = roles.orders_state(spark, base)
     st = F.col("o_orderstatus")
-    journey = F.when(st == "O", 1).when(st == "F", 2).when(st == "P", 3)
+    # journey rows: orders with key % 7 = 0 (see roles)
+    journey = F.when(F.col("o_orderkey") % 7 == 0,
+                     F.when(st == "O", 1).when(st == "F", 2).when(st == "P", 3))
     done = F.when(st == "F", 2).otherwise(1)
     latest = F.max_by(F.col("o_orderkey") % 3 + 1, F.struct("o_orderdate", "o_orderkey"))
     agg = o.groupBy("id").agg(

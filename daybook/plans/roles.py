@@ -31,7 +31,8 @@ customer (per id = c_custkey):
   goals         fat = 15 + abs(acctbal) % 30, calories = 300 + abs(acctbal) % 500
 orders (per id = o_custkey):
   a1c target    latest order by date, then key: a1ctarget = o_orderkey % 3 + 1
-  journey       status O -> 1 (active), F -> 2 (completed), P -> 3 (incomplete)
+  journey       orders with o_orderkey % 7 = 0: status O -> 1 (active), F -> 2 (completed),
+                P -> 3 (incomplete)
   video/program status F -> 2 (completed), else 1 (active); program started on o_orderdate
 part / lineitem / orders (medications):
   class         p_type; diabetes class when p_type contains 'BRASS'

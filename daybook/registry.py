@@ -273,3 +273,175 @@ def q_capped_adherence(spark, base):
 def q_class_star_semi(spark, base):
     """C5 C6 C7 AG13 AG15: prescriptions per id, glycemic class via star join, reminders."""
     return fe.medication_state(spark, base)["state"]
+
+
+# ---------------------------------------------------------------------------
+# assembly
+# ---------------------------------------------------------------------------
+from daybook.plans import assemble as asm  # noqa: E402
+from daybook.plans import candidates as cand  # noqa: E402
+from daybook.plans import history as hist  # noqa: E402
+from daybook.plans import render as rnd  # noqa: E402
+from daybook.plans import score as sc  # noqa: E402
+from daybook.plans import select as sel  # noqa: E402
+
+
+@query("daily_wide")
+def q_daily_wide(spark, base):
+    """Rule inputs per (id, day) from the assembled table."""
+    ctx = asm.context(spark, base)
+    return ctx.select(
+        "id", "day", "has_cgm", "has_step_tracker", "has_medications", "has_weight_goal", "weight_goal_type",
+        "has_active_journey", "has_exercise_program", F.array_join("focus_list", ",").alias("focus"),
+        "a1c_group", "tir_positive", "meals", "any_nutrient_met", "nutrient_name_met", "n_90_110",
+        "total_nutrient_targets", "within_maintenance", "takes_glycemic_lowering_med", "med_reminders_enabled")
+
+
+@query("threshold_lookup")
+def q_threshold_lookup(spark, base):
+    """Per id glucose group -> thresholds via a broadcast 5-row table."""
+    dims = fe.orders_dims(spark, base).select("id", "a1c_group")
+    out = asm.with_thresholds(spark, dims)
+    return out.select("id", F.coalesce("a1c_group", F.lit(K.DEFAULT_A1C_GROUP)).alias("a1c_group"),
+                      "tir_positive", "tir_opportunity", "high_max", "low_max", "range_low", "range_high")
+
+
+@query("null_profile")
+def q_null_profile(spark, base):
+    """Per column missing count over the daily feature table (columns with any)."""
+    f = fe.daily_features(spark, base)
+    cols = ["tir_pct", "active_minutes", "steps", "weight", "sleep_hours", "sleep_rating", "last_meal_type",
+            "weekly_active_minutes", "days_since_last_weight", "weight_14d_ago"]
+    counts = f.agg(*[F.count_if(F.col(x).isNull()).alias(x) for x in cols])
+    stacked = counts.select(F.explode(F.array(*[F.struct(F.lit(x).alias("column_name"),
+                                                         F.col(x).alias("missing")) for x in cols])).alias("s"))
+    return stacked.select("s.column_name", "s.missing").filter("missing > 0")
+
+
+@query("eligibility_positive")
+def q_eligibility_positive(spark, base):
+    """Positive eligibility codes per (id, day), array joined to text."""
+    w = asm.daily_wide(spark, base)
+    e = cand.eligibility_arrays(w)
+    return e.select("id", "day", F.array_join("eligible_positive", ",").alias("codes"),
+                    F.size("eligible_positive").alias("n_codes"))
+
+
+@query("eligibility_opportunity")
+def q_eligibility_opportunity(spark, base):
+    """H2: opportunity eligibility codes per (id, day)."""
+    w = asm.daily_wide(spark, base)
+    e = cand.eligibility_arrays(w)
+    return e.select("id", "day", F.array_join("eligible_opportunity", ",").alias("codes"),
+                    F.size("eligible_opportunity").alias("n_codes"))
+
+
+@query("category_points")
+def q_category_points(spark, base):
+    """Points per category (NULL = category not included) and bonus."""
+    return sc.category_points(asm.context(spark, base))
+
+
+@query("daily_rating")
+def q_daily_rating(spark, base):
+    """Score, maximum, percentage, tier per (id, day). Flagship."""
+    return sc.daily_rating(asm.context(spark, base))
+
+
+@query("tier_distribution")
+def q_tier_distribution(spark, base):
+    """AG17: rows, distinct ids and count per tier by day."""
+    return sc.tier_distribution(sc.daily_rating(asm.context(spark, base)))
+
+
+# ---------------------------------------------------------------------------
+# History state
+# ---------------------------------------------------------------------------
+
+@query("history_state")
+def q_history_state(spark, base):
+    """6-day categories and keys, weekly goal-weight count, shown yesterday."""
+    st = hist.history_state(hist.history_from_events(spark, base))
+    return st.select("id", "day", F.array_join("categories_6d", ",").alias("categories_6d"),
+                     F.array_join("keys_6d", ",").alias("keys_6d"), "weight_msgs_7d", "weight_shown_yesterday")
+
+
+@query("streaks")
+def q_streaks(spark, base):
+    """Consecutive days per category ending yesterday (cap 7)."""
+    return hist.category_streaks(hist.history_from_events(spark, base)).filter("streak > 0")
+
+
+# ---------------------------------------------------------------------------
+# Candidates, priorities, selection
+# ---------------------------------------------------------------------------
+
+@query("candidates_positive")
+def q_candidates_positive(spark, base):
+    """Eligible positive actions with rendered text (before focus filter)."""
+    ctx = sel.context_with_history(spark, base)
+    return cand.positive_candidates(ctx).select("id", "day", "key", "category", "base", "text")
+
+
+@query("candidates_opportunity")
+def q_candidates_opportunity(spark, base):
+    """H4 H5: eligible opportunities with base priority and text (tips picked unseen-first)."""
+    ctx = sel.context_with_history(spark, base)
+    return cand.opportunity_candidates(ctx).select("id", "day", "key", "category", "base", "text")
+
+
+@query("priority_ranked")
+def q_priority_ranked(spark, base):
+    """Focus-filtered actions with priority and selection tier."""
+    ctx = sel.context_with_history(spark, base)
+    return sel.ranked_actions(ctx).select("id", "day", "key", "category", "priority", "tier", "allowed")
+
+
+@query("top_actions")
+def q_top_actions(spark, base):
+    """Up to 2 actions per (id, day) with forced slots and category variety."""
+    ctx = sel.context_with_history(spark, base)
+    return sel.select_actions(sel.ranked_actions(ctx)).select(
+        "id", "day", "slot", "tier", "key", "category", "priority", "text")
+
+
+@query("top_opportunity")
+def q_top_opportunity(spark, base):
+    """Top opportunity per (id, day)."""
+    ctx = sel.context_with_history(spark, base)
+    return sel.select_opportunity(sel.ranked_opportunities(ctx)).select(
+        "id", "day", "key", "category", "priority", "text")
+
+
+@query("greeting_pick")
+def q_greeting_pick(spark, base):
+    """I4: greeting by hash rank per (id, day)."""
+    ctx = asm.context(spark, base)
+    return ctx.select("id", "day", sel.greeting_pick().alias("greeting"))
+
+
+# ---------------------------------------------------------------------------
+# I / J1: text and history rows
+# ---------------------------------------------------------------------------
+
+def _result(spark, base):
+    r = sel.daily_result(spark, base)
+    return r.withColumn("message_text", rnd.message_text(F.col("greeting"), F.col("action_texts"),
+                                                         F.col("opportunity_text")))
+
+
+@query("rendered_text")
+def q_rendered_text(spark, base):
+    """Message text, characters and words per (id, day)."""
+    r = _result(spark, base)
+    return r.select("id", "day", "rating", "message_text",
+                    rnd.char_count(F.col("message_text")).alias("character_count"),
+                    rnd.word_count(F.col("message_text")).alias("word_count"))
+
+
+@query("history_rows")
+def q_history_rows(spark, base):
+    """Result -> one history row per touched category."""
+    h = hist.result_to_history(_result(spark, base))
+    return h.select("id", "category", "message_date", F.array_join("positive_actions_used", ",").alias("keys"),
+                    "opportunity_used", "rating", "character_count", "word_count")
