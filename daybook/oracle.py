@@ -733,3 +733,241 @@ register("history_state", """
 SELECT id, day, array_to_string(categories_6d, ',') AS categories_6d, array_to_string(keys_6d, ',') AS keys_6d,
   weight_msgs_7d, weight_shown_yesterday FROM hstate""", ["hstate"])
 register("streaks", "SELECT * FROM hstreak WHERE streak > 0", ["hstreak"])
+
+
+# ---------------------------------------------------------------------------
+# Candidates, priorities, selection, text, history rows
+# ---------------------------------------------------------------------------
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _tplq(key):
+    return _q(K.POSITIVE_TEMPLATES[key][1])
+
+
+cte("ctxh", """
+SELECT c.*, COALESCE(h.categories_6d, CAST([] AS VARCHAR[])) AS categories_6d,
+  COALESCE(h.keys_6d, CAST([] AS VARCHAR[])) AS keys_6d, COALESCE(h.weight_msgs_7d, 0) AS weight_msgs_7d,
+  COALESCE(h.weight_shown_yesterday, FALSE) AS weight_shown_yesterday
+FROM ctx c LEFT JOIN hstate h ON c.id = h.id AND c.day = h.day""", ["ctx", "hstate"])
+
+_TIR_R = "CAST(CAST(round_even(tir_pct, 0) AS INTEGER) AS VARCHAR)"
+_STEPS_F = "format('{:,}', CAST(steps AS BIGINT))"
+_MIN = "CAST(CAST(trunc(active_minutes) AS INTEGER) AS VARCHAR)"
+_POS_RULES = [
+    ("has_cgm AND tir_pct >= tir_positive", "glucose_tir_met", "glucose", 1,
+     f"replace({_tplq('glucose_tir_met')}, '{{tir_pct}}', {_TIR_R})"),
+    ("has_cgm AND tir_prev IS NOT NULL AND tir_pct > tir_prev", "glucose_tir_improved", "glucose", 2,
+     f"replace(replace({_tplq('glucose_tir_improved')}, '{{tir_pct}}', {_TIR_R}), '{{prev_tir}}', "
+     "CAST(CAST(round_even(tir_prev, 0) AS INTEGER) AS VARCHAR))"),
+    ("has_step_tracker AND steps >= 10000", "steps_target_met", "steps", 3,
+     f"replace({_tplq('steps_target_met')}, '{{step_count}}', {_STEPS_F})"),
+    ("has_step_tracker AND NOT COALESCE(steps >= 10000, FALSE) AND steps_prev IS NOT NULL AND steps > steps_prev",
+     "steps_improved", "steps", 4,
+     f"replace(replace({_tplq('steps_improved')}, '{{step_count}}', {_STEPS_F}), '{{prev_day_name}}', dayname(day - 1))"),
+    ("active_minutes > 0", "activity_logged", "activity", 5,
+     f"replace({_tplq('activity_logged')}, '{{active_minutes}}', {_MIN})"),
+    ("active_minutes > 0 AND active_prev IS NOT NULL AND active_minutes >= active_prev - 3", "activity_maintained",
+     "activity", 6, f"replace({_tplq('activity_maintained')}, '{{active_minutes}}', {_MIN})"),
+    ("video_completion_pct >= 90", "activity_video_completed", "activity", K.DEFAULT_TEMPLATE_PRIORITY, "''"),
+    ("sleep_hours >= 7", "sleep_hours_met", "sleep", 7,
+     f"replace({_tplq('sleep_hours_met')}, '{{sleep_hours}}', CAST(round_even(sleep_hours, 1) AS VARCHAR))"),
+    ("NOT COALESCE(sleep_hours >= 7, FALSE) AND sleep_prev IS NOT NULL AND sleep_hours > sleep_prev",
+     "sleep_improved", "sleep", 9, _tplq("sleep_improved")),
+    ("sleep_rating >= 7", "sleep_rating_met", "sleep", 8,
+     f"replace({_tplq('sleep_rating_met')}, '{{sleep_rating}}', CAST(CAST(trunc(sleep_rating) AS INTEGER) AS VARCHAR))"),
+    ("has_medications AND took_all_meds", "medication_adherence", "medications", 10, _tplq("medication_adherence")),
+    ("meals >= 1", "meal_logged", "food", 11,
+     f"replace({_tplq('meal_logged')}, '{{meal_type}}', COALESCE(last_meal_type, 'meal'))"),
+    ("any_nutrient_met", "nutrient_target_met", "food", 12,
+     f"replace({_tplq('nutrient_target_met')}, '{{nutrient_name}}', COALESCE(nutrient_name_met, 'nutrient'))"),
+    ("weight_logged_today", "weight_logged", "weight", 13, _tplq("weight_logged")),
+    ("has_weight_goal AND weight_msgs_7d < 2 AND NOT weight_shown_yesterday AND weight_goal_type = 'lose' "
+     "AND weight_pct_change < 0", "weight_decreased", "weight", 14, _tplq("weight_decreased")),
+    ("has_weight_goal AND weight_msgs_7d < 2 AND NOT weight_shown_yesterday AND weight_goal_type = 'maintain' "
+     "AND within_maintenance", "weight_maintained", "weight", 15, _tplq("weight_maintained")),
+    ("has_active_journey AND journey_task_completed", "journey_task_completed", "journey", 0,
+     _tplq("journey_task_completed")),
+    ("meditation_30d", "meditation_opened", "mental_wellbeing", 16, _tplq("meditation_opened")),
+    ("journal_30d", "journal_entry", "mental_wellbeing", 17, _tplq("journal_entry")),
+    ("plan_progress_30d", "action_plan_progress", "mental_wellbeing", 18, _tplq("action_plan_progress")),
+    ("program_started_today", "exercise_program_started", "activity", 6, _tplq("exercise_program_started")),
+]
+cte("pos_rules", "\nUNION ALL\n".join(
+    f"SELECT *, '{key}' AS key, '{cat}' AS category, {base} AS base, {text} AS text FROM ctxh "
+    f"WHERE COALESCE({cond}, FALSE)" for cond, key, cat, base, text in _POS_RULES), ["ctxh"])
+cte("pos", f"""
+SELECT * FROM pos_rules
+UNION ALL
+SELECT c.*, 'app_login' AS key, 'explore' AS category, 99 AS base, {_tplq('app_login')} AS text
+FROM ctxh c ANTI JOIN (SELECT DISTINCT id, day FROM pos_rules) p ON c.id = p.id AND c.day = p.day""", ["pos_rules"])
+
+
+def _tip_cte(name, tips):
+    vals = _values(list(tips), ["tkey", "ttext"])
+    return f"""
+SELECT id, day, tkey AS tip_key, ttext AS tip_text FROM (
+  SELECT c.id, c.day, t.tkey, t.ttext,
+         row_number() OVER (PARTITION BY c.id, c.day
+                            ORDER BY CASE WHEN list_contains(c.keys_6d, t.tkey) THEN 1 ELSE 0 END,
+                                     md5(CAST(c.id AS VARCHAR) || '|' || CAST(c.day AS VARCHAR) || '|' || t.tkey)) AS rn
+  FROM ctxh c CROSS JOIN ({vals}) t)
+WHERE rn = 1"""
+
+
+cte("food_tip", _tip_cte("food_tip", K.FOOD_TIPS), ["ctxh"])
+cte("sleep_tip", _tip_cte("sleep_tip", K.SLEEP_TIPS), ["ctxh"])
+
+_OT = K.OPPORTUNITY_TEMPLATES
+_TIR_LOW = "has_cgm AND COALESCE(tir_pct < tir_opportunity, FALSE)"
+_B1 = "COALESCE(days_with_meals_7d < 1, FALSE)"
+_B2 = "(takes_glycemic_lowering_med AND NOT glycemic_med_adherent AND NOT COALESCE(low_pct > low_max, FALSE))"
+_B3 = "(takes_glycemic_lowering_med AND glycemic_med_adherent AND COALESCE(meals >= 2, FALSE))"
+_HIGH = "has_cgm AND COALESCE(high_pct > high_max, FALSE)"
+_ACT = "(has_step_tracker OR has_exercise_program) AND COALESCE(weekly_active_minutes < 150, FALSE)"
+_M1 = "COALESCE(meals >= 1, FALSE)"
+_D0 = "COALESCE(days_with_meals_7d = 0, FALSE)"
+_GOOD = "(sleep_hours IS NOT NULL AND COALESCE(sleep_avg_7d >= 7, FALSE))"
+_RAT = "COALESCE(sleep_rating_avg_7d >= 7, FALSE)"
+_ANX = "COALESCE(list_contains(focus_list, 'Anxiety'), FALSE)"
+_OPP_RULES = [
+    ("(has_weight_goal OR COALESCE(list_contains(focus_list, 'Weight'), FALSE)) AND days_since_last_weight > 6",
+     "'weight_log_prompt'", "weight", "CASE WHEN has_weight_goal THEN 80 ELSE 70 END", _q(_OT["weight_log_prompt"])),
+    (f"{_TIR_LOW} AND {_B1}", "'glucose_log_food'", "glucose", "88", _q(_OT["glucose_log_food"])),
+    (f"{_TIR_LOW} AND NOT {_B1} AND {_B2}", "'glucose_take_medication'", "glucose", "96",
+     _q(_OT["glucose_take_medication"])),
+    (f"{_TIR_LOW} AND NOT {_B1} AND NOT {_B2} AND {_B3}", "'glucose_contact_provider_prescribed'", "glucose", "85",
+     _q(_OT["glucose_contact_provider_prescribed"])),
+    (f"{_TIR_LOW} AND NOT {_B1} AND NOT {_B2} AND NOT {_B3}", "'glucose_pay_attention'", "glucose", "82",
+     _q(_OT["glucose_pay_attention"])),
+    (_HIGH, "'glucose_high_protein_fiber'", "glucose", "85", _q(_OT["glucose_high_protein_fiber"])),
+    (_HIGH, "'glucose_post_meal_walk'", "glucose", "80", _q(_OT["glucose_post_meal_walk"])),
+    (f"{_HIGH} AND NOT has_nutrient_goals", "'glucose_set_carb_goal'", "glucose", "75", _q(_OT["glucose_set_carb_goal"])),
+    ("has_cgm AND low_pct > low_max", "'glucose_contact_provider'", "glucose", "95", _q(_OT["glucose_contact_provider"])),
+    (_ACT, "'activity_be_active'", "activity", "70", _q(_OT["activity_be_active"])),
+    (f"{_ACT} AND has_exercise_program", "'activity_exercise_program'", "activity", "75",
+     _q(_OT["activity_exercise_program"])),
+    ("has_step_tracker AND steps < 6000", "'steps_increase'", "steps", "65", _q(_OT["steps_increase"])),
+    (f"{_M1} AND has_nutrient_goals AND NOT any_nutrient_met", "'food_nutrient_attention'", "food", "55",
+     _q(_OT["food_nutrient_attention"])),
+    (f"{_M1} AND NOT (has_nutrient_goals AND NOT any_nutrient_met)", "'food_continue_logging'", "food", "50",
+     _q(_OT["food_continue_logging"])),
+    (f"NOT {_M1} AND {_D0}", "'food_start_logging'", "food", "60", _q(_OT["food_start_logging"])),
+    (f"NOT {_M1} AND NOT {_D0}", "ft.tip_key", "food", "45", "ft.tip_text"),
+    (f"{_GOOD} AND {_RAT}", "'sleep_continue'", "sleep", "40", _q(_OT["sleep_continue"])),
+    (f"({_GOOD} AND NOT {_RAT}) OR (NOT {_GOOD} AND sleep_hours IS NOT NULL AND sleep_avg_7d IS NOT NULL)",
+     "st.tip_key", "sleep", f"CASE WHEN {_GOOD} THEN 65 ELSE 70 END", "st.tip_text"),
+    ("sleep_hours IS NULL", "'sleep_log_prompt'", "sleep", "60", _q(_OT["sleep_log_prompt"])),
+    ("has_medications AND COALESCE(med_adherence_7d_avg < 50, FALSE) AND NOT med_reminders_enabled AND NOT took_all_meds",
+     "'medication_reminders'", "medications",
+     "CASE WHEN COALESCE(list_contains(focus_list, 'Medications'), FALSE) THEN 97 ELSE 80 END",
+     _q(_OT["medication_reminders"])),
+    ("NOT meditation_30d", "'mental_try_meditation'", "mental_wellbeing", f"CASE WHEN {_ANX} THEN 78 ELSE 45 END",
+     _q(_OT["mental_try_meditation"])),
+    ("NOT journal_30d", "'mental_journaling'", "mental_wellbeing", f"CASE WHEN {_ANX} THEN 72 ELSE 40 END",
+     _q(_OT["mental_journaling"])),
+    ("NOT plan_progress_30d", "'mental_action_plan'", "mental_wellbeing", f"CASE WHEN {_ANX} THEN 78 ELSE 45 END",
+     _q(_OT["mental_action_plan"])),
+    ("TRUE", "'explore_browse'", "explore", "10", _q(_OT["explore_browse"])),
+]
+cte("opp", "\nUNION ALL\n".join(
+    f"SELECT c.*, {key} AS key, '{cat}' AS category, CAST({base} AS INTEGER) AS base, {text} AS text "
+    f"FROM ctxh c JOIN food_tip ft ON c.id = ft.id AND c.day = ft.day "
+    f"JOIN sleep_tip st ON c.id = st.id AND c.day = st.day WHERE COALESCE({cond}, FALSE)"
+    for cond, key, cat, base, text in _OPP_RULES), ["ctxh", "food_tip", "sleep_tip"])
+
+register("candidates_positive", "SELECT id, day, key, category, base, text FROM pos", ["pos"])
+register("candidates_opportunity", "SELECT id, day, key, category, base, text FROM opp", ["opp"])
+
+_ACT_CATS = ["weight", "glucose", "food", "activity", "steps", "sleep", "medications", "mental_wellbeing",
+             "journey", "explore"]
+_ALLOWED = "(NOT has_focus OR CASE category " + " ".join(
+    f"WHEN '{cat}' THEN " + (_focus_allows(cat, K.FOCUS_CATEGORY_MAP).replace("(NOT has_focus OR ", "(")
+                             if any(cat in v for v in K.FOCUS_CATEGORY_MAP.values()) else "FALSE")
+    for cat in _ACT_CATS) + " ELSE FALSE END)"
+_BOOST = f"""(CASE WHEN NOT list_contains(categories_6d, category) THEN 200 ELSE 0 END)
+  + (CASE WHEN COALESCE(s.streak, 0) >= 3 THEN -30 ELSE 0 END)
+  + (CASE WHEN has_focus AND {_ALLOWED} THEN 60 ELSE 0 END)"""
+_JIT = "md5(CAST(p.id AS VARCHAR) || '|' || CAST(p.day AS VARCHAR) || '|' || key)"
+
+cte("pos_prio", f"""
+SELECT p.*, {_ALLOWED} AS allowed, {_JIT} AS jitter,
+  (100 - base) + (CASE WHEN key = 'journey_task_completed' AND has_active_journey THEN 100 ELSE 0 END)
+  + (CASE WHEN starts_with(key, 'glucose_') AND has_cgm AND COALESCE(tir_pct >= tir_positive, FALSE) THEN 90 ELSE 0 END)
+  + (CASE WHEN has_weight_goal AND category IN ('weight', 'food', 'activity', 'steps', 'sleep') THEN 80 ELSE 0 END)
+  + {_BOOST} AS priority,
+  key = 'journey_task_completed' AND has_active_journey AND journey_task_completed AS forced_journey
+FROM pos p LEFT JOIN (SELECT id AS s_id, day AS s_day, category AS s_cat, streak FROM hstreak) s
+  ON p.id = s.s_id AND p.day = s.s_day AND p.category = s.s_cat""", ["pos", "hstreak"])
+
+cte("ranked", """
+SELECT id, day, key, category, priority, tier, allowed, jitter, text FROM (
+  SELECT *, max(CASE WHEN tier = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY id, day) AS forced_g FROM (
+    SELECT *, CASE WHEN has_cgm AND (COALESCE(tir_pct >= tir_positive, FALSE)
+                                     OR (tir_prev IS NOT NULL AND COALESCE(tir_pct > tir_prev, FALSE)))
+                        AND category = 'glucose' AND grank = 1 THEN 1 ELSE 2 END AS tier
+    FROM (SELECT *, row_number() OVER (PARTITION BY id, day, category ORDER BY priority DESC, jitter) AS grank
+          FROM (SELECT *, bool_or(allowed) OVER (PARTITION BY id, day) AS any_allowed
+                FROM pos_prio WHERE NOT forced_journey)
+          WHERE allowed OR NOT any_allowed)))
+WHERE NOT (category = 'glucose' AND tier = 2 AND forced_g = 1)
+UNION ALL
+SELECT id, day, key, category, priority, 0 AS tier, allowed, jitter, text FROM pos_prio WHERE forced_journey""",
+    ["pos_prio"])
+
+cte("top_acts", """
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY id, day ORDER BY tier,
+                 CASE WHEN tier = 2 AND cat_rank > 1 THEN 1 ELSE 0 END, priority DESC, jitter) AS INTEGER) AS slot
+  FROM (SELECT *, row_number() OVER (PARTITION BY id, day, category ORDER BY tier, priority DESC, jitter) AS cat_rank
+        FROM ranked))
+WHERE slot <= 2 OR tier < 2""", ["ranked"])
+
+cte("top_opp", f"""
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, day ORDER BY priority DESC, jitter) AS rn FROM (
+    SELECT p.*, {_JIT} AS jitter, base + {_BOOST} AS priority FROM (
+      SELECT *, bool_or(allowed) OVER (PARTITION BY id, day) AS any_allowed FROM (
+        SELECT *, {_ALLOWED} OR key IN ({", ".join(_q(k) for k in K.CLINICAL_SAFETY_OPPORTUNITIES)}) AS allowed FROM opp))
+      p LEFT JOIN (SELECT id AS s_id, day AS s_day, category AS s_cat, streak FROM hstreak) s
+  ON p.id = s.s_id AND p.day = s.s_day AND p.category = s.s_cat
+    WHERE allowed OR NOT any_allowed))
+WHERE rn = 1""", ["opp", "hstreak"])
+
+_GREET = _values([(g,) for g in K.GREETINGS], ["g"])
+cte("greet", f"""
+SELECT id, day, g AS greeting FROM (
+  SELECT c.id, c.day, t.g, row_number() OVER (PARTITION BY c.id, c.day
+         ORDER BY md5(CAST(c.id AS VARCHAR) || '|' || CAST(c.day AS VARCHAR) || '|' || t.g)) AS rn
+  FROM ctx c CROSS JOIN ({_GREET}) t)
+WHERE rn = 1""", ["ctx"])
+
+cte("result", """
+SELECT g.id, g.day, g.greeting, r.rating, a.action_texts, o.key AS opportunity_key,
+  o.category AS opportunity_category, o.text AS opportunity_text,
+  concat_ws(' ', g.greeting, array_to_string(a.action_texts, '. '), o.text) AS message_text
+FROM greet g JOIN rating r ON g.id = r.id AND g.day = r.day
+LEFT JOIN (SELECT id, day, list(text ORDER BY slot) AS action_texts FROM top_acts GROUP BY id, day) a
+  ON g.id = a.id AND g.day = a.day
+LEFT JOIN top_opp o ON g.id = o.id AND g.day = o.day""", ["greet", "rating", "top_acts", "top_opp"])
+
+_WC = "CASE WHEN trim(regexp_replace({t}, '\\s+', ' ', 'g')) = '' THEN 0 ELSE CAST(len(string_split(trim(regexp_replace({t}, '\\s+', ' ', 'g')), ' ')) AS INTEGER) END"
+
+register("priority_ranked", "SELECT id, day, key, category, priority, tier, allowed FROM ranked", ["ranked"])
+register("top_actions", "SELECT id, day, slot, tier, key, category, priority, text FROM top_acts", ["top_acts"])
+register("top_opportunity", "SELECT id, day, key, category, priority, text FROM top_opp", ["top_opp"])
+register("greeting_pick", "SELECT * FROM greet", ["greet"])
+register("rendered_text", f"""
+SELECT id, day, rating, message_text, CAST(length(message_text) AS INTEGER) AS character_count,
+  {_WC.format(t='message_text')} AS word_count
+FROM result""", ["result"])
+register("history_rows", f"""
+SELECT id, category, message_date, COALESCE(array_to_string(list_sort(list(key) FILTER (WHERE is_action)), ','), '') AS keys,
+  max(key) FILTER (WHERE NOT is_action) AS opportunity_used, max(rating) AS rating,
+  CAST(length(max(message_text)) AS INTEGER) AS character_count, {_WC.format(t='max(message_text)')} AS word_count
+FROM (SELECT t.id, t.day AS message_date, t.key, t.category, TRUE AS is_action, r.rating, r.message_text
+      FROM top_acts t JOIN result r ON t.id = r.id AND t.day = r.day
+      UNION ALL
+      SELECT id, day, opportunity_key, opportunity_category, FALSE, rating, message_text FROM result)
+GROUP BY id, category, message_date""", ["top_acts", "result"])
