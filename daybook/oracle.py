@@ -971,3 +971,133 @@ FROM (SELECT t.id, t.day AS message_date, t.key, t.category, TRUE AS is_action,
       UNION ALL
       SELECT id, day, opportunity_key, opportunity_category, FALSE, rating, message_text FROM result)
 GROUP BY id, category, message_date""", ["top_acts", "result"])
+
+
+# ---------------------------------------------------------------------------
+# evaluation
+# ---------------------------------------------------------------------------
+_WE = "[^\\p{L}\\p{N}_]"
+cte("verd", """
+SELECT doc_id, source, lang, n_chars, criterion, CASE criterion WHEN 'quality' THEN 'content' WHEN 'safety' THEN 'tone' END AS category,
+  verdict, verdict = 'yes' AS passed
+FROM (SELECT *, CASE WHEN starts_with(reply, 'ERROR') THEN 'error'
+                     WHEN fj IN ('yes', 'no') THEN fj
+                     WHEN fb <> '' THEN fb ELSE 'no' END AS verdict
+      FROM (SELECT *, lower(CASE WHEN json_valid(st) THEN json_extract_string(st, '$.verdict') END) AS fj,
+                   lower(regexp_extract(reply, '(?i)verdict[^\\n]*?(yes|no)([^\\p{L}\\p{N}_]|$)', 1)) AS fb
+            FROM (SELECT *, trim(regexp_replace(reply, '```(json)?', '', 'g')) AS st
+                  FROM (SELECT l.doc_id, d.source, d.lang, d.n_chars, r.criterion,
+                          CASE l.doc_id % 4
+                            WHEN 0 THEN '```json' || chr(10) || '{"verdict": "' || r.truth || '", "reason": "checked"}' || chr(10) || '```'
+                            WHEN 1 THEN '{"verdict": "' || r.truth || '", "reason": "checked"}'
+                            WHEN 2 THEN 'After review the verdict is ' || r.truth || '.'
+                            ELSE 'ERROR: request timed out' END AS reply
+                        FROM labels l JOIN documents d ON l.doc_id = d.doc_id,
+                        LATERAL (SELECT 'quality' AS criterion, CASE WHEN l.quality = 1 THEN 'yes' ELSE 'no' END AS truth
+                                 UNION ALL
+                                 SELECT 'safety', CASE WHEN l.toxic = 0 THEN 'yes' ELSE 'no' END) r))))""")
+
+register("reply_parse_json", "SELECT doc_id, criterion, category, verdict, passed FROM verd", ["verd"])
+register("reply_parse_tagged", """
+SELECT doc_id, regexp_extract(reply, '(?m)^ASSESSMENT:\\s*(\\w+)', 1) AS assessment,
+  regexp_extract(reply, '(?m)^RATIONALE:\\s*(.*)$', 1) AS rationale
+FROM (SELECT doc_id, 'Review of case ' || CAST(doc_id AS VARCHAR) || chr(10) || 'ASSESSMENT: '
+        || CASE WHEN quality = 1 THEN 'PASS' ELSE 'FAIL' END || chr(10) || 'RATIONALE: quality label '
+        || CAST(quality AS VARCHAR) AS reply FROM labels)""", [])
+register("pass_rates", f"""
+SELECT criterion, category, total, passed, pass_rate,
+  CASE WHEN pass_rate >= {K.PASS_BAND[0]} THEN 'pass' WHEN pass_rate < {K.PASS_BAND[1]} THEN 'fail' ELSE 'warn' END AS band,
+  pass_rate < {K.WEAK_CRITERION_RATE} AS weak, pass_rate >= {K.STRONG_CRITERION_RATE} AS strong
+FROM (SELECT criterion, category, count(*) AS total, count(*) FILTER (WHERE passed) AS passed,
+        CAST(count(*) FILTER (WHERE passed) AS DOUBLE) / count(*) AS pass_rate
+      FROM verd GROUP BY criterion, category)""", ["verd"], ["pass_rate"])
+register("category_rates", """
+SELECT category, avg(rate) AS category_rate, count(*) AS n_criteria
+FROM (SELECT category, criterion, avg(CAST(passed AS INTEGER)) AS rate FROM verd GROUP BY category, criterion)
+GROUP BY category""", ["verd"], ["category_rate"])
+for _n, _col in (("group_rates_route", "source"), ("group_rates_user", "lang")):
+    register(_n, f"""
+SELECT {_col}, count(*) AS total, count(*) FILTER (WHERE passed) AS passed, count(DISTINCT doc_id) AS cases,
+  CAST(count(*) FILTER (WHERE passed) AS DOUBLE) / count(*) AS pass_rate
+FROM verd GROUP BY {_col}""", ["verd"], ["pass_rate"])
+register("bot_summary", """
+SELECT lang, count(*) AS cases, count(*) FILTER (WHERE chart) AS with_chart,
+  count(*) FILTER (WHERE NOT chart) AS without_chart, CAST(sum(p) AS DOUBLE) / sum(n) AS micro_rate,
+  avg(CAST(p AS DOUBLE) / n) AS mean_case_rate
+FROM (SELECT lang, doc_id, count(*) AS n, count(*) FILTER (WHERE passed) AS p, bool_or(n_chars > 5000) AS chart
+      FROM verd GROUP BY lang, doc_id)
+GROUP BY lang""", ["verd"], ["micro_rate", "mean_case_rate"])
+register("failures", "SELECT criterion, doc_id, source, verdict FROM verd WHERE NOT passed AND verdict <> 'error'",
+         ["verd"])
+register("verdict_pivot", """
+SELECT doc_id, max(verdict) FILTER (WHERE criterion = 'quality') AS quality,
+  max(verdict) FILTER (WHERE criterion = 'safety') AS safety
+FROM verd GROUP BY doc_id""", ["verd"])
+register("label_frequency", "SELECT verdict, count(*) AS n FROM verd GROUP BY verdict", ["verd"])
+
+_CANON = list(K.FOCUS_ID_MAPPING.values())
+_CANON_L = "[" + ", ".join(_q(x) for x in _CANON) + "]"
+register("label_normalise", f"""
+SELECT doc_id, raw_label,
+  COALESCE(CASE WHEN list_contains({_CANON_L}, raw_label) THEN raw_label END,
+           list_filter({_CANON_L}, lambda x: starts_with(lower(left(x, 20)), lower(left(raw_label, 20)))
+                                    OR starts_with(lower(left(raw_label, 20)), lower(left(x, 20))))[1],
+           'Other') AS label
+FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN canon
+                              WHEN 1 THEN lower(canon) || ' focus area of the user'
+                              WHEN 2 THEN upper(left(canon, 4))
+                              ELSE 'unknown-' || source END AS raw_label
+      FROM (SELECT doc_id, source, {_CANON_L}[CAST(doc_id % {len(_CANON)} AS INTEGER) + 1] AS canon FROM documents))""", [])
+
+_PREFIX = [("the ", "en_article"), ("th", "en_th"), ("le ", "fr_article"), ("la ", "fr_article"),
+           ("el ", "es_article"), ("der ", "de_article"), ("die ", "de_article"), ("das ", "de_article")]
+register("prefix_classify", "SELECT class, count(*) AS n FROM (SELECT CASE " + " ".join(
+    f"WHEN starts_with(lower(ltrim(text)), {_q(p)}) THEN {_q(lab)}" for p, lab in _PREFIX)
+    + " ELSE 'other' END AS class FROM conversations) GROUP BY class", [])
+register("value_substitute", """
+SELECT lang_name, source_name, count(*) AS n, count(*) FILTER (WHERE lang_name <> lang) AS lang_replaced,
+  count(*) FILTER (WHERE source_name <> source) AS source_replaced
+FROM (SELECT lang, source,
+        CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' WHEN 'es' THEN 'Spanish'
+                  ELSE lang END AS lang_name,
+        CASE source WHEN 'src0' THEN 'primary' WHEN 'src1' THEN 'secondary' ELSE source END AS source_name
+      FROM documents)
+GROUP BY lang_name, source_name""", [])
+
+_W = "CASE WHEN trim(regexp_replace({t}, '\\s+', ' ', 'g')) = '' THEN 0 ELSE CAST(len(string_split(trim(regexp_replace({t}, '\\s+', ' ', 'g')), ' ')) AS INTEGER) END"
+_BANNED = "(^|" + _WE + ")(" + "|".join(K.BANNED_TERMS).replace("'", "''") + ")(" + _WE + "|$)"
+register("text_checks", f"""
+SELECT *, words_ok AND exclamations <= {K.MAX_EXCLAMATIONS} AND max_sentence_words <= {K.MAX_SENTENCE_WORDS}
+  AND NOT banned_term AND NOT healthcare_one_word AND NOT double_space AND NOT starts_now AND NOT markdown
+  AND NOT bullets AND NOT multi_paragraph AND NOT semicolon AND NOT ellipsis AND NOT dashes
+  AND COALESCE(fk_grade BETWEEN {K.FK_GRADE_RANGE[0]} AND {K.FK_GRADE_RANGE[1]}, FALSE) AS passed_all
+FROM (SELECT conv_id, turn, words, words BETWEEN {K.WORDS_RANGE[0]} AND {K.WORDS_RANGE[1]} AS words_ok,
+        CAST(len(regexp_extract_all(text, '!')) AS INTEGER) AS exclamations,
+        COALESCE(list_max(list_transform(
+          list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s: trim(regexp_replace(s, '\\s+', ' ', 'g')) <> ''),
+          lambda s: {_W.format(t='s')})), 0) AS max_sentence_words,
+        regexp_matches(lower(text), '{_BANNED}') AS banned_term,
+        contains(lower(text), 'healthcare') AS healthcare_one_word,
+        contains(text, '  ') AS double_space,
+        regexp_matches(text, '(^|[.!?]\\s+)Now({_WE}|$)') AS starts_now,
+        regexp_matches(text, '(?m)(\\*\\*|^#{{1,6}}\\s)') AS markdown,
+        regexp_matches(text, '(?m)^\\s*([-*]|[0-9]+\\.)\\s') AS bullets,
+        regexp_matches(text, '\\n\\s*\\n') AS multi_paragraph,
+        contains(text, ';') AS semicolon,
+        contains(text, '...') OR contains(text, '…') AS ellipsis,
+        contains(text, '—') OR contains(text, '–') OR contains(text, ' - ') AS dashes,
+        CASE WHEN words > 0 THEN 0.39 * (words / n_sent) + 11.8 * (syll / words) - 15.59 END AS fk_grade
+      FROM (SELECT conv_id, turn, text, {_W.format(t='text')} AS words,
+              greatest(len(regexp_extract_all(text, '[.!?]+')), 1) AS n_sent,
+              len(regexp_extract_all(lower(text), '[aeiouy]+')) AS syll
+            FROM conversations WHERE role = 'assistant'))""", [], ["fk_grade"])
+
+register("number_grounding", """
+SELECT conv_id, turn, CAST(len(m) AS INTEGER) AS n_numbers,
+  CAST(len(list_filter(m, lambda x: NOT list_contains(s, x))) AS INTEGER) AS n_missing,
+  len(list_filter(m, lambda x: NOT list_contains(s, x))) = 0 AS grounded
+FROM (SELECT a.conv_id, a.turn,
+        list_distinct(regexp_extract_all(replace(a.text, ',', ''), '[0-9]+(\\.[0-9]+)?')) AS m,
+        list_distinct(regexp_extract_all(replace(COALESCE(b.text, ''), ',', ''), '[0-9]+(\\.[0-9]+)?')) AS s
+      FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn + 1 = a.turn
+      WHERE a.role = 'assistant')""", [])

@@ -445,3 +445,114 @@ def q_history_rows(spark, base):
     h = hist.result_to_history(_result(spark, base))
     return h.select("id", "category", "message_date", F.array_join("positive_actions_used", ",").alias("keys"),
                     "opportunity_used", "rating", "character_count", "word_count")
+
+
+# ---------------------------------------------------------------------------
+# evaluation statistics, reply parsing, label handling, text checks
+# ---------------------------------------------------------------------------
+from daybook.plans import evalstats as ev  # noqa: E402
+
+
+@query("reply_parse_json")
+def q_reply_parse_json(spark, base):
+    """I8: judge replies -> verdict (fences stripped, JSON, regex fallback, default no)."""
+    return ev.verdicts(spark, base).select("doc_id", "criterion", "category", "verdict", "passed")
+
+
+@query("reply_parse_tagged")
+def q_reply_parse_tagged(spark, base):
+    """Tagged-line replies -> assessment and rationale."""
+    return ev.tagged_replies(spark, base)
+
+
+@query("pass_rates")
+def q_pass_rates(spark, base):
+    """AG18 AG22 F4: per-criterion totals, rate, band, weak / strong flags."""
+    return ev.pass_rates(ev.verdicts(spark, base))
+
+
+@query("category_rates")
+def q_category_rates(spark, base):
+    """AG18: category score as the mean of its criterion rates."""
+    return ev.category_rates(ev.verdicts(spark, base))
+
+
+@query("group_rates_route")
+def q_group_rates_route(spark, base):
+    """AG20: pass rate by route."""
+    return ev.group_rates(ev.verdicts(spark, base), "source")
+
+
+@query("group_rates_user")
+def q_group_rates_user(spark, base):
+    """AG20: pass rate by user."""
+    return ev.group_rates(ev.verdicts(spark, base), "lang")
+
+
+@query("bot_summary")
+def q_bot_summary(spark, base):
+    """AG21 D17: per-user totals, chart split, micro average, mean case rate."""
+    return ev.bot_summary(ev.verdicts(spark, base))
+
+
+@query("failures")
+def q_failures(spark, base):
+    """AG19: failed verdicts excluding judge errors."""
+    return ev.failures(ev.verdicts(spark, base))
+
+
+@query("verdict_pivot")
+def q_verdict_pivot(spark, base):
+    """AG23: wide verdict table, one column per criterion."""
+    return ev.verdict_pivot(ev.verdicts(spark, base))
+
+
+@query("label_frequency")
+def q_label_frequency(spark, base):
+    """AG24: value counts of the verdict label."""
+    return ev.verdicts(spark, base).groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+@query("label_normalise")
+def q_label_normalise(spark, base):
+    """Exact, then 20-char case-insensitive prefix either way, then fallback."""
+    n = ev.noisy_labels(spark, base)
+    return n.select("doc_id", "raw_label", ev.normalise_label(F.col("raw_label")).alias("label"))
+
+
+@query("prefix_classify")
+def q_prefix_classify(spark, base):
+    """Ordered prefix classes over conversation texts."""
+    conv = load_conv(spark, base)
+    return conv.select(ev.prefix_class(F.col("text")).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query("value_substitute")
+def q_value_substitute(spark, base):
+    """C17: per-column value substitution maps; counts per substituted pair."""
+    from daybook.sources.tables import load
+    d = load(spark, base, "documents", ["lang", "source"])
+    out = d.withColumns({"lang_name": F.col("lang"), "source_name": F.col("source")}) \
+        .replace(ev.LANG_NAMES, subset=["lang_name"]).replace(ev.SOURCE_NAMES, subset=["source_name"])
+    return out.groupBy("lang_name", "source_name").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("lang_name") != F.col("lang")).alias("lang_replaced"),
+        F.count_if(F.col("source_name") != F.col("source")).alias("source_replaced"))
+
+
+def load_conv(spark, base):
+    from daybook.sources.tables import load
+    return load(spark, base, "conversations", ["conv_id", "turn", "role", "text"])
+
+
+@query("text_checks")
+def q_text_checks(spark, base):
+    """Measurable message checks on every assistant turn (whole texts)."""
+    conv = load_conv(spark, base).filter(F.col("role") == "assistant")
+    return ev.text_checks(conv).drop("role", "text")
+
+
+@query("number_grounding")
+def q_number_grounding(spark, base):
+    """Numbers in each assistant turn must occur in the turn before."""
+    return ev.number_grounding(spark, base)
