@@ -1101,3 +1101,50 @@ FROM (SELECT a.conv_id, a.turn,
         list_distinct(regexp_extract_all(replace(COALESCE(b.text, ''), ',', ''), '[0-9]+(\\.[0-9]+)?')) AS s
       FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn + 1 = a.turn
       WHERE a.role = 'assistant')""", [])
+
+
+# ---------------------------------------------------------------------------
+# writes on order versions
+# ---------------------------------------------------------------------------
+cte("v1", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00'""")
+cte("v2", """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice, o_orderdate
+FROM orders WHERE o_orderstatus <> 'P'""")
+register("change_set", """
+SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+  CASE WHEN a.o_orderkey IS NULL THEN 'insert' WHEN b.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change
+FROM v1 a FULL OUTER JOIN v2 b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL
+   OR a.o_custkey IS DISTINCT FROM b.o_custkey OR a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+   OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_orderdate IS DISTINCT FROM b.o_orderdate""", ["v1", "v2"])
+register("upsert_audit", """
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+  CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+  CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+  CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+  CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+  CASE WHEN t.o_orderkey IS NOT NULL THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS created_at,
+  CASE WHEN s.o_orderkey IS NOT NULL THEN DATE '2024-01-02' ELSE DATE '2024-01-01' END AS last_modified_at,
+  CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL THEN 1 ELSE 0 END AS overwrite_count
+FROM v1 t FULL OUTER JOIN v2 s ON t.o_orderkey = s.o_orderkey""", ["v1", "v2"], ["o_totalprice"])
+register("evolve_union", """
+SELECT version, price_band, count(*) AS n, sum(o_totalprice) AS total FROM (
+  SELECT o_totalprice, 1 AS version, CAST(NULL AS VARCHAR) AS price_band FROM v1
+  UNION ALL
+  SELECT o_totalprice, 2, CASE WHEN o_totalprice > 100000 THEN 'high' ELSE 'normal' END FROM v2)
+GROUP BY version, price_band""", ["v1", "v2"], ["total"])
+register("partition_overwrite", """
+SELECT o_orderstatus, version, count(*) AS n FROM (
+  SELECT o_orderstatus, 2 AS version FROM v2
+  UNION ALL
+  SELECT o_orderstatus, 1 FROM v1 WHERE o_orderstatus NOT IN (SELECT DISTINCT o_orderstatus FROM v2))
+GROUP BY o_orderstatus, version""", ["v1", "v2"])
+
+register("day_lookup", """
+SELECT id, day, score, rating FROM (
+  SELECT id, day, score, rating, row_number() OVER (PARTITION BY id ORDER BY day DESC) AS rn FROM rating)
+WHERE rn = 1""", ["rating"])
+register("day_ids", """
+SELECT day, count(*) AS n_ids FROM (SELECT DISTINCT id, day FROM rating) r
+WHERE id IN (SELECT id FROM goals WHERE has_weight_goal = 1) GROUP BY day""", ["rating", "goals"])

@@ -556,3 +556,133 @@ def q_text_checks(spark, base):
 def q_number_grounding(spark, base):
     """Numbers in each assistant turn must occur in the turn before."""
     return ev.number_grounding(spark, base)
+
+
+# ---------------------------------------------------------------------------
+# Writes on table versions derived from orders
+# ---------------------------------------------------------------------------
+from daybook.sources import writes as wr  # noqa: E402
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+def order_versions(spark, base):
+    """v1: orders dated before 2001; v2: all orders, status 'P' removed, open orders repriced."""
+    from daybook.sources.tables import load
+    o = load(spark, base, "orders", ORDER_COLS)
+    v1 = o.filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
+    v2 = (o.filter(F.col("o_orderstatus") != "P")
+          .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1.0)
+                      .otherwise(F.col("o_totalprice"))))
+    return v1, v2
+
+
+@query("change_set")
+def q_change_set(spark, base):
+    """Inserts, updates and deletes between two versions by key."""
+    v1, v2 = order_versions(spark, base)
+    return wr.change_set(v1, v2, ["o_orderkey"])
+
+
+@query("upsert_audit")
+def q_upsert_audit(spark, base):
+    """v1 loaded on run 1, v2 upserted on run 2; final state with audit columns."""
+    v1, v2 = order_versions(spark, base)
+    return wr.upsert(wr.with_audit(v1, "2024-01-01"), v2, ["o_orderkey"], "2024-01-02")
+
+
+@query("evolve_union")
+def q_evolve_union(spark, base):
+    """A new column appears in the second version; old rows read it as NULL."""
+    v1, v2 = order_versions(spark, base)
+    v2x = v2.withColumn("price_band", F.when(F.col("o_totalprice") > 100000, "high").otherwise("normal"))
+    u = wr.evolve_union(v1.withColumn("version", F.lit(1)), v2x.withColumn("version", F.lit(2)))
+    return u.groupBy("version", "price_band").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+
+
+@query("partition_overwrite")
+def q_partition_overwrite(spark, base):
+    """v1 written partitioned by status, then v2 overwrites only its own
+    partitions; the read-back state per partition."""
+    v1, v2 = order_versions(spark, base)
+    path = wr.new_table_path(spark, "orders_by_status")
+    wr.overwrite_partitions(v1.withColumn("version", F.lit(1)), path, ["o_orderstatus"])
+    wr.overwrite_partitions(v2.withColumn("version", F.lit(2)), path, ["o_orderstatus"])
+    back = spark.read.parquet(path)
+    return back.groupBy("o_orderstatus", "version").agg(F.count("*").alias("n"))
+
+
+@query("clustered_layout")
+def q_clustered_layout(spark, base):
+    """Range-partitioned, sorted by id before writing (row count unchanged)."""
+    r = sel_rating(spark, base)
+    return wr.clustered(r, "id")
+
+
+def sel_rating(spark, base):
+    return sc.daily_rating(asm.context(spark, base))
+
+
+@query("column_comments")
+def q_column_comments(spark, base):
+    """Comments applied to existing columns, names that do not exist reported."""
+    f = fe.daily_features(spark, base)
+    comments = {"tir_pct": "share of readings in 70-180", "weekly_active_minutes": "7-day calendar sum",
+                "protein_target_pct": "named in the reference comments, not a column"}
+    out, applied, skipped = wr.with_comments(f, comments)
+    rows = [(c, True) for c in applied] + [(c, False) for c in skipped]
+    names = spark.createDataFrame(rows, "column_name string, applied boolean")
+    meta = {fld.name: fld.metadata.get("comment") for fld in out.schema.fields}
+    return names.withColumn("comment", F.create_map(*[F.lit(x) for k, v in meta.items() if v for x in (k, v)])[F.col("column_name")])
+
+
+# ---------------------------------------------------------------------------
+# A3 A4 F2 F3 I2 I3 I7 J3
+# ---------------------------------------------------------------------------
+from daybook.sources.tables import day_partition, first_per_key  # noqa: E402
+
+
+@query("day_lookup")
+def q_day_lookup(spark, base):
+    """For every id, its newest scored day (first row per id, newest first)."""
+    r = sel_rating(spark, base)
+    return first_per_key(r, "id", [F.col("day").desc()]).select("id", "day", "score", "rating")
+
+
+@query("day_ids")
+def q_day_ids(spark, base):
+    """A4 AG15: per day, distinct ids restricted to an allow-list (semi join, no IN list)."""
+    r = sel_rating(spark, base)
+    allow = fe.goals_per_id(spark, base).filter(F.col("has_weight_goal") == 1).select("id")
+    ids = r.select("id", "day").distinct().join(allow, "id", "left_semi")
+    return ids.groupBy("day").agg(F.count("*").alias("n_ids"))
+
+
+@query("context_json")
+def q_context_json(spark, base):
+    """Per (id, day) JSON of listed rule inputs; NULL fields dropped."""
+    ctx = asm.context(spark, base)
+    keys = ["tir_pct", "steps", "active_minutes", "sleep_hours", "meals", "weight_goal_type"]
+    return ctx.select("id", "day", rnd.context_json(ctx, keys).alias("context"))
+
+
+@query("prompt_text")
+def q_prompt_text(spark, base):
+    """Weekly-context lines and the assembled prompt per (id, day)."""
+    ctx = sel.context_with_history(spark, base)
+    res = sel.daily_result(spark, base)
+    j = res.join(ctx.select("id", "day", "sleep_hours", "sleep_avg_7d", "sleep_rating", "sleep_rating_avg_7d",
+                            "active_minutes", "weekly_active_minutes", "took_all_meds", "med_adherence_7d_avg"),
+                 ["id", "day"])
+    wk = rnd.weekly_context(j)
+    return j.select("id", "day", wk.alias("weekly_context"),
+                    rnd.prompt_text(F.col("action_texts"), F.col("opportunity_text"), F.col("greeting"), wk)
+                    .alias("prompt"))
+
+
+@query("replay_3_days")
+def q_replay_3_days(spark, base):
+    """Three consecutive report days; each day's selection reads the
+    history written by the day before (upserted, written, read back)."""
+    from daybook.plans import replay
+    return replay.replay(spark, base, days=3)
