@@ -34,6 +34,24 @@ def day_result(ctx_day: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = None) -> DataFrame:
+    """Run ``days`` report days in sequence; returns the history rows written for them.
+
+    Spark 4.1 with AQE can fail this plan ("Can't zip RDDs with unequal
+    numbers of partitions") when a union's output partitioning is reused by a
+    join; the union-partitioning shortcut is switched off for the replay and
+    restored afterwards.
+    """
+    key = "spark.sql.unionOutputPartitioning"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "false")
+        return _replay(spark, base, days, start)
+    finally:
+        if old is not None:
+            spark.conf.set(key, old)
+
+
+def _replay(spark: SparkSession, base: str, days: int, start: str | None) -> DataFrame:
     # the rule inputs are computed once and written (lineage cut); each day reads its slice
     ctx_path = writes.new_table_path(spark, "context")
     assemble.context(spark, base).write.parquet(ctx_path)
@@ -58,4 +76,5 @@ def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = No
         path = writes.new_table_path(spark, "history")
         merged.write.parquet(path)
         hist = spark.read.parquet(path)
+    # the result is read from the written table, so it no longer depends on the conf
     return hist.filter(F.col("message_date") >= F.lit(first))

@@ -23,11 +23,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # aggregate and window on (id) after a shuffle on (id): no second exchange
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark 4.1: with AQE, reusing a union's output partitioning in a join can
+    # fail ("Can't zip RDDs with unequal numbers of partitions")
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -46,7 +47,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark.sparkContext.setLogLevel("ERROR")
     # runtime-settable keys also applied when the session already existed
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
-              "spark.sql.adaptive.enabled", "spark.sql.requireAllClusterKeysForCoPartition",
+              "spark.sql.adaptive.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, conf[k])
     if shuffle_partitions:
