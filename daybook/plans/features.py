@@ -35,9 +35,10 @@ def _pct_of(cond, base_cond):
     return F.when(n > 0, _cnt(base_cond & cond) * F.lit(100.0) / n)
 
 
-def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes: int = 60) -> DataFrame:
-    """AG1-AG7 + AG16 in one aggregate over (id, day)."""
-    ev = roles.events_base(spark, base)
+def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes: int = 60,
+                           events: DataFrame | None = None) -> DataFrame:
+    """AG1-AG7 + AG16 in one aggregate over (id, day); ``events`` overrides the table read."""
+    ev = roles.events_base(spark, base, events)
     r = roles.with_role_columns(ev)
 
     sleep = roles.sleep_intervals(ev)

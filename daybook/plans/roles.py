@@ -58,8 +58,8 @@ from daybook.sources.tables import load
 EVENT_COLS = ["ts", "user_id", "event_type", "value", "props"]
 
 
-def events_base(spark: SparkSession, base: str) -> DataFrame:
-    ev = load(spark, base, "events", EVENT_COLS)
+def events_base(spark: SparkSession, base: str, events: DataFrame | None = None) -> DataFrame:
+    ev = load(spark, base, "events", EVENT_COLS) if events is None else events.select(*EVENT_COLS)
     k = F.get_json_object("props", "$.k").try_cast("int")
     out = ev.select(
         F.col("user_id").alias("id"), "ts", "event_type", "value", k.alias("k"),
