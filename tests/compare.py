@@ -82,7 +82,12 @@ if __name__ == "__main__":
     import __spark_entry__ as E
     base = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = sys.argv[1:] or list(E.queries())
-    spark = get_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]", 8)
     con = duck(base)
     qs, os_ = E.queries(), E.oracle_sql()
     for n in names:
