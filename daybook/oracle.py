@@ -1148,3 +1148,8 @@ WHERE rn = 1""", ["rating"])
 register("day_ids", """
 SELECT day, count(*) AS n_ids FROM (SELECT DISTINCT id, day FROM rating) r
 WHERE id IN (SELECT id FROM goals WHERE has_weight_goal = 1) GROUP BY day""", ["rating", "goals"])
+
+register("sheet_roundtrip", """
+SELECT lang, source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+  count(*) FILTER (WHERE contains(text, chr(10))) AS multi_line
+FROM documents GROUP BY lang, source""", [])

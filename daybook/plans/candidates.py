@@ -91,8 +91,8 @@ def eligibility_arrays(wide: DataFrame) -> DataFrame:
 # H3: positive candidates
 # ---------------------------------------------------------------------------
 
-def positive_candidates(ctx: DataFrame) -> DataFrame:
-    """One row per eligible positive action: key, category, template priority, text."""
+def positive_array() -> Column:
+    """H3 as an array<struct<key, category, base, text>> over the rule-input columns."""
     tir_r = F.bround("tir_pct", 0).cast("int")
     steps_fmt = F.format_number(c("steps").cast("bigint"), 0)
     minutes = c("active_minutes").cast("int")
@@ -145,8 +145,12 @@ def positive_candidates(ctx: DataFrame) -> DataFrame:
     arr = F.array_compact(F.array(*items))
     fallback = F.array(F.struct(F.lit("app_login").alias("key"), F.lit("explore").alias("category"),
                                 F.lit(99).alias("base"), F.lit(_tpl("app_login")).alias("text")))
-    arr = F.when(F.size(arr) == 0, fallback).otherwise(arr)
-    return ctx.select("*", F.inline(arr))
+    return F.when(F.size(arr) == 0, fallback).otherwise(arr)
+
+
+def positive_candidates(ctx: DataFrame) -> DataFrame:
+    """One row per eligible positive action: key, category, template priority, text."""
+    return ctx.select("*", F.inline(positive_array()))
 
 
 # ---------------------------------------------------------------------------
@@ -171,6 +175,11 @@ def tip_pick(tips: list[tuple[str, str]]) -> Column:
 
 
 def opportunity_candidates(ctx: DataFrame) -> DataFrame:
+    return ctx.select("*", F.inline(opportunity_array()))
+
+
+def opportunity_array() -> Column:
+    """H4 (+ H5 tip picks) as an array<struct<key, category, base, text>>."""
     t = K.OPPORTUNITY_TEMPLATES
 
     def o(cond, key, cat, prio):
@@ -228,4 +237,4 @@ def opportunity_candidates(ctx: DataFrame) -> DataFrame:
               F.when(anx, 78).otherwise(45), F.lit(t["mental_action_plan"])),
         o(F.lit(True), "explore_browse", "explore", 10),
     ]
-    return ctx.select("*", F.inline(F.array_compact(F.array(*items))))
+    return F.array_compact(F.array(*items))

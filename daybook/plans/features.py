@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.functions import constants as K
 from daybook.functions.exprs import flag, lenient_int, map_label, safe_pct
@@ -23,6 +24,7 @@ from daybook.operators.intervals import hours, union_length_micros
 from daybook.operators.windows import (any_in_last, days_since, gap_fill, nearest_in_band,
                                        pct_change, prev_calendar_day, prev_logged, range_days,
                                        rolling)
+from daybook.functions.timeutil import date_from_epoch_millis, epoch_millis, local_date
 from daybook.plans import roles
 
 
@@ -37,26 +39,40 @@ def _pct_of(cond, base_cond):
 
 def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes: int = 60,
                            events: DataFrame | None = None) -> DataFrame:
-    """AG1-AG7 + AG16 in one aggregate over (id, day); ``events`` overrides the table read."""
+    """AG1-AG7 + AG16 in one aggregate over (id, day); ``events`` overrides the table read.
+
+    One scan emits, per event, its role rows keyed by the day each role uses
+    (local day; UTC day of the epoch-ms value for grocery entries; local day
+    of the interval end for sleep), so a single groupBy(id, day) computes every
+    domain. Only the interval-union lengths need their own branch.
+    """
     ev = roles.events_base(spark, base, events)
     r = roles.with_role_columns(ev)
-
-    sleep = roles.sleep_intervals(ev)
-    sleep_raw = sleep.groupBy("id", "day").agg(
-        F.count("*").alias("sleep_count"), F.avg("rating").alias("sleep_rating"))
-    sleep_len = union_length_micros(sleep, ["id", "day"], "start_ts", "end_ts", sleep_bucket_minutes)
-    sleep_daily = sleep_raw.join(sleep_len, ["id", "day"], "left").select(
-        "id", "day", "sleep_count", "sleep_rating",
-        hours(F.coalesce(F.col("union_us"), F.lit(0))).alias("sleep_hours"))
-
-    grocery = roles.grocery_rows(ev).withColumn("is_grocery", F.lit(True))
-    rows = (r.unionByName(grocery, allowMissingColumns=True)
-            .unionByName(sleep_daily, allowMissingColumns=True))
+    sleep_end = F.timestamp_add("SECOND", F.round(F.col("value") * 60).cast("bigint"), F.col("ts"))
+    kinds = F.array_compact(F.array(
+        F.struct(F.lit("main").alias("kind"), F.col("day").alias("rday")),
+        F.when(F.col("k") % 11 == 0, F.struct(F.lit("grocery").alias("kind"),
+                                               date_from_epoch_millis(epoch_millis(F.col("ts"))).alias("rday"))),
+        F.when(F.col("event_type") == "error", F.struct(F.lit("sleep").alias("kind"),
+                                                        local_date(sleep_end, "off").alias("rday")))))
+    rows = r.select("*", F.inline(kinds)).drop("day").withColumnRenamed("rday", "day")
+    main = F.col("kind") == "main"
+    rows = rows.withColumns({
+        **{f: F.col(f) & main for f in ["is_bg", "is_act", "is_video", "is_step", "is_weight", "is_prog",
+                                        "is_meal", "is_journal", "is_plan", "is_meditation"]},
+        "is_grocery": F.col("kind") == "grocery",
+        "is_sleep": F.col("kind") == "sleep",
+        "rating": (F.col("k") % 11).cast("double"),
+    })
+    sleep_len = union_length_micros(roles.sleep_intervals(ev), ["id", "day"], "start_ts", "end_ts",
+                                    sleep_bucket_minutes)
+    rows = rows.unionByName(sleep_len, allowMissingColumns=True)
 
     bg = F.col("is_bg")
     v = F.col("value")
     act = F.col("is_act") & ~F.col("is_meditation")
     meal = F.col("is_meal")
+    sl = F.col("is_sleep")
     return rows.groupBy("id", "day").agg(
         # AG1 glucose shares (B14 ratio over readings)
         _cnt(bg).alias("bg_count"),
@@ -91,10 +107,10 @@ def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes:
         _cnt(F.col("is_plan")).alias("plan_entries"),
         F.max(flag(F.col("is_plan") & (F.col("plan_status") == 1))).alias("plan_active"),
         F.max(flag(F.col("is_plan") & (F.col("plan_status") == 2))).alias("plan_completed"),
-        # AG16 sleep (already one row per (id, day))
-        F.max("sleep_count").alias("sleep_count"),
-        F.max("sleep_rating").alias("sleep_rating"),
-        F.max("sleep_hours").alias("sleep_hours"),
+        # AG16 sleep: raw count / mean rating, merged-interval hours
+        F.when(_cnt(sl) > 0, _cnt(sl)).alias("sleep_count"),
+        F.avg(F.when(sl, F.col("rating"))).alias("sleep_rating"),
+        F.when(_cnt(sl) > 0, hours(F.coalesce(F.max("union_us"), F.lit(0)))).alias("sleep_hours"),
     )
 
 

@@ -13,24 +13,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.plans import assemble, history, render, score, select
+from daybook.plans import assemble, history, render, select
 from daybook.sources import writes
 
 HIST_KEYS = ["id", "category", "message_date"]
 
 
 def day_result(ctx_day: DataFrame, state: DataFrame) -> DataFrame:
-    ctx = select.with_history(ctx_day, state)
-    rating = score.daily_rating(ctx)
-    acts = select.select_actions(select.ranked_actions(ctx)).groupBy("id", "day").agg(
-        F.array_sort(F.collect_list(F.struct("tier", "slot", "key", "category", "priority", "text"))).alias("actions"))
-    opp = select.select_opportunity(select.ranked_opportunities(ctx)).select(
-        "id", "day", F.col("key").alias("opportunity_key"), F.col("category").alias("opportunity_category"),
-        F.col("text").alias("opportunity_text"))
-    out = (ctx.select("id", "day", select.greeting_pick().alias("greeting")).join(rating, ["id", "day"])
-           .join(acts, ["id", "day"], "left").join(opp, ["id", "day"], "left"))
-    texts = F.transform("actions", lambda a: a["text"])
-    return out.withColumn("message_text", render.message_text(F.col("greeting"), texts, F.col("opportunity_text")))
+    res = select.daily_result(ctx_day.sparkSession, "", ctx=select.with_history(ctx_day, state))
+    return res.withColumn("message_text", render.message_text(F.col("greeting"), F.col("action_texts"),
+                                                              F.col("opportunity_text")))
 
 
 def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = None) -> DataFrame:

@@ -114,11 +114,14 @@ def sleep_intervals(ev: DataFrame) -> DataFrame:
 
 
 def focus_json(ev: DataFrame) -> DataFrame:
-    """One JSON array string per id, shaped like the reference's focus column."""
+    """One JSON array string per id, shaped like the reference's focus column.
+
+    Built from the distinct items (at most 14 ids x 2 flags), so a hot id
+    never collects an unbounded list into one group."""
     item = F.struct((F.col("k") % 14).alias("MyFocusID"), (F.col("k") % 2).alias("IsMyFocus"),
                     F.lit(0).alias("FocusOptionID"))
     return (ev.filter(F.col("event_type") == "signup")
-            .groupBy("id").agg(F.to_json(F.collect_list(item)).alias("myfocusdata")))
+            .groupBy("id").agg(F.to_json(F.array_sort(F.collect_set(item))).alias("myfocusdata")))
 
 
 def customer_goals(spark: SparkSession, base: str) -> DataFrame:

@@ -28,7 +28,7 @@ def focus_allows(category: str, focus_map: dict[str, list[str]] = K.SCORING_FOCU
     return ~F.col("has_focus") | F.coalesce(hit, F.lit(False))
 
 
-def category_points(ctx: DataFrame) -> DataFrame:
+def category_points(ctx: DataFrame, keep: bool = False) -> DataFrame:
     c = F.col
     lose = c("has_weight_goal") & (c("weight_goal_type") == "lose")
     maintain = c("has_weight_goal") & (c("weight_goal_type") == "maintain")
@@ -77,7 +77,7 @@ def category_points(ctx: DataFrame) -> DataFrame:
              + F.when(c("program_started_today"), bp["exercise_program_started"]).otherwise(0)
              + F.when(c("grocery_today"), bp["grocery_shopping_online"]).otherwise(0))
     return ctx.select(
-        "id", "day",
+        *(["*"] if keep else ["id", "day"]),
         *[F.when(included[cat], points[cat]).alias(f"{cat}_pts") for cat in CATEGORIES],
         bonus.alias("bonus_pts"))
 
@@ -97,11 +97,13 @@ def tier_description(pct) -> Column:
     return out.otherwise(F.lit(K.TIERS[-1][1]))
 
 
-def daily_rating(ctx: DataFrame) -> DataFrame:
-    pts = category_points(ctx)
+def daily_rating(ctx: DataFrame, keep: bool = False) -> DataFrame:
+    """G13; ``keep`` carries the input columns along (no branch, no re-join)."""
+    pts = category_points(ctx, keep)
     score = sum(F.coalesce(F.col(f"{cat}_pts"), F.lit(0)) for cat in CATEGORIES) + F.col("bonus_pts")
     max_score = sum(F.when(F.col(f"{cat}_pts").isNotNull(), 5).otherwise(0) for cat in CATEGORIES)
-    out = pts.select("id", "day", score.alias("score"), max_score.alias("max_score"), "bonus_pts")
+    base_cols = [x for x in ctx.columns] if keep else ["id", "day"]
+    out = pts.select(*base_cols, score.alias("score"), max_score.alias("max_score"), "bonus_pts")
     pct = F.when(F.col("max_score") > 0, F.col("score") * F.lit(100.0) / F.col("max_score")).otherwise(F.lit(0.0))
     return out.withColumn("percentage", pct).withColumns(
         {"rating": tier(F.col("percentage")), "rating_description": tier_description(F.col("percentage"))})

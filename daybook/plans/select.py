@@ -63,86 +63,83 @@ def _common_boosts(cat: Column) -> Column:
     return novelty + streak + focus
 
 
-def action_priority(df: DataFrame) -> DataFrame:
-    """H8 H9 (D19: flat focus boost)."""
+def context_with_history(spark: SparkSession, base: str) -> DataFrame:
+    ctx = assemble.context(spark, base)
+    state = history.history_state(history.history_from_events(spark, base))
+    return with_history(ctx, state)
+
+
+def ranked(ctx: DataFrame) -> DataFrame:
+    """Positive actions and opportunities in ONE Generate, tagged by ``kind``,
+    focus-filtered (H7), prioritised (H8-H10) and tiered (H11, H12).
+
+    Every later step is a window on (id, day, kind[, category]) or a filter,
+    so the rule inputs are computed once and no branch is joined back.
+    """
+    pos = F.transform(candidates.positive_array(), lambda x: F.struct(F.lit("action").alias("kind"), x["key"].alias("key"),
+                                                                     x["category"].alias("category"), x["base"].alias("base"),
+                                                                     x["text"].alias("text")))
+    opp = F.transform(candidates.opportunity_array(), lambda x: F.struct(F.lit("opportunity").alias("kind"), x["key"].alias("key"),
+                                                                        x["category"].alias("category"), x["base"].alias("base"),
+                                                                        x["text"].alias("text")))
+    df = ctx.select("*", F.inline(F.concat(pos, opp)))
     pr = K.PRIORITY_RULES
     cat = c("category")
+    is_act = c("kind") == "action"
     journey = F.when((c("key") == "journey_task_completed") & c("has_active_journey"), pr["journey_active"]).otherwise(0)
     good_tir = F.when(c("key").startswith("glucose_") & c("has_cgm") & safe_gte("tir_pct", c("tir_positive")),
                       pr["cgm_with_good_tir"]).otherwise(0)
     wgoal = F.when(c("has_weight_goal") & cat.isin("weight", "food", "activity", "steps", "sleep"),
                    pr["weight_goal_active"]).otherwise(0)
-    return df.withColumn("priority", (F.lit(100) - c("base")) + journey + good_tir + wgoal + _common_boosts(cat))
-
-
-def opportunity_priority(df: DataFrame) -> DataFrame:
-    """H10."""
-    return df.withColumn("priority", c("base") + _common_boosts(c("category")))
-
-
-def focus_filter(df: DataFrame, safety_keys: list[str] | None = None) -> DataFrame:
-    """H7: keep allowed rows (and safety keys); if nothing is allowed for an
-    (id, day), keep every row of it."""
-    allowed = category_allowed(c("category"))
-    if safety_keys:
-        allowed = allowed | c("key").isin(*safety_keys)
-    w = Window.partitionBy("id", "day")
-    return (df.withColumn("allowed", allowed)
-            .withColumn("_any", F.max(c("allowed")).over(w))
-            .filter(c("allowed") | ~c("_any")).drop("_any"))
-
-
-def context_with_history(spark: SparkSession, base: str) -> DataFrame:
-    ctx = assemble.context(spark, base)
-    state = history.history_state(history.history_from_events(spark, base))
-    return with_history(ctx, state)
-
-
-def ranked_actions(ctx: DataFrame) -> DataFrame:
-    """Filtered, prioritised positive candidates with their selection tier."""
-    cand = candidates.positive_candidates(ctx)
-    cand = action_priority(cand).withColumn("jitter", candidates.jitter("id", "day", "key"))
-    forced_journey = (c("key") == "journey_task_completed") & c("has_active_journey") & c("journey_task_completed")
-    # journey row is forced regardless of the focus filter; others are filtered
-    pool = focus_filter(cand.filter(~forced_journey))
-    journey = cand.filter(forced_journey).withColumn("allowed", category_allowed(c("category")))
+    prio = F.when(is_act, (F.lit(100) - c("base")) + journey + good_tir + wgoal).otherwise(c("base")) + _common_boosts(cat)
+    forced = is_act & (c("key") == "journey_task_completed") & c("has_active_journey") & c("journey_task_completed")
+    allowed = category_allowed(cat) | (~is_act & c("key").isin(*K.CLINICAL_SAFETY_OPPORTUNITIES))
+    df = df.withColumns({"priority": prio, "forced": forced, "allowed": allowed,
+                         "jitter": candidates.jitter("id", "day", "key")})
+    w_kind = Window.partitionBy("id", "day", "kind")
+    any_allowed = F.max(F.when(~c("forced"), c("allowed"))).over(w_kind)
+    df = df.withColumn("_any", any_allowed).filter(c("forced") | c("allowed") | ~F.coalesce(c("_any"), F.lit(False)))
+    order = [c("priority").desc(), c("jitter")]
+    g_rank = F.row_number().over(Window.partitionBy("id", "day", "kind", "category").orderBy(*order))
     tir_ok = c("has_cgm") & (safe_gte("tir_pct", c("tir_positive"))
                             | (c("tir_prev").isNotNull() & F.coalesce(c("tir_pct") > c("tir_prev"), F.lit(False))))
-    w_day = Window.partitionBy("id", "day")
-    order = [c("priority").desc(), c("jitter")]
-    g_rank = F.row_number().over(Window.partitionBy("id", "day", "category").orderBy(*order))
-    pool = pool.withColumn("_grank", g_rank)
-    pool = pool.withColumn(
-        "tier", F.when(tir_ok & (c("category") == "glucose") & (c("_grank") == 1), 1).otherwise(2))
+    tier = (F.when(c("forced"), 0)
+            .when(is_act & tir_ok & (cat == "glucose") & (g_rank == 1), 1).otherwise(2))
+    df = df.withColumn("tier", tier)
+    forced_g = F.max(F.when(c("tier") == 1, 1).otherwise(0)).over(w_kind)
     # the forced glucose pick removes the other glucose actions
-    pool = pool.withColumn("_forced_g", F.max(F.when(c("tier") == 1, 1).otherwise(0)).over(w_day))
-    pool = pool.filter(~((c("category") == "glucose") & (c("tier") == 2) & (c("_forced_g") == 1)))
-    rows = pool.drop("_grank", "_forced_g").unionByName(journey.withColumn("tier", F.lit(0)))
-    return rows
+    return (df.withColumn("_fg", forced_g)
+            .filter(~(is_act & (cat == "glucose") & (c("tier") == 2) & (c("_fg") == 1)))
+            .drop("_any", "_fg"))
 
 
-def select_actions(ranked: DataFrame, k: int = K.MAX_POSITIVE_ACTIONS) -> DataFrame:
-    """Forced tiers, then one per new category, then the rest."""
+def selected(rk: DataFrame, k: int = K.MAX_POSITIVE_ACTIONS) -> DataFrame:
+    """H13/H14 (E15, E16): forced tiers, then one action per new category, then
+    the rest, up to ``k`` actions; the top opportunity."""
     order = [c("priority").desc(), c("jitter")]
-    cat_rank = F.row_number().over(Window.partitionBy("id", "day", "category").orderBy(
-        c("tier"), *order))
-    r = ranked.withColumn("cat_rank", cat_rank)
-    second_pass = F.when((c("tier") == 2) & (c("cat_rank") > 1), 1).otherwise(0)
-    slot = F.row_number().over(Window.partitionBy("id", "day").orderBy(c("tier"), second_pass, *order))
+    is_act = c("kind") == "action"
+    cat_rank = F.row_number().over(Window.partitionBy("id", "day", "kind", "category").orderBy(c("tier"), *order))
+    r = rk.withColumn("cat_rank", cat_rank)
+    second_pass = F.when(is_act & (c("tier") == 2) & (c("cat_rank") > 1), 1).otherwise(0)
+    slot = F.row_number().over(Window.partitionBy("id", "day", "kind").orderBy(c("tier"), second_pass, *order))
     r = r.withColumn("slot", slot)
-    return r.filter((c("slot") <= k) | (c("tier") < 2))
+    return r.filter(F.when(is_act, (c("slot") <= k) | (c("tier") < 2)).otherwise(c("slot") == 1))
+
+
+def ranked_actions(ctx: DataFrame) -> DataFrame:
+    return ranked(ctx).filter(c("kind") == "action")
+
+
+def select_actions(rk: DataFrame, k: int = K.MAX_POSITIVE_ACTIONS) -> DataFrame:
+    return selected(rk, k).filter(c("kind") == "action")
 
 
 def ranked_opportunities(ctx: DataFrame) -> DataFrame:
-    cand = candidates.opportunity_candidates(ctx)
-    cand = focus_filter(cand, K.CLINICAL_SAFETY_OPPORTUNITIES)
-    return opportunity_priority(cand).withColumn("jitter", candidates.jitter("id", "day", "key"))
+    return ranked(ctx).filter(c("kind") == "opportunity")
 
 
-def select_opportunity(ranked: DataFrame) -> DataFrame:
-    """Top-1 opportunity per (id, day)."""
-    w = Window.partitionBy("id", "day").orderBy(c("priority").desc(), c("jitter"))
-    return ranked.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+def select_opportunity(rk: DataFrame) -> DataFrame:
+    return selected(rk).filter(c("kind") == "opportunity")
 
 
 def greeting_pick() -> Column:
@@ -153,19 +150,29 @@ def greeting_pick() -> Column:
     return F.array_min(ranked)["g"]
 
 
-def daily_result(spark: SparkSession, base: str, k: int = K.MAX_POSITIVE_ACTIONS) -> DataFrame:
-    """The per-(id, day) selection: rating, greeting, picked actions, opportunity."""
-    ctx = context_with_history(spark, base)
-    rating = score.daily_rating(ctx)
-    acts = select_actions(ranked_actions(ctx), k)
-    acts = acts.groupBy("id", "day").agg(F.array_sort(F.collect_list(F.struct(
-        "tier", "slot", "key", "category", "priority", "text"))).alias("actions"))
-    opp = select_opportunity(ranked_opportunities(ctx)).select(
-        "id", "day", c("key").alias("opportunity_key"), c("category").alias("opportunity_category"),
-        c("priority").alias("opportunity_priority"), c("text").alias("opportunity_text"))
-    out = (ctx.select("id", "day", greeting_pick().alias("greeting"))
-           .join(rating, ["id", "day"]).join(acts, ["id", "day"], "left").join(opp, ["id", "day"], "left"))
-    return out.withColumns({
-        "action_keys": F.transform("actions", lambda a: a["key"]),
-        "action_texts": F.transform("actions", lambda a: a["text"]),
-    })
+def daily_result(spark: SparkSession, base: str, k: int = K.MAX_POSITIVE_ACTIONS,
+                 ctx: DataFrame | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The per-(id, day) selection: rating, greeting, picked actions, opportunity.
+
+    One linear plan: rule inputs -> rating / greeting columns -> candidate
+    Generate -> windows -> one aggregate back to (id, day). The windows and
+    the final aggregate reuse the id partitioning of the feature stage.
+    """
+    ctx = ctx if ctx is not None else context_with_history(spark, base)
+    scored = score.daily_rating(ctx, keep=True).withColumn("greeting", greeting_pick())
+    sel = selected(ranked(scored), k)
+    is_act = c("kind") == "action"
+    out = sel.groupBy("id", "day").agg(
+        F.first("greeting").alias("greeting"), F.first("score").alias("score"),
+        F.first("max_score").alias("max_score"), F.first("percentage").alias("percentage"),
+        F.first("rating").alias("rating"), F.first("rating_description").alias("rating_description"),
+        F.array_sort(F.collect_list(F.when(is_act, F.struct("tier", "slot", "key", "category", "priority", "text"))))
+        .alias("actions"),
+        F.max(F.when(~is_act, F.struct("key", "category", "priority", "text"))).alias("_opp"),
+        *[F.first(x).alias(x) for x in (carry or [])])
+    return out.select(
+        *(carry or []), "id", "day", "greeting", "score", "max_score", "percentage", "rating", "rating_description", "actions",
+        c("_opp.key").alias("opportunity_key"), c("_opp.category").alias("opportunity_category"),
+        c("_opp.priority").alias("opportunity_priority"), c("_opp.text").alias("opportunity_text"),
+        F.transform("actions", lambda a: a["key"]).alias("action_keys"),
+        F.transform("actions", lambda a: a["text"]).alias("action_texts"))

@@ -669,11 +669,9 @@ def q_context_json(spark, base):
 @query("prompt_text")
 def q_prompt_text(spark, base):
     """Weekly-context lines and the assembled prompt per (id, day)."""
-    ctx = sel.context_with_history(spark, base)
-    res = sel.daily_result(spark, base)
-    j = res.join(ctx.select("id", "day", "sleep_hours", "sleep_avg_7d", "sleep_rating", "sleep_rating_avg_7d",
-                            "active_minutes", "weekly_active_minutes", "took_all_meds", "med_adherence_7d_avg"),
-                 ["id", "day"])
+    carry = ["sleep_hours", "sleep_avg_7d", "sleep_rating", "sleep_rating_avg_7d", "active_minutes",
+             "weekly_active_minutes", "took_all_meds", "med_adherence_7d_avg"]
+    j = sel.daily_result(spark, base, carry=carry)
     wk = rnd.weekly_context(j)
     return j.select("id", "day", wk.alias("weekly_context"),
                     rnd.prompt_text(F.col("action_texts"), F.col("opportunity_text"), F.col("greeting"), wk)
@@ -686,3 +684,20 @@ def q_replay_3_days(spark, base):
     history written by the day before (upserted, written, read back)."""
     from daybook.plans import replay
     return replay.replay(spark, base, days=3)
+
+
+@query("sheet_roundtrip")
+def q_sheet_roundtrip(spark, base):
+    """Documents written as a CSV sheet (untidy headers, quoted multi-line
+    cells) and read back with trimmed headers and a rename map; per language
+    and source: documents, characters, multi-line texts."""
+    from daybook.sources.tables import load, read_sheet
+    docs = load(spark, base, "documents", ["doc_id", "lang", "source", "text"])
+    sheet = docs.toDF(" Doc Id ", "Language ", " Source", "Body")
+    path = wr.new_table_path(spark, "sheet")
+    wr.write_sheet(sheet, path)
+    back = read_sheet(spark, path, rename={"Doc Id": "doc_id", "Language": "lang", "Source": "source",
+                                           "Body": "text"})
+    return back.groupBy("lang", "source").agg(
+        F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"),
+        F.count_if(F.col("text").contains("\n")).alias("multi_line"))

@@ -64,7 +64,8 @@ def read_sheet(spark: SparkSession, path: str, rename: dict[str, str] | None = N
                schema: str | None = None) -> DataFrame:
     """CSV with quoted multi-line cells, trimmed headers, rename map, blank rows dropped."""
     reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     df = reader.schema(schema).csv(path) if schema else reader.csv(path)
     df = df.toDF(*[c.strip() for c in df.columns])
     if rename:

@@ -88,6 +88,13 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> tuple[DataFrame, l
     return out, applied, skipped
 
 
+def write_sheet(df: DataFrame, path: str) -> None:
+    """CSV with a header row, every cell quoted (multi-line text kept whole)."""
+    (df.write.mode("overwrite").option("header", True).option("quoteAll", True)
+     .option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def partition_count(spark: SparkSession, path: str, col: str, value) -> DataFrame:
     """Rows of one written partition (a one-row frame; partition-pruned read)."""
     return spark.read.parquet(path).filter(F.col(col) == F.lit(value)).agg(F.count("*").alias("rows"))

@@ -58,7 +58,7 @@ def test_select_actions_matches_greedy(spark):
         "tier", F.when(F.col("tir_ok") & (F.col("category") == "glucose") & (F.col("_g") == 1), 1).otherwise(2))
     pool = pool.withColumn("_f", F.max(F.when(F.col("tier") == 1, 1).otherwise(0)).over(Window.partitionBy("id", "day")))
     pool = pool.filter(~((F.col("category") == "glucose") & (F.col("tier") == 2) & (F.col("_f") == 1))).drop("_g", "_f")
-    ranked = pool.unionByName(df.filter("is_journey").withColumn("tier", F.lit(0)))
+    ranked = pool.unionByName(df.filter("is_journey").withColumn("tier", F.lit(0))).withColumn("kind", F.lit("action"))
     got = {}
     for r in select.select_actions(ranked).collect():
         got.setdefault(r.id, []).append(r.key)
