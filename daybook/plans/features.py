@@ -260,9 +260,6 @@ def medication_state(spark: SparkSession, base: str, run_date: str | None = None
         "doses_per_day", lenient_int("frequencyvalue", 1))
     open_end = F.lit(run_date).cast("date") if run_date else F.lit("2100-01-01").cast("date")
     rx = rx.withColumn("rx_end", F.coalesce(F.col("discontinueddate"), open_end))
-    # Class -> medication -> prescription (class table is small: broadcast when AQE sees it)
-    glyc = src["class"].filter("diabetesclass").select("medicationid")
-    rx_glyc = rx.join(glyc, "medicationid", "left_semi")
     # Doses whose prescription is active (semi join), status taken
     dose = src["dose"].filter(F.col("statusid") == 1).join(
         rx.select("medprescriptionid"), "medprescriptionid", "left_semi")
@@ -284,15 +281,15 @@ def medication_state(spark: SparkSession, base: str, run_date: str | None = None
         "took_all_meds": flag(F.col("adherence_pct") >= 100),
         "adherence_7d_avg": rolling(F.avg, "adherence_pct", 7),
     })
-    # AG12 per id; AG13 reminders via inner join to the schedule
-    per_id = rx.groupBy("id").agg(F.count("*").alias("active_prescription_count"),
-                                  F.sum("doses_per_day").alias("expected_daily_doses"))
-    rem = (rx.select("id", "medprescriptionid").join(src["schedule"], "medprescriptionid")
-           .groupBy("id").agg(F.max(flag(F.col("medicationreminder").isNotNull()
-                                         & (F.col("medicationreminder").try_cast("int") != 0)))
-                              .alias("med_reminders_enabled")))
-    glyc_ids = rx_glyc.groupBy("id").agg(F.lit(1).alias("takes_glycemic_lowering_med"))
-    state = (per_id.join(rem, "id", "left").join(glyc_ids, "id", "left")
-             .withColumns({"med_reminders_enabled": F.coalesce("med_reminders_enabled", F.lit(0)),
-                           "takes_glycemic_lowering_med": F.coalesce("takes_glycemic_lowering_med", F.lit(0))}))
+    # AG12 per id, AG13 reminders (C7 join to the schedule) and the glycemic class (C5) in ONE
+    # aggregate over the prescriptions: schedule and class are first reduced to one row per
+    # key, so the left joins cannot fan out and the prescription source is read once here
+    nonzero = flag(F.col("medicationreminder").isNotNull() & (F.col("medicationreminder").try_cast("int") != 0))
+    sched = src["schedule"].groupBy("medprescriptionid").agg(F.max(nonzero).alias("_rem"))
+    klass = src["class"].groupBy("medicationid").agg(F.max(flag(F.col("diabetesclass"))).alias("_glyc"))
+    state = (rx.join(sched, "medprescriptionid", "left").join(klass, "medicationid", "left")
+             .groupBy("id").agg(F.count("*").alias("active_prescription_count"),
+                                F.sum("doses_per_day").alias("expected_daily_doses"),
+                                F.coalesce(F.max("_rem"), F.lit(0)).alias("med_reminders_enabled"),
+                                F.coalesce(F.max("_glyc"), F.lit(0)).alias("takes_glycemic_lowering_med")))
     return {"daily": daily, "state": state}

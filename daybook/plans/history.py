@@ -53,7 +53,11 @@ def history_from_events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def history_state(history: DataFrame, lookback: int = 7) -> DataFrame:
-    """Per (id, day) state from the history of days d-7 .. d-1."""
+    """Per (id, day) state from the history of days d-7 .. d-1.
+
+    Two aggregates in a line: per (id, day, category) (offsets, 6-day keys,
+    goal-weight counts), then per (id, day). Every collected set is bounded
+    by a fixed vocabulary (7 offsets, categories, tip keys)."""
     fan = history.select(
         "id", "category", "message_date", "positive_actions_used", "opportunity_used",
         F.explode(F.sequence(F.lit(1), F.lit(lookback))).alias("o"))
@@ -62,19 +66,22 @@ def history_state(history: DataFrame, lookback: int = 7) -> DataFrame:
                                        F.array(*[F.lit(k) for k in WEIGHT_GOAL_KEYS])), F.lit(False))
     is_goal_weight = (F.col("category") == "weight") & goal
     six = F.col("o") <= K.CATEGORY_LOOKBACK_DAYS
-    # Per (id, day, category) streak = consecutive offsets 1, 2, ... present
-    per_cat = fan.groupBy("id", "day", "category").agg(F.array_sort(F.collect_set("o")).alias("offs"))
-    per_cat = per_cat.select(
-        "id", "day", "category",
-        F.aggregate("offs", F.lit(0), lambda acc, x: F.when(x == acc + 1, acc + 1).otherwise(acc)).alias("streak"))
-    streaks = per_cat.filter("streak > 0").groupBy("id", "day").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "streak")))).alias("category_streaks"))
-    state = fan.groupBy("id", "day").agg(
-        F.array_sort(F.collect_set(F.when(six, F.col("category")))).alias("categories_6d"),
-        F.array_sort(F.collect_set(F.when(six, F.col("opportunity_used")))).alias("keys_6d"),
-        F.count_if(is_goal_weight).alias("weight_msgs_7d"),
-        F.max(is_goal_weight & (F.col("o") == 1)).alias("weight_shown_yesterday"))
-    return state.join(streaks, ["id", "day"], "left")
+    per_cat = fan.groupBy("id", "day", "category").agg(
+        F.array_sort(F.collect_set("o")).alias("offs"),
+        F.min("o").alias("first_o"),
+        F.collect_set(F.when(six, F.col("opportunity_used"))).alias("keys6"),
+        F.count_if(is_goal_weight).alias("goal_w"),
+        F.max(is_goal_weight & (F.col("o") == 1)).alias("goal_y"))
+    streak = F.aggregate("offs", F.lit(0), lambda acc, x: F.when(x == acc + 1, acc + 1).otherwise(acc))
+    per_cat = per_cat.withColumn("streak", streak)
+    return per_cat.groupBy("id", "day").agg(
+        F.array_sort(F.collect_set(F.when(F.col("first_o") <= K.CATEGORY_LOOKBACK_DAYS, F.col("category"))))
+        .alias("categories_6d"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys6")))).alias("keys_6d"),
+        F.sum("goal_w").alias("weight_msgs_7d"),
+        F.max("goal_y").alias("weight_shown_yesterday"),
+        F.map_from_entries(F.array_sort(F.collect_list(
+            F.when(F.col("streak") > 0, F.struct("category", "streak"))))).alias("category_streaks"))
 
 
 def category_streaks(history: DataFrame, lookback: int = 7) -> DataFrame:
