@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import any_of, band, flag, safe_pct, truthy
 from daybook.plans import features as fe
 
@@ -29,9 +30,15 @@ def threshold_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, cols)
 
 
+@per_context
+def _threshold_lookup() -> DataFrame:
+    spark = SparkSession.getActiveSession()
+    return F.broadcast(threshold_table(spark).withColumnRenamed("a1c_group", "_grp"))
+
+
 def with_thresholds(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Broadcast lookup on coalesce(group, default); the table has 5 rows by construction."""
-    th = F.broadcast(threshold_table(spark).withColumnRenamed("a1c_group", "_grp"))
+    th = _threshold_lookup()
     key = F.coalesce(F.col("a1c_group"), F.lit(K.DEFAULT_A1C_GROUP))
     return df.join(th, key == F.col("_grp"), "left").drop("_grp")
 
@@ -74,8 +81,13 @@ def daily_wide(spark: SparkSession, base: str) -> DataFrame:
 
 def rule_inputs(wide: DataFrame) -> DataFrame:
     """The rule engine's per-(id, day) record as one projection with defaults."""
+    return wide.select(*_rule_input_columns())
+
+
+@per_context
+def _rule_input_columns() -> list:
     c = F.col
-    return wide.select(
+    return [
         "id", "day",
         truthy("has_cgm").alias("has_cgm"),
         truthy("has_step_tracker").alias("has_step_tracker"),
@@ -115,7 +127,7 @@ def rule_inputs(wide: DataFrame) -> DataFrame:
         truthy("program_started_today").alias("program_started_today"),
         truthy("grocery_today").alias("grocery_today"),
         truthy("video_completed_today").alias("video_completed_today"),
-    )
+    ]
 
 
 def context(spark: SparkSession, base: str) -> DataFrame:

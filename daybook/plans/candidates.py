@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import safe_eq, safe_gt, safe_gte, safe_lt
 
 c = F.col
@@ -91,6 +92,7 @@ def eligibility_arrays(wide: DataFrame) -> DataFrame:
 # H3: positive candidates
 # ---------------------------------------------------------------------------
 
+@per_context
 def positive_array() -> Column:
     """H3 as an array<struct<key, category, base, text>> over the rule-input columns."""
     tir_r = F.bround("tir_pct", 0).cast("int")
@@ -178,6 +180,7 @@ def opportunity_candidates(ctx: DataFrame) -> DataFrame:
     return ctx.select("*", F.inline(opportunity_array()))
 
 
+@per_context
 def opportunity_array() -> Column:
     """H4 (+ H5 tip picks) as an array<struct<key, category, base, text>>."""
     t = K.OPPORTUNITY_TEMPLATES

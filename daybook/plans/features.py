@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import flag, lenient_int, map_label, safe_pct
 from daybook.operators.intervals import hours, union_length_micros
 from daybook.operators.windows import (any_in_last, days_since, gap_fill, nearest_in_band,
@@ -68,12 +69,18 @@ def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes:
                                     sleep_bucket_minutes)
     rows = rows.unionByName(sleep_len, allowMissingColumns=True)
 
+    return rows.groupBy("id", "day").agg(*_daily_agg_exprs())
+
+
+@per_context
+def _daily_agg_exprs() -> list:
+    """Conditional aggregates of the one-pass daily aggregate (AG1-AG7, AG16)."""
     bg = F.col("is_bg")
     v = F.col("value")
     act = F.col("is_act") & ~F.col("is_meditation")
     meal = F.col("is_meal")
     sl = F.col("is_sleep")
-    return rows.groupBy("id", "day").agg(
+    return [
         # AG1 glucose shares (B14 ratio over readings)
         _cnt(bg).alias("bg_count"),
         _pct_of(v.between(70, 180), bg).alias("tir_pct"),
@@ -111,7 +118,7 @@ def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes:
         F.when(_cnt(sl) > 0, _cnt(sl)).alias("sleep_count"),
         F.avg(F.when(sl, F.col("rating"))).alias("sleep_rating"),
         F.when(_cnt(sl) > 0, hours(F.coalesce(F.max("union_us"), F.lit(0)))).alias("sleep_hours"),
-    )
+    ]
 
 
 def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1) -> DataFrame:
@@ -121,8 +128,15 @@ def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1) -> Da
     counts = ["bg_count", "activity_sessions", "meditation_count", "meals", "journal_entries",
               "grocery_entries", "program_starts", "plan_entries", "activity_variety"]
     daily = daily.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
+    stage1, stage2, stage3 = _feature_columns(meal_days_min)
+    return daily.withColumns(stage1).withColumns(stage2).withColumns(stage3)
+
+
+@per_context
+def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
+    """The window / flag columns of ``daily_features`` in three dependent stages."""
     w14, w14_back = nearest_in_band("weight", 14, 10, 18)
-    out = daily.withColumns({
+    stage1 = {
         # glucose
         "tir_prev_logged": prev_logged("tir_pct"),
         "tir_prev_day": prev_calendar_day("tir_pct"),
@@ -156,9 +170,9 @@ def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1) -> Da
         "sleep_prev_logged": prev_logged("sleep_hours"),
         "sleep_avg_7d": rolling(F.avg, "sleep_hours", 7),
         "sleep_rating_avg_7d": rolling(F.avg, "sleep_rating", 7),
-    })
-    out = out.withColumn("video_completed_7d", any_in_last("video_completed_today", 7))
-    return out.withColumns({
+    }
+    stage2 = {"video_completed_7d": any_in_last("video_completed_today", 7)}
+    stage3 = {
         "tir_delta_1d": F.col("tir_pct") - F.col("tir_prev_logged"),
         "active_minutes_delta_1d": F.col("active_minutes") - F.col("active_minutes_prev_logged"),
         "activity_same_or_more": flag(
@@ -183,7 +197,8 @@ def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1) -> Da
         "meditation_today": flag(F.col("meditation_count") > 0),
         "grocery_today": flag(F.col("grocery_entries") > 0),
         "program_started_today": flag(F.col("program_starts") > 0),
-    })
+    }
+    return stage1, stage2, stage3
 
 
 # ---------------------------------------------------------------------------

@@ -51,6 +51,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import case_label
 from daybook.functions.timeutil import date_from_epoch_millis, epoch_millis, local_date
 from daybook.sources.tables import load
@@ -72,9 +73,15 @@ def events_base(spark: SparkSession, base: str, events: DataFrame | None = None)
 
 
 def with_role_columns(ev: DataFrame) -> DataFrame:
+    first, second = _role_columns()
+    return ev.withColumns(first).withColumns(second)
+
+
+@per_context
+def _role_columns() -> tuple[dict, dict]:
     et = F.col("event_type")
     k = F.col("k")
-    return ev.withColumns({
+    return ({
         "is_bg": (et == "view") & F.col("status").isin(*K.ACTIVE_STATUS),
         "is_act": et == "click",
         "exercisetype": F.lit(30040) + k % 8,
@@ -91,7 +98,7 @@ def with_role_columns(ev: DataFrame) -> DataFrame:
         "is_journal": k % 7 == 0,
         "is_plan": (k % 13 == 0) & (k % 3 + 1 != 3),
         "plan_status": k % 3 + 1,
-    }).withColumns({
+    }, {
         "is_meditation": F.col("is_act") & (F.col("exercisetype") == K.MEDITATION_EXERCISE_TYPE),
         "meal_type": case_label("meal_type_id", K.MEAL_TYPE_MAPPING),
     })

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import ladder, safe_abs_lte, safe_eq, safe_gt, safe_gte, safe_lte, safe_range
 
 CATEGORIES = ["weight", "glucose", "activity", "steps", "food_logging", "nutrient_targets",
@@ -29,6 +30,11 @@ def focus_allows(category: str, focus_map: dict[str, list[str]] = K.SCORING_FOCU
 
 
 def category_points(ctx: DataFrame, keep: bool = False) -> DataFrame:
+    return ctx.select(*(["*"] if keep else ["id", "day"]), *_point_columns())
+
+
+@per_context
+def _point_columns() -> list:
     c = F.col
     lose = c("has_weight_goal") & (c("weight_goal_type") == "lose")
     maintain = c("has_weight_goal") & (c("weight_goal_type") == "maintain")
@@ -76,10 +82,8 @@ def category_points(ctx: DataFrame, keep: bool = False) -> DataFrame:
     bonus = (F.when(c("video_completed_today"), bp["exercise_video_completed"]).otherwise(0)
              + F.when(c("program_started_today"), bp["exercise_program_started"]).otherwise(0)
              + F.when(c("grocery_today"), bp["grocery_shopping_online"]).otherwise(0))
-    return ctx.select(
-        *(["*"] if keep else ["id", "day"]),
-        *[F.when(included[cat], points[cat]).alias(f"{cat}_pts") for cat in CATEGORIES],
-        bonus.alias("bonus_pts"))
+    return [*[F.when(included[cat], points[cat]).alias(f"{cat}_pts") for cat in CATEGORIES],
+            bonus.alias("bonus_pts")]
 
 
 def tier(pct) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.functions import constants as K
+from daybook.functions.cache import per_context
 from daybook.functions.exprs import safe_gte
 from daybook.plans import assemble, candidates, history, score
 
@@ -76,13 +77,24 @@ def ranked(ctx: DataFrame) -> DataFrame:
     Every later step is a window on (id, day, kind[, category]) or a filter,
     so the rule inputs are computed once and no branch is joined back.
     """
+    e = _ranked_exprs()
+    df = ctx.select("*", e["inline"])
+    df = df.withColumns({"priority": e["priority"], "forced": e["forced"], "allowed": e["allowed"],
+                         "jitter": e["jitter"]})
+    df = df.withColumn("_any", e["any_allowed"]).filter(e["keep"])
+    df = df.withColumn("tier", e["tier"])
+    return df.withColumn("_fg", e["forced_g"]).filter(e["drop_glucose"]).drop("_any", "_fg")
+
+
+@per_context
+def _ranked_exprs() -> dict:
     pos = F.transform(candidates.positive_array(), lambda x: F.struct(F.lit("action").alias("kind"), x["key"].alias("key"),
                                                                      x["category"].alias("category"), x["base"].alias("base"),
                                                                      x["text"].alias("text")))
     opp = F.transform(candidates.opportunity_array(), lambda x: F.struct(F.lit("opportunity").alias("kind"), x["key"].alias("key"),
                                                                         x["category"].alias("category"), x["base"].alias("base"),
                                                                         x["text"].alias("text")))
-    df = ctx.select("*", F.inline(F.concat(pos, opp)))
+    inline = F.inline(F.concat(pos, opp))
     pr = K.PRIORITY_RULES
     cat = c("category")
     is_act = c("kind") == "action"
@@ -94,23 +106,21 @@ def ranked(ctx: DataFrame) -> DataFrame:
     prio = F.when(is_act, (F.lit(100) - c("base")) + journey + good_tir + wgoal).otherwise(c("base")) + _common_boosts(cat)
     forced = is_act & (c("key") == "journey_task_completed") & c("has_active_journey") & c("journey_task_completed")
     allowed = category_allowed(cat) | (~is_act & c("key").isin(*K.CLINICAL_SAFETY_OPPORTUNITIES))
-    df = df.withColumns({"priority": prio, "forced": forced, "allowed": allowed,
-                         "jitter": candidates.jitter("id", "day", "key")})
     w_kind = Window.partitionBy("id", "day", "kind")
     any_allowed = F.max(F.when(~c("forced"), c("allowed"))).over(w_kind)
-    df = df.withColumn("_any", any_allowed).filter(c("forced") | c("allowed") | ~F.coalesce(c("_any"), F.lit(False)))
+    keep = c("forced") | c("allowed") | ~F.coalesce(c("_any"), F.lit(False))
     order = [c("priority").desc(), c("jitter")]
     g_rank = F.row_number().over(Window.partitionBy("id", "day", "kind", "category").orderBy(*order))
     tir_ok = c("has_cgm") & (safe_gte("tir_pct", c("tir_positive"))
                             | (c("tir_prev").isNotNull() & F.coalesce(c("tir_pct") > c("tir_prev"), F.lit(False))))
     tier = (F.when(c("forced"), 0)
             .when(is_act & tir_ok & (cat == "glucose") & (g_rank == 1), 1).otherwise(2))
-    df = df.withColumn("tier", tier)
     forced_g = F.max(F.when(c("tier") == 1, 1).otherwise(0)).over(w_kind)
     # the forced glucose pick removes the other glucose actions
-    return (df.withColumn("_fg", forced_g)
-            .filter(~(is_act & (cat == "glucose") & (c("tier") == 2) & (c("_fg") == 1)))
-            .drop("_any", "_fg"))
+    drop_glucose = ~(is_act & (cat == "glucose") & (c("tier") == 2) & (c("_fg") == 1))
+    return {"inline": inline, "priority": prio, "forced": forced, "allowed": allowed,
+            "jitter": candidates.jitter("id", "day", "key"), "any_allowed": any_allowed, "keep": keep,
+            "tier": tier, "forced_g": forced_g, "drop_glucose": drop_glucose}
 
 
 def selected(rk: DataFrame, k: int = K.MAX_POSITIVE_ACTIONS) -> DataFrame:
