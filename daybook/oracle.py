@@ -1153,3 +1153,12 @@ register("sheet_roundtrip", """
 SELECT lang, source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars,
   count(*) FILTER (WHERE contains(text, chr(10))) AS multi_line
 FROM documents GROUP BY lang, source""", [])
+
+register("report_day", """
+SELECT r.id, r.day, r.score, r.rating, COALESCE(a.actions, '') AS actions, o.key AS opportunity_key, res.message_text
+FROM rating r
+JOIN result res ON r.id = res.id AND r.day = res.day
+LEFT JOIN (SELECT id, day, array_to_string(list(key ORDER BY slot), ',') AS actions FROM top_acts GROUP BY id, day) a
+  ON r.id = a.id AND r.day = a.day
+LEFT JOIN top_opp o ON r.id = o.id AND r.day = o.day
+WHERE r.day = (SELECT CAST(max(ts) AS DATE) FROM events)""", ["rating", "result", "top_acts", "top_opp"])

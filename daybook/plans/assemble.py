@@ -58,12 +58,20 @@ def nutrient_counters(df: DataFrame) -> DataFrame:
     })
 
 
-def daily_wide(spark: SparkSession, base: str) -> DataFrame:
-    """Features + per-id dimensions + per-day medication adherence."""
-    feat = fe.daily_features(spark, base)
+def daily_wide(spark: SparkSession, base: str, events: DataFrame | None = None,
+               report_day=None) -> DataFrame:
+    """Features + per-id dimensions + per-day medication adherence.
+
+    With ``report_day`` the feature frame is cut to that day right after its
+    window stage and before any dimension join (O3): the joins see one row
+    per id instead of one per id and day.
+    """
+    feat = fe.daily_features(spark, base, events=events)
+    if report_day is not None:
+        feat = feat.filter(F.col("day") == F.lit(report_day).cast("date"))
     meds = fe.medication_state(spark, base)
     wide = (feat
-            .join(fe.focus_per_id(spark, base), "id", "left")
+            .join(fe.focus_per_id(spark, base, events), "id", "left")
             .join(fe.orders_dims(spark, base), "id", "left")
             .join(fe.goals_per_id(spark, base), "id", "left")
             .join(meds["state"], "id", "left")
@@ -130,5 +138,5 @@ def _rule_input_columns() -> list:
     ]
 
 
-def context(spark: SparkSession, base: str) -> DataFrame:
-    return rule_inputs(daily_wide(spark, base))
+def context(spark: SparkSession, base: str, events: DataFrame | None = None, report_day=None) -> DataFrame:
+    return rule_inputs(daily_wide(spark, base, events, report_day))

@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from daybook.functions import constants as K
 from daybook.functions.cache import per_context
-from daybook.functions.exprs import flag, lenient_int, map_label, safe_pct
+from daybook.functions.exprs import case_label, flag, lenient_int, map_label, safe_pct
 from daybook.operators.intervals import hours, union_length_micros
 from daybook.operators.windows import (any_in_last, days_since, gap_fill, nearest_in_band,
                                        pct_change, prev_calendar_day, prev_logged, range_days,
@@ -69,7 +69,10 @@ def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes:
                                     sleep_bucket_minutes)
     rows = rows.unionByName(sleep_len, allowMissingColumns=True)
 
-    return rows.groupBy("id", "day").agg(*_daily_agg_exprs())
+    agg = rows.groupBy("id", "day").agg(*_daily_agg_exprs())
+    # label after the aggregate: the buffer stays primitive (hash aggregate)
+    return agg.withColumn("last_meal_type", case_label("last_meal_type_id", K.MEAL_TYPE_MAPPING)) \
+        .drop("last_meal_type_id")
 
 
 @per_context
@@ -92,20 +95,21 @@ def _daily_agg_exprs() -> list:
         # AG2 activity (meditation excluded, B7), AG6 meditation presence
         F.sum(F.when(act, v)).alias("active_minutes"),
         _cnt(act).alias("activity_sessions"),
-        F.count_distinct(F.when(act, F.col("exercisetype"))).alias("activity_variety"),
+        # distinct over an enum (bounded set): object-hash aggregate, no Expand
+        F.size(F.collect_set(F.when(act, F.col("exercisetype")))).cast("bigint").alias("activity_variety"),
         _cnt(F.col("is_meditation")).alias("meditation_count"),
         F.max(F.when(F.col("is_video"), F.col("video_pct"))).alias("video_completion_pct"),
         # AG3 steps (B8 non-null)
         F.sum(F.when(F.col("is_step"), F.col("steps_v"))).alias("steps"),
         # AG5/E7 latest weight of the day
-        F.max(F.when(F.col("is_weight"), F.struct("ts", "weight_v"))).getField("weight_v").alias("weight"),
+        F.max_by(F.when(F.col("is_weight"), F.col("weight_v")), F.when(F.col("is_weight"), F.col("ts"))).alias("weight"),
         # AG4 nutrients + distinct meals, AG5 last meal type
-        F.count_distinct(F.when(meal, F.col("meal_type_id"))).alias("meals"),
+        F.size(F.collect_set(F.when(meal, F.col("meal_type_id")))).cast("bigint").alias("meals"),
         F.sum(F.when(meal, v / 5)).alias("carbs"),
         F.sum(F.when(meal, v / 10)).alias("protein"),
         F.sum(F.when(meal, v / 15)).alias("fat"),
         F.sum(F.when(meal, v * 2)).alias("calories"),
-        F.max(F.when(meal, F.struct("ts", "meal_type"))).getField("meal_type").alias("last_meal_type"),
+        F.max_by(F.when(meal, F.col("meal_type_id")), F.when(meal, F.col("ts"))).alias("last_meal_type_id"),
         # AG6 presence counts
         _cnt(F.col("is_journal")).alias("journal_entries"),
         _cnt(F.col("is_grocery")).alias("grocery_entries"),
@@ -121,9 +125,10 @@ def _daily_agg_exprs() -> list:
     ]
 
 
-def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1) -> DataFrame:
+def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1,
+                   events: DataFrame | None = None) -> DataFrame:
     """Dense (id, day) frame with deltas, rolling windows and flags."""
-    daily = gap_fill(daily_event_aggregates(spark, base))
+    daily = gap_fill(daily_event_aggregates(spark, base, events=events))
     # turn "no row today" into 0 for count columns, keep NULL for measures
     counts = ["bg_count", "activity_sessions", "meditation_count", "meals", "journal_entries",
               "grocery_entries", "program_starts", "plan_entries", "activity_variety"]
@@ -205,9 +210,9 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
 # per-id dimensions
 # ---------------------------------------------------------------------------
 
-def focus_per_id(spark: SparkSession, base: str) -> DataFrame:
+def focus_per_id(spark: SparkSession, base: str, events: DataFrame | None = None) -> DataFrame:
     """B11 + AG14: JSON array -> explode -> active ids -> sorted distinct names."""
-    js = roles.focus_json(roles.events_base(spark, base))
+    js = roles.focus_json(roles.events_base(spark, base, events))
     schema = "array<struct<MyFocusID:int,IsMyFocus:int,FocusOptionID:int>>"
     items = js.select("id", F.explode(F.from_json("myfocusdata", schema)).alias("f"))
     named = (items.filter(F.col("f.IsMyFocus") == 1)

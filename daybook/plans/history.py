@@ -33,9 +33,9 @@ def key_category(key) -> Column:
     return out.otherwise(F.lit("explore"))
 
 
-def history_from_events(spark: SparkSession, base: str) -> DataFrame:
+def history_from_events(spark: SparkSession, base: str, events: DataFrame | None = None) -> DataFrame:
     """A history table derived from ``events`` (message_date = local day + 1)."""
-    ev = roles.events_base(spark, base)
+    ev = roles.events_base(spark, base, events)
     et = F.col("event_type")
     cat = F.create_map(*[x for kv in _EVENT_CATEGORY.items() for x in map(F.lit, kv)])[et]
     key = F.when(et == "signup", F.when(F.col("k") % 2 == 0, F.lit("weight_decreased"))

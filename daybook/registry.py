@@ -701,3 +701,14 @@ def q_sheet_roundtrip(spark, base):
     return back.groupBy("lang", "source").agg(
         F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"),
         F.count_if(F.col("text").contains("\n")).alias("multi_line"))
+
+
+@query("report_day")
+def q_report_day(spark, base):
+    """The production daily run for the newest day in the data: lookback-pruned
+    event scan, day filter before the dimension joins, rating and picks for that day."""
+    from daybook.plans import daily
+    d = daily.last_event_day(spark, base)
+    res = daily.report_day_result(spark, base, d)
+    return res.select("id", "day", "score", "rating", F.array_join("action_keys", ",").alias("actions"),
+                      "opportunity_key", "message_text")
