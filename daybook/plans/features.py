@@ -232,7 +232,11 @@ def orders_dims(spark: SparkSession, base: str) -> DataFrame:
     journey = F.when(F.col("o_orderkey") % 7 == 0,
                      F.when(st == "O", 1).when(st == "F", 2).when(st == "P", 3))
     done = F.when(st == "F", 2).otherwise(1)
-    latest = F.max_by(F.col("o_orderkey") % 3 + 1, F.struct("o_orderdate", "o_orderkey"))
+    # latest order by (date, key) as ONE exact decimal key (epoch seconds * 1e19 + key):
+    # same order as the pair, and a primitive buffer keeps it a hash aggregate
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
+    order_key = secs.cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)") + F.col("o_orderkey").cast("decimal(38,0)")
+    latest = F.max_by(F.col("o_orderkey") % 3 + 1, order_key)
     agg = o.groupBy("id").agg(
         latest.cast("int").alias("a1c_target_id"),
         F.count_if(journey == 1).alias("active_journey_count"),
@@ -280,15 +284,27 @@ def medication_state(spark: SparkSession, base: str, run_date: str | None = None
         "doses_per_day", lenient_int("frequencyvalue", 1))
     open_end = F.lit(run_date).cast("date") if run_date else F.lit("2100-01-01").cast("date")
     rx = rx.withColumn("rx_end", F.coalesce(F.col("discontinueddate"), open_end))
-    # Doses whose prescription is active (semi join), status taken
-    dose = src["dose"].filter(F.col("statusid") == 1).join(
-        rx.select("medprescriptionid"), "medprescriptionid", "left_semi")
-    per_med_day = dose.groupBy("id", "day", "medicationid").agg(F.count("*").alias("doses_taken"))
-    rx_per_med = rx.groupBy("id", "medicationid").agg(
-        F.sum("doses_per_day").alias("expected"), F.min("startdate").alias("rx_start"),
-        F.max("rx_end").alias("rx_end"))
-    # Validity range after the left join (no prescription row also counts)
-    joined = per_med_day.join(rx_per_med, ["id", "medicationid"], "left").filter(
+    # One read of the prescription/dose lines. The key joins of the original
+    # become windows on that frame (keys may repeat, so they are set semantics,
+    # not same-row shortcuts):
+    #   C6  dose kept when its prescription id has an active row  -> max over the id
+    #   C9  per-medication totals of the active prescriptions      -> window over (id, med)
+    lines = src["lines"].withColumns({"doses_per_day": lenient_int("frequencyvalue", 1),
+                                      "rx_end": F.coalesce(F.col("discontinueddate"), open_end),
+                                      "active": F.col("statusid") == 1})
+    act = F.col("active")
+    w_rx = Window.partitionBy("medprescriptionid")
+    w_med = Window.partitionBy("id", "medicationid")
+    lines = lines.withColumn("rx_id_active", F.max(act).over(w_rx)).withColumns({
+        "expected": F.sum(F.when(act, F.col("doses_per_day"))).over(w_med),
+        "rx_start": F.min(F.when(act, F.col("startdate"))).over(w_med),
+        "rx_end_med": F.max(F.when(act, F.col("rx_end"))).over(w_med)})
+    dose = lines.filter((F.col("dose_statusid") == 1) & F.col("rx_id_active"))
+    joined = dose.groupBy("id", "day", "medicationid").agg(
+        F.count("*").alias("doses_taken"), F.first("expected").alias("expected"),
+        F.first("rx_start").alias("rx_start"), F.first("rx_end_med").alias("rx_end"))
+    # Validity range (no active prescription row also counts)
+    joined = joined.filter(
         F.col("rx_start").isNull() | F.col("day").between(F.col("rx_start"), F.col("rx_end")))
     joined = joined.withColumn("expected", F.coalesce(F.col("expected"), F.lit(1)).cast("bigint"))
     daily = joined.groupBy("id", "day").agg(

@@ -172,7 +172,19 @@ def medication_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
         F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("statusid"),
         F.to_date("l_shipdate").alias("day"))
+    # all roles of a line in one projection (the adherence branch reads this once)
+    lines = lo.select(
+        F.col("o_custkey").alias("id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
+        F.col("l_partkey").alias("medicationid"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit("daily"))
+         .otherwise(F.col("l_linenumber").cast("string")).alias("frequencyvalue"),
+        F.to_date("o_orderdate").alias("startdate"),
+        F.when(F.col("o_orderstatus") == "F", F.date_add(F.to_date("l_shipdate"), 30)).alias("discontinueddate"),
+        F.when((F.col("l_linestatus") == "F") & (F.col("o_orderstatus") == "F"), 2).otherwise(1).alias("statusid"),
+        F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("dose_statusid"),
+        F.to_date("l_shipdate").alias("day"))
     schedule = li.filter(F.col("l_quantity") > 25).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
         (F.col("l_quantity").cast("int") % 2).cast("string").alias("medicationreminder"))
-    return {"class": med_class, "rx": rx, "dose": dose, "schedule": schedule}
+    return {"class": med_class, "rx": rx, "dose": dose, "schedule": schedule, "lines": lines}
