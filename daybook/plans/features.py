@@ -285,24 +285,27 @@ def medication_state(spark: SparkSession, base: str, run_date: str | None = None
     open_end = F.lit(run_date).cast("date") if run_date else F.lit("2100-01-01").cast("date")
     rx = rx.withColumn("rx_end", F.coalesce(F.col("discontinueddate"), open_end))
     # One read of the prescription/dose lines. The key joins of the original
-    # become windows on that frame (keys may repeat, so they are set semantics,
-    # not same-row shortcuts):
-    #   C6  dose kept when its prescription id has an active row  -> max over the id
-    #   C9  per-medication totals of the active prescriptions      -> window over (id, med)
+    # become windows (keys may repeat, so they keep set semantics):
+    #   C6  dose kept when its prescription id has an active row -> max over the id
+    #       (a group is the duplicates of one prescription id)
+    #   C9  per-medication totals of the active prescriptions     -> aggregate to
+    #       (id, medication, day) first (map-side combine), then a window over
+    #       (id, medication) on that day grain, so no group holds raw rows
     lines = src["lines"].withColumns({"doses_per_day": lenient_int("frequencyvalue", 1),
                                       "rx_end": F.coalesce(F.col("discontinueddate"), open_end),
                                       "active": F.col("statusid") == 1})
     act = F.col("active")
-    w_rx = Window.partitionBy("medprescriptionid")
+    lines = lines.withColumn("rx_id_active", F.max(act).over(Window.partitionBy("medprescriptionid")))
+    per = lines.groupBy("id", "medicationid", "day").agg(
+        F.count_if((F.col("dose_statusid") == 1) & F.col("rx_id_active")).alias("doses_taken"),
+        F.sum(F.when(act, F.col("doses_per_day"))).alias("_exp"),
+        F.min(F.when(act, F.col("startdate"))).alias("_start"),
+        F.max(F.when(act, F.col("rx_end"))).alias("_end"))
     w_med = Window.partitionBy("id", "medicationid")
-    lines = lines.withColumn("rx_id_active", F.max(act).over(w_rx)).withColumns({
-        "expected": F.sum(F.when(act, F.col("doses_per_day"))).over(w_med),
-        "rx_start": F.min(F.when(act, F.col("startdate"))).over(w_med),
-        "rx_end_med": F.max(F.when(act, F.col("rx_end"))).over(w_med)})
-    dose = lines.filter((F.col("dose_statusid") == 1) & F.col("rx_id_active"))
-    joined = dose.groupBy("id", "day", "medicationid").agg(
-        F.count("*").alias("doses_taken"), F.first("expected").alias("expected"),
-        F.first("rx_start").alias("rx_start"), F.first("rx_end_med").alias("rx_end"))
+    joined = per.select(
+        "id", "medicationid", "day", "doses_taken", F.sum("_exp").over(w_med).alias("expected"),
+        F.min("_start").over(w_med).alias("rx_start"), F.max("_end").over(w_med).alias("rx_end")
+    ).filter(F.col("doses_taken") > 0)
     # Validity range (no active prescription row also counts)
     joined = joined.filter(
         F.col("rx_start").isNull() | F.col("day").between(F.col("rx_start"), F.col("rx_end")))

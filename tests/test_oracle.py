@@ -8,7 +8,8 @@ from tests.compare import compare, duck
 BASE = "/root/testdata/sf0.001"
 FAST = ["local_day_counts", "enum_labels", "day_range_shares", "rolling_windows", "band_asof_14d",
         "interval_union_hours", "capped_adherence", "daily_rating", "top_actions", "top_opportunity",
-        "history_state", "text_checks", "pass_rates", "label_normalise", "change_set", "upsert_audit"]
+        "history_state", "text_checks", "pass_rates", "label_normalise", "change_set", "upsert_audit",
+        "report_day", "sheet_roundtrip", "partition_overwrite"]
 
 
 @pytest.fixture(scope="module")
