@@ -1162,3 +1162,7 @@ LEFT JOIN (SELECT id, day, array_to_string(list(key ORDER BY slot), ',') AS acti
   ON r.id = a.id AND r.day = a.day
 LEFT JOIN top_opp o ON r.id = o.id AND r.day = o.day
 WHERE r.day = (SELECT CAST(max(ts) AS DATE) FROM events)""", ["rating", "result", "top_acts", "top_opp"])
+
+register("tip_pick", """
+SELECT f.id, f.day, f.tip_key AS food_tip, s.tip_key AS sleep_tip
+FROM food_tip f JOIN sleep_tip s ON f.id = s.id AND f.day = s.day""", ["food_tip", "sleep_tip"])

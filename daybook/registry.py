@@ -712,3 +712,12 @@ def q_report_day(spark, base):
     res = daily.report_day_result(spark, base, d)
     return res.select("id", "day", "score", "rating", F.array_join("action_keys", ",").alias("actions"),
                       "opportunity_key", "message_text")
+
+
+@query("tip_pick")
+def q_tip_pick(spark, base):
+    """H5: per (id, day) the food and sleep tip a suggestion would use: unseen in
+    the last 6 days first, hash-ranked, all tips when every one was shown."""
+    ctx = sel.context_with_history(spark, base)
+    return ctx.select("id", "day", cand.tip_pick(K.FOOD_TIPS)["key"].alias("food_tip"),
+                      cand.tip_pick(K.SLEEP_TIPS)["key"].alias("sleep_tip"))
