@@ -1166,3 +1166,13 @@ WHERE r.day = (SELECT CAST(max(ts) AS DATE) FROM events)""", ["rating", "result"
 register("tip_pick", """
 SELECT f.id, f.day, f.tip_key AS food_tip, s.tip_key AS sleep_tip
 FROM food_tip f JOIN sleep_tip s ON f.id = s.id AND f.day = s.day""", ["food_tip", "sleep_tip"])
+
+register("weekly_context", """
+SELECT id, day, weekly_context,
+  CAST(len(list_filter(string_split(weekly_context, chr(10)), lambda x: x <> '')) AS INTEGER) AS n_lines
+FROM (SELECT id, day, concat_ws(chr(10),
+  CASE WHEN sleep_hours >= 7 AND sleep_avg_7d < 7 THEN 'Sleep last night met the goal, but the 7-day average is below it.' END,
+  CASE WHEN sleep_rating >= 7 AND sleep_rating_avg_7d < 7 THEN 'Sleep rating was good last night, but the 7-day average rating is lower.' END,
+  CASE WHEN active_minutes > 0 AND weekly_active_minutes < 150 THEN 'Active yesterday, but the weekly total is below 150 minutes.' END,
+  CASE WHEN took_all_meds AND med_adherence_7d_avg < 50 THEN 'All medications taken yesterday, but 7-day adherence is below 50%.' END) AS weekly_context
+  FROM ctx)""", ["ctx"])

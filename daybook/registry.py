@@ -721,3 +721,12 @@ def q_tip_pick(spark, base):
     ctx = sel.context_with_history(spark, base)
     return ctx.select("id", "day", cand.tip_pick(K.FOOD_TIPS)["key"].alias("food_tip"),
                       cand.tip_pick(K.SLEEP_TIPS)["key"].alias("sleep_tip"))
+
+
+@query("weekly_context")
+def q_weekly_context(spark, base):
+    """Per (id, day) the lines where yesterday and the 7-day view disagree."""
+    ctx = asm.context(spark, base)
+    wk = rnd.weekly_context(ctx)
+    return ctx.select("id", "day", wk.alias("weekly_context"),
+                      F.size(F.filter(F.split(wk, "\n"), lambda x: x != "")).alias("n_lines"))
