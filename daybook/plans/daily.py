@@ -30,8 +30,10 @@ def pruned_events(spark: SparkSession, base: str, report_day: dt.date, lookback_
     lo = dt.datetime.combine(report_day - dt.timedelta(days=lookback_days + 1), dt.time())
     hi = dt.datetime.combine(report_day + dt.timedelta(days=2), dt.time())
     ts = F.col("ts")
-    return load(spark, base, "events", EVENT_COLS).filter(
-        (ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+    # string literals: a Python datetime literal would pass through the process time zone
+    lo_lit = F.lit(lo.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    hi_lit = F.lit(hi.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return load(spark, base, "events", EVENT_COLS).filter((ts >= lo_lit) & (ts < hi_lit))
 
 
 def report_day_result(spark: SparkSession, base: str, report_day: dt.date,
