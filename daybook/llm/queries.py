@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import mix, shard, simhash
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: four-word shingles, four differing bits."""
     return simhash.simhash_groups(read(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
+
+
+@query("op8_mix_sources")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in the mix, by pivotal dependent rounding."""
+    return mix.mixed(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_feistel_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; law ``rows``: shard counts differ by one at most."""
+    return shard.shard_rows(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
