@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mix, shard, simhash
+from . import mix, shard, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, read(spark, sf_dir, "labels"))).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 @query("op7_simhash_groups")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: four-word shingles, four differing bits."""
