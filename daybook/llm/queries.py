@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mix, shard, simhash, toxicity
+from . import decontaminate, html_text, itq, mix, shard, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with the best window of each."""
@@ -38,6 +44,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+@query("op6_itq_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at cosine 0.9."""
+    return itq.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query("op7_simhash_groups")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: four-word shingles, four differing bits."""
