@@ -18,8 +18,8 @@
 4. Score. A logistic curve over evidence and length, fitted with each
    training document's own vote taken out of the weights.
 
-Weights and curve are fitted on at most TRAIN_ROWS labelled rows (a documented
-bound; the rows with the smallest hashes). Everything else covers all rows.
+Weights and curve are fitted on about TRAIN_ROWS labelled documents at most (a documented
+bound; the doc_ids with the smallest hashes). Everything else covers all rows.
 Only the text is scored. Null and empty texts get the score of no evidence.
 Repeated rows score alike. Without toxic and clean training rows the score is
 the share of toxic labels (0 if there are none).
@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from . import words
 from .common import saved, text_key
 
-#: Most labelled rows the weights and the curve are fitted on.
-TRAIN_ROWS = 30_000
+#: About so many labelled documents at most fit the weights and the curve (their ids are broadcast).
+TRAIN_ROWS = 20_000
 #: Most candidate features kept, the most frequent in toxic documents first.
 MAX_FEATURES = 60_000
 PREFIX = range(3, 8)
@@ -288,12 +288,8 @@ def _doc_features(part, cuts, model, known):
 
 
 def fit(train: DataFrame, model: np.ndarray) -> tuple[Weights, np.ndarray]:
-    """Weights and curve from rows (text, toxic, pick); pick is a hash: about TRAIN_ROWS with the smallest are used."""
+    """Weights and curve from all rows (text, toxic) of train."""
     spark = train.sparkSession
-    total = train.groupBy().agg(F.count("*"), F.expr("count_if(toxic = 1)")).first()
-    if total[0] > TRAIN_ROWS:
-        train = train.filter(F.pmod("pick", F.lit(1_000_000)) < int(TRAIN_ROWS / total[0] * 1_000_000))
-    train = saved(train.select("text", "toxic").repartition(max(8, spark.sparkContext.defaultParallelism)), "toxic-train")
     counts = {bool(r[0]): r[1] for r in train.groupBy(F.col("toxic") == 1).count().collect()}
     n_toxic, n_clean = counts.get(True, 0), counts.get(False, 0)
     empty = np.zeros(0, np.uint64)
@@ -358,11 +354,14 @@ def fit(train: DataFrame, model: np.ndarray) -> tuple[Weights, np.ndarray]:
 
 def trained(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Weights, np.ndarray]:
     """Character model of all docs; weights and curve from the labelled rows not held out."""
-    rows = (labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-            .join(docs.select("doc_id", "text"), "doc_id").filter(~_held_out()).filter("text IS NOT NULL")
-            .select("text", "toxic", F.xxhash64("doc_id", F.lit(4)).alias("pick")))
+    own = saved(labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic")).filter(~_held_out()), "toxic-labels")
+    share = min(1.0, TRAIN_ROWS / max(1, own.count()))
+    picked = own.filter(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text IS NOT NULL").join(
+        F.broadcast(picked.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")), "doc_id").select("text", "toxic")
     model = character_model(docs)
-    return (model, *fit(saved(rows, "toxic-labels"), model))
+    return (model, *fit(saved(rows, "toxic-train"), model))
 
 
 def _held_out() -> F.Column:
