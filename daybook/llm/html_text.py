@@ -97,6 +97,9 @@ class _Lines(HTMLParser):
     def _nested_in(self, *tags: str) -> bool:
         return any(t in tags for t, _, _ in self.open)
 
+    def parse_marked_section(self, i, report=1):
+        return self.parse_bogus_comment(i)  # as browsers do; the base class fails on unknown sections
+
     def handle_startendtag(self, tag, attrs) -> None:
         self.tags += 1
         if tag in _BLOCKS:
