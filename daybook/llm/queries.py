@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, itq, mix, shard, simhash, toxicity
+from . import decontaminate, html_text, itq, mix, shard, simhash, tokens, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "item_id", "similarity", "first_word", "n_words")
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return tokens.token_counts(read(spark, sf_dir, "documents"))
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
