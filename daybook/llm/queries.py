@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, itq, mix, shard, simhash, tokens, toxicity
-from .common import read
+from . import decontaminate, html_text, itq, licenses, mix, secrets, shard, simhash, tokens, toxicity
+from .common import n_words, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+def _as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents laid out as files, as they have no paths: source / language / 16 ids / id.
+
+    A document of under 80 words whose last line is licence wording stands for
+    its directory's licence file.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    last = F.lower(F.element_at(F.split("text", "\n"), -1))
+    name = F.when((n_words() < 80) & last.contains("licen"), F.lit("LICENSE")).otherwise(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", F.expr("cast(doc_id div 16 as string)"), name).alias("path"))
+
+
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, by its header or its directory's licence file."""
+    return licenses.licenses(_as_files(spark, sf_dir))
+
+
 @query("op6_itq_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all embeddings at cosine 0.9."""
@@ -76,3 +95,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_rows(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of every document with the forest's probability."""
+    return secrets.scan(_as_files(spark, sf_dir))
