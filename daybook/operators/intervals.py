@@ -44,11 +44,11 @@ def union_length_micros(df: DataFrame, keys: list[str], start: str, end: str,
         *keys, "_b",
         F.greatest(F.col("_s"), F.col("_b") * w_us).alias("_ps"),
         F.least(F.col("_e"), (F.col("_b") + 1) * w_us).alias("_pe"))
-    # one exchange on (keys, bucket) serves both the per-start aggregate and the
-    # sweep window (a hot key's day is spread over its buckets); only the
-    # final per-group sum shuffles again, after map-side combine to one row
-    # per group and task
-    pieces = pieces.repartition(*keys, "_b")
+    # pieces with the same start are combined map-side (most of a hot bucket's
+    # pieces start at its edge), so what is exchanged is bounded by the distinct
+    # starts; the sweep window then needs one more exchange on (keys, bucket)
+    # of the combined rows, and the per-group sum shuffles one row per group
+    # and task
     pieces = pieces.groupBy(*keys, "_b", "_ps").agg(F.max("_pe").alias("_pe"))
     w = (Window.partitionBy(*keys, "_b").orderBy("_ps")
          .rowsBetween(Window.unboundedPreceding, -1))

@@ -30,8 +30,10 @@ def rows_back(n: int, id_col: str = "id", day_col: str = "day") -> WindowSpec:
 
 
 def gap_fill(df: DataFrame, id_col: str = "id", day_col: str = "day",
-             flag_col: str = "is_logged") -> DataFrame:
-    """Dense id x day spine from each id's first to last logged day.
+             flag_col: str = "is_logged", last_day: Column | None = None) -> DataFrame:
+    """Dense id x day spine from each id's first logged day to ``last_day``
+    (its own last logged day if that is later or no day is given), so a silent
+    id still has a row on the report day.
 
     Each logged row emits itself plus the empty days up to the next logged
     row (``lead`` + ``explode(sequence)``), so no cross join and no global
@@ -41,10 +43,11 @@ def gap_fill(df: DataFrame, id_col: str = "id", day_col: str = "day",
     nxt = F.lead(day_col).over(by_day(id_col, day_col))
     measures = [c for c in df.columns if c not in (id_col, day_col)]
     with_next = df.withColumn("_next", nxt)
+    end = F.col(day_col) if last_day is None else F.greatest(F.col(day_col), last_day)
     exploded = with_next.select(
         id_col, day_col, *measures,
         F.explode(F.sequence(F.col(day_col),
-                             F.coalesce(F.date_sub(F.col("_next"), 1), F.col(day_col)))).alias("_d"))
+                             F.coalesce(F.date_sub(F.col("_next"), 1), end))).alias("_d"))
     logged = F.col("_d") == F.col(day_col)
     return exploded.select(
         id_col, F.col("_d").alias(day_col), logged.alias(flag_col),

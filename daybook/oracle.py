@@ -84,7 +84,13 @@ FROM (SELECT *,
         event_type = 'signup' AS is_weight,
         150.0 + value / 10 AS weight_v,
         event_type = 'signup' AND k % 5 = 0 AS is_prog,
+        event_type = 'signup' AND k % 5 = 1 AS is_prog_done,
+        event_type = 'signup' AND k % 5 = 2 AS is_prog_step,
         k % 3 = 0 AS is_meal,
+        event_type = 'purchase' AND k % 9 = 0 AS is_meal_plan,
+        event_type = 'view' AND k % 9 = 1 AS is_article,
+        event_type = 'view' AND k % 9 = 2 AS is_lesson,
+        event_type = 'click' AND k % 9 = 3 AS is_learn_video,
         [1, 3, 5, 12][(k // 3) % 4 + 1] AS meal_type_id,
         k % 7 = 0 AS is_journal,
         k % 13 = 0 AND k % 3 + 1 <> 3 AS is_plan,
@@ -150,6 +156,12 @@ SELECT id, day,
   count(*) FILTER (WHERE is_journal) AS journal_entries,
   count(*) FILTER (WHERE is_grocery) AS grocery_entries,
   count(*) FILTER (WHERE is_prog) AS program_starts,
+  count(*) FILTER (WHERE is_prog_done) AS program_completions,
+  count(*) FILTER (WHERE is_meal_plan) AS meal_plan_events,
+  count(*) FILTER (WHERE is_article) AS article_events,
+  count(*) FILTER (WHERE is_lesson) AS lesson_events,
+  count(*) FILTER (WHERE is_learn_video) AS learn_video_events,
+  count(*) FILTER (WHERE is_prog_step) AS program_steps,
   count(*) FILTER (WHERE is_plan) AS plan_entries,
   max(CASE WHEN is_plan AND plan_status = 1 THEN 1 ELSE 0 END) AS plan_active,
   max(CASE WHEN is_plan AND plan_status = 2 THEN 1 ELSE 0 END) AS plan_completed,
@@ -161,13 +173,17 @@ GROUP BY id, day""", ["roles", "groc", "sleep_daily"])
 cte("dense", """
 SELECT s.id, s.day, a.id IS NOT NULL AS is_logged, (s.day - DATE '1970-01-01') AS dn,
   a.* EXCLUDE (id, day, bg_count, activity_sessions, meditation_count, meals, journal_entries,
-               grocery_entries, program_starts, plan_entries, activity_variety),
+               grocery_entries, program_starts, program_completions, program_steps, plan_entries, activity_variety,
+               meal_plan_events, article_events, lesson_events, learn_video_events),
   COALESCE(a.bg_count, 0) AS bg_count, COALESCE(a.activity_sessions, 0) AS activity_sessions,
   COALESCE(a.meditation_count, 0) AS meditation_count, COALESCE(a.meals, 0) AS meals,
   COALESCE(a.journal_entries, 0) AS journal_entries, COALESCE(a.grocery_entries, 0) AS grocery_entries,
-  COALESCE(a.program_starts, 0) AS program_starts, COALESCE(a.plan_entries, 0) AS plan_entries,
+  COALESCE(a.program_starts, 0) AS program_starts, COALESCE(a.program_completions, 0) AS program_completions,
+  COALESCE(a.meal_plan_events, 0) AS meal_plan_events, COALESCE(a.article_events, 0) AS article_events,
+  COALESCE(a.lesson_events, 0) AS lesson_events, COALESCE(a.learn_video_events, 0) AS learn_video_events,
+  COALESCE(a.program_steps, 0) AS program_steps, COALESCE(a.plan_entries, 0) AS plan_entries,
   COALESCE(a.activity_variety, 0) AS activity_variety
-FROM (SELECT id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+FROM (SELECT id, CAST(unnest(generate_series(min(day), greatest(max(day), (SELECT CAST(max(ts) AS DATE) FROM events)), INTERVAL 1 DAY)) AS DATE) AS day
       FROM agg GROUP BY id) s
 LEFT JOIN agg a USING (id, day)""", ["agg"])
 
@@ -215,7 +231,7 @@ SELECT d.*, b.weight_14d_ago, b.weight_14d_days_back,
   {_any('plan_entries', 7)} AS plan_progress_7d,
   {_any('plan_entries', 30)} AS plan_progress_30d,
   {_any('grocery_entries', 7)} AS grocery_7d,
-  {_any('program_starts', 7)} AS program_7d,
+  {_any('program_steps', 7)} AS program_7d,
   last_value(sleep_hours IGNORE NULLS) {_PREV} AS sleep_prev_logged,
   avg(sleep_hours) {_rng(7)} AS sleep_avg_7d,
   avg(sleep_rating) {_rng(7)} AS sleep_rating_avg_7d
@@ -245,7 +261,13 @@ SELECT *,
   CASE WHEN journal_entries > 0 THEN 1 ELSE 0 END AS journal_today,
   CASE WHEN meditation_count > 0 THEN 1 ELSE 0 END AS meditation_today,
   CASE WHEN grocery_entries > 0 THEN 1 ELSE 0 END AS grocery_today,
-  CASE WHEN program_starts > 0 THEN 1 ELSE 0 END AS program_started_today
+  CASE WHEN program_starts > 0 THEN 1 ELSE 0 END AS program_started_today,
+  CASE WHEN program_completions > 0 THEN 1 ELSE 0 END AS program_completed_today,
+  CASE WHEN meal_plan_events > 0 THEN 1 ELSE 0 END AS meal_plan_today,
+  CASE WHEN article_events > 0 THEN 1 ELSE 0 END AS article_today,
+  CASE WHEN lesson_events > 0 THEN 1 ELSE 0 END AS lesson_today,
+  CASE WHEN learn_video_events > 0 THEN 1 ELSE 0 END AS learn_video_today,
+  CASE WHEN program_steps > 0 THEN 1 ELSE 0 END AS program_progress_today
 FROM feat1""", ["feat1"])
 
 # per-id dimensions -----------------------------------------------------------
@@ -282,7 +304,7 @@ cte("goals", """
 SELECT id, goal_type_id, target_weight, protein_goal, carb_goal, fat_goal, calories_goal,
   CASE goal_type_id WHEN 1 THEN 'lose' WHEN 2 THEN 'maintain' WHEN 3 THEN 'gain' END AS weight_goal_type,
   CASE WHEN goal_type_id IS NOT NULL THEN 1 ELSE 0 END AS has_weight_goal,
-  1 AS has_nutrient_goals
+  CASE WHEN protein_goal > 0 OR carb_goal > 0 OR fat_goal > 0 OR calories_goal > 0 THEN 1 ELSE 0 END AS has_nutrient_goals
 FROM (SELECT c_custkey AS id,
         max(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'MACHINERY' THEN 3 END) AS goal_type_id,
         max(150.0 + fmod(abs(c_acctbal), 50)) AS target_weight,
@@ -290,60 +312,47 @@ FROM (SELECT c_custkey AS id,
         max(60.0 + fmod(abs(c_acctbal), 90)) AS carb_goal,
         max(15.0 + fmod(abs(c_acctbal), 30)) AS fat_goal,
         max(300.0 + fmod(abs(c_acctbal), 500)) AS calories_goal
-      FROM customer GROUP BY c_custkey)""")
+      FROM customer WHERE c_acctbal >= 0 GROUP BY c_custkey)""")
 
 # medications -----------------------------------------------------------------
-cte("lo", """
-SELECT o.o_custkey AS id, l.l_orderkey * 8 + l.l_linenumber AS medprescriptionid,
-       l.l_partkey AS medicationid, l.l_linenumber, l.l_quantity, l.l_returnflag, l.l_linestatus,
-       CAST(l.l_shipdate AS DATE) AS shipday, CAST(o.o_orderdate AS DATE) AS orderday, o.o_orderstatus
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
-
+# written from the reference's description, not from the Spark code: prescriptions x days first, doses joined on
 cte("rx", """
-SELECT id, medprescriptionid, medicationid, startdate,
-       COALESCE(discontinueddate, DATE '2100-01-01') AS rx_end,
-       COALESCE(TRY_CAST(frequencyvalue AS INTEGER), 1) AS doses_per_day
-FROM (SELECT id, medprescriptionid, medicationid, orderday AS startdate,
-        CASE WHEN l_linenumber % 3 = 0 THEN 'daily' ELSE CAST(l_linenumber AS VARCHAR) END AS frequencyvalue,
-        CASE WHEN o_orderstatus = 'F' THEN shipday + 30 END AS discontinueddate,
-        CASE WHEN l_linestatus = 'F' AND o_orderstatus = 'F' THEN 2 ELSE 1 END AS statusid
-      FROM lo)
-WHERE statusid = 1""", ["lo"])
-
-cte("med_daily", f"""
-SELECT id, day, capped_taken, expected_total, doses_taken, adherence_pct,
-  CASE WHEN adherence_pct >= 100 THEN 1 ELSE 0 END AS took_all_meds,
-  avg(adherence_pct) OVER (PARTITION BY id ORDER BY (day - DATE '1970-01-01')
-                           RANGE BETWEEN 6 PRECEDING AND CURRENT ROW) AS adherence_7d_avg
-FROM (SELECT id, day, capped_taken, expected_total, doses_taken,
-        least(CASE WHEN expected_total > 0 THEN capped_taken / expected_total * 100.0 END, 100.0) AS adherence_pct
-      FROM (SELECT id, day, CAST(sum(least(doses_taken, expected)) AS BIGINT) AS capped_taken,
-                   CAST(sum(expected) AS BIGINT) AS expected_total, CAST(sum(doses_taken) AS BIGINT) AS doses_taken
-            FROM (SELECT d.id, d.day, d.medicationid, d.doses_taken,
-                         CAST(COALESCE(r.expected, 1) AS BIGINT) AS expected
-                  FROM (SELECT id, shipday AS day, medicationid, count(*) AS doses_taken
-                        FROM lo WHERE l_returnflag <> 'R'
-                          AND medprescriptionid IN (SELECT medprescriptionid FROM rx)
-                        GROUP BY id, shipday, medicationid) d
-                  LEFT JOIN (SELECT id, medicationid, sum(doses_per_day) AS expected,
-                                    min(startdate) AS rx_start, max(rx_end) AS rx_end
-                             FROM rx GROUP BY id, medicationid) r
-                    ON d.id = r.id AND d.medicationid = r.medicationid
-                  WHERE r.rx_start IS NULL OR d.day BETWEEN r.rx_start AND r.rx_end)
-            GROUP BY id, day))""", ["lo", "rx"])
+SELECT o.o_custkey AS id, l.l_partkey % 2 AS medicationid, l.l_quantity,
+       CASE (l.l_orderkey // 4) % 3 WHEN 2 THEN 2 ELSE 1 END AS doses_per_day,
+       CAST(o.o_orderdate AS DATE) AS startdate,
+       CASE WHEN o.o_orderstatus = 'F' THEN CAST(l.l_shipdate AS DATE) + 30
+            ELSE (SELECT CAST(max(ts) AS DATE) FROM events) END AS rx_end
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE l.l_linenumber = 1 AND l.l_orderkey % 4 = 0 AND NOT (l.l_linestatus = 'F' AND o.o_orderstatus = 'F')""")
+
+cte("dose_day", """
+SELECT id, day, k % 2 AS medicationid, count(*) AS taken FROM evd
+WHERE k % 8 <> 0 AND k % 10 <> 9 GROUP BY id, day, k % 2""", ["evd"])
+
+cte("med_daily", """
+SELECT *, avg(adherence_pct) OVER (PARTITION BY id ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)
+            AS adherence_7d_avg
+FROM (SELECT id, day, CAST(sum(least(taken, need)) AS BIGINT) AS capped_taken, CAST(sum(need) AS BIGINT) AS expected_total,
+        CAST(sum(taken) AS BIGINT) AS doses_taken,
+        least(sum(least(taken, need)) * 100.0 / sum(need), 100.0) AS adherence_pct,
+        CASE WHEN sum(least(taken, need)) >= sum(need) THEN 1 ELSE 0 END AS took_all_meds,
+        CASE WHEN bool_or(taken > 0 AND medicationid IN (SELECT p_partkey - 1 FROM part WHERE p_partkey IN (1, 2) AND p_size % 2 = 0))
+             THEN 1 ELSE 0 END AS glycemic_med_adherent
+      FROM (SELECT r.id, c.day, r.medicationid, r.need, COALESCE(d.taken, 0) AS taken
+            FROM (SELECT id, medicationid, sum(doses_per_day) AS need, min(startdate) AS lo, max(rx_end) AS hi
+                  FROM rx GROUP BY id, medicationid) r
+            JOIN (SELECT CAST(unnest(generate_series((SELECT min(day) FROM dose_day),
+                    (SELECT CAST(max(ts) AS DATE) FROM events), INTERVAL 1 DAY)) AS DATE) AS day) c
+              ON c.day BETWEEN r.lo AND r.hi
+            LEFT JOIN dose_day d ON d.id = r.id AND d.medicationid = r.medicationid AND d.day = c.day)
+      GROUP BY id, day)""", ["rx", "dose_day"])
 
 cte("med_state", """
-SELECT p.id, p.active_prescription_count, p.expected_daily_doses,
-  COALESCE(m.med_reminders_enabled, 0) AS med_reminders_enabled,
-  CASE WHEN g.id IS NOT NULL THEN 1 ELSE 0 END AS takes_glycemic_lowering_med
-FROM (SELECT id, count(*) AS active_prescription_count, CAST(sum(doses_per_day) AS BIGINT) AS expected_daily_doses
-      FROM rx GROUP BY id) p
-LEFT JOIN (SELECT r.id, max(CASE WHEN TRY_CAST(CAST(CAST(l.l_quantity AS INTEGER) % 2 AS VARCHAR) AS INTEGER) <> 0
-                             THEN 1 ELSE 0 END) AS med_reminders_enabled
-           FROM rx r JOIN lineitem l ON r.medprescriptionid = l.l_orderkey * 8 + l.l_linenumber
-           WHERE l.l_quantity > 25 GROUP BY r.id) m ON p.id = m.id
-LEFT JOIN (SELECT DISTINCT r.id FROM rx r JOIN part p ON r.medicationid = p.p_partkey
-           WHERE p.p_type LIKE '%BRASS%') g ON p.id = g.id""", ["rx"])
+SELECT id, count(*) AS active_prescription_count, CAST(sum(doses_per_day) AS BIGINT) AS expected_daily_doses,
+  CAST(max(CASE WHEN l_quantity > 25 AND CAST(l_quantity AS INTEGER) % 2 <> 0 THEN 1 ELSE 0 END) AS INTEGER) AS med_reminders_enabled,
+  CAST(max(CASE WHEN medicationid IN (SELECT p_partkey - 1 FROM part WHERE p_partkey IN (1, 2) AND p_size % 2 = 0)
+           THEN 1 ELSE 0 END) AS INTEGER) AS takes_glycemic_lowering_med
+FROM rx GROUP BY id""", ["rx"])
 
 
 # ---------------------------------------------------------------------------
@@ -401,12 +410,12 @@ register("day_sum_variety", """
 SELECT id, day, active_minutes, activity_sessions, activity_variety, meditation_count, steps
 FROM agg WHERE activity_sessions > 0 OR steps IS NOT NULL""", ["agg"], ["active_minutes"])
 
-_NUTS = [("protein", "protein_goal"), ("fat", "fat_goal"), ("calories", "calories_goal"), ("carbs", "carb_goal")]
+_NUTS = [("protein", "protein_goal"), ("carbs", "carb_goal"), ("fat", "fat_goal"), ("calories", "calories_goal")]
 register("day_totals_vs_goal", f"""
 SELECT id, day, meals, carbs, protein, fat, calories,
   {", ".join(f"{n}_pct" for n, _ in _NUTS)},
   greatest({", ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)}) AS any_nutrient_met,
-  {" + ".join(f"(CASE WHEN {g} IS NOT NULL THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
+  {" + ".join(f"(CASE WHEN {g} > 0 THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
   {" + ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)} AS n_90_110,
   {" + ".join(f"(CASE WHEN {n}_pct >= 60 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_60_plus,
   {" + ".join(f"(CASE WHEN {n}_pct >= 30 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_30_plus,
@@ -492,7 +501,7 @@ SELECT f.*, fo.focus_list, fo.user_focus,
   g.goal_type_id, g.target_weight, g.protein_goal, g.carb_goal, g.fat_goal, g.calories_goal, g.weight_goal_type,
   g.has_weight_goal, g.has_nutrient_goals,
   ms.active_prescription_count, ms.expected_daily_doses, ms.med_reminders_enabled, ms.takes_glycemic_lowering_med,
-  md.adherence_pct, md.took_all_meds, md.adherence_7d_avg
+  md.adherence_pct, md.took_all_meds, md.adherence_7d_avg, md.glycemic_med_adherent
 FROM feat f LEFT JOIN focus fo ON f.id = fo.id LEFT JOIN odims od ON f.id = od.id
 LEFT JOIN goals g ON f.id = g.id LEFT JOIN med_state ms ON f.id = ms.id
 LEFT JOIN med_daily md ON f.id = md.id AND f.day = md.day""",
@@ -501,7 +510,7 @@ LEFT JOIN med_daily md ON f.id = md.id AND f.day = md.day""",
 cte("wide1", f"""
 SELECT *,
   greatest({", ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)}) AS any_nutrient_met,
-  {" + ".join(f"(CASE WHEN {g} IS NOT NULL THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
+  {" + ".join(f"(CASE WHEN {g} > 0 THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
   {" + ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)} AS n_90_110,
   {" + ".join(f"(CASE WHEN {n}_pct >= 60 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_60_plus,
   {" + ".join(f"(CASE WHEN {n}_pct >= 30 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_30_plus,
@@ -516,7 +525,7 @@ _TOL = K.WEIGHT_MAINTENANCE_TOLERANCE_PCT / 100.0
 cte("thr", _THR)
 cte("wide", f"""
 SELECT w.*, t.tir_positive, t.tir_opportunity, t.high_max, t.low_max, t.range_low, t.range_high,
-  COALESCE(w.weight BETWEEN w.target_weight * {1 - _TOL!r} AND w.target_weight * {1 + _TOL!r}, FALSE) AS within_maintenance
+  COALESCE(w.weight_goal_type = 'maintain' AND w.weight BETWEEN w.target_weight * {1 - _TOL!r} AND w.target_weight * {1 + _TOL!r}, FALSE) AS within_maintenance
 FROM wide1 w LEFT JOIN thr t ON COALESCE(w.a1c_group, '{K.DEFAULT_A1C_GROUP}') = t.grp""", ["wide1", "thr"])
 
 cte("ctx", f"""
@@ -539,7 +548,7 @@ SELECT id, day,
   {_bool('took_all_meds')} AS took_all_meds, adherence_7d_avg AS med_adherence_7d_avg,
   {_bool('med_reminders_enabled')} AS med_reminders_enabled,
   {_bool('takes_glycemic_lowering_med')} AS takes_glycemic_lowering_med,
-  {_bool('takes_glycemic_lowering_med')} AND COALESCE(adherence_7d_avg >= 80, FALSE) AS glycemic_med_adherent,
+  {_bool('glycemic_med_adherent')} AS glycemic_med_adherent,
   meals, days_with_meals_7d,
   {_bool('any_nutrient_met')} AS any_nutrient_met, nutrient_name_met, last_meal_type,
   n_90_110, n_60_plus, n_30_plus, total_nutrient_targets,
@@ -549,7 +558,10 @@ SELECT id, day,
   {_bool('meditation_7d')} AS meditation_7d, {_bool('meditation_30d')} AS meditation_30d,
   {_bool('journal_7d')} AS journal_7d, {_bool('journal_30d')} AS journal_30d,
   {_bool('plan_active')} AS plan_active, {_bool('plan_progress_30d')} AS plan_progress_30d,
-  {_bool('program_started_today')} AS program_started_today, {_bool('grocery_today')} AS grocery_today,
+  {_bool('program_started_today')} AS program_started_today,
+  {_bool('program_progress_today')} AS program_progress_today, {_bool('meal_plan_today')} AS meal_plan_today,
+  {_bool('article_today')} AS article_today, {_bool('lesson_today')} AS lesson_today,
+  {_bool('learn_video_today')} AS learn_video_today, {_bool('grocery_today')} AS grocery_today,
   {_bool('video_completed_today')} AS video_completed_today
 FROM wide""", ["wide"])
 
@@ -588,7 +600,8 @@ _POS_CODES = [
     ("JOURNEY_TASK_COMPLETED", "journey_task_completed = 1"),
     ("EXERCISE_VIDEO_COMPLETED", "video_completed_today = 1"),
     ("EXERCISE_PROGRAM_STARTED", "program_started_today = 1"),
-    ("EXERCISE_PROGRAM_COMPLETED", "programs_completed > 0"), ("EXERCISE_PROGRAM_PROGRESS", "program_7d = 1"),
+    ("EXERCISE_PROGRAM_COMPLETED", "program_completed_today = 1"),
+    ("EXERCISE_PROGRAM_PROGRESS", "program_progress_today = 1"),
 ]
 _OPP_CODES = [
     ("GLUCOSE_IMPROVE_TIR", "tir_pct < 70"), ("GLUCOSE_REDUCE_HIGH", "high_pct > 25"),
@@ -601,7 +614,7 @@ _OPP_CODES = [
     ("MENTAL_TRY_JOURNALING", "NOT COALESCE(journal_30d = 1, FALSE)"),
     ("MENTAL_WORK_ON_ACTION_PLAN", "NOT COALESCE(plan_progress_30d = 1, FALSE)"),
     ("EXERCISE_CONTINUE_PROGRAM", "COALESCE(has_active_exercise_program = 1, FALSE) AND NOT COALESCE(program_7d = 1, FALSE)"),
-    ("EXERCISE_START_PROGRAM", "NOT COALESCE(has_active_exercise_program = 1, FALSE)"),
+    ("EXERCISE_START_PROGRAM", "NOT COALESCE(has_active_exercise_program = 1, FALSE) AND NOT COALESCE(has_exercise_video_activity = 1, FALSE)"),
     ("EXERCISE_COMPLETE_VIDEO", "COALESCE(has_exercise_video_activity = 1, FALSE) AND NOT COALESCE(video_completed_7d = 1, FALSE)"),
 ]
 
@@ -665,7 +678,8 @@ _DEV = {"glucose": "has_cgm", "steps": "has_step_tracker", "medications": "has_m
 cte("cpts", "SELECT id, day,\n" + ",\n".join(
     f"  CASE WHEN {_focus_allows(cat, K.SCORING_FOCUS_MAP)} AND {_DEV.get(cat, 'TRUE')} THEN {_PTS[cat]} END AS {cat}_pts"
     for cat in _CATS) + """,
-  (CASE WHEN video_completed_today THEN 3 ELSE 0 END) + (CASE WHEN program_started_today THEN 1 ELSE 0 END)
+  (CASE WHEN video_completed_today THEN 3 ELSE 0 END) + (CASE WHEN program_started_today THEN 1 ELSE 0 END) + (CASE WHEN meal_plan_today THEN 1 ELSE 0 END)
+  + (CASE WHEN article_today THEN 1 ELSE 0 END) + (CASE WHEN lesson_today THEN 1 ELSE 0 END) + (CASE WHEN learn_video_today THEN 1 ELSE 0 END)
     + (CASE WHEN grocery_today THEN 1 ELSE 0 END) AS bonus_pts
 FROM ctx""", ["ctx"])
 
@@ -792,7 +806,11 @@ _POS_RULES = [
     ("meditation_30d", "meditation_opened", "mental_wellbeing", 16, _tplq("meditation_opened")),
     ("journal_30d", "journal_entry", "mental_wellbeing", 17, _tplq("journal_entry")),
     ("plan_progress_30d", "action_plan_progress", "mental_wellbeing", 18, _tplq("action_plan_progress")),
-    ("program_started_today", "exercise_program_started", "activity", 6, _tplq("exercise_program_started")),
+    ("program_started_today OR program_progress_today", "exercise_program_started", "activity", 6, _tplq("exercise_program_started")),
+    ("meal_plan_today", "ai_meal_plan_generated", "food", 12, "'Acknowledge that they generated an AI meal plan'"),
+    ("article_today", "article_read", "explore", 19, "'Praise them for reading a health article'"),
+    ("learn_video_today", "video_watched", "explore", 20, "'Acknowledge they watched a health video'"),
+    ("lesson_today", "lesson_completed", "explore", 20, "'Praise them for completing a health lesson'"),
 ]
 cte("pos_rules", "\nUNION ALL\n".join(
     f"SELECT *, '{key}' AS key, '{cat}' AS category, {base} AS base, {text} AS text FROM ctxh "

@@ -17,8 +17,9 @@ from daybook.functions.cache import per_context
 from daybook.functions.exprs import any_of, band, flag, safe_pct, truthy
 from daybook.plans import features as fe
 
-NUTRIENTS = [("protein", "protein_goal"), ("fat", "fat_goal"), ("calories", "calories_goal"),
-             ("carbs", "carb_goal")]
+#: in the order in which the first nutrient met is named
+NUTRIENTS = [("protein", "protein_goal"), ("carbs", "carb_goal"), ("fat", "fat_goal"),
+             ("calories", "calories_goal")]
 
 
 def threshold_table(spark: SparkSession) -> DataFrame:
@@ -30,15 +31,9 @@ def threshold_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, cols)
 
 
-@per_context
-def _threshold_lookup() -> DataFrame:
-    spark = SparkSession.getActiveSession()
-    return F.broadcast(threshold_table(spark).withColumnRenamed("a1c_group", "_grp"))
-
-
 def with_thresholds(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Broadcast lookup on coalesce(group, default); the table has 5 rows by construction."""
-    th = _threshold_lookup()
+    th = F.broadcast(threshold_table(spark).withColumnRenamed("a1c_group", "_grp"))
     key = F.coalesce(F.col("a1c_group"), F.lit(K.DEFAULT_A1C_GROUP))
     return df.join(th, key == F.col("_grp"), "left").drop("_grp")
 
@@ -50,7 +45,7 @@ def nutrient_counters(df: DataFrame) -> DataFrame:
     df = df.withColumns({f"{n}_in_band": band(f"{n}_pct", lo, hi) for n, _ in NUTRIENTS})
     return df.withColumns({
         "any_nutrient_met": any_of(*[f"{n}_in_band" for n, _ in NUTRIENTS]),
-        "total_nutrient_targets": sum(flag(F.col(g).isNotNull()) for _, g in NUTRIENTS),
+        "total_nutrient_targets": sum(flag(F.col(g) > 0) for _, g in NUTRIENTS),
         "n_90_110": sum(F.coalesce(F.col(f"{n}_in_band"), F.lit(0)) for n, _ in NUTRIENTS),
         "n_60_plus": sum(flag(F.col(f"{n}_pct") >= 60) for n, _ in NUTRIENTS),
         "n_30_plus": sum(flag(F.col(f"{n}_pct") >= 30) for n, _ in NUTRIENTS),
@@ -66,24 +61,26 @@ def daily_wide(spark: SparkSession, base: str, events: DataFrame | None = None,
     window stage and before any dimension join (O3): the joins see one row
     per id instead of one per id and day.
     """
-    feat = fe.daily_features(spark, base, events=events)
+    feat = fe.daily_features(spark, base, events=events, last_day=report_day)
     if report_day is not None:
         feat = feat.filter(F.col("day") == F.lit(report_day).cast("date"))
-    meds = fe.medication_state(spark, base)
+    meds = fe.medication_state(spark, base, run_date=report_day, events=events)
     wide = (feat
-            .join(fe.focus_per_id(spark, base, events), "id", "left")
+            # focus is state without a date: read from all events, not from the lookback
+            .join(fe.focus_per_id(spark, base), "id", "left")
             .join(fe.orders_dims(spark, base), "id", "left")
             .join(fe.goals_per_id(spark, base), "id", "left")
             .join(meds["state"], "id", "left")
-            .join(meds["daily"].select("id", "day", "adherence_pct", "took_all_meds", "adherence_7d_avg"),
+            .join(meds["daily"].select("id", "day", "adherence_pct", "took_all_meds", "adherence_7d_avg",
+                                       "glycemic_med_adherent"),
                   ["id", "day"], "left"))
     wide = nutrient_counters(wide)
     wide = with_thresholds(spark, wide)
     tol = K.WEIGHT_MAINTENANCE_TOLERANCE_PCT / 100.0
     return wide.withColumn(
-        # Latest weight within +/- 3 % of the target
+        # Latest weight within +/- 3 % of the target, for goals to maintain it
         "within_maintenance",
-        F.coalesce(F.col("weight").between(F.col("target_weight") * (1 - tol),
+        F.coalesce((F.col("weight_goal_type") == "maintain") & F.col("weight").between(F.col("target_weight") * (1 - tol),
                                            F.col("target_weight") * (1 + tol)), F.lit(False)))
 
 
@@ -120,8 +117,7 @@ def _rule_input_columns() -> list:
         c("adherence_7d_avg").alias("med_adherence_7d_avg"),
         truthy("med_reminders_enabled").alias("med_reminders_enabled"),
         truthy("takes_glycemic_lowering_med").alias("takes_glycemic_lowering_med"),
-        (truthy("takes_glycemic_lowering_med") & F.coalesce(c("adherence_7d_avg") >= 80, F.lit(False)))
-        .alias("glycemic_med_adherent"),
+        truthy("glycemic_med_adherent").alias("glycemic_med_adherent"),
         "meals", "days_with_meals_7d",
         truthy("any_nutrient_met").alias("any_nutrient_met"), "nutrient_name_met", "last_meal_type",
         "n_90_110", "n_60_plus", "n_30_plus", "total_nutrient_targets",
@@ -133,6 +129,8 @@ def _rule_input_columns() -> list:
         truthy("journal_7d").alias("journal_7d"), truthy("journal_30d").alias("journal_30d"),
         truthy("plan_active").alias("plan_active"), truthy("plan_progress_30d").alias("plan_progress_30d"),
         truthy("program_started_today").alias("program_started_today"),
+        truthy("program_progress_today").alias("program_progress_today"),
+        *[truthy(f"{n}_today").alias(f"{n}_today") for n in fe.BONUS_EVENTS],
         truthy("grocery_today").alias("grocery_today"),
         truthy("video_completed_today").alias("video_completed_today"),
     ]

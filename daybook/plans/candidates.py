@@ -61,8 +61,8 @@ def eligibility_arrays(wide: DataFrame) -> DataFrame:
         ("JOURNEY_TASK_COMPLETED", safe_eq("journey_task_completed", 1)),
         ("EXERCISE_VIDEO_COMPLETED", safe_eq("video_completed_today", 1)),
         ("EXERCISE_PROGRAM_STARTED", safe_eq("program_started_today", 1)),
-        ("EXERCISE_PROGRAM_COMPLETED", safe_gt("programs_completed", 0)),
-        ("EXERCISE_PROGRAM_PROGRESS", safe_eq("program_7d", 1)),
+        ("EXERCISE_PROGRAM_COMPLETED", safe_eq("program_completed_today", 1)),
+        ("EXERCISE_PROGRAM_PROGRESS", safe_eq("program_progress_today", 1)),
     ]
     opp = [
         ("GLUCOSE_IMPROVE_TIR", safe_lt("tir_pct", 70)), ("GLUCOSE_REDUCE_HIGH", safe_gt("high_pct", 25)),
@@ -79,7 +79,7 @@ def eligibility_arrays(wide: DataFrame) -> DataFrame:
         ("MENTAL_TRY_JOURNALING", ~safe_eq("journal_30d", 1)),
         ("MENTAL_WORK_ON_ACTION_PLAN", ~safe_eq("plan_progress_30d", 1)),
         ("EXERCISE_CONTINUE_PROGRAM", safe_eq("has_active_exercise_program", 1) & ~safe_eq("program_7d", 1)),
-        ("EXERCISE_START_PROGRAM", ~safe_eq("has_active_exercise_program", 1)),
+        ("EXERCISE_START_PROGRAM", ~safe_eq("has_active_exercise_program", 1) & ~safe_eq("has_exercise_video_activity", 1)),
         ("EXERCISE_COMPLETE_VIDEO", safe_eq("has_exercise_video_activity", 1) & ~safe_eq("video_completed_7d", 1)),
     ]
 
@@ -141,8 +141,11 @@ def positive_array() -> Column:
         _cand(c("journal_30d"), "journal_entry", "mental_wellbeing", 17, F.lit(_tpl("journal_entry"))),
         _cand(c("plan_progress_30d"), "action_plan_progress", "mental_wellbeing", 18,
               F.lit(_tpl("action_plan_progress"))),
-        _cand(c("program_started_today"), "exercise_program_started", "activity", 6,
+        _cand(c("program_started_today") | c("program_progress_today"), "exercise_program_started", "activity", 6,
               F.lit(_tpl("exercise_program_started"))),
+        *[_cand(c(f"{event}_today"), key, category, base, F.lit(_tpl(key))) for event, key, category, base in (
+            ("meal_plan", "ai_meal_plan_generated", "food", 12), ("article", "article_read", "explore", 19),
+            ("learn_video", "video_watched", "explore", 20), ("lesson", "lesson_completed", "explore", 20))],
     ]
     arr = F.array_compact(F.array(*items))
     fallback = F.array(F.struct(F.lit("app_login").alias("key"), F.lit("explore").alias("category"),

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from daybook.functions import constants as K
 from daybook.functions.cache import per_context
@@ -29,6 +28,10 @@ from daybook.functions.timeutil import date_from_epoch_millis, epoch_millis, loc
 from daybook.plans import roles
 
 
+#: events that earn a bonus point on their day
+BONUS_EVENTS = ("meal_plan", "article", "lesson", "learn_video")
+
+
 def _cnt(cond):
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
@@ -60,7 +63,7 @@ def daily_event_aggregates(spark: SparkSession, base: str, sleep_bucket_minutes:
     main = F.col("kind") == "main"
     rows = rows.withColumns({
         **{f: F.col(f) & main for f in ["is_bg", "is_act", "is_video", "is_step", "is_weight", "is_prog",
-                                        "is_meal", "is_journal", "is_plan", "is_meditation"]},
+                                        "is_prog_done", "is_prog_step", *[f"is_{n}" for n in BONUS_EVENTS], "is_meal", "is_journal", "is_plan", "is_meditation"]},
         "is_grocery": F.col("kind") == "grocery",
         "is_sleep": F.col("kind") == "sleep",
         "rating": (F.col("k") % 11).cast("double"),
@@ -114,6 +117,9 @@ def _daily_agg_exprs() -> list:
         _cnt(F.col("is_journal")).alias("journal_entries"),
         _cnt(F.col("is_grocery")).alias("grocery_entries"),
         _cnt(F.col("is_prog")).alias("program_starts"),
+        _cnt(F.col("is_prog_done")).alias("program_completions"),
+        *[_cnt(F.col(f"is_{n}")).alias(f"{n}_events") for n in BONUS_EVENTS],
+        _cnt(F.col("is_prog_step")).alias("program_steps"),
         # AG7 any-status flags (deleted rows removed)
         _cnt(F.col("is_plan")).alias("plan_entries"),
         F.max(flag(F.col("is_plan") & (F.col("plan_status") == 1))).alias("plan_active"),
@@ -125,13 +131,25 @@ def _daily_agg_exprs() -> list:
     ]
 
 
+def last_day_column(spark: SparkSession, base: str, last_day=None):
+    """The report day, or the UTC date of the newest event as a scalar subquery (read from file statistics)."""
+    if last_day is not None:
+        return F.lit(last_day).cast("date")
+    return roles.load(spark, base, "events", ["ts"]).agg(F.to_date(F.max("ts"))).scalar()
+
+
 def daily_features(spark: SparkSession, base: str, meal_days_min: int = 1,
-                   events: DataFrame | None = None) -> DataFrame:
-    """Dense (id, day) frame with deltas, rolling windows and flags."""
-    daily = gap_fill(daily_event_aggregates(spark, base, events=events))
+                   events: DataFrame | None = None, last_day=None) -> DataFrame:
+    """Dense (id, day) frame with deltas, rolling windows and flags.
+
+    Every id's days run to ``last_day``, the report day (default: the UTC date of the newest event).
+    """
+    daily = gap_fill(daily_event_aggregates(spark, base, events=events),
+                     last_day=last_day_column(spark, base, last_day))
     # turn "no row today" into 0 for count columns, keep NULL for measures
     counts = ["bg_count", "activity_sessions", "meditation_count", "meals", "journal_entries",
-              "grocery_entries", "program_starts", "plan_entries", "activity_variety"]
+              "grocery_entries", "program_starts", "program_completions", "program_steps", "plan_entries",
+              "activity_variety", *[f"{n}_events" for n in BONUS_EVENTS]]
     daily = daily.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
     stage1, stage2, stage3 = _feature_columns(meal_days_min)
     return daily.withColumns(stage1).withColumns(stage2).withColumns(stage3)
@@ -170,7 +188,7 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
         "plan_progress_7d": any_in_last("plan_entries", 7),
         "plan_progress_30d": any_in_last("plan_entries", 30),
         "grocery_7d": any_in_last("grocery_entries", 7),
-        "program_7d": any_in_last("program_starts", 7),
+        "program_7d": any_in_last("program_steps", 7),
         # sleep
         "sleep_prev_logged": prev_logged("sleep_hours"),
         "sleep_avg_7d": rolling(F.avg, "sleep_hours", 7),
@@ -202,6 +220,9 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
         "meditation_today": flag(F.col("meditation_count") > 0),
         "grocery_today": flag(F.col("grocery_entries") > 0),
         "program_started_today": flag(F.col("program_starts") > 0),
+        **{f"{n}_today": flag(F.col(f"{n}_events") > 0) for n in BONUS_EVENTS},
+        "program_completed_today": flag(F.col("program_completions") > 0),
+        "program_progress_today": flag(F.col("program_steps") > 0),
     }
     return stage1, stage2, stage3
 
@@ -261,74 +282,57 @@ def orders_dims(spark: SparkSession, base: str) -> DataFrame:
 
 
 def goals_per_id(spark: SparkSession, base: str) -> DataFrame:
-    """One goal row per id, enum mapped to a label before use."""
-    g = roles.customer_goals(spark, base).groupBy("id").agg(
-        *[F.max(c).alias(c) for c in ["goal_type_id", "target_weight", "protein_goal", "carb_goal",
-                                      "fat_goal", "calories_goal"]])
+    """The latest active goal row of each id, enum mapped to a label before use."""
+    cols = ["goal_type_id", "target_weight", "protein_goal", "carb_goal", "fat_goal", "calories_goal"]
+    g = (roles.customer_goals(spark, base).filter(F.col("goal_status") == 1).groupBy("id")
+         .agg(F.max_by(F.struct(*cols), F.struct("goal_start", *cols)).alias("g")).select("id", "g.*"))
     return g.withColumns({
         "weight_goal_type": map_label("goal_type_id", {1: "lose", 2: "maintain", 3: "gain"}),
         "has_weight_goal": flag(F.col("goal_type_id").isNotNull()),
-        "has_nutrient_goals": F.lit(1),
+        "has_nutrient_goals": flag(F.greatest("protein_goal", "carb_goal", "fat_goal", "calories_goal") > 0),
     })
 
 
-def medication_state(spark: SparkSession, base: str, run_date: str | None = None) -> dict[str, DataFrame]:
+def medication_state(spark: SparkSession, base: str, run_date=None,
+                     events: DataFrame | None = None) -> dict[str, DataFrame]:
     """C5 C6 C7 C9 AG11-AG13 E6: prescriptions, capped two-level adherence, reminders.
 
-    Adherence follows D5: the daily denominator is every active prescription
-    valid that day, so a day with a missed medication counts it as 0 taken;
-    ``run_date`` replaces ``current_date()`` as the open end (D14).
+    Adherence follows D5: its days are those of each active prescription from
+    the first dose day in the events read to ``run_date`` (the report day,
+    D14), and a medication without a dose counts as 0 taken. The 7-day mean and
+    the daily glycemic flag run on that dense frame. Doses of a medication
+    without an active prescription do not count (C6).
     """
-    src = roles.medication_sources(spark, base)
-    rx = src["rx"].filter(F.col("statusid") == 1).withColumn(
-        "doses_per_day", lenient_int("frequencyvalue", 1))
-    open_end = F.lit(run_date).cast("date") if run_date else F.lit("2100-01-01").cast("date")
-    rx = rx.withColumn("rx_end", F.coalesce(F.col("discontinueddate"), open_end))
-    # One read of the prescription/dose lines. The key joins of the original
-    # become windows (keys may repeat, so they keep set semantics):
-    #   C6  dose kept when its prescription id has an active row -> max over the id
-    #       (a group is the duplicates of one prescription id)
-    #   C9  per-medication totals of the active prescriptions     -> aggregate to
-    #       (id, medication, day) first (map-side combine), then a window over
-    #       (id, medication) on that day grain, so no group holds raw rows
-    lines = src["lines"].withColumns({"doses_per_day": lenient_int("frequencyvalue", 1),
-                                      "rx_end": F.coalesce(F.col("discontinueddate"), open_end),
-                                      "active": F.col("statusid") == 1})
-    act = F.col("active")
-    lines = lines.withColumn("rx_id_active", F.max(act).over(Window.partitionBy("medprescriptionid")))
-    per = lines.groupBy("id", "medicationid", "day").agg(
-        F.count_if((F.col("dose_statusid") == 1) & F.col("rx_id_active")).alias("doses_taken"),
-        F.sum(F.when(act, F.col("doses_per_day"))).alias("_exp"),
-        F.min(F.when(act, F.col("startdate"))).alias("_start"),
-        F.max(F.when(act, F.col("rx_end"))).alias("_end"))
-    w_med = Window.partitionBy("id", "medicationid")
-    joined = per.select(
-        "id", "medicationid", "day", "doses_taken", F.sum("_exp").over(w_med).alias("expected"),
-        F.min("_start").over(w_med).alias("rx_start"), F.max("_end").over(w_med).alias("rx_end")
-    ).filter(F.col("doses_taken") > 0)
-    # Validity range (no active prescription row also counts)
-    joined = joined.filter(
-        F.col("rx_start").isNull() | F.col("day").between(F.col("rx_start"), F.col("rx_end")))
-    joined = joined.withColumn("expected", F.coalesce(F.col("expected"), F.lit(1)).cast("bigint"))
-    daily = joined.groupBy("id", "day").agg(
-        F.sum(F.least(F.col("doses_taken"), F.col("expected"))).alias("capped_taken"),
-        F.sum("expected").alias("expected_total"),
-        F.sum("doses_taken").alias("doses_taken"))
+    src = roles.medication_sources(spark, base, events)
+    end = last_day_column(spark, base, run_date)
+    rx = src["rx"].filter(F.col("statusid") == 1).withColumns({
+        "doses_per_day": lenient_int("frequencyvalue", 1), "rx_end": F.coalesce(F.col("discontinueddate"), end)})
+    # one row per id and medication; the state is then an aggregate of it, so the prescriptions are joined once
+    klass = src["class"].groupBy("medicationid").agg(F.max(flag(F.col("diabetesclass"))).alias("glycemic"))
+    nonzero = flag(F.col("medicationreminder").isNotNull() & (F.col("medicationreminder").try_cast("int") != 0))
+    per_med = rx.groupBy("id", "medicationid").agg(
+        F.count("*").alias("prescriptions"), F.sum("doses_per_day").alias("expected"),
+        F.min("startdate").alias("rx_start"), F.max("rx_end").alias("rx_end"),
+        F.max(nonzero).alias("reminder")).join(F.broadcast(klass), "medicationid", "left").withColumn(
+        "glycemic", F.coalesce("glycemic", F.lit(0)))
+    doses = src["dose"].filter(F.col("statusid") == 1)
+    first = doses.agg(F.min("day")).scalar()
+    low, high = F.greatest("rx_start", first), F.least("rx_end", end)
+    frame = per_med.filter(low <= high).select("id", "medicationid", "expected", "glycemic",
+                                               F.explode(F.sequence(low, high)).alias("day"))
+    taken = doses.groupBy("id", "medicationid", "day").agg(F.count("*").alias("taken"))
+    frame = frame.join(taken, ["id", "medicationid", "day"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+    daily = frame.groupBy("id", "day").agg(
+        F.sum(F.least("taken", "expected")).alias("capped_taken"), F.sum("expected").alias("expected_total"),
+        F.sum("taken").alias("doses_taken"),
+        F.max(flag((F.col("glycemic") == 1) & (F.col("taken") > 0))).alias("glycemic_med_adherent"))
     daily = daily.withColumn(
         "adherence_pct", F.least(safe_pct("capped_taken", "expected_total"), F.lit(100.0)))
     daily = daily.withColumns({
         "took_all_meds": flag(F.col("adherence_pct") >= 100),
         "adherence_7d_avg": rolling(F.avg, "adherence_pct", 7),
     })
-    # AG12 per id, AG13 reminders (C7 join to the schedule) and the glycemic class (C5) in ONE
-    # aggregate over the prescriptions: schedule and class are first reduced to one row per
-    # key, so the left joins cannot fan out and the prescription source is read once here
-    nonzero = flag(F.col("medicationreminder").isNotNull() & (F.col("medicationreminder").try_cast("int") != 0))
-    sched = src["schedule"].groupBy("medprescriptionid").agg(F.max(nonzero).alias("_rem"))
-    klass = src["class"].groupBy("medicationid").agg(F.max(flag(F.col("diabetesclass"))).alias("_glyc"))
-    state = (rx.join(sched, "medprescriptionid", "left").join(klass, "medicationid", "left")
-             .groupBy("id").agg(F.count("*").alias("active_prescription_count"),
-                                F.sum("doses_per_day").alias("expected_daily_doses"),
-                                F.coalesce(F.max("_rem"), F.lit(0)).alias("med_reminders_enabled"),
-                                F.coalesce(F.max("_glyc"), F.lit(0)).alias("takes_glycemic_lowering_med")))
+    state = per_med.groupBy("id").agg(
+        F.sum("prescriptions").alias("active_prescription_count"), F.sum("expected").alias("expected_daily_doses"),
+        F.max("reminder").alias("med_reminders_enabled"), F.max("glycemic").alias("takes_glycemic_lowering_med"))
     return {"daily": daily, "state": state}

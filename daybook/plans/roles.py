@@ -15,10 +15,13 @@ events (one row per observation):
   video         'click' with k % 10 = 0, completion pct = least(value / 4.9, 100)
   steps         event_type 'purchase', steps = round(value * 40)
   weight        event_type 'signup', weight = 150 + value / 10
-  program start 'signup' with k % 5 = 0
+  program       'signup': start k % 5 = 0, completed k % 5 = 1, progress k % 5 = 2
+  dose          k % 8 <> 0: medication k % 2 on the local day, statusid 2 (missed) if k % 10 = 9, else 1 (taken)
   food          k % 3 = 0, meal type id = [1, 3, 5, 12][(k div 3) % 4],
                 carbs = value / 5, protein = value / 10, fat = value / 15, calories = value * 2
   journal       k % 7 = 0
+  bonus events  AI meal plan 'purchase' with k % 9 = 0, article 'view' with k % 9 = 1,
+                lesson 'view' with k % 9 = 2, learn video 'click' with k % 9 = 3
   action plan   k % 13 = 0, statusid = k % 3 + 1 (3 = deleted)
   grocery       k % 11 = 0, epoch milliseconds of ts, day = UTC date of those
   sleep         event_type 'error', start = ts, end = ts + round(value * 60) seconds,
@@ -26,7 +29,8 @@ events (one row per observation):
   focus JSON    'signup' rows: {"MyFocusID": k % 14, "IsMyFocus": k % 2, "FocusOptionID": 0}
 customer (per id = c_custkey):
   weight goal   segment AUTOMOBILE -> type 1, BUILDING -> 2, MACHINERY -> 3, else none;
-                target weight = 150 + abs(c_acctbal) % 50
+                target weight = 150 + abs(c_acctbal) % 50; start 2023-01-01 + c_custkey % 365 days;
+                status 2 (ended) where c_acctbal < 0, else 1 (active)
   nutrition     protein = 20 + abs(acctbal) % 40, carb = 60 + abs(acctbal) % 90,
   goals         fat = 15 + abs(acctbal) % 30, calories = 300 + abs(acctbal) % 500
 orders (per id = o_custkey):
@@ -35,13 +39,12 @@ orders (per id = o_custkey):
                 P -> 3 (incomplete)
   video/program status F -> 2 (completed), else 1 (active); program started on o_orderdate
 part / lineitem / orders (medications):
-  class         p_type; diabetes class when p_type contains 'BRASS'
-  prescription  one per lineitem: id = o_custkey, rx = l_orderkey * 8 + l_linenumber,
-                medication = l_partkey, frequencyvalue = l_linenumber as text, or 'daily'
-                when l_linenumber % 3 = 0 (lenient cast -> 1), start = o_orderdate,
-                end = l_shipdate + 30 days when o_orderstatus = 'F', statusid 1 unless
-                l_linestatus = 'F' and o_orderstatus = 'F' (2)
-  dose          lineitem row taken on l_shipdate (statusid 1 unless l_returnflag = 'R')
+  class         parts 1 and 2 describe medications 0 and 1; diabetes class when p_size is even
+  prescription  one per lineitem with l_linenumber = 1 and l_orderkey % 4 = 0: id = o_custkey,
+                rx = l_orderkey, medication = l_partkey % 2, frequencyvalue by
+                (l_orderkey div 4) % 3: 0 'daily' (lenient cast -> 1), else the number as text,
+                start = o_orderdate, end = l_shipdate + 30 days when o_orderstatus = 'F',
+                statusid 1 unless l_linestatus = 'F' and o_orderstatus = 'F' (2)
   schedule      reminder = (int(l_quantity) % 2) as text, for lines with l_quantity > 25
 """
 
@@ -92,7 +95,13 @@ def _role_columns() -> tuple[dict, dict]:
         "is_weight": et == "signup",
         "weight_v": F.lit(150.0) + F.col("value") / 10,
         "is_prog": (et == "signup") & (k % 5 == 0),
+        "is_prog_done": (et == "signup") & (k % 5 == 1),
+        "is_prog_step": (et == "signup") & (k % 5 == 2),
         "is_meal": k % 3 == 0,
+        "is_meal_plan": (et == "purchase") & (k % 9 == 0),
+        "is_article": (et == "view") & (k % 9 == 1),
+        "is_lesson": (et == "view") & (k % 9 == 2),
+        "is_learn_video": (et == "click") & (k % 9 == 3),
         "meal_type_id": F.element_at(F.array(*[F.lit(x) for x in K.MEAL_TYPE_MAPPING]),
                                      (F.floor(k / 3) % 4 + 1).cast("int")),
         "is_journal": k % 7 == 0,
@@ -140,6 +149,8 @@ def customer_goals(spark: SparkSession, base: str) -> DataFrame:
     return c.select(
         F.col("c_custkey").alias("id"), goal_type.alias("goal_type_id"),
         (F.lit(150.0) + a % 50).alias("target_weight"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("goal_start"),
+        F.when(F.col("c_acctbal") < 0, 2).otherwise(1).alias("goal_status"),
         (F.lit(20.0) + a % 40).alias("protein_goal"), (F.lit(60.0) + a % 90).alias("carb_goal"),
         (F.lit(15.0) + a % 30).alias("fat_goal"), (F.lit(300.0) + a % 500).alias("calories_goal"))
 
@@ -149,42 +160,27 @@ def orders_state(spark: SparkSession, base: str) -> DataFrame:
         .withColumnRenamed("o_custkey", "id")
 
 
-def medication_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Class -> medication -> prescription -> dose, all from part/lineitem/orders."""
-    part = load(spark, base, "part", ["p_partkey", "p_type"])
-    li = load(spark, base, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                                        "l_returnflag", "l_linestatus", "l_shipdate"])
+def medication_sources(spark: SparkSession, base: str, events: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Class, prescriptions and schedule from part/lineitem/orders, doses from events."""
+    part = load(spark, base, "part", ["p_partkey", "p_size"])
+    li = load(spark, base, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_linestatus",
+                                        "l_shipdate"])
     orders = load(spark, base, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
-    med_class = part.select(F.col("p_partkey").alias("medicationid"),
-                            F.col("p_type").contains("BRASS").alias("diabetesclass"))
-    lo = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    med_class = part.filter(F.col("p_partkey").between(1, 2)).select(
+        (F.col("p_partkey") - 1).alias("medicationid"), (F.col("p_size") % 2 == 0).alias("diabetesclass"))
+    li = li.filter((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0))
+    lo = li.join(orders.filter(F.col("o_orderkey") % 4 == 0), li.l_orderkey == orders.o_orderkey)
+    every = F.expr("(l_orderkey div 4) % 3")
     rx = lo.select(
-        F.col("o_custkey").alias("id"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
-        F.col("l_partkey").alias("medicationid"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.lit("daily"))
-         .otherwise(F.col("l_linenumber").cast("string")).alias("frequencyvalue"),
-        F.to_date("o_orderdate").alias("startdate"),
-        F.when(F.col("o_orderstatus") == "F", F.date_add(F.to_date("l_shipdate"), 30)).alias("discontinueddate"),
-        F.when((F.col("l_linestatus") == "F") & (F.col("o_orderstatus") == "F"), 2).otherwise(1).alias("statusid"))
-    dose = lo.select(
-        F.col("o_custkey").alias("id"), F.col("l_partkey").alias("medicationid"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
-        F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("statusid"),
-        F.to_date("l_shipdate").alias("day"))
-    # all roles of a line in one projection (the adherence branch reads this once)
-    lines = lo.select(
-        F.col("o_custkey").alias("id"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
-        F.col("l_partkey").alias("medicationid"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.lit("daily"))
-         .otherwise(F.col("l_linenumber").cast("string")).alias("frequencyvalue"),
+        F.col("o_custkey").alias("id"), F.col("l_orderkey").alias("medprescriptionid"),
+        (F.col("l_partkey") % 2).alias("medicationid"),
+        F.when(every == 0, F.lit("daily")).otherwise(every.cast("string")).alias("frequencyvalue"),
         F.to_date("o_orderdate").alias("startdate"),
         F.when(F.col("o_orderstatus") == "F", F.date_add(F.to_date("l_shipdate"), 30)).alias("discontinueddate"),
         F.when((F.col("l_linestatus") == "F") & (F.col("o_orderstatus") == "F"), 2).otherwise(1).alias("statusid"),
-        F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("dose_statusid"),
-        F.to_date("l_shipdate").alias("day"))
-    schedule = li.filter(F.col("l_quantity") > 25).select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("medprescriptionid"),
-        (F.col("l_quantity").cast("int") % 2).cast("string").alias("medicationreminder"))
-    return {"class": med_class, "rx": rx, "dose": dose, "schedule": schedule, "lines": lines}
+        # The schedule of a prescription is on the same line
+        F.when(F.col("l_quantity") > 25, (F.col("l_quantity").cast("int") % 2).cast("string")).alias("medicationreminder"))
+    dose = events_base(spark, base, events).filter(F.col("k") % 8 != 0).select(
+        "id", "day", (F.col("k") % 2).cast("bigint").alias("medicationid"),
+        F.when(F.col("k") % 10 == 9, 2).otherwise(1).alias("statusid"))
+    return {"class": med_class, "rx": rx, "dose": dose}

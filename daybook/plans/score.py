@@ -81,7 +81,11 @@ def _point_columns() -> list:
     bp = K.BONUS_POINTS
     bonus = (F.when(c("video_completed_today"), bp["exercise_video_completed"]).otherwise(0)
              + F.when(c("program_started_today"), bp["exercise_program_started"]).otherwise(0)
-             + F.when(c("grocery_today"), bp["grocery_shopping_online"]).otherwise(0))
+             + F.when(c("grocery_today"), bp["grocery_shopping_online"]).otherwise(0)
+             + F.when(c("meal_plan_today"), bp["ai_meal_plan_generated"]).otherwise(0)
+             + F.when(c("article_today"), bp["article_read"]).otherwise(0)
+             + F.when(c("lesson_today"), bp["lesson_completed"]).otherwise(0)
+             + F.when(c("learn_video_today"), bp["learn_video_watched"]).otherwise(0))
     return [*[F.when(included[cat], points[cat]).alias(f"{cat}_pts") for cat in CATEGORIES],
             bonus.alias("bonus_pts")]
 

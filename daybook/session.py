@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a side partitioned by id needs no new exchange to join on (id, day)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Spark 4.1: with AQE, reusing a union's output partitioning in a join can
     # fail ("Can't zip RDDs with unequal numbers of partitions")
     "spark.sql.unionOutputPartitioning": "false",
@@ -59,13 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) a scratch folder is created and
-    registered, so lineage cuts and written intermediates still work.
+    Only when it is unset and the master is local a scratch folder is created
+    and registered; elsewhere it must be set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -17,9 +17,8 @@ from daybook.session import scratch_path
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """A5: replace only the partitions present in ``df`` (dynamic overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def clustered(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -35,9 +34,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_date: str)
     created_at is kept for existing keys and set to ``run_date`` for new ones;
     last_modified_at is ``run_date`` for every key in the source;
     overwrite_count is +1 for updated keys, 0 for inserted ones, unchanged for
-    keys only in the target.
+    keys only in the target. Columns of either side only are kept: NULL for
+    rows that come from the other side (A8).
     """
-    values = [c for c in source.columns if c not in keys]
+    audit = ["created_at", "last_modified_at", "overwrite_count"]
+    source = source.drop(*audit)
+    values = [c for c in dict.fromkeys([*target.columns, *source.columns]) if c not in keys and c not in audit]
     t = target.withColumn("_in_t", F.lit(True))
     s = source.withColumn("_in_s", F.lit(True))
     tcols = {c: F.col(f"t.{c}") for c in target.columns}
@@ -47,7 +49,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_date: str)
     run = F.lit(run_date).cast("date")
     return j.select(
         *keys,
-        *[F.when(in_s, F.col(f"s.{c}")).otherwise(tcols[c]).alias(c) for c in values],
+        *[(tcols[c] if c not in source.columns else
+           F.when(in_s, F.col(f"s.{c}")).otherwise(tcols.get(c, F.lit(None)))).alias(c) for c in values],
         F.coalesce(tcols["created_at"], run).alias("created_at"),
         F.when(in_s, run).otherwise(tcols["last_modified_at"]).alias("last_modified_at"),
         F.when(in_s & in_t, tcols["overwrite_count"] + 1).when(in_s, F.lit(0))
