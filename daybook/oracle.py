@@ -577,11 +577,35 @@ SELECT o.id, COALESCE(o.a1c_group, 'dm_target_7') AS a1c_group, t.tir_positive,
   t.low_max, t.range_low, t.range_high
 FROM odims o LEFT JOIN thr t ON COALESCE(o.a1c_group, 'dm_target_7') = t.grp""", ["odims", "thr"])
 
-_NP_COLS = ["tir_pct", "active_minutes", "steps", "weight", "sleep_hours", "sleep_rating", "last_meal_type",
-            "weekly_active_minutes", "days_since_last_weight", "weight_14d_ago"]
-register("null_profile", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM feat "
-    f"HAVING count(*) FILTER (WHERE {c} IS NULL) > 0" for c in _NP_COLS), ["feat"])
+_WIDE_COLS = """
+    id day is_logged bg_count tir_pct high_pct low_pct very_low_pct avg_bg cgm_day active_minutes
+    activity_sessions activity_variety meditation_count video_completion_pct steps weight meals carbs protein
+    fat calories journal_entries grocery_entries program_starts program_completions meal_plan_events
+    article_events lesson_events learn_video_events program_steps plan_entries plan_active plan_completed
+    sleep_count sleep_rating sleep_hours last_meal_type tir_prev_logged tir_prev_day has_cgm
+    active_minutes_prev_logged active_minutes_prev_day weekly_active_minutes meditation_7d meditation_30d
+    video_completed_today steps_prev_logged steps_avg_7d has_step_tracker weight_prev_logged
+    days_since_last_weight weight_14d_ago weight_14d_days_back days_with_meals_7d journal_7d journal_30d
+    plan_progress_7d plan_progress_30d grocery_7d program_7d sleep_prev_logged sleep_avg_7d sleep_rating_avg_7d
+    video_completed_7d tir_delta_1d active_minutes_delta_1d activity_same_or_more steps_delta_1d
+    steps_target_met steps_improved weight_logged_today weight_pct_change weight_change_lbs_14d
+    weight_change_pct_14d weight_logged_7d weight_logged_14d weight_logged_30d meal_logged_today sleep_delta_1d
+    sleep_hours_met sleep_rating_met sleep_improved journal_today meditation_today grocery_today
+    program_started_today meal_plan_today article_today lesson_today learn_video_today program_completed_today
+    program_progress_today focus_list user_focus a1c_target_id a1c_group active_journey_count
+    completed_journey_count has_active_journey has_completed_journey journey_task_completed video_ever_completed
+    video_total has_exercise_video_activity has_active_exercise_program programs_completed goal_type_id
+    target_weight protein_goal carb_goal fat_goal calories_goal weight_goal_type has_weight_goal
+    has_nutrient_goals active_prescription_count expected_daily_doses med_reminders_enabled
+    takes_glycemic_lowering_med adherence_pct took_all_meds adherence_7d_avg glycemic_med_adherent protein_pct
+    carbs_pct fat_pct calories_pct protein_in_band carbs_in_band fat_in_band calories_in_band any_nutrient_met
+    total_nutrient_targets n_90_110 n_60_plus n_30_plus nutrient_name_met tir_positive tir_opportunity high_max
+    low_max range_low range_high within_maintenance
+""".split()
+register("null_profile", f"""
+SELECT column_name, missing FROM (UNPIVOT (
+  SELECT {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _WIDE_COLS)} FROM wide)
+  ON COLUMNS(*) INTO NAME column_name VALUE missing) WHERE missing > 0""", ["wide"])
 
 # ---------------------------------------------------------------------------
 # H1 / H2 eligibility codes
@@ -1002,26 +1026,29 @@ FROM (SELECT *, CASE WHEN starts_with(reply, 'ERROR') THEN 'error'
                      WHEN fj IN ('yes', 'no') THEN fj
                      WHEN fb <> '' THEN fb ELSE 'no' END AS verdict
       FROM (SELECT *, lower(CASE WHEN json_valid(st) THEN json_extract_string(st, '$.verdict') END) AS fj,
-                   lower(regexp_extract(reply, '(?i)verdict[^\\n]*?(yes|no)([^\\p{L}\\p{N}_]|$)', 1)) AS fb
+                   lower(regexp_extract(reply, '(?i)"verdict"\\s*:\\s*"(yes|no)"', 1)) AS fb
             FROM (SELECT *, trim(regexp_replace(reply, '```(json)?', '', 'g')) AS st
                   FROM (SELECT l.doc_id, d.source, d.lang, d.n_chars, r.criterion,
-                          CASE l.doc_id % 4
-                            WHEN 0 THEN '```json' || chr(10) || '{"verdict": "' || r.truth || '", "reason": "checked"}' || chr(10) || '```'
-                            WHEN 1 THEN '{"verdict": "' || r.truth || '", "reason": "checked"}'
-                            WHEN 2 THEN 'After review the verdict is ' || r.truth || '.'
+                          CASE l.doc_id % 6
+                            WHEN 0 THEN '```json' || chr(10) || '{"verdict": "' || r.truth || '", "reasoning": "checked"}' || chr(10) || '```'
+                            WHEN 1 THEN '{"verdict": "' || r.truth || '", "reasoning": "checked"}'
+                            WHEN 2 THEN 'Here it is: {"verdict" : "' || upper(r.truth) || '", "reasoning": "cut off", "x'
+                            WHEN 3 THEN 'After review the verdict is ' || r.truth || '.'
+                            WHEN 4 THEN 'The verdict was in their eyes.'
                             ELSE 'ERROR: request timed out' END AS reply
                         FROM labels l JOIN documents d ON l.doc_id = d.doc_id,
                         LATERAL (SELECT 'quality' AS criterion, CASE WHEN l.quality = 1 THEN 'yes' ELSE 'no' END AS truth
                                  UNION ALL
                                  SELECT 'safety', CASE WHEN l.toxic = 0 THEN 'yes' ELSE 'no' END) r))))""")
 
-register("reply_parse_json", "SELECT doc_id, criterion, category, verdict, passed FROM verd", ["verd"])
+register("reply_parse_json", """
+SELECT doc_id, criterion, category, verdict, passed,
+  CASE WHEN doc_id % 6 IN (0, 1) THEN 'checked' WHEN doc_id % 6 = 2 THEN 'cut off'
+       ELSE 'Could not parse judge response.' END AS reasoning FROM verd""", ["verd"])
 register("reply_parse_tagged", """
-SELECT doc_id, regexp_extract(reply, '(?m)^ASSESSMENT:\\s*(\\w+)', 1) AS assessment,
-  regexp_extract(reply, '(?m)^RATIONALE:\\s*(.*)$', 1) AS rationale
-FROM (SELECT doc_id, 'Review of case ' || CAST(doc_id AS VARCHAR) || chr(10) || 'ASSESSMENT: '
-        || CASE WHEN quality = 1 THEN 'PASS' ELSE 'FAIL' END || chr(10) || 'RATIONALE: quality label '
-        || CAST(quality AS VARCHAR) AS reply FROM labels)""", [])
+SELECT doc_id, CASE WHEN doc_id % 5 >= 2 AND quality = 1 THEN 'yes' ELSE 'no' END AS assessment,
+  CASE WHEN doc_id % 5 = 2 THEN 'No rationale provided' ELSE 'quality label ' || CAST(quality AS VARCHAR) END AS rationale
+FROM labels""", [])
 register("pass_rates", f"""
 SELECT criterion, category, total, passed, pass_rate,
   CASE WHEN pass_rate >= {K.PASS_BAND[0]} THEN 'pass' WHEN pass_rate < {K.PASS_BAND[1]} THEN 'fail' ELSE 'warn' END AS band,
@@ -1185,12 +1212,37 @@ register("tip_pick", """
 SELECT f.id, f.day, f.tip_key AS food_tip, s.tip_key AS sleep_tip
 FROM food_tip f JOIN sleep_tip s ON f.id = s.id AND f.day = s.day""", ["food_tip", "sleep_tip"])
 
+_ONE = "CAST(round_even({}, 1) AS VARCHAR)"
+cte("weekly", f"""
+SELECT o.id, o.day, o.greeting, o.action_texts, o.opportunity_text, concat_ws(chr(10),
+  CASE WHEN sleepy AND sleep_hours >= 7 AND sleep_avg_7d < 7
+       THEN '- Yesterday''s sleep: ' || {_ONE.format('sleep_hours')} || 'h. 7-day average: ' || {_ONE.format('sleep_avg_7d')} || 'h (below 7h target).' END,
+  CASE WHEN sleepy AND sleep_rating >= 7 AND sleep_rating_avg_7d < 7
+       THEN '- Yesterday''s sleep rating: ' || CAST(CAST(trunc(sleep_rating) AS INTEGER) AS VARCHAR) || '/10. 7-day average rating: '
+            || {_ONE.format('sleep_rating_avg_7d')} || '/10 (below 7 target).' END,
+  CASE WHEN active AND active_minutes >= 20 AND weekly_active_minutes < 150
+       THEN '- Yesterday''s active minutes: ' || CAST(CAST(trunc(active_minutes) AS INTEGER) AS VARCHAR)
+            || '. Weekly total is below the recommended level. Encourage more activity today.' END,
+  CASE WHEN opportunity_key = 'medication_reminders' AND took_all_meds AND med_adherence_7d_avg IS NOT NULL
+       THEN '- Yesterday: took all meds. 7-day adherence average: '
+            || CAST(CAST(round_even(med_adherence_7d_avg, 0) AS INTEGER) AS VARCHAR) || '% (below 50% threshold).' END) AS weekly_context
+FROM (SELECT *, COALESCE(opportunity_category = 'sleep' OR starts_with(opportunity_key, 'sleep_'), FALSE) AS sleepy,
+        COALESCE(opportunity_category = 'activity' OR starts_with(opportunity_key, 'activity_'), FALSE) AS active
+      FROM result) o JOIN ctx c ON o.id = c.id AND o.day = c.day""", ["result", "ctx"])
+
 register("weekly_context", """
 SELECT id, day, weekly_context,
   CAST(len(list_filter(string_split(weekly_context, chr(10)), lambda x: x <> '')) AS INTEGER) AS n_lines
-FROM (SELECT id, day, concat_ws(chr(10),
-  CASE WHEN sleep_hours >= 7 AND sleep_avg_7d < 7 THEN 'Sleep last night met the goal, but the 7-day average is below it.' END,
-  CASE WHEN sleep_rating >= 7 AND sleep_rating_avg_7d < 7 THEN 'Sleep rating was good last night, but the 7-day average rating is lower.' END,
-  CASE WHEN active_minutes > 0 AND weekly_active_minutes < 150 THEN 'Active yesterday, but the weekly total is below 150 minutes.' END,
-  CASE WHEN took_all_meds AND med_adherence_7d_avg < 50 THEN 'All medications taken yesterday, but 7-day adherence is below 50%.' END) AS weekly_context
-  FROM ctx)""", ["ctx"])
+FROM weekly""", ["weekly"])
+
+register("prompt_text", """
+SELECT id, day, weekly_context,
+  'Generate a brief, personalized health message with EXACTLY 1 paragraph:' || chr(10) || chr(10) || 'Start with "' || greeting
+  || '" then weave in these points using your own natural wording:' || chr(10)
+  || CASE WHEN len(action_texts) > 0 THEN array_to_string(list_transform(action_texts, lambda x: '- ' || x), chr(10))
+          ELSE '- User logged into the app today' END
+  || chr(10) || chr(10) || 'End with this suggestion (rephrase in your own words):' || chr(10)
+  || COALESCE(opportunity_text, 'Browse the Explore section to learn more.') || chr(10) || chr(10)
+  || CASE WHEN weekly_context <> '' THEN 'Weekly context that influenced the suggestion:' || chr(10) || weekly_context ELSE '' END
+  || chr(10) || chr(10) || 'IMPORTANT: Do NOT copy the instructions above word-for-word. Use them as guidance and write the message in your own natural, conversational voice. Do NOT add ratings or generic motivation. Go directly from acknowledgment to suggestion. If weekly context is provided, use it to briefly explain why the suggestion matters even if yesterday looked good.' AS prompt
+FROM weekly""", ["weekly"])

@@ -40,16 +40,19 @@ def judge_replies(spark: SparkSession, base: str) -> DataFrame:
         F.struct(F.lit("safety").alias("criterion"),
                  F.when(c("toxic") == 0, "yes").otherwise("no").alias("truth")))).alias("r"))
     v = c("r.truth")
-    shape = c("doc_id") % 4
-    reply = (F.when(shape == 0, F.concat(F.lit('```json\n{"verdict": "'), v, F.lit('", "reason": "checked"}\n```')))
-             .when(shape == 1, F.concat(F.lit('{"verdict": "'), v, F.lit('", "reason": "checked"}')))
-             .when(shape == 2, F.concat(F.lit("After review the verdict is "), v, F.lit(".")))
+    shape = c("doc_id") % 6
+    reply = (F.when(shape == 0, F.concat(F.lit('```json\n{"verdict": "'), v, F.lit('", "reasoning": "checked"}\n```')))
+             .when(shape == 1, F.concat(F.lit('{"verdict": "'), v, F.lit('", "reasoning": "checked"}')))
+             .when(shape == 2, F.concat(F.lit('Here it is: {"verdict" : "'), F.upper(v), F.lit('", "reasoning": "cut off", "x')))
+             .when(shape == 3, F.concat(F.lit("After review the verdict is "), v, F.lit(".")))
+             .when(shape == 4, F.lit("The verdict was in their eyes."))
              .otherwise(F.lit("ERROR: request timed out")))
     return rows.select("doc_id", "source", "lang", "n_chars", c("r.criterion").alias("criterion"),
                        reply.alias("reply"))
 
 
-VERDICT_FALLBACK = r"(?i)verdict[^\n]*?(yes|no)([^\p{L}\p{N}_]|$)"
+VERDICT_FALLBACK = r'(?i)"verdict"\s*:\s*"(yes|no)"'
+REASONING_FALLBACK = r'"reasoning"\s*:\s*"([^"]+)"'
 WORD_EDGE = r"[^\p{L}\p{N}_]"
 
 
@@ -64,25 +67,41 @@ def parse_json_verdict(reply: Column) -> Column:
             .when(fallback != "", fallback).otherwise(F.lit("no")))
 
 
+def parse_json_reasoning(reply: Column) -> Column:
+    """I8: $.reasoning, else a regex fallback, else a fixed note."""
+    stripped = F.trim(F.regexp_replace(reply, r"```(json)?", ""))
+    return F.coalesce(F.get_json_object(stripped, "$.reasoning"),
+                      F.nullif(F.regexp_extract(reply, REASONING_FALLBACK, 1), F.lit("")),
+                      F.lit("Could not parse judge response."))
+
+
 def verdicts(spark: SparkSession, base: str) -> DataFrame:
     r = judge_replies(spark, base)
     v = parse_json_verdict(c("reply"))
     crit_cat = F.create_map(*[F.lit(x) for kv in CRITERIA.items() for x in kv])
     return r.select("doc_id", "source", "lang", "n_chars", "criterion",
                     crit_cat[c("criterion")].alias("category"), v.alias("verdict"),
+                    parse_json_reasoning(c("reply")).alias("reasoning"),
                     (v == "yes").alias("passed"))
 
 
 def tagged_replies(spark: SparkSession, base: str) -> DataFrame:
-    """I9: 'ASSESSMENT: PASS|FAIL' / 'RATIONALE: ...' lines parsed by regex."""
+    """I9: 'ASSESSMENT:' / 'RATIONALE:' lines; a line that says yes is yes, all else and no line is no.
+
+    The fixture leaves the lines out of some replies and words others freely.
+    """
     lab = load(spark, base, "labels", ["doc_id", "quality"])
-    txt = F.concat(F.lit("Review of case "), c("doc_id").cast("string"), F.lit("\nASSESSMENT: "),
-                   F.when(c("quality") == 1, "PASS").otherwise("FAIL"),
-                   F.lit("\nRATIONALE: quality label "), c("quality").cast("string"))
+    shape = c("doc_id") % 5
+    txt = F.concat(F.lit("Review of case "), c("doc_id").cast("string"),
+                   F.when(shape == 0, "").when(shape == 1, "\nASSESSMENT: unclear")
+                   .otherwise(F.concat(F.lit("\nASSESSMENT: "), F.when(c("quality") == 1, "Yes, it does").otherwise("NO"))),
+                   F.when(shape == 2, "").otherwise(F.concat(F.lit("\nRATIONALE: quality label "), c("quality").cast("string"))))
+    said = F.lower(F.regexp_extract("reply", r"(?m)^ASSESSMENT:(.*)$", 1))
     return lab.select("doc_id", txt.alias("reply")).select(
         "doc_id",
-        F.regexp_extract("reply", r"(?m)^ASSESSMENT:\s*(\w+)", 1).alias("assessment"),
-        F.regexp_extract("reply", r"(?m)^RATIONALE:\s*(.*)$", 1).alias("rationale"))
+        F.when(said.contains("yes"), "yes").otherwise("no").alias("assessment"),
+        F.when(c("reply").rlike(r"(?m)^RATIONALE:"), F.trim(F.regexp_extract("reply", r"(?m)^RATIONALE:(.*)$", 1)))
+        .otherwise(F.lit("No rationale provided")).alias("rationale"))
 
 
 # ---------------------------------------------------------------------------
@@ -120,8 +139,8 @@ def group_rates(v: DataFrame, by: str) -> DataFrame:
 
 
 def bot_summary(v: DataFrame) -> DataFrame:
-    """AG21 (D17): per user: cases, with/without chart, micro average, category rate
-    as summed passes over summed totals."""
+    """AG21 (D17): per user: cases, with/without chart, summed passes over summed totals
+    and the mean rate of a case."""
     case = v.groupBy("lang", "doc_id").agg(
         F.count("*").alias("n"), F.count_if("passed").alias("p"), F.max(c("n_chars") > 5000).alias("chart"))
     return case.groupBy("lang").agg(

@@ -308,10 +308,9 @@ def q_threshold_lookup(spark, base):
 
 @query("null_profile")
 def q_null_profile(spark, base):
-    """Per column missing count over the daily feature table (columns with any)."""
-    f = fe.daily_features(spark, base)
-    cols = ["tir_pct", "active_minutes", "steps", "weight", "sleep_hours", "sleep_rating", "last_meal_type",
-            "weekly_active_minutes", "days_since_last_weight", "weight_14d_ago"]
+    """Missing count of every column of the daily wide table (columns with any)."""
+    f = asm.daily_wide(spark, base)
+    cols = f.columns
     counts = f.agg(*[F.count_if(F.col(x).isNull()).alias(x) for x in cols])
     stacked = counts.select(F.explode(F.array(*[F.struct(F.lit(x).alias("column_name"),
                                                          F.col(x).alias("missing")) for x in cols])).alias("s"))
@@ -456,7 +455,7 @@ from daybook.plans import evalstats as ev  # noqa: E402
 @query("reply_parse_json")
 def q_reply_parse_json(spark, base):
     """I8: judge replies -> verdict (fences stripped, JSON, regex fallback, default no)."""
-    return ev.verdicts(spark, base).select("doc_id", "criterion", "category", "verdict", "passed")
+    return ev.verdicts(spark, base).select("doc_id", "criterion", "category", "verdict", "passed", "reasoning")
 
 
 @query("reply_parse_tagged")
@@ -660,18 +659,20 @@ def q_day_ids(spark, base):
 
 @query("context_json")
 def q_context_json(spark, base):
-    """Per (id, day) JSON of listed rule inputs; NULL fields dropped."""
+    """Per (id, day) JSON of all rule inputs; NULL fields dropped."""
     ctx = asm.context(spark, base)
-    keys = ["tir_pct", "steps", "active_minutes", "sleep_hours", "meals", "weight_goal_type"]
+    keys = [x for x in ctx.columns if x not in ("id", "day")]
     return ctx.select("id", "day", rnd.context_json(ctx, keys).alias("context"))
 
 
+WEEKLY_INPUTS = ["sleep_hours", "sleep_avg_7d", "sleep_rating", "sleep_rating_avg_7d", "active_minutes",
+                 "weekly_active_minutes", "took_all_meds", "med_adherence_7d_avg"]
+
+
 @query("prompt_text")
 def q_prompt_text(spark, base):
     """Weekly-context lines and the assembled prompt per (id, day)."""
-    carry = ["sleep_hours", "sleep_avg_7d", "sleep_rating", "sleep_rating_avg_7d", "active_minutes",
-             "weekly_active_minutes", "took_all_meds", "med_adherence_7d_avg"]
-    j = sel.daily_result(spark, base, carry=carry)
+    j = sel.daily_result(spark, base, carry=WEEKLY_INPUTS)
     wk = rnd.weekly_context(j)
     return j.select("id", "day", wk.alias("weekly_context"),
                     rnd.prompt_text(F.col("action_texts"), F.col("opportunity_text"), F.col("greeting"), wk)
@@ -725,8 +726,8 @@ def q_tip_pick(spark, base):
 
 @query("weekly_context")
 def q_weekly_context(spark, base):
-    """Per (id, day) the lines where yesterday and the 7-day view disagree."""
-    ctx = asm.context(spark, base)
-    wk = rnd.weekly_context(ctx)
-    return ctx.select("id", "day", wk.alias("weekly_context"),
+    """Per (id, day) the lines on the picked opportunity where yesterday and the 7-day view disagree."""
+    j = sel.daily_result(spark, base, carry=WEEKLY_INPUTS)
+    wk = rnd.weekly_context(j)
+    return j.select("id", "day", wk.alias("weekly_context"),
                       F.size(F.filter(F.split(wk, "\n"), lambda x: x != "")).alias("n_lines"))
