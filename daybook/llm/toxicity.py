@@ -287,6 +287,35 @@ def _doc_features(part, cuts, model, known):
     return row[new], h[new]
 
 
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Coefficients of the ridge logistic regression (first column: intercept, not shrunk).
+
+    Newton steps with halving while the loss would rise: labels that the inputs
+    separate perfectly leave the loss without a minimum but for the ridge.
+    """
+    pull = np.full(x.shape[1], ridge)
+    pull[0] = 1e-6
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * (pull * w * w).sum()
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * w)
+        size = 1.0
+        while loss(w + size * step) > now and size > 1e-6:
+            size /= 2
+        w = w + size * step
+        new = loss(w)
+        if now - new < 1e-9 * max(1.0, now):
+            break
+        now = new
+    return w
+
+
 def fit(train: DataFrame, model: np.ndarray) -> tuple[Weights, np.ndarray]:
     """Weights and curve from all rows (text, toxic) of train."""
     spark = train.sparkSession
@@ -341,15 +370,7 @@ def fit(train: DataFrame, model: np.ndarray) -> tuple[Weights, np.ndarray]:
 
     rows = train.select("text", F.col("toxic").cast("int")).mapInArrow(curve_rows, "e double, n long, y double").toPandas()
     x, y = _inputs(rows.e.to_numpy(), rows.n.to_numpy()), rows.y.to_numpy()
-    w = np.zeros(x.shape[1])
-    for _ in range(60):  # Newton steps with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        ridge = np.array([1e-6, 1e-2, 1e-2, 1e-2])
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return weights, w
+    return weights, logistic(x, y)
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Weights, np.ndarray]:

@@ -100,3 +100,17 @@ def test_spans_and_features():
     assert r.tolist() == [0, 0, 3, 3]
     h = words.word_hashes(*[np.frombuffer(b"ab xx ab", np.uint8)], np.array([0, 3, 6]), np.array([2, 5, 8]))
     assert h[0] == h[2] != h[1]
+
+
+@pytest.mark.parametrize("n", [50, 20_000])
+def test_curve_of_separable_labels(n):
+    """Labels that the evidence separates must not upset the fit."""
+    r = np.random.default_rng(1)
+    y = (r.random(n) < 0.1).astype(float)
+    e, words_ = y * r.uniform(5, 300, n), r.integers(1, 5000, n)
+    x = toxicity._inputs(e, words_)
+    w = toxicity.logistic(x, y)
+    p = 1 / (1 + np.exp(-(x @ w)))
+    assert ((p >= 0.7) == (y == 1)).mean() > 0.97 and (p[y == 0] < 0.5).all()
+    grad = x.T @ (y - p) - np.r_[1e-6, 1, 1, 1] * w
+    assert np.abs(grad).max() < 1e-2 * n ** 0.5
