@@ -59,11 +59,6 @@ def safe_pct(num, den) -> Column:
     return F.when(den > 0, col_(num) / den * F.lit(100.0))
 
 
-def ratio_pct(num, count) -> Column:
-    """Num / greatest(count, 1) * 100."""
-    return col_(num) / F.greatest(col_(count), F.lit(1)) * F.lit(100.0)
-
-
 def band(value, lo, hi) -> Column:
     """Inclusive band membership as 0/1."""
     return flag(col_(value).between(lo, hi))

@@ -103,18 +103,6 @@ def nearest_in_band(c, center: int = 14, lo: int = 10, hi: int = 18,
     return value, back
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_cols: list, value_cols: list[str]) -> DataFrame:
-    """Latest row per key as an aggregate (``max_by`` on a struct), no sort of the group.
-
-    The ordering struct is compared field by field; aggregation is partial
-    map-side so a hot key is reduced before the shuffle.
-    """
-    ordering = F.struct(*[col_(c) for c in order_cols])
-    payload = F.struct(*[F.col(c) for c in value_cols])
-    return (df.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_v"))
-            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols]))
-
-
 def pct_change(cur, prev) -> Column:
     """Percent change vs a previous value, NULL unless prev > 0."""
     return F.when(col_(prev) > 0, (col_(cur) - col_(prev)) / col_(prev) * F.lit(100.0))

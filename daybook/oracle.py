@@ -220,6 +220,7 @@ SELECT d.*, b.weight_14d_ago, b.weight_14d_days_back,
   {_any('meditation_count', 30)} AS meditation_30d,
   CASE WHEN video_completion_pct >= 90 THEN 1 ELSE 0 END AS video_completed_today,
   last_value(steps IGNORE NULLS) {_PREV} AS steps_prev_logged,
+  max(CASE WHEN steps IS NOT NULL THEN day END) {_PREV} AS steps_prev_logged_day,
   avg(steps) {_rng(7)} AS steps_avg_7d,
   {_any('CASE WHEN steps IS NOT NULL THEN 1 END', 30)} AS has_step_tracker,
   last_value(weight IGNORE NULLS) {_PREV} AS weight_prev_logged,
@@ -542,7 +543,7 @@ SELECT id, day,
   COALESCE(a1c_group, '{K.DEFAULT_A1C_GROUP}') AS a1c_group,
   tir_positive, tir_opportunity, high_max, low_max,
   tir_pct, tir_prev_logged AS tir_prev, high_pct, low_pct,
-  steps, steps_prev_logged AS steps_prev, steps_avg_7d,
+  steps, steps_prev_logged AS steps_prev, steps_prev_logged_day AS steps_prev_day, steps_avg_7d,
   active_minutes, active_minutes_prev_logged AS active_prev, weekly_active_minutes, video_completion_pct,
   sleep_hours, sleep_prev_logged AS sleep_prev, sleep_rating, sleep_avg_7d, sleep_rating_avg_7d,
   {_bool('took_all_meds')} AS took_all_meds, adherence_7d_avg AS med_adherence_7d_avg,
@@ -584,7 +585,7 @@ _WIDE_COLS = """
     article_events lesson_events learn_video_events program_steps plan_entries plan_active plan_completed
     sleep_count sleep_rating sleep_hours last_meal_type tir_prev_logged tir_prev_day has_cgm
     active_minutes_prev_logged active_minutes_prev_day weekly_active_minutes meditation_7d meditation_30d
-    video_completed_today steps_prev_logged steps_avg_7d has_step_tracker weight_prev_logged
+    video_completed_today steps_prev_logged steps_prev_logged_day steps_avg_7d has_step_tracker weight_prev_logged
     days_since_last_weight weight_14d_ago weight_14d_days_back days_with_meals_7d journal_7d journal_30d
     plan_progress_7d plan_progress_30d grocery_7d program_7d sleep_prev_logged sleep_avg_7d sleep_rating_avg_7d
     video_completed_7d tir_delta_1d active_minutes_delta_1d activity_same_or_more steps_delta_1d
@@ -803,7 +804,7 @@ _POS_RULES = [
      f"replace({_tplq('steps_target_met')}, '{{step_count}}', {_STEPS_F})"),
     ("has_step_tracker AND NOT COALESCE(steps >= 10000, FALSE) AND steps_prev IS NOT NULL AND steps > steps_prev",
      "steps_improved", "steps", 4,
-     f"replace(replace({_tplq('steps_improved')}, '{{step_count}}', {_STEPS_F}), '{{prev_day_name}}', dayname(day - 1))"),
+     f"replace(replace({_tplq('steps_improved')}, '{{step_count}}', {_STEPS_F}), '{{prev_day_name}}', dayname(steps_prev_day))"),
     ("active_minutes > 0", "activity_logged", "activity", 5,
      f"replace({_tplq('activity_logged')}, '{{active_minutes}}', {_MIN})"),
     ("active_minutes > 0 AND active_prev IS NOT NULL AND active_minutes >= active_prev - 3", "activity_maintained",
@@ -1246,3 +1247,20 @@ SELECT id, day, weekly_context,
   || CASE WHEN weekly_context <> '' THEN 'Weekly context that influenced the suggestion:' || chr(10) || weekly_context ELSE '' END
   || chr(10) || chr(10) || 'IMPORTANT: Do NOT copy the instructions above word-for-word. Use them as guidance and write the message in your own natural, conversational voice. Do NOT add ratings or generic motivation. Go directly from acknowledgment to suggestion. If weekly context is provided, use it to briefly explain why the suggestion matters even if yesterday looked good.' AS prompt
 FROM weekly""", ["weekly"])
+
+register("clustered_layout", "SELECT * FROM rating", ["rating"], ["percentage"])
+register("partition_lookup", """
+SELECT id, day, score, rating FROM rating
+WHERE day = DATE '2024-01-20' AND id IN (SELECT id FROM goals WHERE has_weight_goal = 1)""", ["rating", "goals"])
+register("key_categories", """
+SELECT key, count(*) AS n, CASE
+  WHEN key LIKE 'glucose%' THEN 'glucose' WHEN key LIKE 'steps%' THEN 'steps'
+  WHEN key LIKE 'activity%' OR key LIKE 'exercise_program%' THEN 'activity' WHEN key LIKE 'sleep%' THEN 'sleep'
+  WHEN key LIKE 'medication%' THEN 'medications' WHEN key LIKE 'meal%' OR key LIKE 'nutrient%' OR key LIKE 'ai_meal_plan%' THEN 'food'
+  WHEN key LIKE 'weight%' THEN 'weight' WHEN key LIKE 'journey%' THEN 'journey'
+  WHEN key LIKE 'meditation%' OR key LIKE 'journal%' OR key LIKE 'action_plan%' THEN 'mental_wellbeing' ELSE 'explore' END AS category
+FROM pos GROUP BY key""", ["pos"])
+register("column_comments", """
+SELECT 'tir_pct' AS column_name, TRUE AS applied, 'share of readings in 70-180' AS comment, count(tir_pct) AS n_rows FROM feat
+UNION ALL SELECT 'weekly_active_minutes', TRUE, '7-day calendar sum', count(weekly_active_minutes) FROM feat
+UNION ALL SELECT 'protein_target_pct', FALSE, NULL, NULL""", ["feat"])

@@ -108,7 +108,8 @@ def _rule_input_columns() -> list:
         F.coalesce(c("a1c_group"), F.lit(K.DEFAULT_A1C_GROUP)).alias("a1c_group"),
         "tir_positive", "tir_opportunity", "high_max", "low_max",
         "tir_pct", c("tir_prev_logged").alias("tir_prev"), "high_pct", "low_pct",
-        "steps", c("steps_prev_logged").alias("steps_prev"), "steps_avg_7d",
+        "steps", c("steps_prev_logged").alias("steps_prev"),
+        c("steps_prev_logged_day").alias("steps_prev_day"), "steps_avg_7d",
         "active_minutes", c("active_minutes_prev_logged").alias("active_prev"), "weekly_active_minutes",
         "video_completion_pct",
         "sleep_hours", c("sleep_prev_logged").alias("sleep_prev"), "sleep_rating", "sleep_avg_7d",

@@ -110,7 +110,7 @@ def positive_array() -> Column:
         _cand(c("has_step_tracker") & ~safe_gte("steps", K.STEPS_DAILY_TARGET) & c("steps_prev").isNotNull()
               & safe_gt("steps", c("steps_prev")), "steps_improved", "steps", 4,
               _render("steps_improved", {"step_count": steps_fmt,
-                                         "prev_day_name": F.date_format(F.date_sub("day", 1), "EEEE")})),
+                                         "prev_day_name": F.date_format("steps_prev_day", "EEEE")})),
         _cand(safe_gt("active_minutes", 0), "activity_logged", "activity", 5,
               _render("activity_logged", {"active_minutes": minutes})),
         _cand(safe_gt("active_minutes", 0) & c("active_prev").isNotNull()

@@ -173,6 +173,7 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
         "video_completed_today": flag(F.col("video_completion_pct") >= K.EXERCISE_COMPLETION_PCT),
         # steps
         "steps_prev_logged": prev_logged("steps"),
+        "steps_prev_logged_day": prev_logged(F.when(F.col("steps").isNotNull(), F.col("day"))),
         "steps_avg_7d": rolling(F.avg, "steps", 7),
         "has_step_tracker": any_in_last(F.when(F.col("steps").isNotNull(), 1), 30),
         # weight

@@ -613,9 +613,27 @@ def q_partition_overwrite(spark, base):
 
 @query("clustered_layout")
 def q_clustered_layout(spark, base):
-    """Range-partitioned, sorted by id before writing (row count unchanged)."""
-    r = sel_rating(spark, base)
-    return wr.clustered(r, "id")
+    """Range-partitioned and sorted by id before writing; the rows read back from the files."""
+    path = wr.new_table_path(spark, "rating_by_id")
+    wr.clustered(sel_rating(spark, base), "id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("partition_lookup")
+def q_partition_lookup(spark, base):
+    """A3: one day of a table partitioned by day (partition filter), restricted to an id list."""
+    path = wr.new_table_path(spark, "rating_by_day")
+    wr.overwrite_partitions(sel_rating(spark, base), path, ["day"])
+    allow = fe.goals_per_id(spark, base).filter(F.col("has_weight_goal") == 1).select("id")
+    back = spark.read.parquet(path).withColumn("day", F.col("day").cast("date"))
+    return day_partition(back, "day", "2024-01-20", allow).select("id", "day", "score", "rating")
+
+
+@query("key_categories")
+def q_key_categories(spark, base):
+    """H6: candidates per key, with the category that the key's prefix gives."""
+    pos = cand.positive_candidates(sel.context_with_history(spark, base))
+    return pos.groupBy("key").agg(F.count("*").alias("n")).withColumn("category", hist.key_category("key"))
 
 
 def sel_rating(spark, base):
@@ -624,15 +642,21 @@ def sel_rating(spark, base):
 
 @query("column_comments")
 def q_column_comments(spark, base):
-    """Comments applied to existing columns, names that do not exist reported."""
-    f = fe.daily_features(spark, base)
+    """Comments of a written table as read back, with each column's non-null rows; names
+    that are not columns are reported without rows."""
     comments = {"tir_pct": "share of readings in 70-180", "weekly_active_minutes": "7-day calendar sum",
-                "protein_target_pct": "named in the reference comments, not a column"}
-    out, applied, skipped = wr.with_comments(f, comments)
-    rows = [(c, True) for c in applied] + [(c, False) for c in skipped]
-    names = spark.createDataFrame(rows, "column_name string, applied boolean")
-    meta = {fld.name: fld.metadata.get("comment") for fld in out.schema.fields}
-    return names.withColumn("comment", F.create_map(*[F.lit(x) for k, v in meta.items() if v for x in (k, v)])[F.col("column_name")])
+                "protein_target_pct": "named in the comments, not a column"}
+    out, _, skipped = wr.with_comments(fe.daily_features(spark, base), comments)
+    path = wr.new_table_path(spark, "commented")
+    out.write.parquet(path)
+    back = spark.read.parquet(path)
+    kept = {f.name: f.metadata["comment"] for f in back.schema.fields if "comment" in f.metadata}
+    counts = back.agg(*[F.count(x).alias(x) for x in kept])
+    rows = [F.struct(F.lit(x).alias("column_name"), F.lit(True).alias("applied"), F.lit(t).alias("comment"),
+                     F.col(x).alias("n_rows")) for x, t in kept.items()]
+    rows += [F.struct(F.lit(x).alias("column_name"), F.lit(False).alias("applied"), F.lit(None).cast("string").alias("comment"),
+                      F.lit(None).cast("long").alias("n_rows")) for x in skipped]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------------------

@@ -30,17 +30,6 @@ def load(spark: SparkSession, base: str, name: str, columns: Iterable[str] | Non
     return df
 
 
-def check_sources(spark: SparkSession, base: str, names: Iterable[str]) -> list[str]:
-    """All missing sources at once (metadata only, no data read)."""
-    missing = []
-    for name in names:
-        try:
-            spark.read.parquet(table_path(base, name)).schema  # noqa: B018
-        except Exception:  # noqa: BLE001 - any read failure means unusable
-            missing.append(name)
-    return missing
-
-
 def day_partition(df: DataFrame, day_col: str, day, ids: DataFrame | None = None,
                   id_col: str = "id") -> DataFrame:
     """A3/A4: rows of one report day, optionally restricted to an id list.

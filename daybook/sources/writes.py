@@ -98,11 +98,6 @@ def write_sheet(df: DataFrame, path: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def partition_count(spark: SparkSession, path: str, col: str, value) -> DataFrame:
-    """Rows of one written partition (a one-row frame; partition-pruned read)."""
-    return spark.read.parquet(path).filter(F.col(col) == F.lit(value)).agg(F.count("*").alias("rows"))
-
-
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared checkpoint folder for a written version."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")

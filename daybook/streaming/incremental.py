@@ -15,6 +15,8 @@ failed batch is replayed; the partition overwrite makes a replay idempotent.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,13 @@ def touched_days(batch: DataFrame) -> DataFrame:
 
 
 def recompute_days(spark: SparkSession, events_dir: str, days: DataFrame) -> DataFrame:
-    """Daily aggregates of the given days, computed from every event in the folder."""
-    full = spark.read.schema(EVENT_SCHEMA).parquet(events_dir)
+    """Daily aggregates of the given days, computed from every event that can fall on them."""
+    low, high = days.agg(F.min("day"), F.max("day")).first()
+    # two days of slack: time zone offsets and intervals that begin the day before
+    ts = F.col("ts")
+    full = spark.read.schema(EVENT_SCHEMA).parquet(events_dir).filter(
+        (ts >= F.lit(str(low - dt.timedelta(days=2))).cast("timestamp_ntz"))
+        & (ts < F.lit(str(high + dt.timedelta(days=3))).cast("timestamp_ntz")))
     agg = features.daily_event_aggregates(spark, "", events=full)
     return agg.join(F.broadcast(days), "day", "left_semi")
 

@@ -31,6 +31,6 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = {"clustered_layout", "column_comments", "context_json", "prompt_text", "replay_3_days"}
+    rows_only = {"context_json", "replay_3_days"}
     missing = set(E.queries()) - set(E.oracle_sql()) - rows_only
     assert not missing, missing
