@@ -116,7 +116,8 @@ def _links(reps: DataFrame, dims: int, threshold: float) -> DataFrame:
     p, bits = math.acos(min(1.0, threshold)) / math.pi, CODE_BITS * codes
     slack = int(bits * p + 6 * math.sqrt(bits * p * (1 - p)))
     differ = " + ".join(f"bit_count(h.code[{c}] ^ p.code[{c}])" for c in range(codes))
-    near = homes.alias("h").join(probes.alias("p"), ["t", "key"]).filter(
+    # the planner's size estimate of a side does not know of the explode: never broadcast one
+    near = homes.alias("h").join(probes.alias("p").hint("merge"), ["t", "key"]).filter(
         f"h.rep < p.rep AND {differ} <= {slack}").select(F.col("h.rep").alias("a"), F.col("p.rep").alias("b")).distinct()
     left, right = (reps.select(F.col("rep").alias(c), F.col("embedding").alias(e)) for c, e in (("a", "x"), ("b", "y")))
     pairs = near.join(left, "a").join(right, "b").select("a", "b", "x", "y")

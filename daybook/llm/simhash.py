@@ -151,7 +151,8 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, plan=None) -> DataFrame:
     if sum(b for b, _ in plan) != 64 or sum(t for _, t in plan) < distance + 1 - len(plan):
         raise ValueError("blocks must hold 64 bits and their distances add up to distance + 1 - blocks")
     homes, probes = _block_rows(fps, plan)
-    return (homes.alias("h").join(probes.alias("p"), ["block", "anchor"])
+    # the planner's size estimate of a side does not know of the explode: never broadcast one
+    return (homes.alias("h").join(probes.alias("p").hint("merge"), ["block", "anchor"])
             .filter(f"h.fp < p.fp AND bit_count(h.fp ^ p.fp) <= {int(distance)}")
             .select(F.col("h.fp").alias("a"), F.col("p.fp").alias("b")).distinct())
 
