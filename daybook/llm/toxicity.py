@@ -201,7 +201,7 @@ def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, known: di
     out: list[list[str]] = [[] for _ in range(len(offsets) - 1)]
     for token, row in zip(tokens, owner.tolist(), strict=True):
         if token not in known:
-            if len(known) >= 200_000:
+            if len(known) >= 50_000:
                 known.clear()
             known[token] = decode(token, model)
         if known[token]:
@@ -269,10 +269,12 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return words.buffers(pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), "")))
 
 
-def _pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    data, offsets = _lowered(column)
-    for a, b in words.slices(data, offsets, 2 << 20):
-        yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+def _pieces(column: pa.Array, rows: int = 1000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Lower-cased bytes and offsets of the column in pieces, so a large batch is not copied whole."""
+    for low in range(0, len(column), rows):
+        data, offsets = _lowered(column.slice(low, rows))
+        for a, b in words.slices(data, offsets, 2 << 20):
+            yield low + a, low + b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
 
 
 def _doc_features(part, cuts, model, known):
