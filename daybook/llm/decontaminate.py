@@ -4,10 +4,10 @@ Words are runs of letters and digits, lower-cased; shingles are five words
 (a shorter item is one shingle of all its words and is matched likewise).
 
 1. Windows. A document is read in windows that hold as many shingles as the
-   item. A window that shares no shingle with an item has similarity 0 to it,
-   so windows are only laid where a document shingle occurs in an item: the
-   window starts where the item would have to start. Every word position of
-   every text is looked up.
+   item, one at every start. Every word position of every text is looked up; a
+   running count over the positions of shared shingles (each counts as often as
+   the item holds it) tells how much of an item the window at each start holds.
+   Windows that hold too little for MIN_SIMILARITY are not read further.
 2. Candidates. Window and item fingerprints (64-bit SimHash over the window's
    shingles) are matched through a multi-index: the fingerprint is cut into
    BLOCKS blocks, and fingerprints within RADIUS bits differ by at most
@@ -118,21 +118,60 @@ class Items:
         n = high - low
         at = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         place, item = np.repeat(near, n), self.item[at]
-        row_first = np.searchsorted(rows, rows[place], "left")
-        row_end = np.searchsorted(rows, rows[place], "right")
-        start = np.clip(place - self.offset[at], row_first, np.maximum(row_first, row_end - self.sizes[item]))
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        spans = np.unique(np.stack([start, item, np.minimum(start + self.sizes[item], row_end)], 1), axis=0)
-        for s, own, e in spans.tolist():
+        for own, row, s, e in self._windows(h, rows, place, item):
             window = h[s:e]
-            for k in self.index.within(fingerprint(window)).tolist():
-                if self.sizes[k] == self.sizes[own]:
-                    sim = similarity(window, self.shingles[k])
-                    key = (int(rows[s]), k)
-                    if sim >= MIN_SIMILARITY and (key not in best or best[key][0] < sim):
-                        best[key] = (sim, s)
+            if (row, own) not in best and own in self.index.within(fingerprint(window)):
+                sim = similarity(window, self.shingles[own])
+                if sim >= MIN_SIMILARITY:
+                    best[row, own] = (sim, s)
         return best
 
+    def _windows(self, h, rows, place, item) -> Iterator[tuple[int, int, int, int]]:
+        """(item, row, start, end) of all windows that hold enough of an item, those that hold most of it first.
+
+        place, item: the positions of shared shingles, once for each time the item holds the shingle.
+        """
+        if not len(place):
+            return
+        new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (item[1:] != item[:-1])])
+        times = np.diff(np.r_[new, len(place)])
+        place, item = place[new], item[new]
+        first, end = np.searchsorted(rows, rows[place], "left"), np.searchsorted(rows, rows[place], "right")
+        size = self.sizes[item]
+        last = np.maximum(first, end - size)
+        # |a & b| >= s |a | b| for windows of this size
+        need = np.ceil(MIN_SIMILARITY * (size + np.minimum(size, end - first)) / (1 + MIN_SIMILARITY) - 1e-9)
+        order = np.lexsort((place, item, first))
+        change = np.r_[True, (np.diff(first[order]) != 0) | (np.diff(item[order]) != 0)]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(change) - 1
+        enough = np.bincount(group)[group] >= need
+        place, item, times, first, end, size, last, need, group = (
+            x[enough] for x in (place, item, times, first, end, size, last, need, group))
+        if not len(place):
+            return
+        # a position adds one to the windows that hold it without the item's whole number of the shingle before it
+        order = np.lexsort((place, h[place], group))
+        place, item, times, first, end, size, last, need, group = (
+            x[order] for x in (place, item, times, first, end, size, last, need, group))
+        before = np.arange(len(place)) - times
+        same = (before >= 0) & (group[before] == group) & (h[place[before]] == h[place])
+        low = np.maximum(np.maximum(place - size + 1, first), np.where(same, place[before] + 1, 0))
+        high = np.minimum(place, last)
+        live = np.flatnonzero(low <= high)
+        step = np.repeat([1, -1], len(live))
+        start, owner = np.r_[low[live], high[live] + 1], np.r_[live, live]
+        order = np.lexsort((start, group[owner]))
+        start, owner, held = start[order], owner[order], np.cumsum(step[order])
+        stays = np.r_[(np.diff(start) != 0) | (np.diff(group[owner]) != 0), True]
+        start, owner, held = start[stays], owner[stays], held[stays]
+        good = np.flatnonzero(held >= need[owner])
+        for k in good[np.lexsort((start[good], -held[good], group[owner[good]]))].tolist():
+            o = owner[k]
+            for s in range(int(start[k]), int(start[k + 1])):
+                yield int(item[o]), int(rows[first[o]]), s, int(min(s + size[o], end[o]))
+
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two shingle multisets."""

@@ -78,6 +78,31 @@ def test_matches_every_window(spark):
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in docs if i not in {x for x, _ in want})
 
 
+def test_swapped_parts(spark):
+    """Items whose parts stand in another order, inside longer documents."""
+    r = random.Random(8)
+    fresh = iter(range(10 ** 6))
+    text = lambda n: [f"w{next(fresh)}" for _ in range(n)]
+    items, docs = [], []
+    for k, (n, cut) in enumerate([(60, 30), (100, 50), (80, 20), (60, 45), (20, 10), (300, 100)]):
+        w = text(n)
+        items.append((k, " ".join(w)))
+        docs.append((k, " ".join(text(50) + w[cut:] + w[:cut] + text(50))))
+    w = [r.choice("abc") for _ in range(70)]  # few different shingles, each many times
+    items.append((50, " ".join(w)))
+    docs += [(50, " ".join(text(9) + w[30:] + w[:30] + w[:50])), (51, " ".join(text(9) + w[:8] * 30))]
+    got = d.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain(docs, items)
+    assert {(0, 0), (1, 1), (2, 2), (3, 3), (5, 5)} <= want
+    assert {(x.doc_id, x.item_id) for x in got} == want
+    for x in got:  # the best of all windows
+        w, b = split(dict(docs)[x.doc_id]), grams(split(dict(items)[x.item_id]))
+        tried = [grams(w[i:i + x.n_words]) for i in range(len(w) - x.n_words + 1)]
+        sims = [sum((a & b).values()) / sum((a | b).values()) for a in tried]
+        assert abs(x.similarity - max(sims)) < 1e-9 and abs(sims[x.first_word] - x.similarity) < 1e-9
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, items = data()
     df = spark.createDataFrame(docs[:150], "doc_id long, text string")
