@@ -9,12 +9,15 @@
 3. Every code is cut into blocks, each a table. A vector is stored under its
    block value and looked up under all values within one bit. Bits over all
    codes must agree well enough for the threshold (six standard deviations of
-   slack), which leaves few false candidates.
+   slack), which leaves few false candidates. Taking off the mean widens the
+   angle of a pair when the vectors have a common direction, so the number of
+   codes and the slack are measured (``fitted``) on pairs made from the sample
+   that stand exactly at the threshold.
 4. Candidates are ranked again with the original vectors in double precision;
    pairs with cosine >= the threshold are links.
 
-Retrieval is approximate: ``plan`` picks the number of tables so that a pair
-exactly at the threshold is found with probability 0.94 or more, closer pairs
+Retrieval is approximate: ``fitted`` adds codes until RECALL of the pairs exactly
+at the threshold are found at the block width in use; closer pairs are found
 more surely; tests measure the recall against all pairs. No bucket is capped.
 
 Vectors that are null, empty, zero or hold null or non-finite components link
@@ -39,10 +42,13 @@ THRESHOLD = 0.9
 SAMPLE = 20_000
 CODE_BITS = 64
 ROUNDS = 30
+#: Share of the pairs at the threshold that the tables must find, measured on PAIRS of each kind.
+RECALL = 0.95
+PAIRS = 2_000
 
 
 def plan(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """(bits of a block, number of codes) for n vectors; larger tables for more vectors."""
+    """(bits of a block, least number of codes) for n vectors; larger tables for more vectors."""
     width = 16 if n <= 1 << 20 else 21 if n <= 1 << 26 else 32
     p = math.acos(min(1.0, threshold)) / math.pi
     hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
@@ -50,25 +56,83 @@ def plan(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return width, max(1, -(-tables // (CODE_BITS // width)))
 
 
-def learn(sample: np.ndarray, codes: int, seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projections (codes, dims, CODE_BITS) by iterative quantisation of unit vectors."""
+def rotations(sample: np.ndarray, seed: int = 6) -> Iterator[np.ndarray]:
+    """Projections (dims, CODE_BITS) of one code after another, learned on centred vectors (``next``; ``send(0)``: unlearned)."""
     dims = sample.shape[1]
-    mean = sample.mean(0) if len(sample) else np.zeros(dims)
-    x = sample - mean
     rng = np.random.default_rng(seed)
-    _, axes = np.linalg.eigh(x.T @ x + 1e-9 * np.eye(dims))
+    _, axes = np.linalg.eigh(sample.T @ sample + 1e-9 * np.eye(dims))
     k = min(dims, CODE_BITS)
     axes = axes[:, ::-1][:, :k]
-    v = x @ axes
-    out = np.zeros((codes, dims, CODE_BITS))
-    for c in range(codes):
+    v = sample @ axes
+    rounds = None
+    while True:
+        out = np.zeros((dims, CODE_BITS))
         for low in range(0, CODE_BITS, k):
             r, _ = np.linalg.qr(rng.standard_normal((k, k)))
-            for _ in range(ROUNDS):
+            for _ in range(ROUNDS if rounds is None else rounds):
                 left, _, right = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
                 r = (left @ right).T
-            out[c, :, low:low + k] = (axes @ r)[:, :CODE_BITS - low]
-    return mean, out
+            out[:, low:low + k] = (axes @ r)[:, :CODE_BITS - low]
+        rounds = yield out
+
+
+def learn(sample: np.ndarray, codes: int, seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and projections (codes, dims, CODE_BITS) by iterative quantisation of unit vectors."""
+    mean = sample.mean(0) if len(sample) else np.zeros(sample.shape[1])
+    return mean, np.stack([w for w, _ in zip(rotations(sample - mean, seed), range(codes))])
+
+
+def threshold_pairs(sample: np.ndarray, threshold: float, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors of the sample and others at the threshold's cosine to them.
+
+    Two kinds: away in any direction, and along the differences between sample vectors.
+    """
+    rng = np.random.default_rng(seed)
+    a = sample[rng.integers(0, len(sample), PAIRS)]
+    others = sample[rng.integers(0, len(sample), PAIRS)] - sample[rng.integers(0, len(sample), PAIRS)]
+    out = []
+    for g in (rng.standard_normal(a.shape), others):
+        g = g - (g * a).sum(1, keepdims=True) * a
+        norm = np.linalg.norm(g, axis=1)
+        x, g = a[norm > 1e-6], g[norm > 1e-6] / norm[norm > 1e-6, None]
+        out.append((x, threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * g))
+    return [pair for pair in out if len(pair[0])]
+
+
+def disagreement(pair: tuple[np.ndarray, np.ndarray], mean: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Whether each bit of one code differs: (pairs, CODE_BITS)."""
+    a, b = ((x - mean) @ axes >= 0 for x in pair)
+    return a != b
+
+
+def hits(differ: np.ndarray, width: int) -> np.ndarray:
+    """Whether each pair meets in a table of the code: some block with at most one differing bit."""
+    n = CODE_BITS // width
+    return (differ[:, :n * width].reshape(len(differ), n, width).sum(2) <= 1).any(1)
+
+
+def fitted(sample: np.ndarray, width: int, least: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean, projections of as many codes (``least`` at least) as find RECALL of the threshold pairs, and bits of slack.
+
+    The pairs are of every fifth sample vector, from which nothing is learned:
+    bits fit the vectors they are learned from better than others.
+    Rotations learned from few dimensions may be alike, and then more of them
+    find nothing more; unlearned ones, which differ, follow them.
+    """
+    apart = np.arange(len(sample)) % 5 == 4 if len(sample) >= 50 else np.zeros(len(sample), bool)
+    pairs = threshold_pairs(sample[apart] if apart.any() else sample, threshold) if len(sample) else []
+    sample = sample[~apart]
+    mean = sample.mean(0) if len(sample) else np.zeros(sample.shape[1])
+    found, total = [np.zeros(len(x), bool) for x, _ in pairs], [np.zeros(len(x), np.int64) for x, _ in pairs]
+    more, axes = rotations(sample - mean), []
+    while len(axes) < least or len(axes) < 80 * least and min((f.mean() for f in found), default=1.0) < RECALL:
+        axes.append(more.send(0) if len(axes) >= 16 * least else next(more))
+        for k, pair in enumerate(pairs):
+            differ = disagreement(pair, mean, axes[-1])
+            found[k] |= hits(differ, width)
+            total[k] += differ.sum(1)
+    slack = max((max(int(t.max()), math.ceil(t.mean() + 6 * t.std())) for t in total), default=CODE_BITS * len(axes))
+    return mean, np.stack(axes), min(slack, CODE_BITS * len(axes))
 
 
 def _vectors(column: pa.Array, dims: int) -> np.ndarray:
@@ -92,7 +156,8 @@ def _links(reps: DataFrame, dims: int, threshold: float) -> DataFrame:
     share = min(1.0, bound / max(1, n))
     rows = reps.filter(F.pmod(F.xxhash64("embedding", F.lit(6)), F.lit(1 << 30)) <= int(share * (1 << 30))).select(
         "embedding").toArrow().column(0).combine_chunks()
-    mean, axes = learn(_vectors(rows, dims), codes)
+    mean, axes, slack = fitted(_vectors(rows, dims), width, codes, threshold)
+    codes = len(axes)
     shared = spark.sparkContext.broadcast((mean, axes))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +178,6 @@ def _links(reps: DataFrame, dims: int, threshold: float) -> DataFrame:
     flips = "array(" + ",".join(["0L", *(f"{1 << k}L" for k in range(width))]) + ")"
     probes = homes.select("rep", "code", "t", "key", F.explode(F.expr(flips)).alias("flip")).select(
         "rep", "code", "t", F.expr("key ^ flip").alias("key"))
-    p, bits = math.acos(min(1.0, threshold)) / math.pi, CODE_BITS * codes
-    slack = int(bits * p + 6 * math.sqrt(bits * p * (1 - p)))
     differ = " + ".join(f"bit_count(h.code[{c}] ^ p.code[{c}])" for c in range(codes))
     # the planner's size estimate of a side does not know of the explode: never broadcast one
     near = homes.alias("h").join(probes.alias("p").hint("merge"), ["t", "key"]).filter(

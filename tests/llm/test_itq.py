@@ -43,6 +43,44 @@ def test_against_all_pairs(spark, dims):
         assert got[k].n_links >= 5 and got[k].component_id == 0
 
 
+def directed(n, dims, share, seed=4):
+    """Unit vectors whose mean has about the norm ``share``."""
+    r = np.random.default_rng(seed)
+    c = r.standard_normal(dims)
+    x = r.standard_normal((n, dims)) / dims ** 0.5 + share / (1 - share * share) ** 0.5 * c / np.linalg.norm(c)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("n", [1 << 20, 1 << 26, 1 << 30])
+@pytest.mark.parametrize("share", [0.02, 0.71])
+def test_every_width_with_a_common_direction(n, share):
+    x = directed(3000, 64, share)
+    width, codes = itq.plan(n)
+    mean, axes, slack = itq.fitted(x[:2500], width, codes)
+    a, r = x[2500:], np.random.default_rng(5)
+    g = r.standard_normal(a.shape)
+    g -= (g * a).sum(1, keepdims=True) * a
+    b = 0.9 * a + 0.19 ** 0.5 * g / np.linalg.norm(g, axis=1, keepdims=True)
+    d = [itq.disagreement((a, b), mean, w) for w in axes]
+    found = np.any([itq.hits(x, width) for x in d], 0) & (sum(x.sum(1) for x in d) <= slack)
+    assert found.mean() >= 0.92  # 0.94 less two standard errors of 500 pairs
+
+
+@pytest.mark.parametrize("width", [16, 21])
+def test_links_with_a_common_direction(spark, monkeypatch, width):
+    least = {16: 2, 21: 5}[width]
+    monkeypatch.setattr(itq, "plan", lambda n, threshold: (width, least))
+    r, x = np.random.default_rng(9), directed(300, 64, 0.71)
+    g = r.standard_normal(x.shape)
+    g -= (g * x).sum(1, keepdims=True) * x
+    near = 0.902 * x + (1 - 0.902 ** 2) ** 0.5 * g / np.linalg.norm(g, axis=1, keepdims=True)
+    vectors = np.concatenate([x, near]).astype(np.float32).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    found = sum(r.n_links for r in itq.near_duplicates(df).collect())
+    want = int(plain(vectors).sum())
+    assert found <= want and found >= 0.91 * want
+
+
 def test_odd_rows(spark):
     a, b = [1.0, 2.0, 3.0], [1.0, 2.0, 3.1]
     rows = [(1, a), (2, b), (3, None), (4, []), (5, [0.0, 0.0, 0.0]), (6, [1.0, float("nan"), 1.0]), (7, [1.0, None, 2.0]),
