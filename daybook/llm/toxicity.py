@@ -8,8 +8,9 @@
    of three or more equal letters (``stuuupid``), signs between single letters
    (``s.c.u.m``) and rows of single-letter words (``l o s e r``) become
    character lattices: a stand-in may be any letter it is used for, a run may
-   be one or two letters, a separator is dropped. Viterbi decoding under the
-   character model picks the letters. Restored words are scored beside the
+   be one or two letters, a separator is dropped or a word border. Viterbi
+   decoding under the character model picks the letters, in overlapping windows
+   of long lattices; it also refuses doubtful readings (``readings``). Restored words are scored beside the
    words as written, so clean text never loses a word.
 3. Evidence. A feature is the first 3 to 7 bytes of a word or the whole word,
    lower-cased. Its weight is the log ratio of the shares of toxic and clean
@@ -53,7 +54,10 @@ THRESHOLD = 0.7
 STAND_INS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
              "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "%": "x", "&": "a"}
 SEPARATORS = ".-_*~'`/\\,:"
-MAX_LATTICE = 40
+#: Lattices are decoded in windows of so many places, of which the last ones are read again in the next window.
+WINDOW, OVERLAP = 200, 24
+#: Stand-ins that are letters at the end of a word too; ``!`` there is punctuation.
+_END_SIGNS = "$@+#|*%&"
 
 # --- character model -------------------------------------------------------
 
@@ -119,29 +123,83 @@ def _options(token: str) -> list[list[str]]:
 
 
 def _index(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else _OTHER
+    return ord(c) - 96 if "a" <= c <= "z" else _EDGE if c == " " else _OTHER
+
+
+def _gain(a: int, b: int, c: str, model: np.ndarray) -> float:
+    # the bonus offsets the cost of a letter, so that shorter readings don't win by length
+    return model[a, b, _index(c)] + (3.0 if c != " " else 0.0)
+
+
+def _best(lattice: list[list[str]], model: np.ndarray) -> tuple[float, str]:
+    """Score and text of the likeliest reading, in overlapping windows."""
+    text, low = "", 0
+    while True:
+        last = low + WINDOW >= len(lattice)
+        x, y = ([_EDGE, _EDGE] + [_index(c) for c in text[-2:]])[-2:]
+        beam = {(x, y): (0.0, "", None)}
+        for place in lattice[low:low + WINDOW]:
+            following: dict[tuple[int, int], tuple] = {}
+            for (x, y), node in beam.items():
+                for option in place:
+                    a, b, s = x, y, node[0]
+                    for c in option:
+                        s += _gain(a, b, c, model)
+                        a, b = b, _index(c)
+                    if (a, b) not in following or following[a, b][0] < s:
+                        following[a, b] = (s, option, node)
+            beam = following
+        _, _, node = max((v[0] + (model[a, b, _EDGE] if last else 0.0), (a, b), v) for (a, b), v in beam.items())
+        path = []
+        while node[2] is not None:
+            path.append(node[1])
+            node = node[2]
+        path.reverse()
+        text += "".join(path if last else path[:WINDOW - OVERLAP])
+        if last:
+            break
+        low += WINDOW - OVERLAP
+    score, a, b = 0.0, _EDGE, _EDGE
+    for c in text:
+        score += _gain(a, b, c, model)
+        a, b = b, _index(c)
+    return score + model[a, b, _EDGE], text
 
 
 def decode(token: str, model: np.ndarray) -> str:
     """The likeliest reading of the token's lattice ('' if it has none)."""
     lattice = _options(token)
-    if not lattice or len(lattice) > MAX_LATTICE:
+    return _best(lattice, model)[1] if lattice else ""
+
+
+def readings(token: str, model: np.ndarray) -> str:
+    """Restored words of a token, or of a row of single signs (with spaces between them).
+
+    Where signs or spaces part single letters, a reading with word borders
+    among them is given too. Tokens of which letters are less than half, that
+    end in a stand-in, or rows that are short or hold stand-ins need a score
+    above 0, that is, a likelier reading than letters of exp(-3) each.
+    """
+    signs = token.replace(" ", "")
+    lattice = _options(signs)
+    if not lattice:
+        return ""
+    score, text = _best(lattice, model)
+    letters = sum(c.isalpha() for c in signs)
+    if " " in token:
+        doubtful = len(signs) < 4 or letters < len(signs)
+    else:
+        doubtful = letters * 2 < len(signs) - sum(c in SEPARATORS for c in signs) or signs[-1] in _END_SIGNS
+    if doubtful and score <= 0:
         return ""
-    beam = {(_EDGE, _EDGE): (0.0, "")}
-    for place in lattice:
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (x, y), (score, text) in beam.items():
-            for option in place:
-                a, b, s = x, y, score
-                for c in option:
-                    z = _index(c)
-                    # the bonus offsets the cost of a letter, so that shorter readings don't win by length
-                    s += model[a, b, z] + 3.0
-                    a, b = b, z
-                if (a, b) not in following or following[a, b][0] < s:
-                    following[a, b] = (s, text + option)
-        beam = following
-    return max((s + model[a, b, _EDGE], t) for (a, b), (s, t) in beam.items())[1]
+    if " " in token:
+        parted = [place if not k else [*place, *(" " + option for option in place)] for k, place in enumerate(lattice)]
+    elif re.search(r"[^\W\d_]{3}", signs):
+        return text
+    else:
+        parted = [[*place, " "] if "" in place else place for place in lattice]
+    other = _best(parted, model)[1] if parted != lattice else text
+    return text if other.replace(" ", "") == other else f"{text} {other}"
 
 
 # --- finding what to restore ------------------------------------------------
@@ -149,6 +207,10 @@ def decode(token: str, model: np.ndarray) -> str:
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in {*STAND_INS, *SEPARATORS}]] = True
 _EDGE_SIGNS = " \t\r\n\v\f.,;:!?\"'()[]{}<>&%$#*~_-|+"
+_STAND_IN = np.zeros(256, bool)
+_STAND_IN[[ord(c) for c in STAND_INS]] = True
+_LAST = np.zeros(256, bool)
+_LAST[[ord(c) for c in _END_SIGNS]] = True
 _LEAD = np.zeros(256, bool)
 _LEAD[[ord(c) for c in "0123456789@$!"]] = True
 
@@ -167,31 +229,37 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarr
         hit[:-1] |= lead[:-1] & letter[1:]
         hit[1:] |= lead[1:] & letter[:-1] & (data[1:] < 58) & (data[1:] >= 48)
         hit[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] < 0x80)
+    hit[1:] |= _LAST[data[1:]] & letter[:-1]
     total = np.r_[0, np.cumsum(hit)]
-    some = np.flatnonzero((total[ends] > total[starts]) & (ends - starts <= 4 * MAX_LATTICE))
+    some = np.flatnonzero(total[ends] > total[starts])
     raw = data.tobytes()
     tokens: list[str] = []
     owner: list[int] = []
     for k in some.tolist():
         token = raw[starts[k]:ends[k]].decode("utf-8", "ignore")
         core = token.rstrip(_EDGE_SIGNS).lstrip(" \t.,;:?\"'()[]{}<>~_-")
-        letters = sum(c.isalpha() for c in core)
-        if len(core) > 2 and letters * 2 >= len(core) - sum(c in SEPARATORS for c in core) and (
-                letters < len(core) or re.search(r"(.)\1\1", core)):
+        if len(core) > 2 and any(c.isalpha() for c in core) and (
+                not core.isalpha() or re.search(r"(.)\1\1", core)):
             tokens.append(core)
             owner.append(int(rows[k]))
-    # rows of single letters: at least four one-letter words in a row
-    single = ends - starts == 1
-    single &= letter[np.minimum(starts, len(data) - 1)]
-    if single.sum() >= 4:
-        run = np.flatnonzero(np.diff(np.r_[0, single.astype(np.int8), 0]))
-        for a, b in zip(run[::2].tolist(), run[1::2].tolist(), strict=True):
-            if b - a >= 4:
-                for row in np.unique(rows[a:b]).tolist():
-                    own = [k for k in range(a, b) if rows[k] == row]
-                    for low in range(0, len(own), MAX_LATTICE):
-                        tokens.append("".join(chr(raw[starts[k]]) for k in own[low:low + MAX_LATTICE]))
-                        owner.append(row)
+        # stand-ins at the end belong to the word, unless they also stand before it (as in *word*)
+        longer = token.rstrip(" .,;:!?\"'()[]{}<>~_-").lstrip(" \t.,;:?\"'()[]{}<>~_-")
+        if len(longer) > max(2, len(core)) and longer[-1] in _END_SIGNS and longer[0] != longer[-1] and any(
+                c.isalpha() for c in longer):
+            tokens.append(longer)
+            owner.append(int(rows[k]))
+    # rows of single letters or stand-ins: at least three one-sign words in a row, two of them letters
+    at = np.minimum(starts, len(data) - 1)
+    single = (ends - starts == 1) & (letter[at] | _STAND_IN[data[at]])
+    if single.sum() >= 3:
+        new = np.r_[True, ~single[:-1] | ~single[1:] | (rows[1:] != rows[:-1])]
+        low = np.flatnonzero(new)
+        high = np.r_[low[1:], len(starts)]
+        n_letters = np.r_[0, np.cumsum(single & letter[at])]
+        good = single[low] & (high - low >= 3) & (n_letters[high] - n_letters[low] >= 2)
+        for a, b in zip(low[good].tolist(), high[good].tolist(), strict=True):
+            tokens.append(" ".join(chr(raw[starts[k]]) for k in range(a, b)))
+            owner.append(int(rows[a]))
     return tokens, np.array(owner, np.int64)
 
 
@@ -203,7 +271,7 @@ def restored(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, known: di
         if token not in known:
             if len(known) >= 50_000:
                 known.clear()
-            known[token] = decode(token, model)
+            known[token] = readings(token, model)
         if known[token]:
             out[row].append(known[token])
     return words.buffers(pa.array([" ".join(x) for x in out], pa.string()))

@@ -74,6 +74,33 @@ def test_decode_is_the_best_path(fitted):
         assert toxicity.decode(token, model) == text
 
 
+def test_listed_spellings():
+    """Few letters, signs at the end, spaced signs, short rows, and tokens and rows of any length."""
+    vocab = "idiot loser shit asshole bitch dumbass ass scum you are a the and of words".split()
+    cube = np.full((29, 29, 29), 0.01)
+    for w in vocab:
+        z = [0, 0, *map(toxicity._index, w), 0]
+        for i in range(len(z) - 2):
+            cube[z[i], z[i + 1], z[i + 2]] += 1
+    model = np.log(cube / cube.sum(2, keepdims=True))
+    model[1:, 0] = model[0, 0]
+
+    def found(text):
+        data, offsets = toxicity._lowered(pa.array([text]))
+        data, _ = toxicity.restored(data, offsets, model, {})
+        return data.tobytes().decode().split()
+
+    for text, word in [("1d10t", "idiot"), ("l053r", "loser"), ("5h17", "shit"), ("a55h0l3", "asshole"), ("8!7ch", "bitch"),
+                       ("an a$$ here", "ass"), ("dumba$$,", "dumbass"), ("l 0 s e r", "loser"), ("you a s s", "ass"),
+                       ("x9z 2024 10.5", None)]:
+        assert word in found(text) if word else not {*found(text)} & {*vocab}
+    phrase = "youareadumbassandidiot"
+    assert "idiot" in found(".".join(phrase)) and "dumbass" in found(" ".join(phrase))
+    long = found(" ".join("thewordsofaloser" * 40))
+    assert long.count("loser") >= 38
+    assert toxicity.decode("-".join("loser" * 200), model) == "loser" * 200
+
+
 def test_odd_rows(spark, fitted):
     docs = [(None, None, 1), (1, None, 1), (2, "", 1), (3, " \n", 1), (4, "snarfle " * 90_000, 1), (4, "the", 1), (4, "the", 1)]
     df = spark.createDataFrame(docs, "doc_id long, text string, score int")
