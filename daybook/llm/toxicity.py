@@ -43,8 +43,6 @@ from .common import saved, text_key
 
 #: About so many labelled documents at most fit the weights and the curve (their ids are broadcast).
 TRAIN_ROWS = 20_000
-#: Most candidate features kept, the most frequent in toxic documents first.
-MAX_FEATURES = 60_000
 PREFIX = range(3, 8)
 #: A feature needs so many toxic documents, and such a log ratio.
 MIN_TOXIC, MIN_RATIO, MAX_RATIO = 4, 1.5, 6.0
@@ -398,35 +396,22 @@ def fit(train: DataFrame, model: np.ndarray) -> tuple[Weights, np.ndarray]:
         return none, np.array([math.log((share + 1e-9) / (1 - share + 1e-9)), 0, 0, 0])
     lm = spark.sparkContext.broadcast(model)
 
-    def toxic_side(batches):
+    def documents(batches):
         known: dict[str, str] = {}
         for batch in batches:
             for _, _, part, cuts in _pieces(batch.column(0)):
                 h, n = np.unique(_doc_features(part, cuts, lm.value, known)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["f", "n"])
 
-    found = (train.filter("toxic = 1").select("text").mapInArrow(toxic_side, "f long, n long")
-             .groupBy("f").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC)
-             .orderBy(F.desc("n"), "f").limit(MAX_FEATURES).collect())
-    keys = np.array([r.f for r in found], np.int64).view(np.uint64)
-    toxic = np.array([r.n for r in found], float)
-    wanted = spark.sparkContext.broadcast(np.sort(keys))
+    def counted(rows, name):
+        return rows.select("text").mapInArrow(documents, "f long, n long").groupBy("f").agg(F.sum("n").alias(name))
 
-    def clean_side(batches):
-        known: dict[str, str] = {}
-        for batch in batches:
-            for _, _, part, cuts in _pieces(batch.column(0)):
-                h = _doc_features(part, cuts, lm.value, known)[1]
-                at = np.minimum(np.searchsorted(wanted.value, h), max(len(wanted.value) - 1, 0))
-                h, n = np.unique(h[wanted.value[at] == h] if len(wanted.value) else h[:0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["f", "n"])
-
-    hold = {r.f: r.n for r in train.filter("toxic <> 1").select("text").mapInArrow(clean_side, "f long, n long")
-            .groupBy("f").agg(F.sum("n").alias("n")).collect()}  # at most MAX_FEATURES rows
-    clean = np.array([hold.get(k, 0) for k in keys.view(np.int64).tolist()], float)
-    ratio = np.log((toxic + 0.1) / (n_toxic + 1.0)) - np.log((clean + 0.5) / (n_clean + 1.0))
-    strong = ratio >= MIN_RATIO
-    weights = Weights(keys[strong], toxic[strong], clean[strong], n_toxic, n_clean)
+    often = counted(train.filter("toxic = 1"), "t").filter(F.col("t") >= MIN_TOXIC)
+    both = often.join(counted(train.filter("toxic <> 1"), "c"), "f", "left").select("f", "t", F.coalesce("c", F.lit(0)).alias("c"))
+    ratio = F.log((F.col("t") + 0.1) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
+    found = both.filter(ratio >= MIN_RATIO).toArrow()  # bounded by the training rows
+    f, t, c = (found.column(k).to_numpy() for k in range(3))
+    weights = Weights(f.astype(np.int64).view(np.uint64), t.astype(float), c.astype(float), n_toxic, n_clean)
     shared = spark.sparkContext.broadcast(weights)
 
     def curve_rows(batches):

@@ -101,6 +101,17 @@ def test_listed_spellings():
     assert toxicity.decode("-".join("loser" * 200), model) == "loser" * 200
 
 
+def test_rare_toxic_words_beside_many_features(spark):
+    """Over 60,000 features are in more toxic documents than the word that only toxic ones hold."""
+    r = random.Random(3)
+    common = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(20_000))
+    rows = [(common + (" snarfle" if k < 4 else ""), 1) for k in range(5)] + [(common, 0) for _ in range(20)]
+    weights, _ = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"), np.full((29, 29, 29), -3.0))
+    _, h, _ = toxicity.features(*toxicity._lowered(pa.array(["snarfle"])))
+    assert {*h[0, -2:].tolist()} <= {*weights.keys.tolist()}
+    assert len(weights.keys) < 20
+
+
 def test_odd_rows(spark, fitted):
     docs = [(None, None, 1), (1, None, 1), (2, "", 1), (3, " \n", 1), (4, "snarfle " * 90_000, 1), (4, "the", 1), (4, "the", 1)]
     df = spark.createDataFrame(docs, "doc_id long, text string, score int")
