@@ -5,9 +5,9 @@ tags is a line with its characters and the tags seen since the line before.
 The ratio of characters to tags is smoothed over neighbouring lines with a
 Gaussian kernel and split by two-means clustering: lines of the upper cluster
 are content. The region kept is the container that holds the content lines:
-article or main elements if they hold half of it, else the innermost element
-with three quarters of it, else the lines from the one before the first content
-line to the end of the last run of text. All lines of the region are kept, short ones too, but for those inside
+article or main elements if they hold half of it, else the smallest element
+that holds all of it, else (if only body does) the lines from the one before the
+first content line to the end of the last run of text. All lines of the region are kept, short ones too, but for those inside
 elements that are never article text (NOT_TEXT, NOT_TEXT_NAMES).
 
 Character references are decoded, white space in a block becomes one space,
@@ -48,6 +48,19 @@ _NESTED = frozenset("article aside blockquote body div dl dialog fieldset figure
                     "object svg canvas audio video label details center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NAME = re.compile(r"[A-Za-z]+")
+#: Parts of class names after which stands what the element lacks or stands beside.
+_BESIDE = frozenset("with without no not has hide non is".split())
+
+
+def _marks(value: str) -> set[str]:
+    """Words of the class names of an attribute, but for what follows with-, no-, has- and the like."""
+    out: set[str] = set()
+    for name in value.split():
+        for word in _NAME.findall(name.lower()):
+            if word in _BESIDE:
+                break
+            out.add(word)
+    return out
 
 
 class _Lines(HTMLParser):
@@ -79,7 +92,7 @@ class _Lines(HTMLParser):
         if tag not in _NESTED:
             return
         out = self.out
-        names = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.findall(v)}
+        names = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _marks(v)}
         if tag in ("article", "main") and out == 1 and not self._nested_in("nav", "aside", "footer", "form"):
             out = 0  # an unclosed advert or notice does not swallow the article
         elif tag in ("script", "style", "noscript", "template") or names & _COMMENTS and tag not in ("body", "main"):
@@ -177,7 +190,7 @@ def main_text(html: str | None) -> tuple[str, int, int]:
     if held and 2 * sum(len(lines[i][0]) for i in mains) >= total:
         region = set(held)
     else:
-        inner = [c for c in weight if 4 * weight[c] >= 3 * total and parser.kinds[c] != "body"]
+        inner = [c for c in weight if weight[c] == total and parser.kinds[c] != "body"]
         region = {max(inner)} if inner else set()
     if region:
         chosen = [i for i in kept if region.intersection(lines[i][2])]

@@ -31,6 +31,25 @@ def test_builds(name):
     assert main_text(BUILDS[name])[0] == WANT
 
 
+INTRO = ["First opening paragraph of the text, " * 8, "Second opening paragraph of it all, " * 8]
+
+
+@pytest.mark.parametrize("inner", ["section", "ul", "blockquote", "td", "div"])
+def test_dominant_inner_element(inner):
+    big = ["One of the long lines inside the element. " * 10 for _ in range(5)]
+    tag = "li" if inner == "ul" else "p"
+    inside = "".join(f"<{tag}>{t}</{tag}>" for t in big)
+    around = f"<table><tr><td>{inside}</table>" if inner == "td" else f"<{inner}>{inside}</{inner}>"
+    page = (f"<body>{MENU}<div id=content><h1>The title</h1>" + "".join(f"<p>{t}</p>" for t in INTRO)
+            + around + "<p>Short end.</p></div><div class=sidebar>Other things</div><footer>foot</footer>")
+    assert main_text(page)[0] == " ".join(" ".join(["The title", *INTRO, *big, "Short end."]).split())
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "no-comments", "has-nav main-column", "post without_ads", "page-no-sidebar"])
+def test_names_of_what_stands_beside(name):
+    assert main_text(f"<body>{MENU}<div class='{name}'>{BODY}</div><div class='site-sidebar'>x y z</div>")[0] == WANT
+
+
 def test_references_and_space():
     t = main_text("<article><p>a&nbsp;b &#233;&eacute; &amp;amp; &lt;p&gt;\n\tc</p><p>d</p>e</article>")[0]
     assert t == "a b éé &amp; <p> c d e"
