@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, itq, licenses, mix, secrets, shard, simhash, tokens, toxicity
-from .common import n_words, read
+from . import (bpe, decontaminate, html_text, itq, licenses, mix, negatives, repeats, secrets, shard, simhash, tokens,
+               toxicity)
+from .common import WORD, n_words, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +102,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every secret candidate of every document with the forest's probability."""
     return secrets.scan(_as_files(spark, sf_dir))
+
+
+@query("op11_hard_negatives")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th embedding, some labels moved on by one."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_bpe_round_trip")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    done = bpe.decoded(bpe.encoded(read(spark, sf_dir, "documents")))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def _repeating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, those with crc32(doc_id) divisible by 10 made periodic from some word on."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    made = (docs.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))))
+            .withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+            .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+            .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)")))
+    return made.select("doc_id", F.when(F.col("a").isNotNull(), F.expr(
+        "array_join(transform(sequence(0, n - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')")).otherwise(
+        F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document: their number, the one that repeats most often, digests of all and of what is left."""
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return repeats.runs(_repeating(spark, sf_dir)).withColumn("top", repeats.most_repeated("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
