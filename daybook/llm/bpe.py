@@ -12,9 +12,10 @@ told from (byte, byte) pairs.
 white space, which no token crosses, and equal chunks are encoded once
 (dictionary encoding, exact). Normalising a chunk and cutting it into words is
 done by the tokenizer file's own rules. Fragments are merged by lowest rank,
-then leftmost, with a heap, so time is n log n in a fragment's length. Rows never
+then leftmost, all of one length in one matrix; long ones with a heap, so time is
+n log n in a fragment's length. Rows never
 leave their task: nothing is shuffled, and a task holds one slice (SLICE_BYTES of
-text, or one longer text) and a memo of at most MEMO chunks.
+text, or one longer text) and the ids of at most MEMO chunks and words besides.
 
 ``ids`` are flat little-endian unsigned 32-bit integers, as token files hold
 them. ``decoded`` puts the tokens' strings together as the file's library does
@@ -34,6 +35,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +47,22 @@ from .common import fresh
 from .words import buffers, slices, span_codes, spans
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
-#: Chunks whose ids are remembered in a task, and their longest length.
-MEMO = 1 << 18
+#: Chunks and words whose ids are remembered from slice to slice, and their longest length.
+MEMO = 1 << 17
 MEMO_CHARS = 64
+#: Fragments of up to so many symbols are merged without a heap.
+SHORT = 24
+#: Chunks that are normalised and split in one call.
+_TOGETHER = 2000
+_NONE = 1 << 60
 
 
 class Encoder:
-    """The BPE model of a tokenizer file with word ends, a normaliser and a word splitter."""
+    """The BPE model of a tokenizer file with word ends, a normaliser and a word splitter.
+
+    Symbols are vocabulary ids throughout. ``ranks`` of pairs are looked up in a
+    sorted array of pair keys; rank r makes the symbol ``made[r]``.
+    """
 
     def __init__(self, path: str = TOKENIZER):
         from tokenizers import Tokenizer
@@ -66,88 +77,175 @@ class Encoder:
             raise ValueError("a file without a decoder, and with plain added tokens, is needed")
         rules = Tokenizer.from_file(path)
         self.normalize, self.split = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
-        self.end: str = model["end_of_word_suffix"] or ""
+        end: str = model["end_of_word_suffix"] or ""
         self.vocabulary: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.ranks: dict[tuple[str, str], int] = {}
-        #: Neighbours that some token holds; every other pair is a certain cut.
-        self.joints: set[tuple[str, str]] = set()
-        for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
-            self.ranks[a, b] = rank
-            first = b[0] + self.end if b == b[0] + self.end else b[0]
-            self.joints.add((a[-1], first))
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        size = self.size = max(self.vocabulary.values()) + 1
+        keys = np.array([self.vocabulary[a] * size + self.vocabulary[b] for a, b in pairs], np.int64)
+        self.made = np.array([self.vocabulary[a + b] for a, b in pairs], np.int64)
+        self.ranks = np.argsort(keys, kind="stable")
+        self.keys = keys[self.ranks]
+        # the byte alphabet: characters that stand for one byte inside a word (0) and at its end (1)
+        letters = [t for t in self.vocabulary if len(t) == 1]
+        self.letters = np.full((2, 1 + max(map(ord, letters))), -1, np.int64)
+        for c in letters:
+            self.letters[0, ord(c)], self.letters[1, ord(c)] = self.vocabulary[c], self.vocabulary[c + end]
+        #: joints[a, b]: some token holds byte b (of either kind) after byte a; every other pair is a certain cut.
+        width = self.letters.shape[1]
+        self.joints = np.zeros((width, 2 * width), bool)
+        for a, b in pairs:
+            self.joints[ord(a[-1]), ord(b[0]) + (width if b == b[0] + end else 0)] = True
+        self.heap_ranks: dict[int, int] = {}
         self.memo: dict[str, list[int]] = {}
-        self.parts: dict[tuple[str, ...], list[int]] = {}
-
-    def fragments(self, word: str) -> Iterator[list[str]]:
-        """The word's symbols (byte characters, the last with the end sign), cut where no token can go on."""
-        symbols = [*word[:-1], word[-1] + self.end]
-        low = 0
-        for k in range(1, len(symbols)):
-            if (symbols[k - 1], symbols[k]) not in self.joints:
-                yield symbols[low:k]
-                low = k
-        yield symbols[low:]
-
-    def merged(self, symbols: list[str]) -> list[int]:
-        """Ids of one fragment: the pair of lowest rank, the leftmost first, until none is left."""
-        n, ranks = len(symbols), self.ranks
-        if n == 1:
-            return self.known(symbols)
-        symbols = list(symbols)
+        self.words: dict[str, list[int]] = {}
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols, _NONE if they don't merge."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], _NONE)
+
+    def fragments(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of all words, the first symbol of each fragment, and the first fragment of each word."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        last = np.zeros(len(points), np.int64)
+        last[ends - 1] = 1
+        cut = np.ones(len(points), bool)
+        cut[1:] = (last[:-1] == 1) | ~self.joints[points[:-1], points[1:] + last[1:] * self.letters.shape[1]]
+        first = np.flatnonzero(cut)
+        return self.letters[last, points], first, np.searchsorted(first, np.r_[0, ends[:-1]])
+
+    def merged(self, symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all fragments, one after the other, and the number of each one's.
+
+        The pair of lowest rank is merged, the leftmost first, until none is
+        left. Fragments of one length are one matrix; a merge makes a line
+        shorter by one, so it joins the lines of that length.
+        """
+        lengths = np.diff(np.r_[first, len(symbols)])
+        n = np.ones(len(first), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(lengths == 1), symbols[first[lengths == 1], None])]
+        for k in np.flatnonzero(lengths > SHORT).tolist():
+            ids = self._by_heap(symbols[first[k]:first[k] + lengths[k]])
+            n[k] = len(ids)
+            done.append((np.array([k]), ids[None, :]))
+        line, part, ranks = np.zeros(0, np.int64), np.zeros((0, SHORT), np.int64), np.zeros((0, SHORT - 1), np.int64)
+        for size in range(SHORT, 1, -1):
+            new = np.flatnonzero(lengths == size)
+            fresh_part = symbols[first[new][:, None] + np.arange(size)]
+            line = np.concatenate([line, new])
+            part = np.concatenate([part, fresh_part])
+            ranks = np.concatenate([ranks, self.rank(fresh_part[:, :-1], fresh_part[:, 1:])])
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(at)), at]
+            over = least == _NONE
+            n[line[over]] = size
+            done.append((line[over], part[over]))
+            line, part, ranks, at, least = line[~over], part[~over], ranks[~over], at[~over, None], least[~over]
+            places = np.arange(size - 1)
+            part = np.take_along_axis(part, places + (places > at), 1)
+            rows, at = np.arange(len(at)), at[:, 0]
+            part[rows, at] = self.made[least]
+            places = places[:-1]
+            ranks = np.take_along_axis(ranks, places + (places >= at[:, None]), 1)
+            for ok, left in ((at > 0, at - 1), (at < size - 2, at)):
+                ranks[rows[ok], left[ok]] = self.rank(part[rows[ok], left[ok]], part[rows[ok], left[ok] + 1])
+        n[line] = 1
+        done.append((line, part))
+        begin = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.int64)
+        for lines, ids in done:
+            out[begin[lines][:, None] + np.arange(ids.shape[1])] = ids
+        return out, n
+
+    def _by_heap(self, part: np.ndarray) -> np.ndarray:
+        if not self.heap_ranks:
+            self.heap_ranks = dict(zip(self.keys.tolist(), self.ranks.tolist(), strict=True))
+        symbols: list[int] = part.tolist()
+        n = len(symbols)
+        rank = self.heap_ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, k) for k in range(n - 1) if (r := ranks.get((symbols[k], symbols[k + 1]))) is not None]
+        found = self.rank(part[:-1], part[1:])
+        heap = [(int(found[k]), k) for k in np.flatnonzero(found != _NONE).tolist()]
         heapq.heapify(heap)
         while heap:
             r, k = heapq.heappop(heap)
             right = after[k]
-            if symbols[k] == "" or right >= n or ranks.get((symbols[k], symbols[right])) != r:
+            if symbols[k] < 0 or right >= n or rank(symbols[k] * self.size + symbols[right]) != r:
                 continue
-            symbols[k] += symbols[right]
-            symbols[right] = ""
+            symbols[k] = int(self.made[r])
+            symbols[right] = -1
             after[k] = far = after[right]
             if far < n:
                 before[far] = k
-                if (r := ranks.get((symbols[k], symbols[far]))) is not None:
+                if (r := rank(symbols[k] * self.size + symbols[far])) is not None:
                     heapq.heappush(heap, (r, k))
             near = before[k]
-            if near >= 0 and (r := ranks.get((symbols[near], symbols[k]))) is not None:
+            if near >= 0 and (r := rank(symbols[near] * self.size + symbols[k])) is not None:
                 heapq.heappush(heap, (r, near))
-        return self.known(s for s in symbols if s)
-
-    def known(self, symbols) -> list[int]:
-        """Symbols outside the vocabulary have no id (the file has no unknown token)."""
-        return [self.vocabulary[s] for s in symbols if s in self.vocabulary]
-
-    def _plain(self, text: str) -> Iterator[int]:
-        for word, _ in self.split(self.normalize(text)):
-            for part in self.fragments(word):
-                if len(part) > MEMO_CHARS:
-                    yield from self.merged(part)
-                    continue
-                key = tuple(part)
-                if (ids := self.parts.get(key)) is None:
-                    if len(self.parts) >= MEMO:
-                        self.parts.clear()
-                    ids = self.parts[key] = self.merged(part)
-                yield from ids
-
-    def chunk(self, text: str) -> list[int]:
-        """Ids of a text, remembered if it is short."""
-        if (ids := self.memo.get(text)) is not None:
-            return ids
-        ids = []
-        for piece in self.cut_special.split(text) if self.cut_special else [text]:
-            if piece in self.special:
-                ids.append(self.special[piece])
-            elif piece:
-                ids.extend(self._plain(piece))
-        if len(text) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[text] = ids
-        return ids
+        return np.array([s for s in symbols if s >= 0], np.int64)
+
+    def _pieces(self, texts: list[str]) -> list[list[str | int]]:
+        """Words, and ids of special tokens, of each text."""
+        out: list[list[str | int]] = [[] for _ in texts]
+        easy = []
+        for k, t in enumerate(texts):
+            if len(t.split()) == 1 and not (self.cut_special and self.cut_special.search(t)):
+                easy.append(k)
+                continue
+            for piece in self.cut_special.split(t) if self.cut_special else [t]:
+                if piece in self.special:
+                    out[k].append(self.special[piece])
+                elif piece:
+                    out[k] += [w for w, _ in self.split(self.normalize(piece))]
+        for low in range(0, len(easy), _TOGETHER):  # texts without white space are normalised and split in one call
+            some = easy[low:low + _TOGETHER]
+            plain = self.normalize(" ".join([texts[k] for k in some]))
+            ends = [*accumulate(len(t) + 1 for t in plain.split(" "))]
+            if len(ends) != len(some):
+                for k in some:
+                    out[k] += [w for w, _ in self.split(self.normalize(texts[k]))]
+                continue
+            of = 0
+            for word, (start, _) in self.split(plain):
+                while start >= ends[of]:
+                    of += 1
+                out[some[of]].append(word)
+        return out
+
+    def _learn(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of words."""
+        if not words:
+            return {}
+        symbols, first, of_word = self.fragments(words)
+        ids, n = self.merged(symbols, first)
+        ends = np.cumsum(np.add.reduceat(n, of_word)).tolist()
+        flat = ids.tolist()
+        return {w: flat[low:high] for w, low, high in zip(words, [0, *ends[:-1]], ends, strict=True)}
+
+    def chunks(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each of different texts that hold no ASCII white space; short ones are remembered."""
+        for memo in (self.memo, self.words):
+            if len(memo) > MEMO:
+                memo.clear()
+        new = [t for t in texts if t not in self.memo]
+        pieces = self._pieces(new)
+        wanted = {w for p in pieces for w in p if w not in self.words}
+        words = self._learn([w for w in wanted if isinstance(w, str)])
+        self.words.update((w, ids) for w, ids in words.items() if len(w) <= MEMO_CHARS)
+        long = {}
+        for t, p in zip(new, pieces, strict=True):
+            ids: list[int] = []
+            for w in p:
+                if isinstance(w, str):
+                    ids += self.words[w] if w in self.words else words[w]
+                else:
+                    ids.append(w)
+            (self.memo if len(t) <= MEMO_CHARS else long)[t] = ids
+        return [self.memo[t] if t in self.memo else long[t] for t in texts]
 
     def strings(self) -> list[bytes]:
         """UTF-8 string of each id; empty where there is none."""
@@ -184,9 +282,9 @@ def encoded(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                 part, at = data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low]
                 starts, ends, rows = spans(part, at, "space")
                 codes, chunks = span_codes(part, starts, ends)
-                each = [encoder.chunk(c) for c in chunks.to_pylist()]
-                n = np.array([len(x) for x in each], np.int64)
-                flat = np.array([k for x in each for k in x], "<u4")
+                each = encoder.chunks(chunks.to_pylist())
+                n = np.fromiter(map(len, each), np.int64, len(each))
+                flat = np.fromiter(chain.from_iterable(each), "<u4", int(n.sum()))
                 lengths = n[codes]
                 ids = flat[_ranges((np.cumsum(n) - n)[codes], lengths)]
                 tokens = np.bincount(rows, lengths, high - low).astype(np.int64)

@@ -1,6 +1,7 @@
 """Ids and texts against the tokenizer file's own library."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -33,30 +34,44 @@ ODD = ["", " ", "Hello  WORLD's <|endoftext|>x<|startoftext|><|ENDOFTEXT|>y", "e
        "a" * 3000, "ab" * 700 + "!" * 900, "\u0000�​", "<|endoftext", "|endoftext|>", "</w> </w>a", "\t\n\v\f\r x", "𐐀𐐁 Ǆ ŉ"]
 
 
-def test_fragments_and_ids(library, encoder):
+def test_ids(library, encoder):
     r = random.Random(1)
     letters = "abcdefghij zéñ'!?.#0189</w>|日ÅΣ"
     texts = ODD + ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(2000)]
-    assert [sum((encoder.chunk(c) for c in t.split(" ")), []) if "\t" not in t else ids_of(library, t) for t in texts] == [
-        ids_of(library, t) for t in texts]
-    # a cut falls only where no token of the vocabulary goes on
-    word = encoder.split(encoder.normalize("zqxjkvwq"))[0][0]
-    parts = list(encoder.fragments(word))
-    assert "".join(map("".join, parts)) == word + encoder.end
-    inside = {t.removesuffix(encoder.end) + ("$" if t.endswith(encoder.end) else "") for t in encoder.vocabulary}
-    for a, b in zip(parts, parts[1:], strict=False):
-        pair = a[-1] + b[0].removesuffix(encoder.end)
-        last = b[0].endswith(encoder.end)
-        assert not any((pair + "$" in t) if last else (pair in t.removesuffix("$") and not t == pair + "$") for t in inside)
+    chunks = sorted({c for t in texts for c in re.split("[ \t\n\v\f\r]+", t)})
+    for _ in range(2):  # the second time from the memo
+        ids = dict(zip(chunks, encoder.chunks(chunks), strict=True))
+        assert [[k for c in re.split("[ \t\n\v\f\r]+", t) for k in ids[c]] for t in texts] == [ids_of(library, t) for t in texts]
+
+
+def test_cuts_are_certain(library, encoder):
+    """No token of the vocabulary holds a pair that is cut, and fragments put together are the word."""
+    words = [library.pre_tokenizer.pre_tokenize_str(w)[0][0] for w in ("zqxjkvwq", "qzé", "wvxq", "the", "x")]
+    symbols, first, of_word = encoder.fragments(words)
+    names = {k: t for t, k in encoder.vocabulary.items()}
+    assert "".join(names[k] for k in symbols.tolist()) == "".join(w + "</w>" for w in words)
+    tokens = [[*t.removesuffix("</w>")[:-1], t.removesuffix("</w>")[-1:] + "</w>"] if t.endswith("</w>") else [*t]
+              for t in encoder.vocabulary]
+    held = {pair for t in tokens for pair in zip(t, t[1:], strict=False)}
+    inner = set(first.tolist()) - set(first[of_word].tolist())
+    assert len(inner) > 3
+    for k in range(1, len(symbols)):
+        if k not in first[of_word]:
+            assert ((names[symbols[k - 1]], names[symbols[k]]) not in held) == (k in inner)
+
+
+@pytest.mark.parametrize("long", [bpe.SHORT, 2])
+def test_fragments_with_and_without_heap(library, monkeypatch, long):
+    monkeypatch.setattr(bpe, "SHORT", long)
+    r, encoder = random.Random(2), bpe.Encoder()
+    words = sorted({"".join(r.choice("abeinorst") for _ in range(r.randrange(1, 40))) for _ in range(500)})
+    assert encoder.chunks(words) == [ids_of(library, w) for w in words]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=40))
-def test_any_text(text):
-    library, encoder = Tokenizer.from_file(bpe.TOKENIZER) if not hasattr(test_any_text, "l") else test_any_text.l, getattr(
-        test_any_text, "e", None) or bpe.Encoder()
-    test_any_text.l, test_any_text.e = library, encoder
-    assert sum((encoder.chunk(c) for c in bpe.re.split("[ \t\n\v\f\r]+", text)), []) == ids_of(library, text)
+@given(text=st.text(max_size=40))
+def test_any_text(library, encoder, text):
+    assert sum(encoder.chunks(re.split("[ \t\n\v\f\r]+", text)), []) == ids_of(library, text)
 
 
 def test_rows(spark, library):
