@@ -35,7 +35,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,8 @@ SHORT = 24
 #: Chunks that are normalised and split in one call.
 _TOGETHER = 2000
 _NONE = 1 << 60
+#: Marks special tokens among words; no character of the byte alphabet.
+_SPECIAL = "\0"
 
 
 class Encoder:
@@ -98,8 +100,9 @@ class Encoder:
         for a, b in pairs:
             self.joints[ord(a[-1]), ord(b[0]) + (width if b == b[0] + end else 0)] = True
         self.heap_ranks: dict[int, int] = {}
-        self.memo: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.special_ids = {_SPECIAL + t: k.to_bytes(4, "little") for t, k in self.special.items()}
+        self.memo: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, _NONE if they don't merge."""
@@ -188,9 +191,9 @@ class Encoder:
                 heapq.heappush(heap, (r, near))
         return np.array([s for s in symbols if s >= 0], np.int64)
 
-    def _pieces(self, texts: list[str]) -> list[list[str | int]]:
-        """Words, and ids of special tokens, of each text."""
-        out: list[list[str | int]] = [[] for _ in texts]
+    def _pieces(self, texts: list[str]) -> list[list[str]]:
+        """Words, and keys of special tokens, of each text."""
+        out: list[list[str]] = [[] for _ in texts]
         easy = []
         for k, t in enumerate(texts):
             if len(t.split()) == 1 and not (self.cut_special and self.cut_special.search(t)):
@@ -198,7 +201,7 @@ class Encoder:
                 continue
             for piece in self.cut_special.split(t) if self.cut_special else [t]:
                 if piece in self.special:
-                    out[k].append(self.special[piece])
+                    out[k].append(_SPECIAL + piece)
                 elif piece:
                     out[k] += [w for w, _ in self.split(self.normalize(piece))]
         for low in range(0, len(easy), _TOGETHER):  # texts without white space are normalised and split in one call
@@ -216,36 +219,35 @@ class Encoder:
                 out[some[of]].append(word)
         return out
 
-    def _learn(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of words."""
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, as little-endian bytes."""
         if not words:
             return {}
         symbols, first, of_word = self.fragments(words)
         ids, n = self.merged(symbols, first)
-        ends = np.cumsum(np.add.reduceat(n, of_word)).tolist()
-        flat = ids.tolist()
+        ends = (4 * np.cumsum(np.add.reduceat(n, of_word))).tolist()
+        flat = ids.astype("<u4").tobytes()
         return {w: flat[low:high] for w, low, high in zip(words, [0, *ends[:-1]], ends, strict=True)}
 
-    def chunks(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each of different texts that hold no ASCII white space; short ones are remembered."""
-        for memo in (self.memo, self.words):
-            if len(memo) > MEMO:
-                memo.clear()
-        new = [t for t in texts if t not in self.memo]
+    def chunks(self, texts: list[str]) -> list[bytes]:
+        """Ids, as little-endian bytes, of each of different texts that hold no ASCII white space; short ones are remembered."""
+        memo, words = self.memo, self.words
+        for known in (memo, words):
+            if len(known) > MEMO:
+                known.clear()
+        words.update(self.special_ids)
+        new = [t for t in texts if t not in memo]
         pieces = self._pieces(new)
-        wanted = {w for p in pieces for w in p if w not in self.words}
-        words = self._learn([w for w in wanted if isinstance(w, str)])
-        self.words.update((w, ids) for w, ids in words.items() if len(w) <= MEMO_CHARS)
-        long = {}
+        learned = self._learned([w for w in {w for p in pieces for w in p} if w not in words])
+        words.update(learned)
         for t, p in zip(new, pieces, strict=True):
-            ids: list[int] = []
-            for w in p:
-                if isinstance(w, str):
-                    ids += self.words[w] if w in self.words else words[w]
-                else:
-                    ids.append(w)
-            (self.memo if len(t) <= MEMO_CHARS else long)[t] = ids
-        return [self.memo[t] if t in self.memo else long[t] for t in texts]
+            memo[t] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
+        out = [memo[t] for t in texts]
+        for known, some in ((memo, new), (words, learned)):
+            for t in some:
+                if len(t) > MEMO_CHARS:
+                    del known[t]
+        return out
 
     def strings(self) -> list[bytes]:
         """UTF-8 string of each id; empty where there is none."""
@@ -283,8 +285,8 @@ def encoded(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                 starts, ends, rows = spans(part, at, "space")
                 codes, chunks = span_codes(part, starts, ends)
                 each = encoder.chunks(chunks.to_pylist())
-                n = np.fromiter(map(len, each), np.int64, len(each))
-                flat = np.fromiter(chain.from_iterable(each), "<u4", int(n.sum()))
+                n = np.fromiter(map(len, each), np.int64, len(each)) // 4
+                flat = np.frombuffer(b"".join(each), "<u4")
                 lengths = n[codes]
                 ids = flat[_ranges((np.cumsum(n) - n)[codes], lengths)]
                 tokens = np.bincount(rows, lengths, high - low).astype(np.int64)
