@@ -51,3 +51,13 @@ def lookback_filter(ts_col: str, feature_date, days: int) -> Column:
     """
     start = F.lit(feature_date).cast("date") - F.expr(f"INTERVAL {int(days)} DAYS")
     return F.col(ts_col) >= start.cast("timestamp_ntz")
+
+
+def lookback_any(ts_cols: list[str], feature_date, days: int) -> Column:
+    """B5, several columns: any of them inside the window. A disjunction of raw
+    columns against one literal, which is pushed to the scan as such."""
+    each = [lookback_filter(x, feature_date, days) for x in ts_cols]
+    out = each[0]
+    for x in each[1:]:
+        out = out | x
+    return out

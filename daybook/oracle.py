@@ -381,7 +381,7 @@ FROM evd GROUP BY id, day""", ["evd"])
 register("lookback_active_filter", """
 SELECT event_type, count(*) AS n_rows, sum(value) AS sum_value
 FROM evd
-WHERE ts >= CAST(DATE '2024-01-30' - INTERVAL 36 DAY AS TIMESTAMP)
+WHERE ts >= CAST(DATE '2024-02-20' - INTERVAL 36 DAY AS TIMESTAMP)
   AND status IN (1, 2) AND NOT (k % 50 = 0)
   AND NOT (event_type = 'click' AND 30040 + k % 8 = 30045)
   AND value IS NOT NULL
@@ -1253,13 +1253,21 @@ register("partition_lookup", """
 SELECT id, day, score, rating FROM rating
 WHERE day = DATE '2024-01-20' AND id IN (SELECT id FROM goals WHERE has_weight_goal = 1)""", ["rating", "goals"])
 register("key_categories", """
-SELECT key, count(*) AS n, CASE
+SELECT kind, key, count(*) AS n, CASE
   WHEN key LIKE 'glucose%' THEN 'glucose' WHEN key LIKE 'steps%' THEN 'steps'
-  WHEN key LIKE 'activity%' OR key LIKE 'exercise_program%' THEN 'activity' WHEN key LIKE 'sleep%' THEN 'sleep'
-  WHEN key LIKE 'medication%' THEN 'medications' WHEN key LIKE 'meal%' OR key LIKE 'nutrient%' OR key LIKE 'ai_meal_plan%' THEN 'food'
+  WHEN key LIKE 'activity%' OR key LIKE 'exercise%' THEN 'activity' WHEN key LIKE 'sleep%' THEN 'sleep'
+  WHEN key LIKE 'med!_%' ESCAPE '!' OR key LIKE 'medication%' THEN 'medications'
+  WHEN key LIKE 'meal%' OR key LIKE 'nutrient%' OR key LIKE 'ai_meal_plan%' OR key LIKE 'food%' THEN 'food'
   WHEN key LIKE 'weight%' THEN 'weight' WHEN key LIKE 'journey%' THEN 'journey'
-  WHEN key LIKE 'meditation%' OR key LIKE 'journal%' OR key LIKE 'action_plan%' THEN 'mental_wellbeing' ELSE 'explore' END AS category
-FROM pos GROUP BY key""", ["pos"])
+  WHEN key LIKE 'meditation%' OR key LIKE 'journal%' OR key LIKE 'action_plan%' OR key LIKE 'mental%' THEN 'mental_wellbeing'
+  ELSE 'explore' END AS category
+FROM (SELECT 'action' AS kind, key FROM ranked
+      UNION ALL
+      SELECT 'opportunity', key FROM (
+        SELECT key, allowed, bool_or(allowed) OVER (PARTITION BY id, day) AS any_allowed
+        FROM (SELECT *, """ + _ALLOWED + " OR key IN (" + ", ".join(_q(k) for k in K.CLINICAL_SAFETY_OPPORTUNITIES) + """) AS allowed FROM opp))
+      WHERE allowed OR NOT any_allowed)
+GROUP BY kind, key""", ["ranked", "opp"])
 register("column_comments", """
 SELECT 'tir_pct' AS column_name, TRUE AS applied, 'share of readings in 70-180' AS comment, count(tir_pct) AS n_rows FROM feat
 UNION ALL SELECT 'weekly_active_minutes', TRUE, '7-day calendar sum', count(weekly_active_minutes) FROM feat

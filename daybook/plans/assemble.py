@@ -54,20 +54,21 @@ def nutrient_counters(df: DataFrame) -> DataFrame:
 
 
 def daily_wide(spark: SparkSession, base: str, events: DataFrame | None = None,
-               report_day=None) -> DataFrame:
+               report_day=None, focus: DataFrame | None = None) -> DataFrame:
     """Features + per-id dimensions + per-day medication adherence.
 
     With ``report_day`` the feature frame is cut to that day right after its
     window stage and before any dimension join (O3): the joins see one row
-    per id instead of one per id and day.
+    per id instead of one per id and day. ``focus`` is the focus state of each
+    id (a daily run's snapshot); without it, it is read from all events.
     """
     feat = fe.daily_features(spark, base, events=events, last_day=report_day)
     if report_day is not None:
         feat = feat.filter(F.col("day") == F.lit(report_day).cast("date"))
     meds = fe.medication_state(spark, base, run_date=report_day, events=events)
     wide = (feat
-            # focus is state without a date: read from all events, not from the lookback
-            .join(fe.focus_per_id(spark, base), "id", "left")
+            # focus is state without a date: never from the lookback alone
+            .join(fe.focus_per_id(spark, base) if focus is None else focus, "id", "left")
             .join(fe.orders_dims(spark, base), "id", "left")
             .join(fe.goals_per_id(spark, base), "id", "left")
             .join(meds["state"], "id", "left")

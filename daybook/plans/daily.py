@@ -8,7 +8,8 @@ run needs one report day d, so:
     start up to a day away from its UTC timestamp, hence the margins);
   * the feature frame is filtered to d right after the window stage, before
     the dimension joins (O3);
-  * the history is pruned to the 7 days the state reads.
+  * the history is pruned to the 7 days the state reads;
+  * the focus of an id, which has no date, comes from a snapshot and the window.
 The result is the same as the all-days computation restricted to d whenever
 no feature reaches further back than the lookback (the original's design).
 """
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import constants as K
-from daybook.plans import assemble, history, render, select
+from daybook.plans import assemble, history, render, select, state
+from daybook.sources import partitioned as pt
 from daybook.sources.tables import load
 from daybook.plans.roles import EVENT_COLS
 
@@ -36,16 +38,23 @@ def pruned_events(spark: SparkSession, base: str, report_day: dt.date, lookback_
     return load(spark, base, "events", EVENT_COLS).filter((ts >= lo_lit) & (ts < hi_lit))
 
 
+def messages(result: DataFrame) -> DataFrame:
+    """The picked texts put together."""
+    return result.withColumn("message_text", render.message_text(F.col("greeting"), F.col("action_texts"),
+                                                                 F.col("opportunity_text")))
+
+
 def report_day_result(spark: SparkSession, base: str, report_day: dt.date,
-                      lookback_days: int = K.LOOKBACK_DAYS) -> DataFrame:
+                      lookback_days: int = K.LOOKBACK_DAYS, snapshot: pt.Table | None = None) -> DataFrame:
+    """The report day's messages. ``snapshot`` holds the focus of events before
+    the window (``state``); without it the focus is read from all events."""
     ev = pruned_events(spark, base, report_day, lookback_days)
-    ctx = assemble.context(spark, base, events=ev, report_day=report_day)
+    focus = state.focus_as_of(spark, base, snapshot, report_day, ev) if snapshot else None
+    ctx = assemble.rule_inputs(assemble.daily_wide(spark, base, ev, report_day, focus))
     hist = history.history_from_events(spark, base, events=ev).filter(
         F.col("message_date").between(F.lit(report_day - dt.timedelta(days=7)), F.lit(report_day - dt.timedelta(days=1))))
-    state = history.history_state(hist).filter(F.col("day") == F.lit(report_day))
-    res = select.daily_result(spark, base, ctx=select.with_history(ctx, state))
-    return res.withColumn("message_text", render.message_text(F.col("greeting"), F.col("action_texts"),
-                                                              F.col("opportunity_text")))
+    past = history.history_state(hist).filter(F.col("day") == F.lit(report_day))
+    return messages(select.daily_result(spark, base, ctx=select.with_history(ctx, past)))
 
 
 def last_event_day(spark: SparkSession, base: str) -> dt.date:

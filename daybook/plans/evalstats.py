@@ -125,6 +125,41 @@ def pass_rates(v: DataFrame) -> DataFrame:
                       (rate >= K.STRONG_CRITERION_RATE).alias("strong"))
 
 
+def weak_criteria(v: DataFrame) -> DataFrame:
+    """criteria below the weak rate, the lowest first (a fixed list of criteria, so one window)."""
+    place = F.row_number().over(Window.orderBy("pass_rate", "criterion"))
+    return pass_rates(v).filter("weak").select(place.alias("place"), "criterion", "category", "pass_rate")
+
+
+#: AG18 AG20: name of each level and what it groups by.
+RATE_LEVELS = {"overall": (), "criterion": ("criterion",), "category": ("category",), "case": ("doc_id",), "route": ("source",),
+               "user": ("lang",), "user_route": ("lang", "source")}
+RATE_KEYS = ["criterion", "category", "doc_id", "source", "lang"]
+
+
+def rate_levels(v: DataFrame) -> DataFrame:
+    """AG18 AG20: rates at every level by GROUPING SETS: one aggregate, combined before its one exchange.
+
+    A case is judged on every criterion, so ``cases`` counts the rows of the
+    first criterion (of the category's first one at that level).
+    """
+    first_of = {cat: min(k for k, x in CRITERIA.items() if x == cat) for cat in CRITERIA.values()}
+    marked = v.select(*RATE_KEYS, c("passed").cast("int").alias("p"),
+                      (c("criterion") == min(CRITERIA)).cast("int").alias("case"),
+                      c("criterion").isin(*first_of.values()).cast("int").alias("case_of_category"))
+    sets = [[c(k) for k in by] for by in RATE_LEVELS.values()]
+    out = marked.groupingSets(sets, *[c(k) for k in RATE_KEYS]).agg(
+        F.grouping_id(*RATE_KEYS).alias("gid"), F.count("*").alias("total"), F.sum("p").alias("passed"),
+        F.sum("case").alias("by_case"), F.sum("case_of_category").alias("by_category"))
+    n, level = len(RATE_KEYS), None
+    for name, by in RATE_LEVELS.items():
+        gid = sum(1 << (n - 1 - i) for i, k in enumerate(RATE_KEYS) if k not in by)
+        level = F.when(c("gid") == gid, name) if level is None else level.when(c("gid") == gid, name)
+    cases = F.when(c("level") == "criterion", c("total")).when(c("level") == "category", c("by_category")).otherwise(c("by_case"))
+    return out.withColumn("level", level).select("level", *RATE_KEYS, "total", "passed", cases.alias("cases"),
+                                                 (c("passed") / c("total")).alias("pass_rate"))
+
+
 def category_rates(v: DataFrame) -> DataFrame:
     """AG18: category score = mean of its criterion rates."""
     per = v.groupBy("category", "criterion").agg(F.avg(F.col("passed").cast("int")).alias("rate"))

@@ -1,9 +1,9 @@
 """Multi-day replay (J3): day n+1 reads the history written on day n.
 
-Each step is one DataFrame job over all ids of that report day. The history
-is upserted by key (id, category, message_date), written to a new location
-under the shared checkpoint folder and read back, which also cuts the
-lineage so the plan does not grow with the number of days.
+The days are runs of the daily job (``job.run_day``) on tables of their own: each
+reads the events of its window and the seven history partitions before its day,
+and writes one new partition of history, output, features and snapshot. No
+other day's files are touched, and a day that is run again is an upsert.
 """
 
 from __future__ import annotations
@@ -13,22 +13,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.plans import assemble, history, render, select
-from daybook.sources import writes
+from daybook.plans import daily, job
+from daybook.sources import partitioned as pt
 
-HIST_KEYS = ["id", "category", "message_date"]
 
+def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = None,
+           store: job.Store | None = None) -> DataFrame:
+    """Run ``days`` report days in sequence (default: the last ones of the data); the history rows written for them.
 
-def day_result(ctx_day: DataFrame, state: DataFrame) -> DataFrame:
-    res = select.daily_result(ctx_day.sparkSession, "", ctx=select.with_history(ctx_day, state))
-    return res.withColumn("message_text", render.message_text(F.col("greeting"), F.col("action_texts"),
-                                                              F.col("opportunity_text")))
-
-
-def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = None) -> DataFrame:
-    """Run ``days`` report days in sequence; returns the history rows written for them.
-
-    Spark 4.1 with AQE can fail this plan ("Can't zip RDDs with unequal
+    Spark 4.1 with AQE can fail a day's plan ("Can't zip RDDs with unequal
     numbers of partitions") when a union's output partitioning is reused by a
     join; the union-partitioning shortcut is switched off for the replay and
     restored afterwards.
@@ -37,36 +30,14 @@ def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = No
     old = spark.conf.get(key, None)
     try:
         spark.conf.set(key, "false")
-        return _replay(spark, base, days, start)
+        last = daily.last_event_day(spark, base)
+        first = dt.date.fromisoformat(start) if start else last - dt.timedelta(days=days - 1)
+        store = store or job.new_store(spark)
+        job.seed(spark, base, store, first)
+        for i in range(days):
+            day = first + dt.timedelta(days=i)
+            job.run_day(spark, base, store, day, f"{day + dt.timedelta(days=1)} 01:00:00")
     finally:
         if old is not None:
             spark.conf.set(key, old)
-
-
-def _replay(spark: SparkSession, base: str, days: int, start: str | None) -> DataFrame:
-    # the rule inputs are computed once and written (lineage cut); each day reads its slice
-    ctx_path = writes.new_table_path(spark, "context")
-    assemble.context(spark, base).write.parquet(ctx_path)
-    ctx_all = spark.read.parquet(ctx_path)
-    if start is None:
-        # the last ``days`` report days present in the data (one small aggregate)
-        last = ctx_all.agg(F.max("day")).first()[0]
-        first = last - dt.timedelta(days=days - 1)
-    else:
-        first = dt.date.fromisoformat(start)
-    hist = history.history_from_events(spark, base).filter(F.col("message_date") < F.lit(first))
-    hist = hist.select(*HIST_KEYS, "positive_actions_used", "opportunity_used")
-    path = writes.new_table_path(spark, "history")
-    hist.write.parquet(path)
-    hist = spark.read.parquet(path)
-    for i in range(days):
-        d = first + dt.timedelta(days=i)
-        state = history.history_state(hist).filter(F.col("day") == F.lit(d))
-        res = day_result(ctx_all.filter(F.col("day") == F.lit(d)), state)
-        rows = history.result_to_history(res).select(*HIST_KEYS, "positive_actions_used", "opportunity_used")
-        merged = hist.join(rows.select(*HIST_KEYS), HIST_KEYS, "left_anti").unionByName(rows)
-        path = writes.new_table_path(spark, "history")
-        merged.write.parquet(path)
-        hist = spark.read.parquet(path)
-    # the result is read from the written table, so it no longer depends on the conf
-    return hist.filter(F.col("message_date") >= F.lit(first))
+    return pt.read(spark, store.history).filter(F.col("message_date") >= F.lit(first))

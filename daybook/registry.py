@@ -2,7 +2,7 @@
 
 Every entry takes (spark, table_dir) and returns a DataFrame over the whole
 given tables. Doubles are rounded to 4 places at the end so results compare
-exactly with the DuckDB oracle (``daybook.oracle_queries``).
+exactly with the DuckDB oracle (``daybook.oracle``, ``daybook.oracle_tables``).
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def q_local_day_counts(spark, base):
 
 
 @query("lookback_active_filter")
-def q_lookback_active_filter(spark, base, feature_date: str = "2024-01-30", lookback_days: int = 36):
+def q_lookback_active_filter(spark, base, feature_date: str = "2024-02-20", lookback_days: int = 36):
     """Lookback prune on the raw ts column, active status,
     soft-delete flag, meditation excluded, non-null value."""
     from daybook.functions.timeutil import lookback_filter
@@ -131,25 +131,10 @@ def q_day_sum_variety(spark, base):
 def q_day_totals_vs_goal(spark, base):
     """AG4 C11 B16 B17 B24: nutrient totals vs deduplicated goals, bands and counters."""
     d = _agg(spark, base).filter("meals > 0").select("id", "day", "meals", "carbs", "protein", "fat", "calories")
-    g = fe.goals_per_id(spark, base)
-    j = d.join(g, "id", "left")
-    nutrients = [("protein", "protein_goal"), ("fat", "fat_goal"), ("calories", "calories_goal"),
-                 ("carbs", "carb_goal")]
-    pct = {n: safe_pct(n, goal) for n, goal in nutrients}
-    j = j.withColumns({f"{n}_pct": pct[n] for n, _ in nutrients})
-    lo, hi = K.NUTRITION_RANGE_PCT
-    j = j.withColumns({f"{n}_in_band": band(f"{n}_pct", lo, hi) for n, _ in nutrients})
-    n90 = sum(F.coalesce(F.col(f"{n}_in_band"), F.lit(0)) for n, _ in nutrients)
-    n60 = sum(flag(F.col(f"{n}_pct") >= 60) for n, _ in nutrients)
-    n30 = sum(flag(F.col(f"{n}_pct") >= 30) for n, _ in nutrients)
-    first_met = F.coalesce(*[F.when(F.col(f"{n}_in_band") == 1, F.lit(n)) for n, _ in nutrients])
-    goals_set = sum(flag(F.col(goal).isNotNull()) for _, goal in nutrients)
-    return j.select(
-        "id", "day", "meals", "carbs", "protein", "fat", "calories",
-        *[f"{n}_pct" for n, _ in nutrients],
-        any_of(*[f"{n}_in_band" for n, _ in nutrients]).alias("any_nutrient_met"),
-        goals_set.alias("total_nutrient_targets"), n90.alias("n_90_110"), n60.alias("n_60_plus"),
-        n30.alias("n_30_plus"), first_met.alias("nutrient_name_met"))
+    counted = asm.nutrient_counters(d.join(fe.goals_per_id(spark, base), "id", "left"))
+    return counted.select(
+        "id", "day", "meals", "carbs", "protein", "fat", "calories", *[f"{n}_pct" for n, _ in asm.NUTRIENTS],
+        "any_nutrient_met", "total_nutrient_targets", "n_90_110", "n_60_plus", "n_30_plus", "nutrient_name_met")
 
 
 @query("last_kind_of_day")
@@ -631,9 +616,9 @@ def q_partition_lookup(spark, base):
 
 @query("key_categories")
 def q_key_categories(spark, base):
-    """H6: candidates per key, with the category that the key's prefix gives."""
-    pos = cand.positive_candidates(sel.context_with_history(spark, base))
-    return pos.groupBy("key").agg(F.count("*").alias("n")).withColumn("category", hist.key_category("key"))
+    """H6: candidates of both kinds per key, with the category that the key's prefix gives."""
+    ranked = sel.ranked(sel.context_with_history(spark, base))
+    return ranked.groupBy("kind", "key").agg(F.count("*").alias("n")).withColumn("category", hist.key_category("key"))
 
 
 def sel_rating(spark, base):
@@ -703,14 +688,6 @@ def q_prompt_text(spark, base):
                     .alias("prompt"))
 
 
-@query("replay_3_days")
-def q_replay_3_days(spark, base):
-    """Three consecutive report days; each day's selection reads the
-    history written by the day before (upserted, written, read back)."""
-    from daybook.plans import replay
-    return replay.replay(spark, base, days=3)
-
-
 @query("sheet_roundtrip")
 def q_sheet_roundtrip(spark, base):
     """Documents written as a CSV sheet (untidy headers, quoted multi-line
@@ -731,10 +708,13 @@ def q_sheet_roundtrip(spark, base):
 @query("report_day")
 def q_report_day(spark, base):
     """The production daily run for the newest day in the data: lookback-pruned
-    event scan, day filter before the dimension joins, rating and picks for that day."""
-    from daybook.plans import daily
+    event scan, focus from the snapshot and the window, day filter before the dimension joins,
+    rating and picks for that day."""
+    from daybook.plans import daily, job
     d = daily.last_event_day(spark, base)
-    res = daily.report_day_result(spark, base, d)
+    store = job.new_store(spark)
+    job.seed_focus(spark, base, store, d)
+    res = daily.report_day_result(spark, base, d, snapshot=store.focus)
     return res.select("id", "day", "score", "rating", F.array_join("action_keys", ",").alias("actions"),
                       "opportunity_key", "message_text")
 
@@ -755,3 +735,6 @@ def q_weekly_context(spark, base):
     wk = rnd.weekly_context(j)
     return j.select("id", "day", wk.alias("weekly_context"),
                       F.size(F.filter(F.split(wk, "\n"), lambda x: x != "")).alias("n_lines"))
+
+
+from daybook import registry_tables  # noqa: E402,F401  (registers its queries here)
