@@ -152,6 +152,9 @@ SELECT id, day,
   sum(value / 10) FILTER (WHERE is_meal) AS protein,
   sum(value / 15) FILTER (WHERE is_meal) AS fat,
   sum(value * 2) FILTER (WHERE is_meal) AS calories,
+  sum(value / 20) FILTER (WHERE is_meal) AS fiber,
+  sum(value / 8) FILTER (WHERE is_meal) AS sugar,
+  sum(value / 25) FILTER (WHERE is_meal) AS added_sugars,
   arg_max(meal_type, ts) FILTER (WHERE is_meal) AS last_meal_type,
   count(*) FILTER (WHERE is_journal) AS journal_entries,
   count(*) FILTER (WHERE is_grocery) AS grocery_entries,
@@ -234,6 +237,7 @@ SELECT d.*, b.weight_14d_ago, b.weight_14d_days_back,
   {_any('grocery_entries', 7)} AS grocery_7d,
   {_any('program_steps', 7)} AS program_7d,
   last_value(sleep_hours IGNORE NULLS) {_PREV} AS sleep_prev_logged,
+  last_value(sleep_rating IGNORE NULLS) {_PREV} AS sleep_rating_prev_logged,
   avg(sleep_hours) {_rng(7)} AS sleep_avg_7d,
   avg(sleep_rating) {_rng(7)} AS sleep_rating_avg_7d
 FROM dense d LEFT JOIN band b USING (id, day)""", ["dense", "band"])
@@ -256,6 +260,7 @@ SELECT *,
   COALESCE(days_since_last_weight <= 30, FALSE) AS weight_logged_30d,
   CASE WHEN meals >= 1 THEN 1 ELSE 0 END AS meal_logged_today,
   sleep_hours - sleep_prev_logged AS sleep_delta_1d,
+  sleep_rating - sleep_rating_prev_logged AS sleep_rating_delta_1d,
   CASE WHEN sleep_hours >= 7 THEN 1 ELSE 0 END AS sleep_hours_met,
   CASE WHEN sleep_rating >= 7 THEN 1 ELSE 0 END AS sleep_rating_met,
   CASE WHEN sleep_hours > sleep_prev_logged THEN 1 ELSE 0 END AS sleep_improved,
@@ -290,15 +295,16 @@ SELECT id, a1c_target_id,
   CASE WHEN completed_count > 0 THEN 1 ELSE 0 END AS video_ever_completed,
   order_count AS video_total,
   CASE WHEN order_count > 0 THEN 1 ELSE 0 END AS has_exercise_video_activity,
-  has_active_program AS has_active_exercise_program,
-  completed_count AS programs_completed
+  CASE WHEN active_program_count > 0 THEN 1 ELSE 0 END AS has_active_exercise_program,
+  CASE WHEN completed_count > 0 THEN 1 ELSE 0 END AS has_completed_exercise_program,
+  active_program_count, completed_count AS programs_completed
 FROM (SELECT o_custkey AS id,
         CAST(arg_max(o_orderkey % 3 + 1, (o_orderdate, o_orderkey)) AS INTEGER) AS a1c_target_id,
         count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderstatus = 'O') AS active_journey_count,
         count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderstatus = 'F') AS completed_journey_count,
         count(*) AS order_count,
         count(*) FILTER (WHERE o_orderstatus = 'F') AS completed_count,
-        max(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS has_active_program
+        count(*) FILTER (WHERE o_orderstatus <> 'F') AS active_program_count
       FROM orders GROUP BY o_custkey)""")
 
 cte("goals", """
@@ -413,7 +419,7 @@ FROM agg WHERE activity_sessions > 0 OR steps IS NOT NULL""", ["agg"], ["active_
 
 _NUTS = [("protein", "protein_goal"), ("carbs", "carb_goal"), ("fat", "fat_goal"), ("calories", "calories_goal")]
 register("day_totals_vs_goal", f"""
-SELECT id, day, meals, carbs, protein, fat, calories,
+SELECT id, day, meals, carbs, protein, fat, calories, fiber, sugar, added_sugars,
   {", ".join(f"{n}_pct" for n, _ in _NUTS)},
   greatest({", ".join(f"COALESCE({n}_in_band, 0)" for n, _ in _NUTS)}) AS any_nutrient_met,
   {" + ".join(f"(CASE WHEN {g} > 0 THEN 1 ELSE 0 END)" for _, g in _NUTS)} AS total_nutrient_targets,
@@ -422,10 +428,10 @@ SELECT id, day, meals, carbs, protein, fat, calories,
   {" + ".join(f"(CASE WHEN {n}_pct >= 30 THEN 1 ELSE 0 END)" for n, _ in _NUTS)} AS n_30_plus,
   COALESCE({", ".join(f"CASE WHEN {n}_in_band = 1 THEN '{n}' END" for n, _ in _NUTS)}) AS nutrient_name_met
 FROM (SELECT *, {", ".join(f"CASE WHEN {n}_pct BETWEEN 90 AND 110 THEN 1 ELSE 0 END AS {n}_in_band" for n, _ in _NUTS)}
-      FROM (SELECT a.id, a.day, a.meals, a.carbs, a.protein, a.fat, a.calories, g.*  EXCLUDE (id),
+      FROM (SELECT a.id, a.day, a.meals, a.carbs, a.protein, a.fat, a.calories, a.fiber, a.sugar, a.added_sugars, g.*  EXCLUDE (id),
               {", ".join(f"CASE WHEN {g} > 0 THEN {n} / {g} * 100.0 END AS {n}_pct" for n, g in _NUTS)}
             FROM agg a LEFT JOIN goals g ON a.id = g.id WHERE a.meals > 0))""",
-         ["agg", "goals"], ["carbs", "protein", "fat", "calories"] + [f"{n}_pct" for n, _ in _NUTS])
+         ["agg", "goals"], ["carbs", "protein", "fat", "calories", "fiber", "sugar", "added_sugars"] + [f"{n}_pct" for n, _ in _NUTS])
 
 register("last_kind_of_day", """
 SELECT id, day, last_meal_type, weight FROM agg WHERE meals > 0 OR weight IS NOT NULL""", ["agg"], ["weight"])
@@ -437,7 +443,7 @@ register("state_snapshot", "SELECT * FROM odims", ["odims"])
 
 register("program_days", """
 SELECT id, day, CAST(sum(s) AS BIGINT) AS programs_started, CAST(sum(c) AS BIGINT) AS programs_completed FROM (
-  SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day, 1 AS s, 0 AS c FROM orders
+  SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS day, 1 AS s, 0 AS c FROM orders WHERE o_orderstatus <> 'F'
   UNION ALL
   SELECT o_custkey, CAST(o_orderdate AS DATE) + 30, 0, 1 FROM orders WHERE o_orderstatus = 'F')
 GROUP BY id, day""", [])
@@ -445,8 +451,8 @@ GROUP BY id, day""", [])
 register("delta_prev_logged", """
 SELECT id, day, is_logged, active_minutes, active_minutes_prev_logged, active_minutes_delta_1d,
   active_minutes_prev_day, activity_same_or_more, tir_pct, tir_prev_logged, tir_delta_1d, tir_prev_day,
-  steps, steps_prev_logged, steps_delta_1d, steps_improved
-FROM feat""", ["feat"], ["active_minutes", "active_minutes_prev_logged", "active_minutes_delta_1d",
+  steps, steps_prev_logged, steps_delta_1d, steps_improved, sleep_rating, sleep_rating_prev_logged, sleep_rating_delta_1d
+FROM feat""", ["feat"], ["sleep_rating", "sleep_rating_prev_logged", "sleep_rating_delta_1d", "active_minutes", "active_minutes_prev_logged", "active_minutes_delta_1d",
                          "active_minutes_prev_day", "tir_pct", "tir_prev_logged", "tir_delta_1d", "tir_prev_day"])
 
 register("rolling_windows", """
@@ -498,7 +504,8 @@ cte("wide0", """
 SELECT f.*, fo.focus_list, fo.user_focus,
   od.a1c_target_id, od.a1c_group, od.active_journey_count, od.completed_journey_count, od.has_active_journey,
   od.has_completed_journey, od.journey_task_completed, od.video_ever_completed, od.video_total,
-  od.has_exercise_video_activity, od.has_active_exercise_program, od.programs_completed,
+  od.has_exercise_video_activity, od.has_active_exercise_program, od.has_completed_exercise_program,
+  od.active_program_count, od.programs_completed,
   g.goal_type_id, g.target_weight, g.protein_goal, g.carb_goal, g.fat_goal, g.calories_goal, g.weight_goal_type,
   g.has_weight_goal, g.has_nutrient_goals,
   ms.active_prescription_count, ms.expected_daily_doses, ms.med_reminders_enabled, ms.takes_glycemic_lowering_med,
@@ -581,21 +588,22 @@ FROM odims o LEFT JOIN thr t ON COALESCE(o.a1c_group, 'dm_target_7') = t.grp""",
 _WIDE_COLS = """
     id day is_logged bg_count tir_pct high_pct low_pct very_low_pct avg_bg cgm_day active_minutes
     activity_sessions activity_variety meditation_count video_completion_pct steps weight meals carbs protein
-    fat calories journal_entries grocery_entries program_starts program_completions meal_plan_events
+    fat calories fiber sugar added_sugars journal_entries grocery_entries program_starts program_completions meal_plan_events
     article_events lesson_events learn_video_events program_steps plan_entries plan_active plan_completed
     sleep_count sleep_rating sleep_hours last_meal_type tir_prev_logged tir_prev_day has_cgm
     active_minutes_prev_logged active_minutes_prev_day weekly_active_minutes meditation_7d meditation_30d
     video_completed_today steps_prev_logged steps_prev_logged_day steps_avg_7d has_step_tracker weight_prev_logged
     days_since_last_weight weight_14d_ago weight_14d_days_back days_with_meals_7d journal_7d journal_30d
-    plan_progress_7d plan_progress_30d grocery_7d program_7d sleep_prev_logged sleep_avg_7d sleep_rating_avg_7d
+    plan_progress_7d plan_progress_30d grocery_7d program_7d sleep_prev_logged sleep_rating_prev_logged sleep_avg_7d sleep_rating_avg_7d
     video_completed_7d tir_delta_1d active_minutes_delta_1d activity_same_or_more steps_delta_1d
     steps_target_met steps_improved weight_logged_today weight_pct_change weight_change_lbs_14d
-    weight_change_pct_14d weight_logged_7d weight_logged_14d weight_logged_30d meal_logged_today sleep_delta_1d
+    weight_change_pct_14d weight_logged_7d weight_logged_14d weight_logged_30d meal_logged_today sleep_delta_1d sleep_rating_delta_1d
     sleep_hours_met sleep_rating_met sleep_improved journal_today meditation_today grocery_today
     program_started_today meal_plan_today article_today lesson_today learn_video_today program_completed_today
     program_progress_today focus_list user_focus a1c_target_id a1c_group active_journey_count
     completed_journey_count has_active_journey has_completed_journey journey_task_completed video_ever_completed
-    video_total has_exercise_video_activity has_active_exercise_program programs_completed goal_type_id
+    video_total has_exercise_video_activity has_active_exercise_program has_completed_exercise_program active_program_count
+    programs_completed goal_type_id
     target_weight protein_goal carb_goal fat_goal calories_goal weight_goal_type has_weight_goal
     has_nutrient_goals active_prescription_count expected_daily_doses med_reminders_enabled
     takes_glycemic_lowering_med adherence_pct took_all_meds adherence_7d_avg glycemic_med_adherent protein_pct
@@ -1069,10 +1077,13 @@ FROM verd GROUP BY {_col}""", ["verd"], ["pass_rate"])
 register("bot_summary", """
 SELECT lang, count(*) AS cases, count(*) FILTER (WHERE chart) AS with_chart,
   count(*) FILTER (WHERE NOT chart) AS without_chart, CAST(sum(p) AS DOUBLE) / sum(n) AS micro_rate,
-  avg(CAST(p AS DOUBLE) / n) AS mean_case_rate
-FROM (SELECT lang, doc_id, count(*) AS n, count(*) FILTER (WHERE passed) AS p, bool_or(n_chars > 5000) AS chart
+  avg(CAST(p AS DOUBLE) / n) AS mean_case_rate, CAST(sum(cp) AS DOUBLE) / sum(cn) AS content_rate,
+  CAST(sum(tp) AS DOUBLE) / sum(tn) AS tone_rate
+FROM (SELECT lang, doc_id, count(*) AS n, count(*) FILTER (WHERE passed) AS p, bool_or(n_chars > 5000) AS chart,
+        count(*) FILTER (WHERE criterion = 'quality') AS cn, count(*) FILTER (WHERE criterion = 'quality' AND verdict = 'yes') AS cp,
+        count(*) FILTER (WHERE criterion = 'safety') AS tn, count(*) FILTER (WHERE criterion = 'safety' AND verdict = 'yes') AS tp
       FROM verd GROUP BY lang, doc_id)
-GROUP BY lang""", ["verd"], ["micro_rate", "mean_case_rate"])
+GROUP BY lang""", ["verd"], ["micro_rate", "mean_case_rate", "content_rate", "tone_rate"])
 register("failures", "SELECT criterion, doc_id, source, verdict FROM verd WHERE NOT passed AND verdict <> 'error'",
          ["verd"])
 register("verdict_pivot", """

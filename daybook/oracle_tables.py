@@ -78,6 +78,35 @@ FROM (SELECT criterion, category, avg(CAST(passed AS INTEGER)) AS rate FROM verd
 WHERE rate < 0.8""", ["verd"], ["pass_rate"])
 
 
+_CHANGE = "(?i)\\b(?:went up|went down|rose|fell|increased|decreased|improved|dropped|up|down)\\b"
+_NUM = "[0-9]+(?:\\.[0-9]+)?"
+_FOUND = "list_distinct(regexp_extract_all(replace({t}, ',', ''), '[0-9]+(\\.[0-9]+)?'))"
+_NAMES = "['Committed', 'Strong', 'Consistent', 'Building', 'Ready']"
+register("message_checks", f"""
+SELECT id, day, rating, changes, unpaired_changes, n_numbers, n_missing, labels_named, label_fits,
+  unpaired_changes = 0 AND n_missing = 0 AND label_fits AS accurate
+FROM (SELECT id, day, rating, CAST(len(told) AS INTEGER) AS changes,
+        CAST(len(list_filter(told, lambda s: NOT regexp_matches(s, '{_CHANGE}[^0-9]*\\bfrom {_NUM}%? to {_NUM}'))) AS INTEGER) AS unpaired_changes,
+        CAST(len(found) AS INTEGER) AS n_numbers,
+        CAST(len(list_filter(found, lambda x: NOT list_contains(given, x))) AS INTEGER) AS n_missing,
+        array_to_string(named, ',') AS labels_named, len(list_filter(named, lambda x: x IS DISTINCT FROM due)) = 0 AS label_fits
+      FROM (SELECT id, day, rating,
+              list_filter(regexp_split_to_array(sent, '[.!?]+(?:\\s+|$)'), lambda s: regexp_matches(s, '{_CHANGE}.*[0-9]')) AS told,
+              {_FOUND.format(t='sent')} AS found, {_FOUND.format(t='facts')} AS given,
+              list_filter({_NAMES}, lambda x: regexp_matches(sent, '\\b' || x || '\\b')) AS named,
+              CASE WHEN percentage >= 81 THEN 'Committed' WHEN percentage >= 61 THEN 'Strong' WHEN percentage >= 41 THEN 'Consistent'
+                   WHEN percentage >= 21 THEN 'Building' WHEN percentage >= 1 THEN 'Ready' END AS due
+            FROM (SELECT res.id, res.day, res.rating, r.percentage,
+                    concat_ws(' ', array_to_string(action_texts, ' '), opportunity_text) AS facts,
+                    CASE (res.id + day(res.day)) % 5
+                      WHEN 1 THEN regexp_replace(message_text, '([0-9])([0-9])', '\\2\\1', 'g')
+                      WHEN 2 THEN regexp_replace(message_text, 'from [0-9.]+% to', 'to', 'g')
+                      WHEN 3 THEN message_text || '. You are Strong today!'
+                      WHEN 4 THEN message_text || '. Your rating is ' || res.rating || '.'
+                      ELSE message_text END AS sent
+                  FROM result res JOIN rating r ON res.id = r.id AND res.day = r.day)))""", ["result", "rating"])
+
+
 # ---------------------------------------------------------------------------
 # The CTEs that follow from history or focus, once for each replayed day
 # ---------------------------------------------------------------------------

@@ -174,15 +174,19 @@ def group_rates(v: DataFrame, by: str) -> DataFrame:
 
 
 def bot_summary(v: DataFrame) -> DataFrame:
-    """AG21 (D17): per user: cases, with/without chart, summed passes over summed totals
-    and the mean rate of a case."""
+    """AG21 (D17): per user: cases, with/without chart, summed passes over summed totals, the
+    mean rate of a case, and the summed passes over totals of each category's criteria."""
+    groups = list(dict.fromkeys(CRITERIA.values()))
+    of = {g: c("category") == g for g in groups}
     case = v.groupBy("lang", "doc_id").agg(
-        F.count("*").alias("n"), F.count_if("passed").alias("p"), F.max(c("n_chars") > 5000).alias("chart"))
+        F.count("*").alias("n"), F.count_if("passed").alias("p"), F.max(c("n_chars") > 5000).alias("chart"),
+        *[F.count_if(of[g]).alias(f"n_{g}") for g in groups], *[F.count_if(of[g] & c("passed")).alias(f"p_{g}") for g in groups])
     return case.groupBy("lang").agg(
         F.count("*").alias("cases"), F.count_if("chart").alias("with_chart"),
         F.count_if(~c("chart")).alias("without_chart"),
         (F.sum("p") / F.sum("n")).alias("micro_rate"),
-        F.avg(c("p") / c("n")).alias("mean_case_rate"))
+        F.avg(c("p") / c("n")).alias("mean_case_rate"),
+        *[F.try_divide(F.sum(f"p_{g}"), F.sum(f"n_{g}")).alias(f"{g}_rate") for g in groups])
 
 
 def failures(v: DataFrame) -> DataFrame:
@@ -301,3 +305,61 @@ def number_grounding(spark: SparkSession, base: str) -> DataFrame:
     missing = F.array_except(m, s)
     return j.select("conv_id", "turn", F.size(m).alias("n_numbers"), F.size(missing).alias("n_missing"),
                     (F.size(missing) == 0).alias("grounded"))
+
+
+#: Words after which a change between two values is told.
+CHANGE_WORDS = ["went up", "went down", "rose", "fell", "increased", "decreased", "improved", "dropped", "up", "down"]
+_NUMBER = r"[0-9]+(?:\.[0-9]+)?"
+
+
+def sentences(text: Column) -> Column:
+    """Sentences of a text; a point inside a number ends none."""
+    return F.split(text, r"[.!?]+(?:\s+|$)")
+
+
+def change_checks(text: Column) -> dict[str, Column]:
+    """Sentences that tell a change in numbers, and those of them that lack the starting or the ending value.
+
+    The change word binds the pair that follows it: ``from a to b`` with no
+    other number before it. A difference alone is no pair.
+    """
+    word = r"(?i)\b(?:" + "|".join(CHANGE_WORDS) + r")\b"
+    told = F.filter(sentences(text), lambda s: s.rlike(word + r".*[0-9]"))
+    paired = F.filter(told, lambda s: s.rlike(word + rf"[^0-9]*\bfrom {_NUMBER}%? to {_NUMBER}"))
+    return {"changes": F.size(told), "unpaired_changes": F.size(told) - F.size(paired)}
+
+
+def grounding_checks(text: Column, source: Column) -> dict[str, Column]:
+    """Numbers of a text and those of them that the source lacks (thousands commas ignored)."""
+    found = numbers(text)
+    return {"n_numbers": F.size(found), "n_missing": F.size(F.array_except(found, numbers(source)))}
+
+
+def rating_checks(text: Column, percentage: Column) -> dict[str, Column]:
+    """The rating labels that a text names, and whether the score gives no other.
+
+    A label counts where it stands with its capital letter as a word of its own.
+    """
+    names = F.array(*[F.lit(name) for name, _, _ in K.TIERS])
+    named = F.filter(names, lambda n: F.regexp_like(text, F.concat(F.lit(r"\b"), n, F.lit(r"\b"))))
+    due = F.coalesce(*[F.when(percentage >= low, F.lit(name)) for name, _, low in K.TIERS])
+    return {"labels_named": F.array_join(named, ","), "label_fits": F.forall(named, lambda n: F.coalesce(n == due, F.lit(False)))}
+
+
+def sent_messages(result: DataFrame) -> DataFrame:
+    """The daily messages as a remote writer might send them back: some as they are, some with
+    digits exchanged, a starting value left out or a rating label put in (by id and day)."""
+    text, shape = c("message_text"), (c("id") + F.dayofmonth("day")) % 5
+    sent = (F.when(shape == 1, F.regexp_replace(text, "([0-9])([0-9])", "$2$1"))
+            .when(shape == 2, F.regexp_replace(text, r"from [0-9.]+% to", "to"))
+            .when(shape == 3, F.concat(text, F.lit(". You are Strong today!")))
+            .when(shape == 4, F.concat(text, F.lit(". Your rating is "), c("rating"), F.lit("."))).otherwise(text))
+    return result.withColumn("sent", sent)
+
+
+def message_checks(result: DataFrame) -> DataFrame:
+    """I10 I11 on sent messages against the facts and the score of their day."""
+    facts = F.concat_ws(" ", c("action_texts"), c("opportunity_text"))
+    checks = change_checks(c("sent")) | grounding_checks(c("sent"), facts) | rating_checks(c("sent"), c("percentage"))
+    out = result.select("id", "day", "rating", *[v.alias(k) for k, v in checks.items()])
+    return out.withColumn("accurate", (c("unpaired_changes") == 0) & (c("n_missing") == 0) & c("label_fits"))

@@ -112,6 +112,9 @@ def _daily_agg_exprs() -> list:
         F.sum(F.when(meal, v / 10)).alias("protein"),
         F.sum(F.when(meal, v / 15)).alias("fat"),
         F.sum(F.when(meal, v * 2)).alias("calories"),
+        F.sum(F.when(meal, v / 20)).alias("fiber"),
+        F.sum(F.when(meal, v / 8)).alias("sugar"),
+        F.sum(F.when(meal, v / 25)).alias("added_sugars"),
         F.max_by(F.when(meal, F.col("meal_type_id")), F.when(meal, F.col("ts"))).alias("last_meal_type_id"),
         # AG6 presence counts
         _cnt(F.col("is_journal")).alias("journal_entries"),
@@ -192,6 +195,7 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
         "program_7d": any_in_last("program_steps", 7),
         # sleep
         "sleep_prev_logged": prev_logged("sleep_hours"),
+        "sleep_rating_prev_logged": prev_logged("sleep_rating"),
         "sleep_avg_7d": rolling(F.avg, "sleep_hours", 7),
         "sleep_rating_avg_7d": rolling(F.avg, "sleep_rating", 7),
     }
@@ -214,6 +218,7 @@ def _feature_columns(meal_days_min: int) -> tuple[dict, dict, dict]:
         "weight_logged_30d": F.coalesce(F.col("days_since_last_weight") <= 30, F.lit(False)),
         "meal_logged_today": flag(F.col("meals") >= 1),
         "sleep_delta_1d": F.col("sleep_hours") - F.col("sleep_prev_logged"),
+        "sleep_rating_delta_1d": F.col("sleep_rating") - F.col("sleep_rating_prev_logged"),
         "sleep_hours_met": flag(F.col("sleep_hours") >= K.SLEEP_HOURS_TARGET),
         "sleep_rating_met": flag(F.col("sleep_rating") >= K.SLEEP_RATING_TARGET),
         "sleep_improved": flag(F.col("sleep_hours") > F.col("sleep_prev_logged")),
@@ -265,7 +270,7 @@ def orders_dims(spark: SparkSession, base: str) -> DataFrame:
         F.count_if(journey == 2).alias("completed_journey_count"),
         F.count("*").alias("order_count"),
         F.count_if(done == 2).alias("completed_count"),
-        F.max(flag(done == 1)).alias("has_active_program"),
+        F.count_if(done == 1).alias("active_program_count"),
     )
     return agg.select(
         "id", "a1c_target_id",
@@ -277,8 +282,9 @@ def orders_dims(spark: SparkSession, base: str) -> DataFrame:
         flag(F.col("completed_count") > 0).alias("video_ever_completed"),
         F.col("order_count").alias("video_total"),
         flag(F.col("order_count") > 0).alias("has_exercise_video_activity"),
-        F.col("has_active_program").alias("has_active_exercise_program"),
-        F.col("completed_count").alias("programs_completed"),
+        flag(F.col("active_program_count") > 0).alias("has_active_exercise_program"),
+        flag(F.col("completed_count") > 0).alias("has_completed_exercise_program"),
+        "active_program_count", F.col("completed_count").alias("programs_completed"),
     )
 
 

@@ -127,13 +127,16 @@ def q_day_sum_variety(spark, base):
         "id", "day", "active_minutes", "activity_sessions", "activity_variety", "meditation_count", "steps")
 
 
+NUTRIENT_TOTALS = ["carbs", "protein", "fat", "calories", "fiber", "sugar", "added_sugars"]
+
+
 @query("day_totals_vs_goal")
 def q_day_totals_vs_goal(spark, base):
     """AG4 C11 B16 B17 B24: nutrient totals vs deduplicated goals, bands and counters."""
-    d = _agg(spark, base).filter("meals > 0").select("id", "day", "meals", "carbs", "protein", "fat", "calories")
+    d = _agg(spark, base).filter("meals > 0").select("id", "day", "meals", *NUTRIENT_TOTALS)
     counted = asm.nutrient_counters(d.join(fe.goals_per_id(spark, base), "id", "left"))
     return counted.select(
-        "id", "day", "meals", "carbs", "protein", "fat", "calories", *[f"{n}_pct" for n, _ in asm.NUTRIENTS],
+        "id", "day", "meals", *NUTRIENT_TOTALS, *[f"{n}_pct" for n, _ in asm.NUTRIENTS],
         "any_nutrient_met", "total_nutrient_targets", "n_90_110", "n_60_plus", "n_30_plus", "nutrient_name_met")
 
 
@@ -159,10 +162,10 @@ def q_state_snapshot(spark, base):
 
 @query("program_days")
 def q_program_days(spark, base):
-    """AG10 C12: program starts vs completions per (id, day), one conditional
+    """AG10 C12: starts of active programs vs completions per (id, day), one conditional
     aggregate over a union (the full outer merge without a join)."""
     o = roles.orders_state(spark, base)
-    starts = o.select("id", F.to_date("o_orderdate").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("c"))
+    starts = o.filter(F.col("o_orderstatus") != "F").select("id", F.to_date("o_orderdate").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("c"))
     comps = o.filter(F.col("o_orderstatus") == "F").select(
         "id", F.date_add(F.to_date("o_orderdate"), 30).alias("day"), F.lit(0).alias("s"), F.lit(1).alias("c"))
     return starts.unionByName(comps).groupBy("id", "day").agg(
@@ -184,7 +187,8 @@ def q_delta_prev_logged(spark, base):
         "id", "day", "is_logged", "active_minutes", "active_minutes_prev_logged",
         "active_minutes_delta_1d", "active_minutes_prev_day", "activity_same_or_more",
         "tir_pct", "tir_prev_logged", "tir_delta_1d", "tir_prev_day",
-        "steps", "steps_prev_logged", "steps_delta_1d", "steps_improved")
+        "steps", "steps_prev_logged", "steps_delta_1d", "steps_improved",
+        "sleep_rating", "sleep_rating_prev_logged", "sleep_rating_delta_1d")
 
 
 @query("rolling_windows")
@@ -475,7 +479,7 @@ def q_group_rates_user(spark, base):
 
 @query("bot_summary")
 def q_bot_summary(spark, base):
-    """AG21 D17: per-user totals, chart split, micro average, mean case rate."""
+    """AG21 D17: per-user totals, chart split, micro average, mean case rate, rate of each category."""
     return ev.bot_summary(ev.verdicts(spark, base))
 
 

@@ -134,3 +134,10 @@ def q_rate_levels(spark, base):
 def q_weak_criteria(spark, base):
     """the criteria below the weak rate, the lowest first."""
     return ev.weak_criteria(ev.verdicts(spark, base))
+
+
+@query("message_checks")
+def q_message_checks(spark, base):
+    """from/to values of told changes, numbers against the facts, rating label against the score."""
+    from daybook.plans import daily, select
+    return ev.message_checks(ev.sent_messages(daily.messages(select.daily_result(spark, base))))
