@@ -64,11 +64,13 @@ TEMPLATES = (
     ("Proprietary", "copyright all rights reserved"),
     ("Unlicense", "this is free and unencumbered software released into the public domain"),
 )
-_TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: What lies between terms: all but letters, digits, and one '.' or '-' between two of them.
+#: A split without repeated groups: Java matches those by recursion, as deep as the text is long.
+_BETWEEN = "[^a-z0-9.-]+|[.-]+(?![a-z0-9])|(?<![a-z0-9])[.-]+"
 
 
 def _terms(text) -> F.Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+    return F.filter(F.split(F.lower(text), _BETWEEN), lambda t: t != "")
 
 
 def _templates(spark: SparkSession) -> DataFrame:

@@ -68,5 +68,15 @@ def test_scan(spark):
         assert by[i].license is None and by[i].via is None
 
 
+def test_terms(spark):
+    """As the plain pattern finds them, also where points and dashes meet, and in a text of 100,000 dotted parts."""
+    texts = ["a.b-c", "a..b", "-a.", "a.-b", ".", "", "GPL-3.0, (v2.0)", "x--y..z-", "ä.b é-", "...a", "a\nb.c\n.d", "license " + "a." * 100_000 + "b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {r.k: r.t for r in df.select("k", lic._terms("text").alias("t")).collect()}
+    assert got == {k: re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower()) for k, t in enumerate(texts)}
+    dotted = spark.createDataFrame([(1, "a/b.py", texts[-1]), (2, "a/LICENSE", "released under the mit license")], "doc_id long, path string, text string")
+    assert {r.doc_id: (r.license, r.via) for r in lic.licenses(dotted).collect()} == {1: ("MIT", "directory"), 2: ("MIT", "header")}
+
+
 def test_empty(spark):
     assert lic.licenses(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
