@@ -24,7 +24,7 @@ from daybook.functions import constants as K
 from daybook.plans import assemble, daily, history, render, select, state
 from daybook.sources import partitioned as pt
 from daybook.sources import writes
-from daybook.sources.tables import load
+from daybook.sources.tables import check_sources, load
 from daybook.plans.roles import EVENT_COLS
 
 HISTORY = ("id bigint, category string, message_date date, message_text string, rating string, positive_actions_used array<string>, "
@@ -32,6 +32,10 @@ HISTORY = ("id bigint, category string, message_date date, message_text string,
 OUTPUT = "id bigint, insight_date date, insight string, score_name string, generated_at timestamp_ntz"
 
 
+#: Without these no run starts; goals (customer) may be absent.
+REQUIRED = ("events", "orders", "lineitem", "part")
+
+
 @dataclass(frozen=True)
 class Store:
     """Where a job's tables are. The feature table gets its columns from the first run."""
@@ -85,7 +89,8 @@ def seed(spark: SparkSession, base: str, store: Store, day: dt.date, lookback_da
 
 def run_day(spark: SparkSession, base: str, store: Store, day: dt.date, run_at: str,
             lookback_days: int = K.LOOKBACK_DAYS, version: str = "1") -> None:
-    """One report day: read the window, write the day's partition of each table."""
+    """One report day: check the sources, read the window, write the day's partition of each table."""
+    check_sources(spark, base, REQUIRED)
     events = daily.pruned_events(spark, base, day, lookback_days)
     focus_path = writes.new_table_path(spark, "focus")
     state.focus_as_of(spark, base, store.focus, day, events).write.parquet(focus_path)

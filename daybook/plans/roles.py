@@ -57,7 +57,7 @@ from daybook.functions import constants as K
 from daybook.functions.cache import per_context
 from daybook.functions.exprs import case_label
 from daybook.functions.timeutil import date_from_epoch_millis, epoch_millis, local_date
-from daybook.sources.tables import load
+from daybook.sources.tables import load, load_optional
 
 EVENT_COLS = ["ts", "user_id", "event_type", "value", "props"]
 
@@ -141,7 +141,8 @@ def focus_json(ev: DataFrame) -> DataFrame:
 
 
 def customer_goals(spark: SparkSession, base: str) -> DataFrame:
-    c = load(spark, base, "customer", ["c_custkey", "c_acctbal", "c_mktsegment"])
+    """Goals are optional: without their table every id is one without goals."""
+    c = load_optional(spark, base, "customer", "c_custkey bigint, c_acctbal double, c_mktsegment string")
     a = F.abs(F.col("c_acctbal"))
     goal_type = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", 1)
                  .when(F.col("c_mktsegment") == "BUILDING", 2)

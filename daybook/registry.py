@@ -594,8 +594,8 @@ def q_partition_overwrite(spark, base):
     partitions; the read-back state per partition."""
     v1, v2 = order_versions(spark, base)
     path = wr.new_table_path(spark, "orders_by_status")
-    wr.overwrite_partitions(v1.withColumn("version", F.lit(1)), path, ["o_orderstatus"])
-    wr.overwrite_partitions(v2.withColumn("version", F.lit(2)), path, ["o_orderstatus"])
+    wr.overwrite_partitions(v1.withColumn("version", F.lit(1)), path, ["o_orderstatus"], "o_orderkey")
+    wr.overwrite_partitions(v2.withColumn("version", F.lit(2)), path, ["o_orderstatus"], "o_orderkey")
     back = spark.read.parquet(path)
     return back.groupBy("o_orderstatus", "version").agg(F.count("*").alias("n"))
 

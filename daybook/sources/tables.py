@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -30,6 +32,33 @@ def load(spark: SparkSession, base: str, name: str, columns: Iterable[str] | Non
     return df
 
 
+def absent(spark: SparkSession, base: str, names: Iterable[str]) -> list[str]:
+    """Those of the tables that are not there."""
+    out = []
+    for name in names:
+        try:
+            spark.read.parquet(table_path(base, name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            out.append(name)
+    return out
+
+
+def check_sources(spark: SparkSession, base: str, required: Iterable[str]) -> None:
+    """Raise one error that names every absent table, before any work is done."""
+    missing = absent(spark, base, required)
+    if missing:
+        raise ValueError(f"{len(missing)} source table(s) not found: " + ", ".join(f"{n} ({table_path(base, n)})" for n in missing))
+
+
+def load_optional(spark: SparkSession, base: str, name: str, schema: str) -> DataFrame:
+    """The named columns of a table that may be absent: then no rows, so that joins give typed NULLs."""
+    if absent(spark, base, [name]):
+        return spark.createDataFrame([], schema)
+    return load(spark, base, name, StructType.fromDDL(schema).names)
+
+
 def day_partition(df: DataFrame, day_col: str, day, ids: DataFrame | None = None,
                   id_col: str = "id") -> DataFrame:
     """A3/A4: rows of one report day, optionally restricted to an id list.

@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 from daybook.session import scratch_path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """A5: replace only the partitions present in ``df`` (dynamic overwrite)."""
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], within: str | None = None) -> None:
+    """A5: replace only the partitions present in ``df`` (dynamic overwrite).
+
+    With ``within`` the rows are dealt out in ranges of (partition, within)
+    first, so that a task writes few partitions and a large one has many tasks.
+    """
+    if within:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(parts, *partition_cols, within).sortWithinPartitions(*partition_cols, within)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 

@@ -123,9 +123,9 @@ def replayed(spark):
     store = job.new_store(spark)
     last = daily.last_event_day(spark, BASE)
     days = [last - dt.timedelta(days=1), last]
-    job.seed(spark, BASE, store, days[0])
-    seen = []
-    for day in [*days, days[1]]:  # the last day twice
+    job.seed(spark, BASE, store, days[1])  # writes the history of the days before
+    seen = [{t.path: files(t) for t in (store.history, store.output, store.focus)}]
+    for day in [days[1], days[1]]:
         job.run_day(spark, BASE, store, day, f"{day} 23:00:00")
         seen.append({t.path: files(t) for t in (store.history, store.output, store.focus)})
     return store, days, seen
@@ -145,6 +145,7 @@ def test_a_day_run_again(spark, replayed):
     counts = {(r.message_date, r.overwrite_count) for r in pt.read(spark, store.history).filter(
         F.col("message_date") >= days[0]).select("message_date", "overwrite_count").distinct().collect()}
     assert counts == {(days[0], 0), (days[1], 1)}
+    counts.remove((days[0], 0))
     out = pt.read(spark, store.output)
     assert out.filter("insight is null").count() == 0
     assert {(r[0], r[1]) for r in out.select("insight_date", "overwrite_count").distinct().collect()} == counts
