@@ -4,20 +4,28 @@ The standard library's parser streams events; each run of text between block
 tags is a line with its characters and the tags seen since the line before.
 The ratio of characters to tags is smoothed over neighbouring lines with a
 Gaussian kernel and split by two-means clustering: lines of the upper cluster
-are content. The region kept is the container that holds the content lines:
-article or main elements if they hold half of it, else the smallest element
-that holds all of it, else (if only body does) the lines from the one before the
-first content line to the end of the last run of text. All lines of the region are kept, short ones too, but for those inside
-elements that are never article text (NOT_TEXT, NOT_TEXT_NAMES).
+are content, and all lines are where the clusters lie less than APART apart. The
+region kept is what holds the content lines: all article and main elements if
+those hold half of it, else the smallest element that holds all of it, else (if
+only body does) the runs of text from the first content line's to the last's,
+without the lines of mere links before it. All lines of the region are kept,
+short ones too, but for those inside elements that are never article text
+(NOT_TEXT, NOT_TEXT_NAMES). A page without article or main whose whole text lies
+in elements that only their class names mark keeps it.
 
 Character references are decoded, white space in a block becomes one space,
-blocks are joined by one space. Null, empty and tag-only html gives empty text.
+blocks are joined by one space. Null, empty and tag-only html gives empty text;
+equal lines are each kept; rows repeated in full stay repeated; an empty table
+gives an empty one; columns other than page_id, url and html are not read. Time
+is linear in the page: what opens and never closes (a comment, a tag at the end
+of the page) ends the text, as in browsers, and elements are ranges of lines.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.0
+#: Logarithms of characters per tag: clusters nearer than this are one.
+APART = 1.0
 #: Elements whose text is not part of an article.
 NOT_TEXT = frozenset("script style noscript template head title nav footer aside form button select textarea option "
                      "iframe object embed svg canvas audio video dialog menu label".split())
@@ -47,72 +57,105 @@ _NESTED = frozenset("article aside blockquote body div dl dialog fieldset figure
                     "section table td ul head script style noscript template title button select textarea iframe "
                     "object svg canvas audio video label details center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NAME = re.compile(r"[A-Za-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Words beside which a listed word still marks its element, wherever it stands in the name.
+_NEUTRAL = frozenset("area bar block bottom box button buttons col column container content footer form global group header "
+                     "holder inner item items left link links list main menu module outer panel post posts right section "
+                     "site slot text top unit wrap wrapper zone".split())
+#: Listed words that page builders put at the end of every name.
+_ENDINGS = frozenset("widget label".split())
+_COMMENT_END = re.compile("--!?>")
+_OPENS = re.compile("<[A-Za-z/!?]")
 #: Parts of class names after which stands what the element lacks or stands beside.
 _BESIDE = frozenset("with without no not has hide non is".split())
 
 
 def _marks(value: str) -> set[str]:
-    """Words of the class names of an attribute, but for what follows with-, no-, has- and the like."""
+    """Listed words that mark an element by its class names.
+
+    A name marks if its last word is listed (site-sidebar), or its first is and
+    all others are listed or neutral (ad-container); notice-page and ad-free do
+    not, nor does what follows with-, no-, has- and the like.
+    """
     out: set[str] = set()
     for name in value.split():
-        for word in _NAME.findall(name.lower()):
-            if word in _BESIDE:
+        found: list[str] = []
+        for word in _NAME.findall(name):
+            if word.lower() in _BESIDE:
+                found = []
                 break
-            out.add(word)
+            if len(word) > 1:
+                found.append(word.lower())
+        listed = [w for w in found if w in NOT_TEXT_NAMES]
+        if listed and (found[-1] in NOT_TEXT_NAMES and (len(found) == 1 or found[-1] not in _ENDINGS)
+                       or found[0] in NOT_TEXT_NAMES and all(w in NOT_TEXT_NAMES or w in _NEUTRAL for w in found)):
+            out.update(listed)
     return out
 
 
+#: Why a line is not article text: class name, element, reader comments or scripts (whose text is not read at all).
+NAMED, ELEMENT, UNREAD = 1, 2, 3
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags before it, open containers) per line."""
+    """Collects lines, and elements as ranges of lines."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.kinds: list[str] = []
-        self.open: list[tuple[str, int, int]] = []  # tag, element (or -1), kind of exclusion
+        self.lines: list[tuple[str, int, int, bool]] = []  # text, tags before it, why not text (0: text), links only
+        self.elements: list[list] = []  # tag, first line, line after the last
+        self.open: list[tuple[str, int, int]] = []  # tag, element, reason outside it
+        self.depth: Counter[str] = Counter()  # open elements by tag
         self.parts: list[str] = []
         self.tags = 0
-        self.path: tuple[int, ...] = ()
-        self.out = 0  # 0 kept, 1 not text, 2 reader comments or scripts
-        self._hidden: list[bool] = []
+        self.out = 0
+        self.in_link, self.plain = False, False
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             self.parts = []
             if text:
-                self.lines.append((text, self.tags, self.path if not self.out else None))
+                self.lines.append((text, self.tags, self.out, not self.plain))
                 self.tags = 0
+        self.plain = False
 
     def handle_starttag(self, tag, attrs) -> None:
         self.tags += 1
         if tag in _BLOCKS:
             self.flush()
+        if tag == "a":
+            self.in_link = True
         if tag not in _NESTED:
             return
+        self.flush()
         out = self.out
         names = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _marks(v)}
-        if tag in ("article", "main") and out == 1 and not self._nested_in("nav", "aside", "footer", "form"):
+        if tag in ("article", "main") and out in (NAMED, ELEMENT) and not any(
+                self.depth[t] for t in ("nav", "aside", "footer", "form")):
             out = 0  # an unclosed advert or notice does not swallow the article
         elif tag in ("script", "style", "noscript", "template") or names & _COMMENTS and tag not in ("body", "main"):
-            out = 2
-        elif not out and (tag in NOT_TEXT or names & NOT_TEXT_NAMES and tag not in ("body", "main", "article")
-                          or tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open)
-                          or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)):
-            out = 1
-        self.flush()
-        self.kinds.append(tag)
-        self.open.append((tag, len(self.kinds) - 1, self.out))
+            out = UNREAD
+        elif (tag in NOT_TEXT or tag == "header" and not self.depth["article"] and not self.depth["main"]
+              or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)):
+            out = max(out, ELEMENT)
+        elif names and tag not in ("body", "main", "article"):
+            out = max(out, NAMED)
+        self.elements.append([tag, len(self.lines), None])
+        self.open.append((tag, len(self.elements) - 1, self.out))
+        self.depth[tag] += 1
         self.out = out
-        self.path = (*self.path, len(self.kinds) - 1)
-
-    def _nested_in(self, *tags: str) -> bool:
-        return any(t in tags for t, _, _ in self.open)
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)  # as browsers do; the base class fails on unknown sections
 
+    def parse_comment(self, i, report=1):
+        for empty in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(empty, i):
+                return i + len(empty)
+        end = _COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
     def handle_startendtag(self, tag, attrs) -> None:
         self.tags += 1
         if tag in _BLOCKS:
@@ -122,17 +165,32 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _BLOCKS or tag in _NESTED:
             self.flush()
-        if tag in _NESTED:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == tag:
-                    self.out = self.open[k][2]
-                    del self.open[k:]
-                    self.path = self.path[:k]
-                    break
+        if tag == "a":
+            self.in_link = False
+        if tag in _NESTED and self.depth[tag]:
+            self._close(tag)
+
+    def _close(self, tag: str | None) -> None:
+        """Close elements up to the innermost of that tag (None: all)."""
+        while self.open:
+            own, k, self.out = self.open.pop()
+            self.depth[own] -= 1
+            self.elements[k][2] = len(self.lines)
+            if own == tag:
+                break
 
     def handle_data(self, data) -> None:
-        if self.out < 2:
+        if self.out < UNREAD:
             self.parts.append(data)
+            self.plain = self.plain or not self.in_link and not data.isspace()
+
+    def read(self, html: str) -> None:
+        end = html.rfind(">") + 1
+        unclosed = _OPENS.search(html, end)
+        self.feed(html[:unclosed.start()] if unclosed else html)
+        self.close()
+        self.flush()
+        self._close(None)
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -147,10 +205,9 @@ def _smooth(values: list[float]) -> list[float]:
 
 
 def _threshold(values: list[float]) -> float:
-    """Border between the two clusters of the values (their least value if they are all alike)."""
-    low, high = min(values), max(values)
-    if high - low < 1e-9:
-        return low
+    """Border between the two clusters of the values (their least value if these lie less than APART apart)."""
+    least = low = min(values)
+    high = max(values)
     for _ in range(50):
         cut = (low + high) / 2
         a, b = [v for v in values if v < cut], [v for v in values if v >= cut]
@@ -160,7 +217,7 @@ def _threshold(values: list[float]) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high - low >= APART else least
 
 
 def main_text(html: str | None) -> tuple[str, int, int]:
@@ -168,39 +225,41 @@ def main_text(html: str | None) -> tuple[str, int, int]:
     if not html:
         return "", 0, 0
     parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    parser.read(html)
     lines = parser.lines
-    if not lines:
-        return "", 0, 0
-    smooth = _smooth([math.log1p(len(t) / max(1, n)) if path is not None else 0.0 for t, n, path in lines])
-    kept = [i for i, (_, _, path) in enumerate(lines) if path is not None]
-    if not kept:
+    marked = any(tag in ("article", "main") for tag, _, _ in parser.elements)
+    own = [why == 0 for _, _, why, _ in lines]
+    if not marked and not any(own):
+        own = [why == NAMED for _, _, why, _ in lines]
+    if not any(own):
         return "", len(lines), 0
-    border = _threshold([smooth[i] for i in kept])
-    content = [i for i in kept if smooth[i] >= border]
-    weight: dict[int, int] = {}
-    for i in content:
-        for c in lines[i][2]:
-            weight[c] = weight.get(c, 0) + len(lines[i][0])
+    smooth = _smooth([math.log1p(len(t) / max(1, n)) if k else 0.0 for (t, n, _, _), k in zip(lines, own, strict=True)])
+    border = _threshold([v for v, k in zip(smooth, own, strict=True) if k])
+    content = [i for i, k in enumerate(own) if k and smooth[i] >= border]
+    first, last = content[0], content[-1]
+    held = [False] * len(lines)  # lines of article and main elements
+    done = 0
+    for tag, low, high in parser.elements:  # in page order, so a range starts within or after those before it
+        if tag in ("article", "main"):
+            for i in range(max(low, done), high):
+                held[i] = True
+            done = max(done, high)
     total = sum(len(lines[i][0]) for i in content)
-    held = [c for c in weight if parser.kinds[c] in ("article", "main")]
-    mains = {i for i in content if any(c in lines[i][2] for c in held)}
-    if held and 2 * sum(len(lines[i][0]) for i in mains) >= total:
-        region = set(held)
-    else:
-        inner = [c for c in weight if weight[c] == total and parser.kinds[c] != "body"]
-        region = {max(inner)} if inner else set()
-    if region:
-        chosen = [i for i in kept if region.intersection(lines[i][2])]
+    if 2 * sum(len(lines[i][0]) for i in content if held[i]) >= total and any(held):
+        chosen = [i for i, k in enumerate(own) if k and held[i]]
     else:
-        # from the line before the first content line (a heading) to the end of the last run of text
-        first, last, own = content[0], content[-1], set(kept)
-        first -= first - 1 in own
-        while last + 1 in own:
-            last += 1
-        chosen = [i for i in kept if first <= i <= last]
+        around = [(low, high) for tag, low, high in parser.elements if tag != "body" and low <= first and last < high]
+        if around:
+            low, high = around[-1]
+        else:
+            low, high = first, last + 1
+            while low and own[low - 1]:
+                low -= 1
+            while low < first and lines[low][3]:
+                low += 1
+            while high < len(lines) and own[high]:
+                high += 1
+        chosen = [i for i in range(low, high) if own[i]]
     return " ".join(lines[i][0] for i in chosen), len(lines), len(chosen)
 
 

@@ -1,6 +1,7 @@
 """Pages of several builds with known article text."""
 
 import html
+import time
 
 import pytest
 
@@ -50,6 +51,51 @@ def test_names_of_what_stands_beside(name):
     assert main_text(f"<body>{MENU}<div class='{name}'>{BODY}</div><div class='site-sidebar'>x y z</div>")[0] == WANT
 
 
+@pytest.mark.parametrize("name", ["elementor-widget", "elementor-widget-text-editor", "social-text-page", "notice-page", "ad-free", "sidebar-layout"])
+@pytest.mark.parametrize("page", ["<body><main><div class='{0}'>{1}</div></main>", "<body><article><section class='{0}'>{1}</section></article>",
+                                  "<body><nav>Menu</nav><div class='{0}'>{1}</div><footer>x</footer>"])
+def test_names_that_mark_nothing(name, page):
+    assert main_text(page.format(name, BODY))[0] == WANT
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-container", "ad-slot-1", "adContainer", "main-menu", "site-sidebar", "cookie-notice", "share-buttons",
+                                  "widget", "related-posts", "sidebar-left", "ad300x250"])
+def test_names_that_mark(name):
+    assert main_text(f"<body><article>{BODY}<div class='{name}'><p>{'bought things ' * 40}</p></div></article>")[0] == WANT
+
+
+def test_lines_alike():
+    a, b, c = "One paragraph of the text. " * 6, "Another one that is longer. " * 12, "The last and longest of all. " * 30
+    want = " ".join(" ".join([a, b, c]).split())
+    same = " ".join((a + a).split())
+    assert main_text(f"<body><div><p>{a}</p></div><div><p>{a}</p></div></body>")[0] == same
+    assert main_text(f"<body><main><article>{a}</article></main><article>{a}</article>")[0] == same
+    for tag in ("article", "div", "section"):
+        parts = "".join(f"<{tag}><p>{t}</p></{tag}>" for t in (a, b, c))
+        assert main_text(f"<body>{parts}</body>")[0] == want
+        assert main_text(f"<body>{MENU}<ul><li><a href=x>Home</a><li><a href=y>About</a></ul>{parts}<footer>f</footer></body>")[0] == want
+
+
+def test_only_named_elements():
+    assert main_text(f"<body><nav>m</nav><div class='modal'>{BODY}</div></body>")[0] == WANT
+    assert main_text("<body><article></article><div class='ad'><p>Buy this now</p></div></body>")[0] == ""
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<?", "</", "<!", "<div>x", "<div>", "<div></ul>", "<script></", "<a b='", "&", "&#", "<article>x", "<div class=ad>"])
+def test_hostile_pages(part):
+    """Linear time: 400 kB of one opening part, also with a close far behind."""
+    for end in ("", ">", "<p>x</p>"):
+        begin = time.process_time()
+        main_text(part * (400_000 // len(part)) + end)
+        assert time.process_time() - begin < 8
+
+
+def test_unclosed():
+    assert main_text("<article><p>one</p><p>two <b")[0] == "one two"
+    assert main_text("<article><p>one</p><!-- two")[0] == "one"
+    assert main_text("<article><p>one</p><!--> <p>two 3 < 4 <5")[0] == "one two 3 < 4 <5"
+
+
 def test_references_and_space():
     t = main_text("<article><p>a&nbsp;b &#233;&eacute; &amp;amp; &lt;p&gt;\n\tc</p><p>d</p>e</article>")[0]
     assert t == "a b éé &amp; <p> c d e"
