@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import saved, text_key
+from .common import fresh, saved, text_key
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -250,7 +250,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that hold a benchmark item; same columns."""
     hits = saved(contamination(docs, benchmark).select("doc_id", "text_key").distinct()
                  .withColumnsRenamed({"doc_id": "_hit_id", "text_key": "_hit_key"}), "hits")
-    keyed = docs.withColumn("_own_key", text_key())
+    key = fresh(docs, "_own_key")
+    keyed = docs.withColumn(key, text_key())
     clean = keyed.join(hits, keyed["doc_id"].cast("long").eqNullSafe(hits["_hit_id"])
-                       & (keyed["_own_key"] == hits["_hit_key"]), "left_anti")
+                       & (keyed[key] == hits["_hit_key"]), "left_anti")
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])

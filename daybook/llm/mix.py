@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, saved, text_key, unit_hash
+from .common import fresh, n_words, saved, text_key, unit_hash
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -154,12 +154,11 @@ def resampled(docs: DataFrame, seed: int = 8) -> DataFrame:
 
     Rows of one doc_id, text and source are one row taken as often as all of them together.
     """
-    copies = mixed(docs, seed).groupBy("doc_id", "key", "source").agg(F.sum("copies").alias("times")).filter(
-        "times > 0").select(F.col("doc_id").alias("_mix_id"), F.col("key").alias("_mix_key"),
-                            F.col("source").alias("_mix_source"), F.col("times").alias("_mix_times"))
-    keyed = docs.withColumn("_mix_own", text_key()).dropDuplicates(["doc_id", "_mix_own", "source"])
-    joined = keyed.join(copies, keyed["doc_id"].cast("long").eqNullSafe(copies["_mix_id"])
-                        & (keyed["_mix_own"] == copies["_mix_key"])
-                        & keyed["source"].eqNullSafe(copies["_mix_source"]))
-    return joined.withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_mix_times"))).select(
+    own, times, nth = (fresh(docs, c) for c in ("_mix_own", "_mix_times", "_mix_nth"))
+    copies = mixed(docs, seed).groupBy("doc_id", "key", "source").agg(F.sum("copies").alias(times)).filter(F.col(times) > 0)
+    keyed = docs.withColumn(own, text_key()).dropDuplicates(["doc_id", own, "source"])
+    joined = keyed.join(copies, keyed["doc_id"].cast("long").eqNullSafe(copies["doc_id"])
+                        & (keyed[own] == copies["key"]) & keyed["source"].eqNullSafe(copies["source"])).select(
+        *[keyed[f"`{c}`"] for c in docs.columns], copies[times])
+    return joined.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

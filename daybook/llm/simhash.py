@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import saved, text_key
+from .common import fresh, saved, text_key
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -189,7 +189,8 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int
             .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
             .agg(F.min(F.struct("own", "doc_id", "text_key")).alias("k"))
             .select(F.col("k.doc_id").alias("keep_id"), F.col("k.text_key").alias("keep_key")).distinct())
-    keyed = docs.withColumn("_key", text_key())
+    key = fresh(docs, "_key")
+    keyed = docs.withColumn(key, text_key())
     kept = keyed.join(keep, keyed["doc_id"].cast("long").eqNullSafe(keep["keep_id"])
-                      & (keyed["_key"] == keep["keep_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+                      & (keyed[key] == keep["keep_key"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", key]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from daybook.llm import decontaminate as d
 
 
@@ -73,8 +75,9 @@ def test_matches_every_window(spark):
         if r.doc_id in by and r.doc_id and r.similarity == 1.0:
             w = split(by[r.doc_id])[r.first_word:r.first_word + r.n_words]
             assert w == split(dict(items)[r.item_id])
+    df = df.withColumns({c: F.lit(7) for c in ("_own_key", "_hit_id", "_hit_key", "text_key", "item_id", "a.b")})
     clean = d.without_benchmark(df, bench)
-    assert clean.columns == df.columns
+    assert clean.columns == df.columns and {tuple(r)[-6:] for r in clean.collect()} == {(7,) * 6}
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in docs if i not in {x for x, _ in want})
 
 

@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from daybook.llm import mix
 
 
@@ -76,12 +78,13 @@ def test_expected_copies_over_seeds(spark):
 
 def test_resampled(spark):
     data = rows(4, 200)
-    df = spark.createDataFrame([(*x, 1) for x in data], "doc_id long, text string, source string, copies int")
+    df = spark.createDataFrame([(*x, 1) for x in data], "doc_id long, text string, source string, copies int").withColumns(
+        {c: F.lit(7) for c in ("_mix_own", "_mix_id", "_mix_key", "_mix_source", "_mix_times", "_mix_nth", "key", "a.b")})
     want = Counter()
     for r in mix.mixed(df).collect():
         want[(r.doc_id, r.source, r.size)] += r.copies
     out = mix.resampled(df)
-    assert out.columns == df.columns
+    assert out.columns == df.columns and {tuple(r)[4:] for r in out.collect()} == {(7,) * 8}
     got = Counter((r.doc_id, r.source, size(r.text)) for r in out.collect())
     assert got == +want
 

@@ -84,10 +84,10 @@ def test_links_within_distance(spark):
 
 def test_keep_one(spark):
     rows = corpus()
-    df = spark.createDataFrame([(d, t, 7) for d, t in rows], "doc_id long, text string, _key int")
-    df = df.withColumnRenamed("_key", "extra")
+    df = spark.createDataFrame([(d, t, 7) for d, t in rows], "doc_id long, text string, _key int").withColumns(
+        {c: F.lit(7) for c in ("_KEY_", "keep_id", "keep_key", "fp", "component_id", "a.b")})
     kept = simhash.keep_one(df)
-    assert kept.columns == df.columns
+    assert kept.columns == df.columns and {tuple(r)[2:] for r in kept.collect()} == {(7,) * 7}
     got = Counter(r.doc_id for r in kept.collect())
     assert got == Counter({c: 1 for c in {c for _, _, c in plain_groups(rows)}})
 
