@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -128,6 +131,58 @@ def test_multi_index():
             assert index.within(fp).tolist() == want.tolist()
 
 
+def found(docs, items, **more):
+    """(doc, item) of the items of five words or more, without Spark."""
+    block = d.Items(items, **more)
+    out = set()
+    for a, h, rows, *_ in d._text_shingles(pa.array([t for _, t in docs], pa.string())):
+        out |= {(docs[a + row][0], i) for row, k in block.matches(h, rows) for i in block.ids[k]}
+    return out
+
+
+@pytest.mark.parametrize("entries", [1, 1 << 20])
+def test_shared_passages(monkeypatch, entries):
+    """Items that share a passage, which is most of some of them, in texts that hold the passage alone or whole items."""
+    monkeypatch.setattr(d, "ENTRIES", entries)
+    r = random.Random(4)
+    new = iter(range(10 ** 6))
+    text = lambda n: " ".join(f"w{next(new)}" for _ in range(n))
+    passage = text(30)
+    items = [(k, f"{passage} {text(r.choice([1, 2, 4, 6, 12, 40]))}") for k in range(60)]
+    items += [(100 + k, items[k][1]) for k in range(5)] + [(200, "so so so so so so so so so so"), (201, passage), (202, "x y z x y z x y z x y z x y")]
+    docs = [(k, f"{text(20)} {passage} {text(20)}") for k in range(5)] + [(10, " ".join([passage] * 4)), (11, "so " * 300), (12, "x y z " * 50), (13, passage)]
+    docs += [(20 + k, f"{text(9)} {r.choice(items)[1]} {text(9)} {r.choice(items)[1]}") for k in range(20)]
+    docs += [(50 + k, " ".join(items[k][1].split()[r.randrange(6):])) for k in range(20)]
+    want = plain(docs, items)
+    assert found(docs, items) == want
+    assert {i for _, i in found(docs, items, min_words=31)} == {i for _, i in want} - {200, 201, 202}
+
+
+def test_passage_of_many_items():
+    """Memory is bounded where many items share a passage that many texts hold."""
+    new = iter(range(10 ** 7))
+    text = lambda n: " ".join(f"w{next(new)}" for _ in range(n))
+    passage = text(30)
+    items = [(k, f"{passage} {text(20)}") for k in range(4000)]
+    docs = [(k, f"{text(100)} {passage} {text(100)}") for k in range(300)] + [(1000, f"{text(5)} {items[77][1]} {text(5)}")]
+    block = d.Items(items)
+    (_, h, rows, *_), = d._text_shingles(pa.array([t for _, t in docs], pa.string()))
+    tracemalloc.start()
+    got = block.matches(h, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(row, block.ids[k]) for row, k in got] == [(300, [77])]
+    assert peak < 50 << 20
+
+
+def test_min_item_words(spark):
+    docs = spark.createDataFrame([(1, "a short One two b"), (2, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "short one, two"), (2, "b")], "item_id long, text string")
+    for least, want in [(1, {1, 2}), (2, {1}), (4, set())]:
+        assert {r.item_id for r in d.contamination(docs, bench, least).collect()} == want
+        assert d.without_benchmark(docs, bench, least).count() == 2 - bool(want)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
