@@ -2,6 +2,7 @@
 
 import math
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -22,7 +23,8 @@ def files():
 
 def plain_matches(rows):
     term = lambda t: re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower())
-    vocab = {w for _, t in lic.TEMPLATES for w in term(t)}
+    every = {"header": lic.TEMPLATES, "title": lic.TITLES, "whole": lic.WHOLE}
+    vocab = {w for known in every.values() for _, t in known for w in term(t)}
     df = Counter(w for _, _, t in rows if t for w in vocab & {x for x in re.split(r"[^a-z0-9.-]+|[.-]+(?![a-z0-9])", t.lower())})
     idf = {w: math.log((len(rows) + 1) / (df[w] + 1)) + 1 for w in vocab}
     rare = max(idf.values())
@@ -31,24 +33,60 @@ def plain_matches(rows):
         v = {w: n * idf.get(w, rare) for w, n in Counter(term(t)).items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {w: x / norm for w, x in v.items()} if v else {}
-    known = [(name, vec(t)) for name, t in lic.TEMPLATES]
+    vectors = {kind: [(name, vec(t)) for name, t in known] for kind, known in every.items()}
     out = {}
-    for i, _, t in rows:
-        lines = (t or "").lower().split("\n")
-        best = (0, "")
+    for i, path, t in rows:
+        low = (t or "").lower()
+        lines = low.split("\n")
+        tried = []
         for k, line in enumerate(lines):
             if any(c in line for c in lic.CUES):
-                for s in (line, " ".join(lines[k:k + 2])):
-                    v = vec(s)
-                    for name, w in known:
-                        c = round(sum(x * w.get(y, 0) for y, x in v.items()), 9)
-                        if c >= lic.MIN_COSINE and (-c, name) < (-best[0], best[1]):
-                            best = (c, name)
-        if best[0]:
-            out[i] = best
+                tried += [("header", " ".join(lines[a:b])) for a in (max(k - 1, 0), k) for b in (k + 1, k + 2)]
+        if path and re.search(lic.LICENCE_FILE, path.split("/")[-1]):
+            full = [x for x in lines if x.strip()]
+            tried += [("title", " ".join(full[:k])) for k in (1, 2, 3)] + [("whole", low)]
+        hits = []
+        for kind, s in tried:
+            v = vec(s)
+            scored = [(round(sum(x * w.get(y, 0) for y, x in v.items()), 9), name) for name, w in vectors[kind]]
+            hits += [(kind != "whole", -c, name) for c, name in scored if c >= (lic.MIN_WHOLE if kind == "whole" else lic.MIN_COSINE)]
+        if hits:
+            part, c, name = min(hits)
+            third = any(p and n == "BSD-3-Clause" for p, _, n in hits)
+            out[i] = (-c, "BSD-3-Clause" if part and third and name == "BSD-2-Clause" else name)
     return out
 
 
+def wrap(text, start=""):
+    return "\n".join(start + x for x in textwrap.wrap(text, 70))
+
+
+WHOLE = dict(lic.WHOLE)
+APACHE = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions."
+GPL2 = ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.\n"
+        " Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n\n"
+        "  The licenses for most software are designed to take away your\nfreedom to share and change it.  By contrast, the GNU General Public\n"
+        "License is intended to guarantee your freedom to share and change free\nsoftware. Some other software is covered by\nthe GNU Lesser General Public License instead.")
+GPL_NOTE = ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+            "# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.\n")
+
+
+def test_whole_files(spark):
+    """Licence files as they are found, and the same wording at the top of sources."""
+    cases = [("mit/LICENSE", "Copyright (c) 2020 Someone\n\n" + wrap(WHOLE["MIT"].capitalize()), "MIT"), ("apache/LICENSE", APACHE, "Apache-2.0"),
+             ("bsd2/LICENSE.txt", "Copyright 2011 The Some Authors. All rights reserved.\n" + wrap(WHOLE["BSD-2-Clause"]), "BSD-2-Clause"),
+             ("bsd3/LICENCE", "Copyright 2011 The Some Authors. All rights reserved.\n" + wrap(WHOLE["BSD-3-Clause"]), "BSD-3-Clause"),
+             ("gpl/COPYING", GPL2, "GPL-2.0"), ("isc/license.md", "Copyright 1999 me\n" + wrap(WHOLE["ISC"]), "ISC"),
+             ("un/UNLICENSE", wrap(WHOLE["Unlicense"]), "Unlicense"), ("src/mit.c", wrap(WHOLE["MIT"], " * ") + "\nint x;", "MIT"),
+             ("src/bsd2.c", wrap(WHOLE["BSD-2-Clause"], "// ") + "\nint x;", "BSD-2-Clause"), ("src/gpl.py", GPL_NOTE + "x = 1", "GPL-2.0"),
+             ("src/bsd3.c", wrap(WHOLE["BSD-3-Clause"], "// ") + "\nint x;", "BSD-3-Clause"), ("none/notice", "Notice to all: the shop closes at five.", None)]
+    rows = [(k, p, t) for k, (p, t, _) in enumerate(cases)] + [(100 + k, f"dir{k}/x.py", f"code of file {k} and the rest of it") for k in range(40)]
+    want = plain_matches(rows)
+    got = {r.doc_id: r for r in lic.licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert {k: got[k].license for k in range(len(cases))} == {k: x for k, (_, _, x) in enumerate(cases)}
+    assert {k: r.license for k, r in got.items() if r.via == "header"} == {k: n for k, (_, n) in want.items()}
+
+
 def test_scan(spark):
     rows = files()
     df = spark.createDataFrame([(*r, "x", 0.5) for r in rows], "doc_id long, path string, text string, license string, cosine double")
