@@ -16,12 +16,16 @@
 4. Candidates are ranked again with the original vectors in double precision;
    pairs with cosine >= the threshold are links.
 
-Retrieval is approximate: ``fitted`` adds codes until RECALL of the pairs exactly
-at the threshold are found at the block width in use; closer pairs are found
+Retrieval is approximate: ``fitted`` adds codes, then halves the blocks, until
+RECALL of the pairs exactly at the threshold are found; closer pairs are found
 more surely; tests measure the recall against all pairs. No bucket is capped.
+The block width follows the number of vectors by one rule (``plan``), so that
+a block value stands for about one vector at any size; the recall does not.
 
 Vectors that are null, empty, zero or hold null or non-finite components link
-with nothing. Vectors of different lengths never link. Null ids are kept.
+with nothing. Vectors of different lengths never link. Null ids are kept; rows
+repeated in full are rows of their own; an empty table gives an empty result;
+columns other than vec_id and embedding play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,15 +49,21 @@ ROUNDS = 30
 #: Share of the pairs at the threshold that the tables must find, measured on PAIRS of each kind.
 RECALL = 0.95
 PAIRS = 2_000
+#: Codes are learned up to LEARNED_CODES times the least number, and added up to MORE_CODES times.
+LEARNED_CODES, MORE_CODES = 16, 80
 
 
 def plan(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """(bits of a block, least number of codes) for n vectors; larger tables for more vectors."""
-    width = 16 if n <= 1 << 20 else 21 if n <= 1 << 26 else 32
+    """(bits of a block, least number of codes) for n vectors: about as many block values as vectors, 2**16 at least."""
+    width = min(CODE_BITS // 2, max(16, n.bit_length() - 1))
+    return width, _least_codes(width, threshold)
+
+
+def _least_codes(width: int, threshold: float) -> int:
     p = math.acos(min(1.0, threshold)) / math.pi
     hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
     tables = math.ceil(math.log(0.06) / math.log(max(1e-12, 1 - hit))) if hit < 1 else 1
-    return width, max(1, -(-tables // (CODE_BITS // width)))
+    return max(1, -(-tables // (CODE_BITS // width)))
 
 
 def rotations(sample: np.ndarray, seed: int = 6) -> Iterator[np.ndarray]:
@@ -111,28 +121,37 @@ def hits(differ: np.ndarray, width: int) -> np.ndarray:
     return (differ[:, :n * width].reshape(len(differ), n, width).sum(2) <= 1).any(1)
 
 
-def fitted(sample: np.ndarray, width: int, least: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, int]:
-    """Mean, projections of as many codes (``least`` at least) as find RECALL of the threshold pairs, and bits of slack.
+def fitted(sample: np.ndarray, width: int, threshold: float = THRESHOLD) -> tuple[int, np.ndarray, np.ndarray, int]:
+    """Bits of a block, mean, projections of as many codes as find RECALL of the threshold pairs, and bits of slack.
 
     The pairs are of every fifth sample vector, from which nothing is learned:
     bits fit the vectors they are learned from better than others.
     Rotations learned from few dimensions may be alike, and then more of them
-    find nothing more; unlearned ones, which differ, follow them.
+    find nothing more; unlearned ones, which differ, follow them. If MORE_CODES
+    times the least number of codes do not find enough, blocks are halved; a
+    block of one bit holds every pair, so RECALL is reached in any case.
     """
     apart = np.arange(len(sample)) % 5 == 4 if len(sample) >= 50 else np.zeros(len(sample), bool)
     pairs = threshold_pairs(sample[apart] if apart.any() else sample, threshold) if len(sample) else []
     sample = sample[~apart]
     mean = sample.mean(0) if len(sample) else np.zeros(sample.shape[1])
-    found, total = [np.zeros(len(x), bool) for x, _ in pairs], [np.zeros(len(x), np.int64) for x, _ in pairs]
-    more, axes = rotations(sample - mean), []
-    while len(axes) < least or len(axes) < 80 * least and min((f.mean() for f in found), default=1.0) < RECALL:
-        axes.append(more.send(0) if len(axes) >= 16 * least else next(more))
-        for k, pair in enumerate(pairs):
-            differ = disagreement(pair, mean, axes[-1])
-            found[k] |= hits(differ, width)
-            total[k] += differ.sum(1)
+    while True:
+        least = _least_codes(width, threshold)
+        found, total = [np.zeros(len(x), bool) for x, _ in pairs], [np.zeros(len(x), np.int64) for x, _ in pairs]
+        more, axes = rotations(sample - mean), []
+        recall = 0.0
+        while len(axes) < least or recall < RECALL and len(axes) < MORE_CODES * least:
+            axes.append(more.send(0) if len(axes) >= LEARNED_CODES * least else next(more))
+            for k, pair in enumerate(pairs):
+                differ = disagreement(pair, mean, axes[-1])
+                found[k] |= hits(differ, width)
+                total[k] += differ.sum(1)
+            recall = min((f.mean() for f in found), default=1.0)
+        if recall >= RECALL or width == 1:
+            break
+        width //= 2
     slack = max((max(int(t.max()), math.ceil(t.mean() + 6 * t.std())) for t in total), default=CODE_BITS * len(axes))
-    return mean, np.stack(axes), min(slack, CODE_BITS * len(axes))
+    return width, mean, np.stack(axes), min(slack, CODE_BITS * len(axes))
 
 
 def _vectors(column: pa.Array, dims: int) -> np.ndarray:
@@ -151,12 +170,12 @@ def _links(reps: DataFrame, dims: int, threshold: float) -> DataFrame:
     """(a, b) for linked reps of one length."""
     spark = reps.sparkSession
     n = reps.count()
-    width, codes = plan(n, threshold)
+    width, _ = plan(n, threshold)
     bound = max(256, min(SAMPLE, (16 << 20) // dims))
     share = min(1.0, bound / max(1, n))
     rows = reps.filter(F.pmod(F.xxhash64("embedding", F.lit(6)), F.lit(1 << 30)) <= int(share * (1 << 30))).select(
         "embedding").toArrow().column(0).combine_chunks()
-    mean, axes, slack = fitted(_vectors(rows, dims), width, codes, threshold)
+    width, mean, axes, slack = fitted(_vectors(rows, dims), width, threshold)
     codes = len(axes)
     shared = spark.sparkContext.broadcast((mean, axes))
 

@@ -51,12 +51,11 @@ def directed(n, dims, share, seed=4):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-@pytest.mark.parametrize("n", [1 << 20, 1 << 26, 1 << 30])
+@pytest.mark.parametrize("n", [1 << 16, 1 << 20, 1 << 26, 1 << 30])
 @pytest.mark.parametrize("share", [0.02, 0.71])
 def test_every_width_with_a_common_direction(n, share):
     x = directed(3000, 64, share)
-    width, codes = itq.plan(n)
-    mean, axes, slack = itq.fitted(x[:2500], width, codes)
+    width, mean, axes, slack = itq.fitted(x[:2500], itq.plan(n)[0])
     a, r = x[2500:], np.random.default_rng(5)
     g = r.standard_normal(a.shape)
     g -= (g * a).sum(1, keepdims=True) * a
@@ -66,10 +65,25 @@ def test_every_width_with_a_common_direction(n, share):
     assert found.mean() >= 0.92  # 0.94 less two standard errors of 500 pairs
 
 
+def test_blocks_are_halved_until_enough_is_found(monkeypatch):
+    monkeypatch.setattr(itq, "MORE_CODES", 1)
+    x = directed(3000, 64, 0.71)
+    width, mean, axes, slack = itq.fitted(x, 32)
+    assert width < 32
+    for pair in itq.threshold_pairs(x[4::5], 0.9):
+        assert np.any([itq.hits(itq.disagreement(pair, mean, w), width) for w in axes], 0).mean() >= itq.RECALL
+    monkeypatch.setattr(itq, "RECALL", 1.0)
+    assert itq.fitted(x, 32)[0] <= width
+
+
+def test_width_follows_the_number_of_vectors():
+    widths = [itq.plan(1 << k)[0] for k in range(0, 41)]
+    assert widths == sorted(widths) and widths[16] == 16 and max(widths) == 32 and max(np.diff(widths)) == 1
+
+
 @pytest.mark.parametrize("width", [16, 21])
 def test_links_with_a_common_direction(spark, monkeypatch, width):
-    least = {16: 2, 21: 5}[width]
-    monkeypatch.setattr(itq, "plan", lambda n, threshold: (width, least))
+    monkeypatch.setattr(itq, "plan", lambda n, threshold: (width, 0))
     r, x = np.random.default_rng(9), directed(300, 64, 0.71)
     g = r.standard_normal(x.shape)
     g -= (g * x).sum(1, keepdims=True) * x
