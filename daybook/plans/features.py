@@ -320,7 +320,7 @@ def medication_state(spark: SparkSession, base: str, run_date=None,
     per_med = rx.groupBy("id", "medicationid").agg(
         F.count("*").alias("prescriptions"), F.sum("doses_per_day").alias("expected"),
         F.min("startdate").alias("rx_start"), F.max("rx_end").alias("rx_end"),
-        F.max(nonzero).alias("reminder")).join(F.broadcast(klass), "medicationid", "left").withColumn(
+        F.max(nonzero).alias("reminder")).join(klass, "medicationid", "left").withColumn(
         "glycemic", F.coalesce("glycemic", F.lit(0)))
     doses = src["dose"].filter(F.col("statusid") == 1)
     first = doses.agg(F.min("day")).scalar()
