@@ -30,15 +30,17 @@ ACTION_CATEGORIES = ["weight", "glucose", "food", "activity", "steps", "sleep",
                      "mental_wellbeing", "journey", "explore"]
 
 
+def allowed_categories() -> Column:
+    """H7: categories that the active focuses list, one array per id and day."""
+    lists = F.create_map(*[x for focus, cats in K.FOCUS_CATEGORY_MAP.items() for x in (
+        F.lit(focus), F.array(*[F.lit(cat) for cat in cats if cat in ACTION_CATEGORIES]).cast("array<string>"))])
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.flatten(F.transform("focus_list", lambda f: F.coalesce(F.try_element_at(lists, f), none))), none)
+
+
 def category_allowed(cat: Column) -> Column:
     """H7: category in any active focus list (no focus -> all allowed)."""
-    hit = None
-    for category in ACTION_CATEGORIES:
-        names = score.focuses_including(category, K.FOCUS_CATEGORY_MAP)
-        test = (F.coalesce(F.arrays_overlap(c("focus_list"), F.array(*[F.lit(n) for n in names])), F.lit(False))
-                if names else F.lit(False))
-        hit = F.when(cat == category, test) if hit is None else hit.when(cat == category, test)
-    return ~c("has_focus") | hit.otherwise(F.lit(False))
+    return ~c("has_focus") | F.array_contains("_listed", cat)
 
 
 def with_history(ctx: DataFrame, state: DataFrame) -> DataFrame:
@@ -78,12 +80,12 @@ def ranked(ctx: DataFrame) -> DataFrame:
     so the rule inputs are computed once and no branch is joined back.
     """
     e = _ranked_exprs()
-    df = ctx.select("*", e["inline"])
+    df = ctx.withColumn("_listed", allowed_categories()).select("*", e["inline"])
     df = df.withColumns({"priority": e["priority"], "forced": e["forced"], "allowed": e["allowed"],
                          "jitter": e["jitter"]})
     df = df.withColumn("_any", e["any_allowed"]).filter(e["keep"])
     df = df.withColumn("tier", e["tier"])
-    return df.withColumn("_fg", e["forced_g"]).filter(e["drop_glucose"]).drop("_any", "_fg")
+    return df.withColumn("_fg", e["forced_g"]).filter(e["drop_glucose"]).drop("_any", "_fg", "_listed")
 
 
 @per_context
