@@ -34,9 +34,10 @@ def replay(spark: SparkSession, base: str, days: int = 3, start: str | None = No
         first = dt.date.fromisoformat(start) if start else last - dt.timedelta(days=days - 1)
         store = store or job.new_store(spark)
         job.seed(spark, base, store, first)
+        sources = job.read_once(spark, base, first, first + dt.timedelta(days=days - 1))
         for i in range(days):
             day = first + dt.timedelta(days=i)
-            job.run_day(spark, base, store, day, f"{day + dt.timedelta(days=1)} 01:00:00")
+            job.run_day(spark, base, store, day, f"{day + dt.timedelta(days=1)} 01:00:00", sources=sources)
     finally:
         if old is not None:
             spark.conf.set(key, old)
